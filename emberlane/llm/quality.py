@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberlane.llm.common import WHITE, WHITE_RUN, let, words
+from emberlane.llm.common import WHITE, fixed, let, words
 
 # The languages with a reference, and frequent function words of each.
 COMMON = {
@@ -80,12 +80,6 @@ def common_counts(text: Column, lang: Column) -> Column:
     return F.when(lang.isin(*COMMON), let(spaced, chosen))
 
 
-def fixed(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """withColumn that the optimizer does not merge into later projections, so
-    that what is built on the column reads it and does not compute it anew."""
-    return df.withColumn(name, F.explode(F.array(value)))
-
-
 def few_places(h: Column, twice: Column) -> Column:
     """Places in h of the values in twice, a short array."""
     return F.filter(F.transform(h, lambda x, i: F.when(F.array_contains(twice, x), i)), lambda i: i.isNotNull())

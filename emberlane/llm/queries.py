@@ -4,16 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlane.llm import quality
+from emberlane.llm import chat, mixing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.with_tricky(_table(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.formatted(turns))
+
+
+def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality,)}
-ORACLE = {"op4_quality": quality.SQL}
+QUERIES = {f.__name__: f for f in (op2_chat, op3_mix, op4_quality)}
+ORACLE = {"op2_chat": chat.SQL, "op3_mix": mixing.SQL, "op4_quality": quality.SQL}
