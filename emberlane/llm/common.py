@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emberlane.session import ship
+
 # Words are maximal runs of anything but these six ASCII characters.
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = r"[\x20\x09-\x0D]+"
@@ -37,6 +39,12 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """mapInArrow, with this package on the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body over value, evaluated once: a one-element transform binds it, so
     that the optimizer cannot copy a costly expression into a lambda's loop."""
