@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlane.llm import chat, embeddings, mixing, quality, secrets, warc
+from emberlane.llm import chat, embeddings, minhash, mixing, quality, secrets, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,5 +37,9 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chat, op3_mix, op4_quality, op5_embeddings, op7_warc, op8_secrets)}
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_chat, op3_mix, op4_quality, op5_embeddings, op7_warc, op8_secrets, op10_minhash)}
 ORACLE = {"op2_chat": chat.SQL, "op3_mix": mixing.SQL, "op4_quality": quality.SQL, "op5_embeddings": embeddings.SQL, "op7_warc": warc.SQL}
