@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlane.llm import chat, embeddings, minhash, mixing, quality, secrets, warc
+from emberlane.llm import chat, embeddings, minhash, mixing, pieces, quality, secrets, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.tokenized(_table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -41,5 +45,5 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chat, op3_mix, op4_quality, op5_embeddings, op7_warc, op8_secrets, op10_minhash)}
+QUERIES = {f.__name__: f for f in (op2_chat, op3_mix, op4_quality, op5_embeddings, op6_pieces, op7_warc, op8_secrets, op10_minhash)}
 ORACLE = {"op2_chat": chat.SQL, "op3_mix": mixing.SQL, "op4_quality": quality.SQL, "op5_embeddings": embeddings.SQL, "op7_warc": warc.SQL}
