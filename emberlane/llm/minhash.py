@@ -290,6 +290,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """One document of each component, that of the smallest doc_id, with all columns."""
+    """One document of each component, that of the smallest doc_id, with all
+    columns. Of rows that repeat a doc_id, those of different texts stay apart."""
     keep = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates(["doc_id"])
+    hashed = docs.withColumn("_hash", F.xxhash64("text"))
+    return hashed.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates(["doc_id", "_hash"]).drop("_hash")

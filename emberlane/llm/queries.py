@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlane.llm import chat, embeddings, minhash, mixing, pieces, quality, secrets, warc
+from emberlane.llm import chat, embeddings, minhash, mixing, pieces, quality, secrets, suffixes, superkmers, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.suffix_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.with_tricky(_table(spark, sf_dir, "conversations"))
     return chat.read_back(chat.formatted(turns))
@@ -41,9 +45,13 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
+def op9_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmers.substring_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chat, op3_mix, op4_quality, op5_embeddings, op6_pieces, op7_warc, op8_secrets, op10_minhash)}
-ORACLE = {"op2_chat": chat.SQL, "op3_mix": mixing.SQL, "op4_quality": quality.SQL, "op5_embeddings": embeddings.SQL, "op7_warc": warc.SQL}
+QUERIES = {f.__name__: f for f in (op1_suffixes, op2_chat, op3_mix, op4_quality, op5_embeddings, op6_pieces, op7_warc, op8_secrets, op9_superkmers, op10_minhash)}
+ORACLE = {"op2_chat": chat.SQL, "op3_mix": mixing.SQL, "op4_quality": quality.SQL, "op5_embeddings": embeddings.SQL, "op7_warc": warc.SQL, "op9_superkmers": superkmers.SQL}
