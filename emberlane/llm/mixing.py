@@ -60,6 +60,7 @@ def thresholds(sizes: DataFrame, per_source: DataFrame) -> DataFrame:
         (F.col("target") - copies * F.col("source_size")).alias("budget"), F.lit("").alias("upto"), F.lit(0).cast("long").alias("below"), F.lit(0).cast("long").alias("bucket_size"),
     )
     for level in range(1, LEVELS + 1):
+        state = materialize(state, "mix-state")  # a row per source; read twice below
         inside = sizes.join(state.select(F.col("s.source").alias("_source"), "upto"), F.col("source").eqNullSafe(F.col("_source")) & F.col("hash").startswith(F.col("upto")))
         sums = inside.where("size > 0").groupBy("source", F.substring("hash", 1, DIGITS * level).alias("bucket")).agg(F.sum("size").alias("n"))
         joined = sums.join(state, F.col("source").eqNullSafe(F.col("s.source")))
@@ -70,6 +71,7 @@ def thresholds(sizes: DataFrame, per_source: DataFrame) -> DataFrame:
         state = state.join(reached, F.col("s.source").eqNullSafe(F.col("source")), "left").select(
             "s", "copies", "budget", F.coalesce("at.bucket", "upto").alias("upto"), F.coalesce("at._below", "below").alias("below"), F.coalesce("at.n", "bucket_size").alias("bucket_size")
         )
+    state = materialize(state, "mix-state")
     # the documents of the last hash go in if that comes nearer to the budget
     take_last = (F.col("bucket_size") > 0) & (F.col("below") + F.col("bucket_size") - F.col("budget") < F.col("budget") - F.col("below"))
     return state.select("s.*", "copies", "upto", take_last.alias("take_last"))
