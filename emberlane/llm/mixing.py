@@ -100,10 +100,11 @@ def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The documents of the mix, each as often as it is taken, with all their columns."""
     sizes = sized(docs, seed)
     per = thresholds(sizes, targets(sizes)).select(F.col("source").alias("_source"), "copies", "upto", "take_last")
-    marked = docs.withColumn("_hash", hashed(F.col("doc_id"), seed)).join(per, docs["source"].eqNullSafe(F.col("_source")))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("source").alias("_own"), hashed(F.col("doc_id"), seed).alias("_hash"))
+    marked = packed.join(per, F.col("_own").eqNullSafe(F.col("_source")))
     more = (F.col("_hash") < F.col("upto")) | ((F.col("_hash") == F.col("upto")) & F.col("take_last"))
     repeats = F.least(F.col("copies") + F.when(more, 1).otherwise(0), F.lit(MAX_REPEATS)).cast("int")
-    return marked.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), repeats))).select(*[docs[f"`{c}`"] for c in docs.columns])
+    return marked.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), repeats))).select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
 SQL = f"""
