@@ -132,7 +132,7 @@ def redacted(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
     out, at = [], 0
     for a, kind, b in spans:
         if a >= at:
-            out += [text[at:a], f"[{KINDS[kind]}]"]
+            out += [text[at:a], f"<{KINDS[kind]}>"]
         at = max(at, b)
     return "".join([*out, text[at:]])
 
