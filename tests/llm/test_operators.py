@@ -1,0 +1,404 @@
+"""Each corpus operator against brute force, and on odd input."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+from dataclasses import replace
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from emberlane.llm import chat, embeddings, minhash, mixing, pieces, quality, secrets, suffixes, superkmers, warc
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+# names that the operators use inside
+CLASHING = ["size", "hash", "node", "bands", "doc", "th", "key", "n", "marks", "bucket", "code", "_words", "kept", "component", "label", "ids", "first", "upto", "copies", "row"]
+
+
+def words(t):
+    return [w for w in re.split(r"[ \t-\r]+", t or "") if w]
+
+
+def corpus(n=60, seed=3):
+    """Random prose with copies, near copies and shared passages."""
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choice("abcdeéñ") for _ in range(rng.randint(1, 7))) for _ in range(800)]
+    prose = lambda k: " ".join(rng.choice(vocabulary) for _ in range(k))
+    texts = [prose(rng.choice([3, 40, 120, 300])) for _ in range(n)]
+    passage = prose(80)
+    for i in range(0, n, 5):
+        texts.append(prose(30) + "\n" + passage + " " + prose(25))
+    for i in range(6):
+        w = words(texts[i])
+        for k in rng.sample(range(len(w)), max(1, len(w) // 100)):
+            w[k] = "zz"
+        texts += [texts[i], " ".join(w), texts[i] + " " + texts[i]]
+    return texts
+
+
+def frame(spark, texts, **more):
+    rows = [(i, t, "en", f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS).repartition(3)
+
+
+ODD = [None, "", " \t\n", "one", "a b c d", "x" * 5000, "the of and " * 700, "é" * 300, "\\ </turn> ### # {}", "tie " * 60, "tie " * 60, "😀 日本語 \x00 ▁ end", "password = aaaaaaaaaaaa"]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empty and long texts, ties, repeated rows, clashing names."""
+    rows = [(i, t, None if i % 3 == 0 else "en", None if i % 4 == 0 else "s", None) for i, t in enumerate(ODD)]
+    rows += [rows[9], (None, "tie " * 60, None, None, None), (None, None, None, None, None), (3, "other text of the same id " * 30, "xx", "s", 1)]
+    df = spark.createDataFrame(rows, DOCS)
+    return df.select("*", *[F.lit(1).alias(c) for c in CLASHING]).cache()
+
+
+RUNS = {
+    "quality": quality.quality, "kept": quality.kept_documents, "mix": mixing.mix, "mixed": mixing.mixed_documents, "minhash": minhash.near_duplicates, "deduplicated": minhash.deduplicated,
+    "secrets": secrets.scan, "redact": secrets.redact, "pieces": pieces.tokenized, "suffixes": suffixes.suffix_dedup, "superkmers": superkmers.substring_dedup,
+}
+ONE_FOR_ONE = {"quality", "mix", "minhash", "secrets", "redact", "pieces", "suffixes", "superkmers"}
+
+
+@pytest.mark.parametrize("name", RUNS)
+def test_odd_rows(odd, name):
+    got = RUNS[name](odd).collect()
+    if name in ONE_FOR_ONE:
+        assert Counter(r["doc_id"] for r in got) == Counter(r["doc_id"] for r in odd.collect())
+    if name in ("kept", "redact", "mixed", "deduplicated"):
+        assert set(got[0].asDict() if got else odd.columns) == set(odd.columns)
+
+
+@pytest.mark.parametrize("name", RUNS)
+def test_empty_table(spark, name):
+    assert RUNS[name](spark.createDataFrame([], DOCS)).count() == 0
+
+
+def repeats(ws):
+    at = defaultdict(list)
+    for i in range(len(ws) - 2):
+        at[tuple(ws[i : i + 3])].append(i)
+    return len({j for places in at.values() if len(places) > 1 for i in places for j in (i, i + 1, i + 2)})
+
+
+def test_quality_counts(spark):
+    texts = corpus(20) + ["a b\na b\n\n \nc", "a a a a", "#*$%&|<>", "of the of the of the " * 40, None, *("w%d " % i * 1 + " ".join("w%d" % (k % 70) for k in range(300)) for i in range(2))]
+    for r in quality.quality(frame(spark, texts)).collect():
+        t, w = texts[r["doc_id"]] or "", words(texts[r["doc_id"]])
+        lines = [x for x in t.split("\n") if words(x)]
+        want = (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), repeats(w))
+        assert tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == want
+        assert r["base_failed"] == (len(w) < 50 or 100 * want[4] > 50 * len(w)) and not (r["base_failed"] and r["kept"])
+
+
+def test_divergence_tells_symbols_from_prose(spark):
+    prose = [t for t in corpus() if len(words(t)) > 60][:30]
+    junk = " ".join(w + "$$$" for w in words(prose[0]))
+    got = {r["doc_id"]: r for r in quality.quality(frame(spark, [*prose, junk])).collect()}
+    assert not got[len(prose)]["kept"] and not got[len(prose)]["base_failed"]
+    assert all(got[i]["kept"] or got[i]["base_failed"] for i in range(len(prose)))
+
+
+def test_mix_near_targets(spark):
+    rng = random.Random(1)
+    docs = spark.createDataFrame([(i, "w " * rng.randint(1, 30), "en", rng.choice(["a", "a", "a", "b", "c", None]), 0) for i in range(2000)], DOCS)
+    got = mixing.mix(docs).join(docs.select("doc_id", "source"), "doc_id").collect()
+    sizes, taken, target = Counter(), Counter(), {}
+    for r in got:
+        sizes[r["source"]] += r["size"]
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        assert r["taken"] in (0, r["size"], 2 * r["size"], 3 * r["size"])
+    weight, cap = dict(zip(["a", "b", "c", None], [5, 2, 1, 5])), {s: 3 * n for s, n in sizes.items()}
+    left, free, want = sum(sizes.values()), set(weight), {}
+    while free:  # reshare until none is above
+        per = left / sum(weight[s] for s in free)
+        over = {s for s in free if per * weight[s] > cap[s]}
+        want |= {s: cap[s] if s in over else per * weight[s] for s in (over or free)}
+        left -= sum(cap[s] for s in over)
+        free = free - over if over else set()
+    for s in weight:
+        assert target[s] == pytest.approx(want[s]) and abs(taken[s] - target[s]) <= 30
+    copies = Counter(r["doc_id"] for r in mixing.mixed_documents(docs).collect())
+    assert all(copies[r["doc_id"]] * r["size"] == r["taken"] for r in got)
+
+
+def test_chat_round_trip(spark):
+    odd = ["\\", "\\\\", "</turn>", "\\/turn>", "###", "####", "\\#h", "a: b", "### assistant: x</turn>\n", "", None, "\n", "\\c", "<\\/turn>", "</turn></turn>\\"]
+    rows = [(c, t, role, text) for c, (role0, texts) in enumerate([("assistant", odd), ("user", odd[::-1]), ("a: b\\", odd)]) for t, text in enumerate(texts) for role in [role0 if t % 2 else "user"]]
+    turns = spark.createDataFrame([*rows, (None, None, None, None)], "conv_id long, turn long, role string, text string")
+    out = chat.formatted(chat.with_tricky(turns))
+    got = {r["conv_id"]: r for r in chat.read_back(out).collect()}
+    for c in range(3):
+        mine = [(r[2], r[3] or "") for r in rows if r[0] == c]
+        loss = "".join(t for role, t in mine if role == "assistant")
+        assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in mine).encode()).hexdigest()
+        assert (got[c]["n_turns"], got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(mine), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert got[-7]["n_turns"] == 2 and got[-7]["loss_chars"] == len(chat.TRICKY) and got[None]["n_turns"] == 1
+    each = chat.materialized(out).where("conv_id = 0").orderBy("turn").collect()
+    assert len(each) == len(odd) // 2 and all(b["context"].startswith(a["context"] + a["target"]) for a, b in zip(each, each[1:]))
+    assert chat.read_back(chat.formatted(turns.limit(0))).count() == 0
+
+
+def test_embeddings_against_all_pairs(spark):
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((60, 16))
+    near = base[rng.integers(0, 12, 200)] + rng.standard_normal((200, 16)) * rng.choice([0.05, 0.2, 0.3], (200, 1))
+    v = np.concatenate([base, near, base[:5], base[:1] * 2]).astype(np.float32)
+    labels = [int(x) for x in rng.integers(0, 2, len(v))]
+    rows = [(i, [float(y) for y in x], k) for i, (x, k) in enumerate(zip(v, labels))]
+    odd = [(900, None, 1), (901, [0.0] * 16, 1), (902, [float("nan")] * 16, 1), (903, [None] * 16, 0), (904, rows[0][1], None), (905, [], 0), (906, [1.0, 2.0], 0), (907, [2.0, 4.0], 0), (None, rows[0][1], rows[0][2])]
+    got = {r["vec_id"]: r for r in embeddings.near_duplicates(spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, label int").withColumn("n", F.lit(1)).repartition(3)).collect()}
+    x = v.astype(np.float64)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    link = (x @ x.T >= 0.93) & (np.array(labels)[:, None] == np.array(labels))
+    np.fill_diagonal(link, False)
+    comp = np.arange(len(v))
+    for _ in range(len(v)):
+        new = np.minimum(comp, np.where(link, comp, len(v)).min(1))
+        if (new == comp).all():
+            break
+        comp = new
+    extra = link[0].copy()  # the row without an id is one more copy of vector 0
+    extra[0] = True
+    for i in range(len(v)):
+        assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (link[i].sum() + extra[i], comp[i], comp[i] == i)
+    assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (900, 901, 902, 903, 904, 905))
+    assert got[907]["component_id"] == 906 and got[906]["n_links"] == 1
+    assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_big_buckets_are_dealt_in_blocks(spark):
+    rng = np.random.default_rng(9)
+    v = (np.ones(8) + rng.standard_normal((2600, 8)) * 0.02).astype(np.float32)
+    got = embeddings.near_duplicates(spark.createDataFrame([(i, [float(y) for y in x], 1) for i, x in enumerate(v)], "vec_id long, embedding array<float>, label int")).toPandas()
+    assert len(v) > 2 * embeddings.BLOCK and (got.n_links == len(v) - 1).all() and (got.component_id == 0).all()
+
+
+@pytest.fixture(scope="module")
+def coder():
+    return pieces.coder(pieces.vocabulary())
+
+
+def test_pieces_equal_the_library(coder):
+    import public_tokenizers
+    import sentencepiece
+
+    m = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    texts = [t for t in [*corpus(), *ODD, "  two  spaces ", " " * 70 + "x", "abc" * 900] if t is not None and "▁" not in t and "\x00" not in t]
+    for t, ids in zip(texts, coder.encode(texts, [0] * len(texts))):
+        assert ids.tolist() == m.encode(t)
+
+
+def test_dropout_is_keyed_lossless_and_the_same_by_heap(coder, monkeypatch):
+    texts = [t or "" for t in [*corpus(), *ODD]]
+    keys = [pieces.key_of(i, 1) for i in range(len(texts))]
+    a = coder.encode(texts, keys, 0.2)
+    assert all(coder.decode(x) == t for x, t in zip(a, texts))
+    alone = [coder.encode([t], [k], 0.2)[0].tolist() for t, k in zip(texts, keys)]
+    assert alone == [x.tolist() for x in a]
+    other = coder.encode(texts, [pieces.key_of(i, 2) for i in range(len(texts))], 0.2)
+    assert sum(len(x) for x in a) > sum(len(x) for x in coder.encode(texts, keys)) and any(x.tolist() != y.tolist() for x, y in zip(a, other))
+    monkeypatch.setattr(pieces, "SHORT", 0)
+    assert [x.tolist() for x in coder.encode(texts[:30], keys[:30], 0.2)] == alone[:30]
+
+
+def test_warc_round_trip(spark):
+    rng = random.Random(2)
+    html = ["", None, "x" * 99, "x" * 100, "é" * 60, *("p%d " % (i % 7) * 60 for i in range(30)), "y" * 200000]
+    rows = [(i, f"http://a/{i} b", h) for i, h in enumerate(html)]
+    rng.shuffle(rows)
+    rows += [(200, "u", "x" * 100), (200, None, "x" * 100), (None, "u", "x" * 100), (None, "u", "unlike any other " * 20)]
+    got = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()
+    least = {}
+    for i, _, h in rows:
+        h = (h or "").encode()
+        if len(h) >= 100 and i is not None:
+            least[h] = min(i, least.get(h, i))
+    want = Counter()
+    for i, _, h in rows:
+        h = (h or "").encode()
+        first = least.get(h)
+        revisit = first is not None and first != i
+        want[i, len(h), hashlib.sha256(h).hexdigest(), "revisit" if revisit else "response", first if revisit else None] += 1
+    assert Counter(tuple(r) for r in got) == want
+    assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_warc_salvage(spark, tmp_path):
+    bodies = [b"a" * 50, b"b" * 3000, b"c" * 10, b"d" * 500, b"e" * 70]
+    plain = [warc.record(i, "u", x, hashlib.sha256(x).hexdigest(), None) for i, x in enumerate(bodies)]
+    parts = [warc.member(p) for p in plain]
+    found = lambda data: [int(re.search(r"\d+", w[0]["warc-record-id"])[0]) for k, _, _, w in warc.salvage(data) if k == "record"]
+    gaps = lambda data: [(a, z) for k, a, z, _ in warc.salvage(data) if k == "gap"]
+    whole = b"".join(parts)
+    assert found(whole) == [0, 1, 2, 3, 4] and not gaps(whole) and found(b"".join(plain)) == [0, 1, 2, 3, 4]
+    at = len(parts[0])
+    broken = bytearray(whole)
+    broken[at + len(parts[1]) // 2] ^= 0xFF
+    assert found(bytes(broken)) == [0, 2, 3, 4] and gaps(bytes(broken)) == [(at, at + len(parts[1]))]
+    cut = whole[: at + 9] + b"".join(parts[2:])  # a member cut off
+    assert found(cut) == [0, 2, 3, 4] and gaps(cut) == [(at, at + 9)]
+    wrong = plain[1].replace(b"b", b"B", 1) if False else plain[1][:-10] + b"X" + plain[1][-9:]  # digest differs
+    assert found(plain[0] + wrong + plain[2]) == [0, 2] and found(b"junk" + whole + b"tail") == [0, 1, 2, 3, 4]
+    (tmp_path / "x.warc.gz").write_bytes(bytes(broken))
+    content = warc.open_archives(spark, str(tmp_path))
+    assert warc.records(content).count() == 4
+    (gap,) = warc.quarantined(content).collect()
+    assert (gap["start"], gap["end"]) == (at, at + len(parts[1])) and "gzip" in gap["reason"]
+    for _ in range(20):  # no byte is lost: records and gaps cover all
+        data = bytearray(whole)
+        for _ in range(3):
+            data[random.Random(len(data)).randrange(len(data))] ^= 1
+        spans = [(a, z) for _, a, z, _ in warc.salvage(bytes(data))]
+        assert spans[0][0] == 0 and spans[-1][1] == len(data) and all(p[1] == q[0] for p, q in zip(spans, spans[1:]))
+
+
+def test_secrets():
+    f = lambda t: secrets.joined(secrets.find(t))
+    assert f("password=b7db7aa4a5") == "assign:0:19" and f("PassWD : 'abcdefgh' x") == "assign:0:18"
+    assert f("token=short") == "" and f("é api-key=abcdefgh") == "" and f("é apikey=abcdefgh12").startswith("assign:2:")
+    assert f("AKIA" + "A" * 11) == "" and f("xAKIA" + "A" * 12) == "access:1:17" and f("0" * 31) == "" and f("g" + "0f" * 16) == "hex:1:33"
+    assert f("secret=token=abc: password=longenough1") == "assign:0:16,assign:18:38"
+    assert f("pwd: xK9$z!qW7") == "guess:5:14" and f("pwd: password") == "" and f("passcode: qwertyuiop") == ""
+    assert secrets.find(None) == [] and secrets.redacted("a token=abcdefgh. b", secrets.find("a token=abcdefgh. b")).startswith("a <assign>")
+    t = "pwd: xK9$z!qW7 and " + "0f" * 16
+    assert secrets.find(secrets.redacted(t, secrets.find(t))) == []
+
+
+def test_guess_cost_is_the_least():
+    """Against all segmentations of short values."""
+    import math
+
+    def least(v):
+        each, memo = secrets.brute(v), {len(v): 0.0}
+        for i in range(len(v) - 1, -1, -1):
+            memo[i] = min([memo[i + 1] + each] + [memo[j] + c + math.log10(2) for j, c in secrets.spans_from(v, i)])
+        return memo[0]
+
+    for v in ["password1", "19991231x", "aaaabbbb", "qwe123!Z", "xK9$z!qW", "abcdxyz", "P@ssw0rd2024"]:
+        assert secrets.guess_cost(v) == pytest.approx(least(v))
+    assert secrets.guess_cost("password") < secrets.guess_cost("passw0rd") < secrets.guess_cost("xK9$z!qW")
+
+
+def without_long_repeats(texts):
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(b[i : i + 200] for b in data for i in range(len(b) - 199))
+    out = []
+    for b in data:
+        gone = bytearray(len(b))
+        for i in range(len(b) - 199):
+            if seen[b[i : i + 200]] > 1:
+                gone[i : i + 200] = b"\1" * 200
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        out.append((len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_suffixes(spark, hot):
+    texts = corpus() + ["ab" * 400, "ab" * 90, "abc" * 200 + "q" * 150, None, "", "x" * 200]
+    want = without_long_repeats(texts)
+    got = suffixes.suffix_dedup(frame(spark, texts), replace(suffixes.KIND, hot=hot)).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in got} == dict(enumerate(want)) and sum(w[1] for w in want) > 5000
+
+
+def test_suffix_sort():
+    rng = np.random.default_rng(0)
+    data = rng.integers(0, 2, 4000).astype(np.uint8)
+    data[1000:1500] = data[2000:2500]
+    s = suffixes.Suffixes(data)
+    start = np.arange(3000)
+    group = np.repeat([0, 1, 2], [1, 1999, 1000])
+    order = s.sort(start, group)
+    raw = data.tobytes()
+    for g in range(3):
+        mine = order[group == g]
+        assert [raw[i : i + 200] for i in mine] == sorted(raw[i : i + 200] for i in np.flatnonzero(group == g))
+    x, y = rng.integers(0, 3000, (2, 500))
+    common = [next((k for k in range(200) if raw[a + k] != raw[b + k]), 200) for a, b in zip(x, y)]
+    assert s.extension(x, y).tolist() == common
+
+
+def without_repeats(texts):
+    least, all_words = {}, [words(t) for t in texts]
+    for d, w in enumerate(all_words):
+        for i in range(len(w) - 12):
+            least.setdefault(tuple(w[i : i + 13]), d)
+    out = []
+    for d, w in enumerate(all_words):
+        gone = [False] * len(w)
+        for i in range(len(w) - 12):
+            if least[tuple(w[i : i + 13])] < d:
+                gone[i : i + 13] = [True] * 13
+        out.append((len(w), sum(gone), hashlib.sha256(" ".join(x for x, g in zip(w, gone) if not g).encode()).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_superkmers(spark, hot):
+    texts = corpus() + ["a b " * 30, "a b\n" * 20, "a\tb  " * 20, None, "", " ".join(map(str, range(13)))]
+    got = superkmers.substring_dedup(frame(spark, texts), replace(superkmers.KIND, hot=hot)).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in got} == dict(enumerate(without_repeats(texts)))
+
+
+def shingles(t):
+    w = words(t)
+    return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+
+
+def test_minhash_against_all_pairs(spark):
+    texts = corpus(80) + ["a b c " * 100, "a b c " * 95 + "d e f " * 5, None, "", " ", "one", "one", "one two", *["same words here again and more"] * 3]
+    rng = random.Random(8)
+    centre = ["w%d" % i for i in range(200)]
+    for k in [1, 2, 2, 3, 3, 4, 5, 6, 8]:  # copies that are near the centre and less near to each other
+        w = list(centre)
+        for i in rng.sample(range(200), k):
+            w[i] = f"z{rng.random()}"
+        texts.append(" ".join(w))
+    sets = [shingles(t) for t in texts]
+    comp = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and sum((a & sets[j]).values()) >= 0.8 * sum((a | sets[j]).values()):
+                x, y = comp[i], comp[j]
+                comp = [min(x, y) if c in (x, y) else c for c in comp]
+    got = {r["doc_id"]: r for r in minhash.near_duplicates(frame(spark, texts)).collect()}
+    assert {i: got[i]["component_id"] for i in got} == dict(enumerate(comp))
+    assert all(r["kept"] == (r["component_id"] == i) for i, r in got.items())
+    assert sorted(r["doc_id"] for r in minhash.deduplicated(frame(spark, texts)).collect()) == sorted(set(comp))
+
+
+def test_signatures_estimate_weighted_similarity():
+    from emberlane.llm.common import utf8
+    import pyarrow as pa
+
+    texts = ["a b c d e f g " * 30, "a b c d e f g " * 20 + "h i j k l m " * 10, " ".join(map(str, range(300))), " ".join(map(str, range(30, 330))), "one"]
+    h, doc, count = minhash.weighted(*minhash.shingles(*utf8(pa.array(texts))))
+    sig = minhash.signatures(h, doc, count, len(texts))
+    assert (sig != 0).all()
+    for a, b in ((0, 1), (2, 3), (0, 2)):
+        x, y = shingles(texts[a]), shingles(texts[b])
+        assert abs((sig[a] == sig[b]).mean() - sum((x & y).values()) / sum((x | y).values())) < 0.15
+
+
+def test_components(spark):
+    from emberlane.llm.graph import components
+
+    rng = random.Random(6)
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(60)] + [(7, 7), (None, 3)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and a != b:
+            x, y = root(a), root(b)
+            parent[max(x, y)] = min(x, y)
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: root(x) for x in list(parent)}
