@@ -52,7 +52,7 @@ def name_words(name: Column, drop_prefix: str | None) -> Column:
 
 def variants(w: Column) -> Column:
     """The full name and, of names of at most three words, the first three and the first two written together."""
-    return F.when(F.size(w) <= 3, F.array(F.array_join(w, " "), F.array_join(F.slice(w, 1, 3), ""), F.array_join(F.slice(w, 1, 2), ""))).otherwise(F.array(F.array_join(w, " ")))
+    return F.when(F.size(w) <= 3, F.array(F.btrim(F.array_join(w, " ")), F.array_join(F.slice(w, 1, 3), ""), F.array_join(F.slice(w, 1, 2), ""))).otherwise(F.array(F.btrim(F.array_join(w, " "))))
 
 
 def name_variants(name: Column) -> Column:

@@ -17,17 +17,14 @@ def daily_counts(items: DataFrame, events: DataFrame) -> DataFrame:
     return grid.join(counts, ["country", "day", "event"], "left").select("country", "day", "event", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def correlations(daily: DataFrame, events: list[str]) -> DataFrame:
+def correlations(daily: DataFrame) -> DataFrame:
     """country, event_a, event_b, corr (0 where a count is constant), clamped at 0.
-    One pass: a country's days are turned to one row each, and all pairs are
-    aggregated side by side; nothing is joined to itself."""
-    wide = daily.groupBy("country", "day").pivot("event", events).agg(F.sum("n"))
-    col = lambda e: F.coalesce(F.col(f"`{e}`"), F.lit(0)).cast("double")
-    pair = lambda a, b: F.covar_pop(col(a), col(b)) / F.nullif(F.stddev_pop(col(a)) * F.stddev_pop(col(b)), F.lit(0.0))
-    pairs = [(a, b) for a in events for b in events]
-    per = wide.groupBy("country").agg(*[F.greatest(F.coalesce(pair(a, b), F.lit(0.0)), F.lit(0.0)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.array(*[F.struct(F.lit(a).alias("event_a"), F.lit(b).alias("event_b"), F.col(f"r{i}").alias("corr")) for i, (a, b) in enumerate(pairs)])
-    return per.select("country", F.inline(rows))
+    A country's day holds each event of the vocabulary once, so the pairs of a day
+    are a square of fixed size."""
+    a = daily.select("country", "day", F.col("event").alias("event_a"), F.col("n").cast("double").alias("x"))
+    b = daily.select("country", "day", F.col("event").alias("event_b"), F.col("n").cast("double").alias("y"))
+    r = F.covar_pop("x", "y") / F.nullif(F.stddev_pop("x") * F.stddev_pop("y"), F.lit(0.0))
+    return a.join(b, ["country", "day"]).groupBy("country", "event_a", "event_b").agg(F.greatest(F.coalesce(r, F.lit(0.0)), F.lit(0.0)).alias("corr"))
 
 
 def positive_mean(corr: DataFrame) -> DataFrame:

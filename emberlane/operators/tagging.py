@@ -57,7 +57,7 @@ def contained(items: DataFrame, names: DataFrame, texts: list[str], test=X.subst
     condition = F.lit(False)
     for t in texts:
         condition = condition | F.coalesce(test(F.col(t), F.col("match")), F.lit(False))
-    return held_against(items, names, condition).select("item", *names.columns)
+    return held_against(items.select("item", *texts), names, condition).select("item", *names.columns)
 
 
 def refname_tags(items: DataFrame, names: DataFrame, texts: list[str]) -> DataFrame:
@@ -86,7 +86,7 @@ def event_tags(items: DataFrame, keywords: DataFrame, texts: list[str], hashtags
     out = whole_words(items, keywords, texts)
     if hashtags:
         inside = F.exists(hashtags, lambda h: F.contains(F.lower(h), F.lower("match")))
-        out = out.unionByName(held_against(items, keywords, inside).select("item", *keywords.columns))
+        out = out.unionByName(held_against(items.select("item", hashtags), keywords, inside).select("item", *keywords.columns))
     return out.distinct()
 
 

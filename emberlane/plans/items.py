@@ -154,7 +154,7 @@ def owner_overlap(spark, sf_dir):
 
 
 _WORDS = """list_transform(list_filter(string_split(trim(regexp_replace(lower({0}), '[(].*?[)]', '', 'g')), ' '), lambda x: not starts_with(x, '{1}')), lambda x: translate(x, '|()', ''))"""
-_SPELL = "case when len(w) <= 3 then [array_to_string(w, ' '), array_to_string(w[1:3], ''), array_to_string(w[1:2], '')] else [array_to_string(w, ' ')] end"
+_SPELL = "case when len(w) <= 3 then [trim(array_to_string(w, ' ')), array_to_string(w[1:3], ''), array_to_string(w[1:2], '')] else [trim(array_to_string(w, ' '))] end"
 
 
 @query(f"""with a as (select p_partkey id, p_name || ' (' || p_brand || ') Refinery' initial from part),

@@ -59,7 +59,7 @@ def correlation_of(items: DataFrame, events: list[str]) -> DataFrame:
     """The events' correlation over items (country_match, ts, events_tags) that are certain of their country."""
     sure = items.where(F.get("country_match", F.lit(0))["p"] == 1).select(F.get("country_match", F.lit(0))["country"].alias("country"), "ts", F.explode_outer("events_tags").alias("event"))
     vocabulary = items.sparkSession.createDataFrame([(e,) for e in events], "event string")
-    return correlation.positive_mean(correlation.correlations(correlation.daily_counts(sure, vocabulary), events))
+    return correlation.positive_mean(correlation.correlations(correlation.daily_counts(sure, vocabulary)))
 
 
 def cluster(items: DataFrame, corr: dict[tuple[str, str], float], config: Config) -> DataFrame:
@@ -71,10 +71,45 @@ def cluster(items: DataFrame, corr: dict[tuple[str, str], float], config: Config
     return clusters.clustered(ready, corr, f"{c.time_threshold_days * 86400} seconds", c.no_split_days * 86400, c.correlation_threshold, c.subsplit_min_size, c.subsplit)
 
 
+_iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
 def posts(raw: DataFrame) -> DataFrame:
-    """Raw posts as items: item, ts, text, hashtags."""
-    return raw.select("*", F.col("id").alias("item"), X.post_time(F.col("created_at")).alias("ts"), F.transform("entities.hashtags", lambda h: h["text"]).alias("hashtags"))
+    """Raw posts as items: item, ts, hashtags, and created_at as an ISO time."""
+    items = raw.select("*", F.col("id").alias("item"), X.post_time(F.col("created_at")).alias("ts"), F.transform("entities.hashtags", lambda h: h["text"]).alias("hashtags"))
+    return items.withColumn("created_at", _iso)
+
+
+def headlines(raw: DataFrame) -> DataFrame:
+    items = raw.select("*", F.col("storyId").alias("item"), X.post_time(F.col("firstCreated")).alias("ts"))
+    return items.withColumn("firstCreated", _iso)
 
 
 def merged(posts_done: DataFrame, headlines_done: DataFrame) -> DataFrame:
     return merge.merged(merge.posts_as_items(posts_done), merge.headlines_as_items(headlines_done))
+
+
+def run(tables: dict[str, DataFrame], config: Config, folder: str, matrix: dict[tuple[str, str], float] | None = None) -> DataFrame:
+    """Merged items with cluster_id and ref_match_cl. tables: posts, headlines,
+    assets, owners, names, peoples, countries and, if known, gpes. The tagged and
+    the merged items are written below folder, so later stages read tables and do
+    not plan the earlier ones again. Without a matrix of event correlations one is
+    learned from the items; it is a vocabulary's square, and its cells are all that
+    comes to the driver."""
+    spark = tables["posts"].sparkSession
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    dims = [tables[k] for k in ("assets", "owners", "names", "peoples")]
+    done = []
+    for name, items, texts, hashtags in (("posts", posts(tables["posts"]), ["full_text"], "hashtags"), ("headlines", headlines(tables["headlines"]), ["text", "snippet"], None)):
+        tagged = stage(f"tagged-{name}", tag(reset(items), *dims, config, texts, hashtags))
+        done.append(stage(f"matched-{name}", match(tagged, tables["assets"], tables["countries"], tables.get("gpes"), config)))
+    items = stage("merged", merged(*done))
+    ready = items.withColumn("item", F.col("id")).withColumn("ts", X.post_time(F.col("created_at")))
+    if matrix is None:
+        events = sorted({*config.event_words, *config.event_hashtags})
+        matrix = {(r["event_a"], r["event_b"]): r["corr"] for r in correlation_of(ready, events).where("corr > 0").collect()}
+    return items.drop("cluster_id").join(cluster(ready, matrix, config).withColumnRenamed("item", "id"), "id", "left")

@@ -53,7 +53,7 @@ def event_vector(spark, sf_dir):
 
 
 def corr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return correlation.correlations(daily(spark, sf_dir), vocabulary(spark, sf_dir))
+    return correlation.correlations(daily(spark, sf_dir))
 
 
 @query(f"with {_DAILY}, {_CORR} select country, event_a, event_b, round(corr, 6) corr from c")

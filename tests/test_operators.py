@@ -149,10 +149,10 @@ def test_merge_and_first_write_wins(spark):
 def test_correlation(spark):
     rows = [("A", "fire", d, n) for d, n in enumerate([1, 2, 3])] + [("A", "blaze", d, n) for d, n in enumerate([1, 2, 2])] + [("B", "fire", d, n) for d, n in enumerate([1, 2])] + [("B", "blaze", d, n) for d, n in enumerate([2, 1])]
     daily = spark.createDataFrame([(c, dt.date(2020, 1, d + 1), e, n) for c, e, d, n in rows] + [("A", dt.date(2020, 1, d), "cut", 1) for d in (1, 2, 3)], "country string, day date, event string, n long")
-    mean = {(r["event_a"], r["event_b"]): r["corr"] for r in correlation.positive_mean(correlation.correlations(daily, ["fire", "blaze", "cut"])).collect()}
+    mean = {(r["event_a"], r["event_b"]): r["corr"] for r in correlation.positive_mean(correlation.correlations(daily)).collect()}
     assert round(mean["fire", "blaze"], 6) == 0.866025 == round(mean["blaze", "fire"], 6)
     assert mean["cut", "cut"] == 0 == mean["cut", "fire"] and round(mean["fire", "fire"], 9) == 1
-    long = correlation.unpivoted(correlation.pivoted(correlation.positive_mean(correlation.correlations(daily, ["fire", "blaze", "cut"])), ["fire", "blaze", "cut"]), "event_a")
+    long = correlation.unpivoted(correlation.pivoted(correlation.positive_mean(correlation.correlations(daily)), ["fire", "blaze", "cut"]), "event_a")
     assert {(r["event_a"], r["event_b"]): r["corr"] for r in long.collect()} == mean
 
 
@@ -260,7 +260,7 @@ def test_geocoder(spark):
         geocoding.asked(Down(), "X", 2, 0, 0)
 
 
-def test_whole_pipeline(spark):
+def test_whole_pipeline(spark, tmp_path):
     from emberlane.config import Config
     from emberlane.plans import pipeline
 
@@ -274,15 +274,11 @@ def test_whole_pipeline(spark):
     names = spark.createDataFrame([("Lima", "GPE")], "match string, label string")
     peoples = spark.createDataFrame([], "NORP string, GPE string")
     countries = spark.createDataFrame([(10, "US"), (11, "US")], "GeoAssetID long, country string")
-    cfg = Config(as_of="2021-01-01")
-    posts = pipeline.reset(pipeline.posts(raw))
-    done = pipeline.match(pipeline.tag(posts, assets, owners, names, peoples, cfg, ["full_text"], "hashtags"), assets, countries, None, cfg)
-    got = {r["item"]: ([x["GeoAssetID"] for x in r["ref_match"]], r["events_tags"]) for r in done.collect()}
-    assert got == {1: ([10], ["fire"]), 2: ([10], ["smoke"]), 3: ([], [])}
-    clustered = {r["item"]: r["cluster_id"] for r in pipeline.cluster(done.where("size(ref_match) > 0"), {}, cfg).collect()}
-    assert clustered == {1: "US-0", 2: "US-0"}
-    heads = pipeline.reset(spark.createDataFrame([], "storyId string, firstCreated string, text string, snippet string, sourceName string, cluster_id string"))
-    assert values(pipeline.merged(done, heads), "id") == [("1",), ("2",)]
+    heads = spark.createDataFrame([("h", "2020-01-02T09:00:00.000000Z", "Blaze near Carson", None, "src", None)], "storyId string, firstCreated string, text string, snippet string, sourceName string, cluster_id string")
+    tables = {"posts": raw, "headlines": heads, "assets": assets, "owners": owners, "names": names, "peoples": peoples, "countries": countries}
+    out = pipeline.run(tables, Config(as_of="2021-01-01", event_words=("fire", "smoke", "blaze"), event_hashtags=("fire",)), f"file://{tmp_path}")
+    got = {r["id"]: (r["cluster_id"], [x["GeoAssetID"] for x in r["ref_match"]], r["events_tags"]) for r in out.collect()}
+    assert got == {"1": ("US-0", [10], ["fire"]), "2": ("US-0", [10], ["smoke"]), "h": ("US-0", [10], ["blaze"])}
 
 
 def test_entry_without_corpus_operators():
