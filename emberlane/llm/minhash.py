@@ -12,10 +12,11 @@ with the chance of their weighted Jaccard similarity.
 
 Bands of ROWS coordinates are joined on. A pair at 0.8 is missed by all bands
 with chance (1 - 0.8**6)**32, below 1e-4. Equal texts are one class first. The
-classes of a bucket are held against its smallest, exactly; then, where a bucket
+classes of a bucket are held against its pivot, exactly; then, where a bucket
 still holds several components, every pair across them whose signatures do not
-rule out 0.8 by seven standard deviations is held too. Big buckets and pivots
-are dealt over tasks. Verified links give connected components.
+rule out 0.8 by seven standard deviations is compared too, in the first bucket
+it shares, by blocks; only links are written. Big buckets and pivots are dealt
+over tasks. Verified links give connected components.
 
 Defined cases: a text of one to four words is one shingle; a null text, or one
 without words, links with nothing; rows that repeat a doc_id count by their
@@ -45,7 +46,8 @@ COORDINATES = BANDS * ROWS
 DARTS = COORDINATES * (math.log(COORDINATES) + 2)
 RULED_OUT = THRESHOLD - 7 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / COORDINATES)  # of agreeing coordinates
 MEMBERS = 256  # of a pivot in one task's group
-BLOCK = 512
+BLOCK = 512  # nodes
+ELEMENTS = 1 << 21  # of a block's texts
 CHUNK = 1 << 20  # bytes of text in arrays at a time
 
 _LANE = [np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
@@ -232,23 +234,67 @@ def verified(pairs: DataFrame, elements: DataFrame) -> DataFrame:
     return map_arrow(sorted_, _compare, "a long, b long")
 
 
-def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs across components in a block pair of a bucket that signatures do not rule out."""
-    for t in whole_groups(batches, "bucket", "pair"):
-        bucket, pair, side, node, comp = (t.column(c).to_numpy() for c in ("bucket", "pair", "side", "node", "component"))
-        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint16).reshape(len(node), COORDINATES)
-        starts = np.concatenate([[0], np.flatnonzero((bucket[1:] != bucket[:-1]) | (pair[1:] != pair[:-1])) + 1, [len(bucket)]])
-        a_, b_ = [], []
-        for a, z in zip(starts, starts[1:]):
-            cut = a + int((side[a:z] == 0).sum())
-            for i in range(a, cut):
-                js = np.arange(i + 1, z) if cut == z else np.arange(cut, z)
-                js = js[comp[js] != comp[i]]
+def block_pairs(rows: DataFrame, blocks: str) -> DataFrame:
+    """Deals the nodes of a bucket to its pairs of blocks: a row goes to every pair
+    that holds its own block, the smaller block as side 0."""
+    mine, n = F.pmod(F.xxhash64("node", F.lit(1)), F.col(blocks)).cast("int"), F.col(blocks)
+    pairs = F.transform(F.sequence(F.lit(0), n - 1), lambda o: F.struct((F.least(mine, o) * n + F.greatest(mine, o)).cast("long").alias("pair"), F.when(mine <= o, 0).otherwise(1).alias("side")))
+    n_parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select(*[c for c in rows.columns if c != blocks], F.inline(pairs)).repartition(n_parts, "bucket", "pair").sortWithinPartitions("bucket", "pair", "side")
+
+
+def _open_pairs(t: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, rows) of a table of whole block pairs: nodes of different components
+    whose first common bucket this is and whose signatures do not rule out a link."""
+    bucket, pair, side, comp = (t.column(c).to_numpy() for c in ("bucket", "pair", "side", "component"))
+    sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint16).reshape(len(bucket), COORDINATES)
+    bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(len(bucket), BANDS)
+    starts = np.concatenate([[0], np.flatnonzero((bucket[1:] != bucket[:-1]) | (pair[1:] != pair[:-1])) + 1, [len(bucket)]])
+    for a, z in zip(starts, starts[1:]):
+        cut = a + int((side[a:z] == 0).sum())
+        for i in range(a, cut):
+            js = np.arange(i + 1, z) if cut == z else np.arange(cut, z)
+            js = js[comp[js] != comp[i]]
+            if len(js):
+                first = np.argmax(bands[js] == bands[i], axis=1)
+                js = js[bands[js, first] == bucket[i]]
                 js = js[(sketch[js] == sketch[i]).sum(1) >= RULED_OUT * COORDINATES]
-                a_.append(np.minimum(node[i], node[js]))
-                b_.append(np.maximum(node[i], node[js]))
-        if a_:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a_)), pa.array(np.concatenate(b_))], ["a", "b"])
+            if len(js):
+                yield i, js
+
+
+def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, node) that have a pair to be compared there."""
+    for t in whole_groups(batches, "bucket", "pair"):
+        wanted = np.zeros(t.num_rows, bool)
+        for i, js in _open_pairs(t):
+            wanted[i] = wanted[js] = True
+        if wanted.any():
+            yield pa.RecordBatch.from_arrays([pa.array(t.column(c).to_numpy()[wanted]) for c in ("bucket", "node")], ["bucket", "node"])
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links between nodes of different components, exactly: no pair is
+    written that is not a link, and of a node's links to a component one."""
+    for t in whole_groups(batches, "bucket", "pair"):
+        node, comp = t.column("node").to_numpy(), t.column("component").to_numpy()
+        lists = t.column("elements").combine_chunks()
+        offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        links = []
+        for i, js in _open_pairs(t):
+            own = flat[offsets[i] : offsets[i + 1]]
+            sizes = offsets[js + 1] - offsets[js]
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            members = flat[np.repeat(offsets[js] - ends[:-1], sizes) + np.arange(ends[-1])]
+            place = np.minimum(np.searchsorted(own, members), len(own) - 1)
+            shared = np.concatenate([[0], np.cumsum(own[place] == members)])
+            both = shared[ends[1:]] - shared[ends[:-1]]
+            found = js[both >= THRESHOLD * (len(own) + sizes - both)]
+            if len(found):
+                _, one = np.unique(comp[found], return_index=True)
+                links += [(int(node[i]), int(node[j])) for j in found[one]]
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*links)], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -263,9 +309,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     speaker = signed.where("some").join(per.where("some").select("node", "first"), "node").where("doc_id = first").select("node", "bands", "sketch").dropDuplicates(["node"])
     speaker = materialize(speaker, "minhash-classes")
     entries = speaker.select("node", F.explode("bands").alias("bucket"))
-    buckets = entries.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("size")).where("size > 1")
-    inside = materialize(entries.join(buckets, "bucket").select("bucket", "a", F.col("node").alias("b"), "size"), "minhash-buckets")
-    stars = materialize(inside.where("a <> b").select("a", "b").distinct(), "minhash-stars")
+    sizes = entries.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    inside = materialize(entries.join(sizes, "bucket").select("bucket", "node", "size"), "minhash-buckets")
+    # a bucket's pivot is the class that meets most others over all buckets: in a
+    # group of copies that is the one they were made from, or close to it
+    meets = inside.groupBy("node").agg(F.sum(F.col("size") - 1).alias("meets"))
+    pivots = inside.join(meets, "node").groupBy("bucket").agg(F.max(F.struct("meets", "node"))["node"].alias("pivot"))
+    stars = materialize(inside.join(pivots, "bucket").where("pivot <> node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "minhash-stars")
     wanted = stars.select(F.col("a").alias("wanted")).union(stars.select("b")).distinct()
     asked = wanted.join(per.select(F.col("node").alias("wanted"), "first"), "wanted")
     found = texts.join(asked, F.col("doc_id") == F.col("first")).select("wanted", "text")
@@ -273,14 +323,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first_links = materialize(verified(stars, elements), "minhash-links")
     parts = materialize(components(first_links), "minhash-parts")
     # buckets that still hold several components
-    here = inside.select("bucket", "b", "size").join(parts, F.col("b") == F.col("node"), "left").select("bucket", F.col("b").alias("node"), F.coalesce("component", "b").alias("component"))
+    here = inside.select("bucket", "node").join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     open_ = here.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct((F.least(mine, o) * F.col("blocks") + F.greatest(mine, o)).cast("long").alias("pair"), F.when(mine <= o, 0).otherwise(1).alias("side")))
-    dealt = here.join(open_, "bucket").join(speaker.select("node", "sketch"), "node").select("bucket", "node", "component", "sketch", F.inline(pairs))
-    rest = map_arrow(dealt.repartition(n_parts, "bucket", "pair").sortWithinPartitions("bucket", "pair", "side"), _rest, "a long, b long").distinct()
-    rest = materialize(rest.join(stars, ["a", "b"], "left_anti"), "minhash-rest")
-    links = first_links.unionByName(verified(rest, elements))
+    signs = speaker.select("node", "sketch", "bands")
+    looked = block_pairs(here.join(open_, "bucket").join(signs, "node"), "blocks")
+    needed = materialize(map_arrow(looked, _needed, "bucket long, node long").distinct(), "minhash-needed")
+    full = needed.join(elements, "node")
+    blocks = full.groupBy("bucket").agg(F.ceil(F.sum(F.size("elements")) / ELEMENTS).cast("int").alias("blocks"))
+    held = full.join(blocks, "bucket").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")).join(signs, "node")
+    across = map_arrow(block_pairs(held.select("bucket", "node", "component", "sketch", "bands", "elements", "blocks"), "blocks"), _across, "a long, b long")
+    links = first_links.unionByName(across)
     final = components(links)
     named = per.join(final, "node", "left").select("node", F.col("first").alias("class_id"), "some", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
