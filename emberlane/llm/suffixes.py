@@ -128,6 +128,15 @@ def compare(jobs: list) -> list[tuple[int, int, int]]:
         return []
     start, group, owner, place = (np.concatenate(x) for x in (starts, groups, owner, place))
     s = Suffixes(np.frombuffer(b"".join(strings), np.uint8))
+    # a suffix whose first WINDOW bytes have a hash of their own in the bucket needs no place in the order
+    h = s.spans.raw(start, start + WINDOW)
+    by = np.lexsort((h, group))
+    same = (group[by[1:]] == group[by[:-1]]) & (h[by[1:]] == h[by[:-1]])
+    keep = np.zeros(len(start), bool)
+    keep[by[1:][same]] = keep[by[:-1][same]] = True
+    if not keep.any():
+        return []
+    start, group, owner, place = start[keep], group[keep], owner[keep], place[keep]
     order = s.sort(start, group)
     x, y = start[order[:-1]], start[order[1:]]
     near = np.flatnonzero(group[order[:-1]] == group[order[1:]])

@@ -210,18 +210,16 @@ def _cut(kind: Kind):
                 hit = told[place] == mine
                 hot = hit & want_hot[place]
                 cold = np.flatnonzero(hit & ~hot)
-                content = [u.cut(int(s), int(s + c - 1 + kind.width)) for s, c in zip(window[cold], n[cold])]
-                out = [(key[cold].view(np.int64), doc[cold], window[cold], n[cold], content)]
+                if len(cold):
+                    content = [u.cut(int(s), int(s + c - 1 + kind.width)) for s, c in zip(window[cold], n[cold])]
+                    yield settle(key[cold].view(np.int64), ids[a + doc[cold]], ths[a + doc[cold]], window[cold] - u.first[doc[cold]], n[cold], content, kind)
                 h = np.flatnonzero(hot)
                 if len(h):
                     each = np.repeat(window[h], n[h]) + np.arange(n[h].sum()) - np.repeat(np.cumsum(n[h]) - n[h], n[h])
                     raw = spans.raw(each, each + kind.width)
                     second = Spans.over(mix64(u.value.astype(np.uint64) + np.full(1, 0xA24BAED4963EE407, np.uint64))).raw(each, each + kind.width)
-                    digest = np.column_stack([mix64(raw), mix64(second)])
-                    out.append((mix64(raw + np.uint64(1)).view(np.int64), np.repeat(doc[h], n[h]), each, np.ones(len(each), np.int64), [x.tobytes() for x in digest]))
-                key, doc, window, n = (np.concatenate(x) for x in list(zip(*out))[:4])
-                content = [c for x in out for c in x[4]]
-                yield settle(key, ids[a + doc], ths[a + doc], window - u.first[doc], n, content, kind)
+                    d = np.repeat(doc[h], n[h])
+                    yield settle_digests(mix64(raw), mix64(second), ids[a + d], ths[a + d], each - u.first[d], kind)
 
     return run
 
@@ -257,6 +255,56 @@ def settle(key, doc, th, start, n, content, kind: Kind) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _CUT_TYPES)], _CUT_NAMES)
 
 
+def in_runs(row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Neighbouring places of a row as ranges: row, first place, how many."""
+    order = np.lexsort((place, row))
+    row, place = row[order], place[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (place[1:] > place[:-1] + 1)
+    head = np.flatnonzero(new)
+    last = np.append(head[1:], len(row))[: len(head)] - 1
+    return row[head], place[head], place[last] - place[head] + 1
+
+
+def repeats(hi: np.ndarray, lo: np.ndarray, doc: np.ndarray, many: np.ndarray, kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of windows by their digests: the order that brings equals together, where
+    their runs begin in it, and (in that order) which windows are repeats."""
+    order = np.lexsort((doc, lo, hi))
+    h, l = hi[order], lo[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (l[1:] != l[:-1])
+    head = np.flatnonzero(new)
+    run = np.cumsum(new) - 1
+    if kind.ordered:
+        return order, head, doc[order] > doc[order][head][run]
+    count = np.add.reduceat(np.where(many[order], 2, 1), head) if len(head) else head
+    return order, head, (count[run] > 1) & (doc[order] != WITNESS)
+
+
+def settle_digests(hi, lo, doc, th, start, kind: Kind) -> pa.RecordBatch:
+    """As settle(), for windows that travel one by one."""
+    order, head, gone = repeats(hi, lo, doc, np.zeros(len(hi), bool), kind)
+    gone_at = order[gone]
+    stay = order[~gone]
+    many = np.zeros(len(stay), bool)
+    if not kind.ordered and len(gone_at):
+        witness = order[head[gone[head]]]
+        stay, many = np.concatenate([stay, witness]), np.concatenate([many, np.ones(len(witness), bool)])
+    # a text is told by its doc_id and hash; rows that repeat both have the same windows
+    text = mix64(doc.astype(np.uint64) + th.astype(np.int64).astype(np.uint64) * np.full(1, 0x9E3779B97F4A7C15, np.uint64)).view(np.int64)
+    row, first, count = in_runs(text[gone_at], start[gone_at])
+    by = np.argsort(text[gone_at], kind="stable")
+    at = gone_at[by[np.searchsorted(text[gone_at][by], row)]] if len(row) else gone_at[:0]
+    spread = mix64(row.view(np.uint64) + first.astype(np.uint64)).view(np.int64)
+    digest = np.column_stack([hi[stay], lo[stay]]).tobytes()
+    content = pa.concat_arrays([pa.array([digest[i : i + 16] for i in range(0, len(digest), 16)], pa.binary()), pa.nulls(len(row), pa.binary())])
+    columns = [
+        np.concatenate([mix64(hi[stay] + np.uint64(1)).view(np.int64), spread]), np.concatenate([np.where(many, WITNESS, doc[stay]), doc[at]]), np.concatenate([th[stay], th[at]]),
+        np.concatenate([start[stay], first]), np.concatenate([np.ones(len(stay), np.int64), count]), np.concatenate([many, np.zeros(len(row), bool)]),
+    ]
+    return pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(columns, _CUT_TYPES)], content], _CUT_NAMES)
+
+
 def _marks(kind: Kind, compare: Callable):
     """compare(list of contents of one key, least document or repeat count each)
     gives for each content the places of its windows that are repeated."""
@@ -264,32 +312,44 @@ def _marks(kind: Kind, compare: Callable):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, "key"):
             key, doc, th, start, n, many = (t.column(c).to_numpy() for c in ("key", "doc", "th", "start", "n", "many"))
-            content = t.column("content").to_pylist()
-            out: list[tuple[int, int, int, int]] = []  # row, first window, windows
+            column = t.column("content").combine_chunks()
+            size = pc.fill_null(pc.binary_length(column), -1).to_numpy(zero_copy_only=False)
+            settled = np.flatnonzero(size < 0)
+            out = [(settled, np.zeros(len(settled), np.int64), n[settled].astype(np.int64))]  # row, first window, windows
+            one = np.flatnonzero(size == 16)
+            if len(one):
+                digest = np.frombuffer(b"".join(column.take(pa.array(one)).to_pylist()), np.uint64).reshape(-1, 2)
+                order, _, gone = repeats(digest[:, 0], digest[:, 1], doc[one], many[one], kind)
+                i = one[order[gone]]
+                out.append((i, np.zeros(len(i), np.int64), np.ones(len(i), np.int64)))
+            rest = np.flatnonzero(size > 16)
+            content = column.take(pa.array(rest)).to_pylist()
             groups: dict[int, dict[bytes, list[int]]] = {}
-            for i, (k, c) in enumerate(zip(key.tolist(), content)):
-                if c is None:
-                    out.append((i, 0, n[i]))
-                else:
-                    groups.setdefault(k, {}).setdefault(c, []).append(i)
+            for i, c in zip(rest.tolist(), content):
+                groups.setdefault(int(key[i]), {}).setdefault(c, []).append(i)
+            whole: list[int] = []
             jobs = []
             for contents in groups.values():
                 told = []
                 for at in contents.values():
                     if kind.ordered:
                         least = min(doc[i] for i in at)
-                        out += [(i, 0, n[i]) for i in at if doc[i] > least]
+                        whole += [i for i in at if doc[i] > least]
                         told.append((least, [i for i in at if doc[i] == least]))
                     elif len(at) > 1 or many[at[0]]:
-                        out += [(i, 0, n[i]) for i in at if doc[i] != WITNESS]
+                        whole += [i for i in at if doc[i] != WITNESS]
                         told.append((2, []))
                     else:
                         told.append((1, at))
-                if len(contents) > 1 and n[next(iter(contents.values()))[0]] and any(rows for _, rows in told):
+                if len(contents) > 1 and any(rows for _, rows in told):
                     jobs.append(([*contents], told, [int(n[at[0]]) for at in contents.values()]))
-            out += compare(jobs)
-            if out:
-                i, first, count = (np.array(x, np.int64) for x in zip(*out))
+            i = np.array(whole, np.int64)
+            out.append((i, np.zeros(len(i), np.int64), n[i].astype(np.int64)))
+            found = [(r, place) for r, place, _ in compare(jobs)]
+            if found:
+                out.append(in_runs(*(np.array(x, np.int64) for x in zip(*found))))
+            i, first, count = (np.concatenate(x) for x in zip(*out))
+            if len(i):
                 a = start[i] + first
                 yield pa.RecordBatch.from_arrays([pa.array(doc[i]), pa.array(th[i]), pa.array(a), pa.array(a + count - 1 + kind.width)], ["doc", "th", "a", "z"])
 
