@@ -296,8 +296,8 @@ def settle_digests(hi, lo, doc, th, start, kind: Kind) -> pa.RecordBatch:
     by = np.argsort(text[gone_at], kind="stable")
     at = gone_at[by[np.searchsorted(text[gone_at][by], row)]] if len(row) else gone_at[:0]
     spread = mix64(row.view(np.uint64) + first.astype(np.uint64)).view(np.int64)
-    digest = np.column_stack([hi[stay], lo[stay]]).tobytes()
-    content = pa.concat_arrays([pa.array([digest[i : i + 16] for i in range(0, len(digest), 16)], pa.binary()), pa.nulls(len(row), pa.binary())])
+    digest = lo[stay].tobytes()  # the key is the other half
+    content = pa.concat_arrays([pa.array([digest[i : i + 8] for i in range(0, len(digest), 8)], pa.binary()), pa.nulls(len(row), pa.binary())])
     columns = [
         np.concatenate([mix64(hi[stay] + np.uint64(1)).view(np.int64), spread]), np.concatenate([np.where(many, WITNESS, doc[stay]), doc[at]]), np.concatenate([th[stay], th[at]]),
         np.concatenate([start[stay], first]), np.concatenate([np.ones(len(stay), np.int64), count]), np.concatenate([many, np.zeros(len(row), bool)]),
@@ -316,13 +316,13 @@ def _marks(kind: Kind, compare: Callable):
             size = pc.fill_null(pc.binary_length(column), -1).to_numpy(zero_copy_only=False)
             settled = np.flatnonzero(size < 0)
             out = [(settled, np.zeros(len(settled), np.int64), n[settled].astype(np.int64))]  # row, first window, windows
-            one = np.flatnonzero(size == 16)
+            one = np.flatnonzero(size == 8)
             if len(one):
-                digest = np.frombuffer(b"".join(column.take(pa.array(one)).to_pylist()), np.uint64).reshape(-1, 2)
-                order, _, gone = repeats(digest[:, 0], digest[:, 1], doc[one], many[one], kind)
+                half = np.frombuffer(b"".join(column.take(pa.array(one)).to_pylist()), np.uint64)
+                order, _, gone = repeats(key[one].view(np.uint64), half, doc[one], many[one], kind)
                 i = one[order[gone]]
                 out.append((i, np.zeros(len(i), np.int64), np.ones(len(i), np.int64)))
-            rest = np.flatnonzero(size > 16)
+            rest = np.flatnonzero(size > 8)
             content = column.take(pa.array(rest)).to_pylist()
             groups: dict[int, dict[bytes, list[int]]] = {}
             for i, c in zip(rest.tolist(), content):
