@@ -3,9 +3,11 @@ costly to guess.
 
 The guess cost of a value is the least sum of log10 guesses over all ways to cut
 it into common words, dates, repeats, sequences, keyboard walks and brute-force
-spans (dynamic programming over cut points). A value in credential context whose
-cost reaches MIN_COST is a span of kind "guess", unless a pattern's span already
-overlaps it; spans of the patterns always stay.
+spans (dynamic programming over cut points). Every value in credential context is
+scored, and one whose cost reaches MIN_COST is a span of kind "guess" from its
+first character to its last, whatever spans of the patterns overlap it; those
+always stay. scan() reports all spans. find() and redact() leave out a guess
+span that lies within one pattern's span, which masks it already.
 
 Python's re runs inside Arrow batches: spans need places, and the cost needs a
 dynamic program, which SQL functions do not give. Rows are independent, so a
@@ -62,11 +64,31 @@ def brute(piece: str) -> float:
     return math.log10(max(n, 10))
 
 
+@lru_cache(4)
+def forms(value: str) -> tuple[str, str, list[list[int]], list[int], list[int]]:
+    """What spans_from() reads at every place, made once in time that grows with
+    the length: the value in lower case and without leet, how far it agrees with
+    itself shifted by each unit, and where keyboard walks and sequences end."""
+    n, low = len(value), "".join(c if len(c.lower()) != 1 else c.lower() for c in value)
+    same = []
+    for unit in range(1, min(LONGEST, n // 2) + 1):
+        run = [0] * (n + 1)
+        for i in range(n - unit - 1, -1, -1):
+            run[i] = run[i + 1] + 1 if value[i] == value[i + unit] else 0
+        same.append(run)
+    walk, climb = list(range(1, n + 1)), list(range(1, n + 1))
+    for i in range(n - 2, -1, -1):
+        if low[i] + low[i + 1] in NEXT:
+            walk[i] = walk[i + 1]
+        if (step := ord(value[i + 1]) - ord(value[i])) in (1, -1):
+            climb[i] = climb[i + 1] if i + 2 < n and ord(value[i + 2]) - ord(value[i + 1]) == step else i + 2
+    return low, low.translate(PLAIN), same, walk, climb
+
+
 def spans_from(value: str, i: int) -> Iterator[tuple[int, float]]:
     """End and cost of each cheap span that begins at i."""
     n = len(value)
-    low = value.lower()
-    plain = low.translate(PLAIN)
+    low, plain, same, walk, climb = forms(value)
     for j in range(i + 3, min(n, i + LONGEST) + 1):
         for form, extra in ((low, 0.0), (plain, 0.5)):
             if r := RANK.get(form[i:j]):
@@ -76,22 +98,12 @@ def spans_from(value: str, i: int) -> Iterator[tuple[int, float]]:
     if m := DATE.match(value, i):
         yield m.end(), 4.5 if m.end() - i > 4 else 2.1
     for unit in range(1, min(LONGEST, (n - i) // 2) + 1):  # repeats
-        j = i + unit
-        while value.startswith(value[i : i + unit], j):
-            j += unit
-        if j > i + unit:
-            yield j, unit * 1.5 + math.log10((j - i) // unit)
-    if i + 1 < n and (step := ord(value[i + 1]) - ord(value[i])) in (1, -1):  # sequences
-        j = i + 2
-        while j < n and ord(value[j]) - ord(value[j - 1]) == step:
-            j += 1
-        if j - i >= 3:
-            yield j, 1.2 + math.log10(j - i)
-    j = i + 1  # keyboard walks
-    while j < n and low[j - 1] + low[j] in NEXT:
-        j += 1
-    if j - i >= 3:
-        yield j, 1.8 + math.log10(j - i)
+        if more := same[unit - 1][i] // unit:
+            yield i + unit * (more + 1), unit * 1.5 + math.log10(more + 1)
+    if climb[i] - i >= 3:  # sequences
+        yield climb[i], 1.2 + math.log10(climb[i] - i)
+    if walk[i] - i >= 3:  # keyboard walks
+        yield walk[i], 1.8 + math.log10(walk[i] - i)
 
 
 @lru_cache(100_000)
@@ -107,7 +119,7 @@ def guess_cost(value: str) -> float:
     return best[-1]
 
 
-def find(text: str | None) -> list[tuple[int, int, int]]:
+def found(text: str | None) -> list[tuple[int, int, int]]:
     """(start, kind's place in KINDS, end) of every span, in order."""
     if not text:
         return []
@@ -116,15 +128,20 @@ def find(text: str | None) -> list[tuple[int, int, int]]:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
     if HINT.search(text):
         out += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_ASSIGN]
-        taken = sorted((a, b) for a, _, b in out)
         for m in CONTEXT.finditer(text):
             value = m[1].rstrip(".,;:!?)]}")
-            a, b = m.start(1), m.start(1) + len(value)
-            if len(value) >= MIN_VALUE and not any(x < b and a < y for x, y in taken) and guess_cost(value) >= MIN_COST:
-                out.append((a, 3, b))
+            if len(value) >= MIN_VALUE and guess_cost(value) >= MIN_COST:
+                out.append((m.start(1), 3, m.start(1) + len(value)))
     return sorted(out)
 
 
+def find(text: str | None) -> list[tuple[int, int, int]]:
+    """The spans that decide what is masked: all but guesses within one pattern's span."""
+    spans = found(text)
+    base = [s for s in spans if s[1] < 3]
+    return [s for s in spans if s[1] < 3 or not any(x <= s[0] and s[2] <= y for x, _, y in base)]
+
+
 def redacted(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
     """The text with a mark in the place of every span (of joined ones, one)."""
     if not spans:
@@ -143,11 +160,11 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 
 def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        found = [find(t) for t in b.column("text").to_pylist()]
-        base = [[s for s in x if s[1] < 3] for x in found]
+        spans = [found(t) for t in b.column("text").to_pylist()]
+        base = [[s for s in x if s[1] < 3] for x in spans]
         yield pa.RecordBatch.from_arrays([
             b.column("doc_id"), *[pa.array([sum(s[1] == k for s in x) for x in base], pa.int64()) for k in range(3)],
-            pa.array([hashlib.sha256(joined(x).encode()).hexdigest() for x in base]), pa.array([joined(x) for x in found], pa.string()),
+            pa.array([hashlib.sha256(joined(x).encode()).hexdigest() for x in base]), pa.array([joined(x) for x in spans], pa.string()),
         ], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
 

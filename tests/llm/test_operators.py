@@ -268,6 +268,16 @@ def test_secrets():
     assert secrets.find(secrets.redacted(t, secrets.find(t))) == []
 
 
+def test_every_context_value_is_scored(spark):
+    """A pattern's span over part of a value, or all of it, does not end its scoring."""
+    t = "password: Tr0ub4dor&3xyz!kQ"
+    assert secrets.joined(secrets.find(t)) == "assign:0:19,guess:10:27" and secrets.redacted(t, secrets.find(t)) == "<assign>"
+    texts = [t, "password=b7db7aa4a5", "token=abcdefgh"]
+    assert [r["spans"] for r in secrets.scan(frame(spark, texts)).orderBy("doc_id").collect()] == ["assign:0:19,guess:10:27", "assign:0:19,guess:9:19", "assign:0:14"]
+    assert [r["text"] for r in secrets.redact(frame(spark, texts)).orderBy("doc_id").collect()] == ["<assign>"] * 3
+    assert secrets.guess_cost("A" * 50_000) < secrets.MIN_COST  # in time that grows with the length
+
+
 def test_guess_cost_is_the_least():
     """Against all segmentations of short values."""
     import math
