@@ -38,7 +38,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 8, 16, 32
 KINDS = ("assign", "access", "hex", "guess")
-CONTEXT = re.compile(r"""(?<![A-Za-z0-9])(?:password|passwd|passphrase|passcode|pwd|secret|token|api_?key|credentials?|auth)(?:["']?\x20*[:=]|\x20+is:?)\x20*["']?([^\s"'<>]+)""", re.IGNORECASE | re.ASCII)
+WORD = r"(?:password|passwd|passphrase|passcode|pwd|secret|token|api_?key|credentials?|auth)"
+# In prose ("the token is ...") the word stands alone; a key may be joined to others, as in dbPassword=.
+CONTEXT = re.compile(rf"""(?:{WORD}["']?\x20*[:=]|(?<![A-Za-z0-9]){WORD}\x20+is:?)\x20*["']?([^\s"'<>]+)""", re.IGNORECASE | re.ASCII)
+LAST = re.compile(rf"{WORD}[:=]?$", re.IGNORECASE | re.ASCII)
 HINT = re.compile(r"pass|pwd|secret|token|api_?key|credential|auth", re.IGNORECASE | re.ASCII)
 
 MIN_VALUE, MIN_COST = 6, 8.0  # characters; log10 of guesses
@@ -119,6 +122,15 @@ def guess_cost(value: str) -> float:
     return best[-1]
 
 
+def contexts(text: str) -> Iterator[re.Match]:
+    """Every credential word with its value; a value that ends in such a word may be the next one's key."""
+    at = 0
+    while m := CONTEXT.search(text, at):
+        yield m
+        last = LAST.search(m[1])
+        at = m.start(1) + last.start() if last else m.end()
+
+
 def found(text: str | None) -> list[tuple[int, int, int]]:
     """(start, kind's place in KINDS, end) of every span, in order."""
     if not text:
@@ -128,7 +140,7 @@ def found(text: str | None) -> list[tuple[int, int, int]]:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
     if HINT.search(text):
         out += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_ASSIGN]
-        for m in CONTEXT.finditer(text):
+        for m in contexts(text):
             value = m[1].rstrip(".,;:!?)]}")
             if len(value) >= MIN_VALUE and guess_cost(value) >= MIN_COST:
                 out.append((m.start(1), 3, m.start(1) + len(value)))

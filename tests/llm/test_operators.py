@@ -278,6 +278,15 @@ def test_every_context_value_is_scored(spark):
     assert secrets.guess_cost("A" * 50_000) < secrets.MIN_COST  # in time that grows with the length
 
 
+def test_joined_keys_are_contexts():
+    """Every key that the base pattern takes is a context too; in prose the word stands alone."""
+    for key in ("dbPassword=", "authToken: ", "clientSecret=", "my2api_key = '", '"userPasswd": "', "db_password="):
+        t = key + "k$9!zQ#w2R"
+        assert secrets.joined(secrets.find(t)) == f"guess:{len(key)}:{len(t)}" and secrets.redacted(t, secrets.find(t)) == key + "<guess>"
+    assert secrets.joined(secrets.find("the secret is dbPassword: k$9!zQ#w2R")).endswith("guess:26:36")
+    assert secrets.find("the token is k$9!zQ#w2R") and not secrets.find("the mytoken is k$9!zQ#w2R")
+
+
 def test_guess_cost_is_the_least():
     """Against all segmentations of short values."""
     import math
