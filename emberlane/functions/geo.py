@@ -24,7 +24,7 @@ def point(lon: Column, lat: Column) -> Column:
 
 
 def _edges(ring: Column) -> Column:
-    return F.zip_with(F.slice(ring, 1, F.size(ring) - 1), F.slice(ring, 2, F.size(ring) - 1), lambda a, b: F.struct(F.get(a, F.lit(0)).alias("x1"), F.get(a, F.lit(1)).alias("y1"), F.get(b, F.lit(0)).alias("x2"), F.get(b, F.lit(1)).alias("y2")))
+    return F.zip_with(F.slice(ring, 1, F.size(ring) - 1), F.slice(ring, 2, F.size(ring) - 1), lambda a, b: F.named_struct(F.lit("x1"), F.get(a, F.lit(0)), F.lit("y1"), F.get(a, F.lit(1)), F.lit("x2"), F.get(b, F.lit(0)), F.lit("y2"), F.get(b, F.lit(1))))
 
 
 def crossings(ring: Column, x: Column, y: Column) -> Column:
@@ -56,6 +56,42 @@ def polygon_area(rings: Column) -> Column:
     return 2 * F.get(areas, F.lit(0)) - F.aggregate(areas, F.lit(0.0), lambda a, v: a + v)
 
 
+def multipolygon_area(polygons: Column) -> Column:
+    return F.aggregate(F.transform(polygons, polygon_area), F.lit(0.0), lambda a, v: a + v)
+
+
+def parts(rings: Column) -> Column:
+    """The polygons that the rings of a flattened MultiPolygon make up: a ring in an
+    even number of others is an outer one, and its holes are those one deeper in it.
+    The middle of a ring's first edge tells what it lies in, as vertices may touch."""
+
+    def within(r: Column, other: Column) -> Column:
+        at = lambda k: (F.get(F.get(r, F.lit(0)), F.lit(k)) + F.get(F.get(r, F.lit(1)), F.lit(k))) / 2
+        return crossings(other, at(0), at(1)) % 2 == 1
+
+    told = F.transform(rings, lambda r, i: F.named_struct(F.lit("ring"), r, F.lit("depth"), F.size(F.filter(rings, lambda o, k: (k != i) & within(r, o)))))
+    return F.transform(
+        F.filter(told, lambda t: t["depth"] % 2 == 0),
+        lambda t: F.concat(F.array(t["ring"]), F.transform(F.filter(told, lambda h: (h["depth"] == t["depth"] + 1) & within(h["ring"], t["ring"])), lambda h: h["ring"])),
+    )
+
+
+POLYGON, MULTIPOLYGON = "array<array<array<double>>>", "array<array<array<array<double>>>>"
+
+
+def polygons(kind: Column, coordinates: Column, stored: str) -> Column:
+    """The polygons of a Polygon's or MultiPolygon's coordinates, whatever type the
+    table stores them as: either's own, or (where both are in one column) text or
+    arrays of text."""
+    if stored == MULTIPOLYGON:
+        return coordinates
+    if stored == POLYGON:
+        return F.when(kind == "MultiPolygon", parts(coordinates)).otherwise(F.array(coordinates))
+    text = F.regexp_replace(coordinates if stored == "string" else F.to_json(coordinates), r'["\s]', "")
+    read = lambda as_: F.from_json(F.concat(F.lit('{"c":'), text, F.lit("}")), f"c {as_}")["c"]
+    return F.when(text.startswith("[[[["), read(MULTIPOLYGON)).otherwise(polygons(kind, read(POLYGON), POLYGON))
+
+
 def bounds(rings: Column) -> Column:
     outer = F.get(rings, F.lit(0))
     xs, ys = F.transform(outer, lambda p: F.get(p, F.lit(0))), F.transform(outer, lambda p: F.get(p, F.lit(1)))

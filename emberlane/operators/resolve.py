@@ -41,12 +41,14 @@ def staged(flagged: DataFrame) -> DataFrame:
 
 
 def in_places(places: DataFrame, assets: DataFrame) -> DataFrame:
-    """(item, poly, id): assets whose point lies in an item's polygon. Boxes and
-    points meet by grid cell, then the polygon decides. poly ranks an item's
-    polygons by area, the largest first."""
-    ranked = places.withColumn("_area", geo.polygon_area(F.col("rings"))).withColumn("poly", F.row_number().over(Window.partitionBy("item").orderBy(F.col("_area").desc(), F.col("place"))))
+    """(item, poly, id): assets whose point lies in an item's place, that is in any
+    of its polygons (or in the one of rings). Each polygon's box and the points meet
+    by grid cell, then the polygon decides. poly ranks an item's places by their
+    polygons' area, the largest first."""
+    whole = places if "polygons" in places.columns else places.withColumn("polygons", F.array("rings"))
+    ranked = whole.withColumn("_area", geo.multipolygon_area(F.col("polygons"))).withColumn("poly", F.row_number().over(Window.partitionBy("item").orderBy(F.col("_area").desc(), F.col("place"))))
     box = geo.bounds(F.col("rings"))
-    dealt = ranked.withColumn("_b", box).select("item", "poly", "rings", F.inline(geo.cells(F.col("_b.west"), F.col("_b.east"), F.col("_b.south"), F.col("_b.north"), CELL)))
+    dealt = ranked.select("item", "poly", F.explode("polygons").alias("rings")).withColumn("_b", box).select("item", "poly", "rings", F.inline(geo.cells(F.col("_b.west"), F.col("_b.east"), F.col("_b.south"), F.col("_b.north"), CELL)))
     points = assets.where("lon is not null and lat is not null").select("id", "lon", "lat", F.floor(F.col("lon") / CELL).cast("int").alias("cx"), F.floor(F.col("lat") / CELL).cast("int").alias("cy")).dropDuplicates(["id", "lon", "lat"])
     return dealt.join(points, ["cx", "cy"]).where(geo.in_polygon(F.col("rings"), F.col("lon"), F.col("lat"))).select("item", "poly", "id").distinct()
 
@@ -64,7 +66,8 @@ def placed(flagged: DataFrame, inside: DataFrame) -> DataFrame:
 
 def resolve(items: DataFrame, tags: DataFrame, assets: DataFrame, places: DataFrame | None = None, as_of: str | None = None) -> DataFrame:
     """item, stage, n, ref_match (array, by id). items: item, ts; tags: item, id,
-    type; assets: id, name, begin, end (lon, lat); places: item, place, rings."""
+    type; assets: id, name, begin, end (lon, lat); places: item, place, polygons (or
+    rings, those of one polygon)."""
     flagged = flags(tags)
     sets = staged(flagged)
     if places is not None:
@@ -85,7 +88,8 @@ def in_all_types(tags: DataFrame) -> DataFrame:
 
 
 def known_places(names: DataFrame, gpes: DataFrame) -> DataFrame:
-    """(item, place, rings) of the gazetteer entries that carry a name, areas only,
+    """(item, place, polygons) of the gazetteer entries that carry a name, areas only,
     the more important first in place's order. names: item, name."""
-    areas = gpes.where(~F.col("boundaries.type").isin("Point", "LineString", "MultiLineString")).select("place_id", "importance", "boundaries.coordinates", F.explode("GPEs").alias("name"))
-    return names.join(areas, "name").select("item", F.struct((-F.col("importance")).alias("by"), "place_id").alias("place"), F.col("coordinates").alias("rings"))
+    shapes = geo.polygons(F.col("boundaries.type"), F.col("boundaries.coordinates"), dict(gpes.select("boundaries.coordinates").dtypes)["coordinates"])
+    areas = gpes.where(~F.col("boundaries.type").isin("Point", "LineString", "MultiLineString")).select("place_id", "importance", shapes.alias("polygons"), F.explode("GPEs").alias("name"))
+    return names.join(areas, "name").select("item", F.struct((-F.col("importance")).alias("by"), "place_id").alias("place"), "polygons")

@@ -192,6 +192,28 @@ def test_point_in_polygon(spark):
     assert 1.4e11 < area < 1.5e11  # twelve square degrees at the equator
 
 
+@pytest.mark.parametrize("stored", ["multipolygon", "flattened", "string", "array<array<array<string>>>", "array<string>"])
+def test_place_of_several_parts(spark, stored):
+    """A small part, a large one with a hole and an island in it, and a Polygon of another name."""
+    ring = lambda x, y, n: [[float(a), float(b)] for a, b in ((x, y), (x + n, y), (x + n, y + n), (x, y + n), (x, y))]
+    several = [[ring(0, 0, 1)], [ring(10, 0, 6), ring(11, 1, 4)], [ring(12, 2, 1)]]
+    single = [ring(30, 0, 5)]
+    flat = [r for p in several for r in p]
+    deep, shallow = "array<array<array<array<double>>>>", "array<array<array<double>>>"
+    as_text = lambda v, depth: json.dumps(v) if not depth else [as_text(x, depth - 1) for x in v]
+    of, one, kind = {"multipolygon": (several, [single], deep), "flattened": (flat, single, shallow)}.get(stored) or (*(as_text(v, stored.count("array")) for v in (several, single)), stored)
+    gpes = spark.createDataFrame([(["Coast"], 1, 0.5, ("MultiPolygon", of)), (["Inland"], 2, 0.4, ("Polygon", one))], f"GPEs array<string>, place_id long, importance double, boundaries struct<type:string, coordinates:{kind}>")
+    places = resolve.known_places(spark.createDataFrame([(1, "Coast"), (1, "Inland"), (2, "Inland")], "item long, name string"), gpes)
+    at = {1: (0.5, 0.5), 2: (10.5, 3.0), 3: (11.5, 1.5), 4: (12.5, 2.5), 5: (31.0, 1.0), 6: (8.0, 0.5)}
+    assets = spark.createDataFrame([(i, f"a{i}", None, None, *p) for i, p in at.items()], "id long, name string, begin timestamp_ntz, end timestamp_ntz, lon double, lat double")
+    # item 1: 1 + 20 + 1 square degrees of Coast come after 25 of Inland
+    assert {tuple(r) for r in resolve.in_places(places, assets).select("item", "poly", "id").collect()} == {(1, 1, 5), (1, 2, 1), (1, 2, 2), (1, 2, 4), (2, 1, 5)}
+    items = spark.createDataFrame([(i, dt.datetime(2020, 1, 1)) for i in (1, 2)], "item long, ts timestamp_ntz")
+    tags = spark.createDataFrame([(1, i, "ownername") for i in (2, 3, 6)] + [(2, 5, "ownername")], "item long, id long, type string")
+    got = {r["item"]: [x["GeoAssetID"] for x in r["ref_match"]] for r in resolve.resolve(items, tags, assets, places, "2021-01-01").collect()}
+    assert got == {1: [2], 2: [5]}
+
+
 def test_entities(spark):
     found = spark.createDataFrame([(1, "Dutch", "NORP"), (1, "Dutch", "GPE"), (2, "French", "NORP"), (3, "http://x", "GPE"), (4, "Roman", "NORP")], "item long, text string, label string")
     peoples = spark.createDataFrame([("Dutch", "Netherlands"), ("French", "France")], "NORP string, GPE string")
