@@ -20,8 +20,8 @@ over tasks. Verified links give connected components.
 
 Defined cases: a text of one to four words is one shingle; a null text, or one
 without words, links with nothing; rows that repeat a doc_id count by their
-texts; a null doc_id follows its text's class but names none; ties are equal
-texts; an empty table gives an empty result; other columns are left out.
+texts; a null doc_id follows its text's class but names none, and of a component
+without any id one text stays; ties are equal texts; an empty table gives an empty result; other columns are left out.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emberlane.llm.common import map_arrow, materialize, mix64, slices, utf8, whole_groups
 from emberlane.llm.graph import components
@@ -297,16 +298,15 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*links)], ["a", "b"])
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id (smallest doc_id of equal texts), component_id (smallest
-    doc_id reachable by links), kept, per row."""
+def _judged(docs: DataFrame) -> DataFrame:
+    """near_duplicates() with the node of each row's text."""
     spark = docs.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = materialize(map_arrow(texts, _sign, "doc_id long, node long, some boolean, bands array<long>, sketch binary"), "minhash")
     per = signed.groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"), F.bool_or("some").alias("some"))
     # equal texts have equal signatures: one row of each class speaks for it
-    speaker = signed.where("some").join(per.where("some").select("node", "first"), "node").where("doc_id = first").select("node", "bands", "sketch").dropDuplicates(["node"])
+    speaker = signed.where("some").join(per.where("some").select("node", "first"), "node").where("doc_id <=> first").select("node", "bands", "sketch").dropDuplicates(["node"])
     speaker = materialize(speaker, "minhash-classes")
     entries = speaker.select("node", F.explode("bands").alias("bucket"))
     sizes = entries.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
@@ -319,7 +319,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = stars.select(F.col("a").alias("wanted")).union(stars.select("b")).distinct()
     asked = wanted.join(per.select(F.col("node").alias("wanted"), "first"), "wanted")
     found = texts.join(asked, F.col("doc_id") == F.col("first")).select("wanted", "text")
-    elements = materialize(map_arrow(found, _elements, "node long, wanted long, elements array<long>").where("node = wanted").select("node", "elements").dropDuplicates(["node"]), "minhash-elements")
+    read = "node long, wanted long, elements array<long>"
+    by_id = map_arrow(found, _elements, read).where("node = wanted").select("node", "elements")
+    # a class without an id is met by its node
+    nameless = texts.where("doc_id is null").select(F.lit(None).cast("long").alias("wanted"), "text")
+    by_node = map_arrow(nameless, _elements, read).select("node", "elements").dropDuplicates(["node"]).join(asked.where("first is null").select(F.col("wanted").alias("node")), "node", "left_semi")
+    elements = materialize(by_id.unionByName(by_node).dropDuplicates(["node"]), "minhash-elements")
     first_links = materialize(verified(stars, elements), "minhash-links")
     parts = materialize(components(first_links), "minhash-parts")
     # buckets that still hold several components
@@ -335,15 +340,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = first_links.unionByName(across)
     final = components(links)
     named = per.join(final, "node", "left").select("node", F.col("first").alias("class_id"), "some", F.coalesce("component", "node").alias("component"))
-    least = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    told = named.join(least, "component").select("node", "class_id", "component_id", "some")
+    least = named.groupBy("component").agg(F.min("class_id").alias("component_id"), F.min("node").alias("least"))
+    told = named.join(least, "component").select("node", "class_id", "component_id", "some", "least")
     own = lambda c: F.when(F.col("some"), F.col(c)).otherwise(F.col("doc_id")).alias(c)
-    return signed.select("doc_id", "node").join(told, "node").select("doc_id", own("class_id"), own("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("component_id").isNotNull() | (F.col("node") == F.col("least")) | ~F.col("some"))
+    rows = signed.select("doc_id", "node").join(told, "node").select("doc_id", "node", own("class_id"), own("component_id"), "least", "some")
+    return rows.select("doc_id", "class_id", "component_id", stays.alias("kept"), "node")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id (smallest doc_id of equal texts), component_id (smallest
+    doc_id reachable by links), kept, per row."""
+    return _judged(docs).drop("node")
+
+
+def _nodes(at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            nodes = [node_of((t or "").encode()) for t in b.column(at).to_pylist()]
+            yield b.append_column("_node", pa.array(nodes, pa.int64()))
+
+    return run
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One document of each component, that of the smallest doc_id, with all
-    columns. Of rows that repeat a doc_id, those of different texts stay apart."""
-    keep = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_keep")).distinct()
+    columns. Of rows that repeat a doc_id, those of different texts stay apart;
+    rows of a null one are told by their texts."""
+    id_ = F.col("doc_id").cast("long")
+    keep = _judged(docs).where("kept").select(F.col("doc_id").alias("_keep"), F.when(F.col("doc_id").isNull(), F.col("node")).alias("_kept")).distinct()
     hashed = docs.withColumn("_hash", F.xxhash64("text"))
-    return hashed.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    named = hashed.where(id_.isNotNull()).withColumn("_node", F.lit(None).cast("long"))
+    nameless = map_arrow(hashed.where(id_.isNull()), _nodes(docs.columns.index("text")), T.StructType([*hashed.schema.fields, T.StructField("_node", T.LongType())]))
+    same = id_.eqNullSafe(F.col("_keep")) & F.col("_node").eqNullSafe(F.col("_kept"))
+    return named.unionByName(nameless).join(keep, same, "left_semi").dropDuplicates(["doc_id", "_hash"]).drop("_hash", "_node")

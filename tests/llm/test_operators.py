@@ -268,6 +268,27 @@ def test_secrets():
     assert secrets.find(secrets.redacted(t, secrets.find(t))) == []
 
 
+def test_minhash_links_rows_without_an_id(spark):
+    rng = random.Random(9)
+    base = lambda: [f"w{rng.randint(0, 10**6)}" for _ in range(200)]
+    said = lambda w, *at: " ".join("zz" if i in at else x for i, x in enumerate(w))
+    a, b, c, d = base(), base(), base(), base()
+    rows = [
+        (None, said(a)), (None, said(a, 9)), (None, said(a, 9)),  # near copies and a copy, none with an id
+        (5, said(b)), (None, said(b, 40)),  # near an id's text
+        (7, said(c, 10, 30, 50)), (None, said(c)), (8, said(c, 110, 130, 150)),  # two ids that only meet through a text without one
+        (None, said(d)), (None, None),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS)
+    judged = Counter((r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs).collect())
+    assert judged[(5, 5, True)] == judged[(None, 5, False)] == 1
+    assert judged[(7, 7, True)] == judged[(None, 7, False)] == judged[(8, 7, False)] == 1
+    assert judged[(None, None, True)] + judged[(None, None, False)] == 5 and judged[(None, None, False)] in (1, 2)
+    left = [(r["doc_id"], r["text"]) for r in minhash.deduplicated(docs).collect()]
+    assert len(left) == 5 and sum(t in (said(a), said(a, 9)) for _, t in left) == 1
+    assert {(5, said(b)), (7, said(c, 10, 30, 50)), (None, said(d)), (None, None)} < set(left)
+
+
 def test_every_context_value_is_scored(spark):
     """A pattern's span over part of a value, or all of it, does not end its scoring."""
     t = "password: Tr0ub4dor&3xyz!kQ"
