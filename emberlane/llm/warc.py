@@ -10,7 +10,10 @@ The reader checks every record (gzip checksum, header lines, length, digest of a
 response's payload, end marks). After a failed check it searches for the next
 place from which a whole valid record can be read, a gzip member or a plain
 version line, goes on from there, and logs the bytes between as quarantined
-with the reason. Bytes are skipped only into that log.
+with the reason. Bytes are skipped only into that log. Of a gzip member with a fault
+all other records are read, by search for the next version line in what can be
+unpacked; the log has the member's range and the bytes of its content. Where its
+checksum or data are wrong, only records whose payload digest holds are read.
 
 Defined cases: a null html is an empty payload; a null page_id is written
 without an id and read as null, and is a revisit only of a page with an id;
@@ -35,6 +38,8 @@ MIN_REVISIT = 100
 ARCHIVE_BYTES = 1 << 20
 VERSION = b"WARC/1.1"
 MEMBER = b"\x1f\x8b\x08"
+PIECE = 4096  # bytes of a faulty member unpacked at a time
+LINE = re.compile(rb"WARC/1\.[01]\r\n")
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 DATE = "2024-01-01T00:00:00Z"  # of every record, so that reruns give equal bytes
 
@@ -80,47 +85,97 @@ def parsed(data: bytes, at: int) -> tuple[dict, bytes, int]:
     return fields, body, end + 4
 
 
-def one(data: bytes, at: int) -> tuple[list[tuple[dict, bytes]], int]:
-    """The records of the gzip member at a place, or the plain record there, and its end."""
-    if data[at : at + 3] != MEMBER:
-        fields, body, end = parsed(data, at)
-        return [(fields, body)], end
-    z = zlib.decompressobj(31)
+def unpacked(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What can be unpacked of the gzip member at a place, where that ends, and the fault if any."""
+    rest, z = memoryview(data)[at:], zlib.decompressobj(31)
     try:
-        plain = z.decompress(memoryview(data)[at:])
+        plain = z.decompress(rest)
+        return plain, len(data) - len(z.unused_data), "" if z.eof else "gzip: member is cut off"
     except zlib.error as e:
-        raise ValueError(f"gzip: {e}") from None
-    if not z.eof:
-        raise ValueError("gzip: member is cut off")
-    records, i = [], 0
+        fault = f"gzip: {e}"
+    z, out, i, step = zlib.decompressobj(31), [], 0, PIECE
+    while True:  # up to the byte at which it fails
+        before = z.copy()
+        try:
+            out.append(z.decompress(rest[i : i + step]))
+            i += step
+        except zlib.error:
+            if step == 1:
+                return b"".join(out), at + i, fault
+            z, step = before, 1
+
+
+def inside(plain: bytes, sure: bool) -> list[tuple]:
+    """('record', fields, body) and ('gap', start, end, reason) of a member's content."""
+    out, i, gap, reason = [], 0, None, ""
     while i < len(plain):
-        fields, body, i = parsed(plain, i)
-        records.append((fields, body))
-    if not records:
-        raise ValueError("empty member")
-    return records, len(data) - len(z.unused_data)
+        try:
+            fields, body, end = parsed(plain, i)
+            if not sure and not (fields.get("warc-type") == "response" and fields.get("warc-payload-digest", "").startswith("sha256:")):
+                raise ValueError("no checksum holds")
+        except ValueError as e:
+            if gap is None:
+                gap, reason = i, str(e)
+            m = LINE.search(plain, i + 1)
+            i = m.start() if m else len(plain)
+            continue
+        if gap is not None:
+            out.append(("gap", gap, i, reason))
+            gap = None
+        out.append(("record", fields, body))
+        i = end
+    return out if gap is None else [*out, ("gap", gap, len(plain), reason)]
+
+
+def one(data: bytes, at: int) -> tuple[list[tuple], int, str]:
+    """What inside() finds in the gzip member at a place, or the plain record there,
+    its end, and the member's fault; ValueError if there is no record."""
+    if data[at : at + 3] != MEMBER:
+        fields, body, end = parsed(data, at)
+        return [("record", fields, body)], end, ""
+    plain, end, fault = unpacked(data, at)
+    found = inside(plain, fault in ("", "gzip: member is cut off"))
+    if not any(x[0] == "record" for x in found):
+        raise ValueError(fault or (found[0][3] if found else "empty member"))
+    return found, end, fault
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
     """('record', start, end, (fields, body)) and ('gap', start, end, reason), in order, over all bytes."""
-    at, gap, reason = 0, None, ""
+
+    def told(found: list[tuple], a: int, z: int) -> Iterator[tuple[str, int, int, object]]:
+        for x in found:
+            yield (x[0], a, z, x[1:]) if x[0] == "record" else ("gap", a, z, f"{x[3]} (bytes {x[1]} to {x[2]} of the member's content)")
+
+    def closed(z: int) -> Iterator[tuple[str, int, int, object]]:
+        """The gap up to z, with what was found in the faulty member it begins with."""
+        stop = min(held_end, z) if held else gap
+        yield from told(held, gap, stop)
+        yield "gap", stop if stop < z else gap, z, reason
+
+    at, gap, reason, held, held_end = 0, None, "", [], 0
     while at < len(data):
         try:
-            records, end = one(data, at)
+            found, end, fault = one(data, at)
         except ValueError as e:
-            if gap is None:
-                gap, reason = at, str(e)
+            found, fault = [], str(e)
+        if fault and gap is not None and not found:
+            pass
+        else:
+            if gap is not None:
+                yield from closed(at)
+                gap, held = None, []
+            if fault:
+                gap, reason, held = at, fault, found
+                held_end = end if found else at
+        if fault:
             m = START.search(data, at + 1)
             at = m.start() if m else len(data)
             continue
-        if gap is not None:
-            yield "gap", gap, at, reason
-            gap = None
-        for r in records:
-            yield "record", at, end, r
+        yield from told(found, at, end)
         at = end
     if gap is not None:
-        yield "gap", gap, len(data), reason
+        yield from closed(len(data))
 
 
 def _page(field: str | None) -> int | None:

@@ -289,6 +289,28 @@ def test_minhash_links_rows_without_an_id(spark):
     assert {(5, said(b)), (7, said(c, 10, 30, 50)), (None, said(d)), (None, None)} < set(left)
 
 
+def test_warc_salvage_inside_a_member():
+    """One fault in a member of several records costs the record it is in."""
+    rng = random.Random(2)
+    bodies = [rng.randbytes(9000) for _ in range(5)]
+    plain = [warc.record(i, "u", x, hashlib.sha256(x).hexdigest(), None) for i, x in enumerate(bodies)]
+    ids = lambda data: [int(re.search(r"\d+", w[0]["warc-record-id"])[0]) for k, _, _, w in warc.salvage(data) if k == "record"]
+    gaps = lambda data: [x[1:] for x in warc.salvage(data) if x[0] == "gap"]
+    whole = warc.member(b"".join(plain))
+    assert ids(whole) == [0, 1, 2, 3, 4] and not gaps(whole)
+    bad = warc.member(b"".join([*plain[:2], plain[2][:-10] + b"X" + plain[2][-9:], *plain[3:]]))
+    ((a, z, why),) = gaps(bad)
+    assert ids(bad) == [0, 1, 3, 4] and (a, z) == (0, len(bad)) and f"bytes {len(plain[0]) * 2} to {len(plain[0]) * 3} of" in why
+    after = warc.member(plain[0])
+    for data in (whole[: len(whole) * 7 // 10], whole[: len(whole) * 7 // 10] + after):  # cut off, and with a member behind it
+        assert ids(data) == [0, 1, 2] + [0] * data.endswith(after) and gaps(data)
+    damaged = bytearray(whole)
+    damaged[-6] ^= 0xFF  # the checksum
+    assert ids(bytes(damaged) + after) == [0, 1, 2, 3, 4, 0] and any("gzip" in g[2] for g in gaps(bytes(damaged) + after))
+    revisit = warc.member(warc.record(9, "u", bodies[0], hashlib.sha256(bodies[0]).hexdigest(), 0))
+    assert ids(revisit) == [9] and ids(revisit[:-6] + bytes([revisit[-6] ^ 0xFF]) + revisit[-5:]) == []
+
+
 def test_every_context_value_is_scored(spark):
     """A pattern's span over part of a value, or all of it, does not end its scoring."""
     t = "password: Tr0ub4dor&3xyz!kQ"
