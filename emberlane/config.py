@@ -22,6 +22,7 @@ PLANT_WORDS = ("refining", "refinery", "refinery plant", "refineries")
 
 @dataclass(frozen=True)
 class Clustering:
+    # The defaults of clustering.
     time_threshold_days: float = 7.0
     no_split_days: float = 2.0
     correlation_threshold: float = 0.4

@@ -3,6 +3,7 @@ most of a session agrees on."""
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,50 +23,73 @@ def similarity(pairs: DataFrame, corr: DataFrame) -> DataFrame:
     return each.join(corr, ["event_a", "event_b"], "left").groupBy("a", "b").agg(F.coalesce(F.sum(value) / F.nullif(F.first("n"), F.lit(0)), F.lit(0.0)).alias("sim"))
 
 
-def greedy(n: int, edges: set[tuple[int, int]]) -> tuple[list[int], int]:
-    """The group of each of n items in order of time: an item in no group brings its
-    neighbours, itself included, to the first group that holds one of them, or to a
-    new one; an item of several groups is in the last. And how many groups there were."""
-    around: dict[int, list[int]] = {i: [i] for i in range(n)}
-    for a, b in edges:
-        around[a].append(b)
-        around[b].append(a)
-    member: list[set[int]] = [set() for _ in range(n)]
+def alike(kinds: list[tuple[str, ...]], corr: dict[tuple[str, str], float], threshold: float) -> np.ndarray:
+    """Which kinds (tuples of events) have a mean correlation above the threshold.
+    A pair of events that corr, a symmetric matrix, does not name is 0, of equal ones 1."""
+    words = sorted({e for k in kinds for e in k})
+    matrix = np.array([[corr.get((a, b), float(a == b)) for b in words] for a in words]).reshape(len(words), len(words))
+    place = {e: i for i, e in enumerate(words)}
+    share = np.zeros((len(kinds), len(words)))
+    for row, k in enumerate(kinds):
+        for e in k:
+            share[row, place[e]] += 1
+    size = share.sum(1)
+    some = np.outer(size, size)
+    return np.divide(share @ matrix @ share.T, some, out=np.zeros_like(some), where=some > 0) > threshold
+
+
+def grouped(t: np.ndarray, kind: np.ndarray, like: np.ndarray, close: int) -> tuple[np.ndarray, int]:
+    """The group of each item in order of time t, and how many groups there were. An
+    item's neighbours are itself, the items less than close away, and those of a kind
+    like its own. An item in no group brings its neighbours to the first group that
+    holds one of them, or to a new one; an item of several groups is in the last.
+    Neighbours are a range of t and whole kinds, and an item that opens is in no
+    range of another, so the work is in the number of items and not of pairs."""
+    at = np.arange(len(t))
+    a, z = np.minimum(np.searchsorted(t, t - close, "right"), at), np.maximum(np.searchsorted(t, t + close, "left"), at + 1)
+    none = len(t)
+    first, last = np.full(len(t), none), np.full(len(t), -1)  # of an item, by ranges
+    kind_first, kind_last = np.full(len(like), none), np.full(len(like), -1)  # of whole kinds
+    met = np.full(len(like), none)  # the first group that any item of the kind is in
+    near = [np.flatnonzero(row) for row in like]
     groups = 0
-    for i in range(n):
-        if member[i]:
+    for i in range(len(t)):
+        if last[i] >= 0 or kind_last[kind[i]] >= 0:
             continue
-        met = set().union(*(member[j] for j in around[i]))
-        g = min(met) if met else groups
-        groups += not met
-        for j in around[i]:
-            member[j].add(g)
-    return [max(m) for m in member], groups
+        span, kinds = slice(a[i], z[i]), near[kind[i]]
+        g = int(min(first[span].min(), kind_first[kind[span]].min(), met[kinds].min(initial=none)))
+        if g == none:
+            g, groups = groups, groups + 1
+        first[span], last[span] = np.minimum(first[span], g), np.maximum(last[span], g)
+        np.minimum.at(met, kind[span], g)
+        for low, high in ((kind_first, kind_last), (met, kind_last)):
+            low[kinds], high[kinds] = np.minimum(low[kinds], g), np.maximum(high[kinds], g)
+    return np.maximum(last, kind_last[kind]), groups
 
 
 def subsplit(items: DataFrame, by: list[str], ts: str, item: str, events: str, corr: dict[tuple[str, str], float], threshold: float, close_seconds: float) -> DataFrame:
     """(by, item, sub, subs): greedy groups within each group of by. Assignment depends
-    on order, so a group is one task's; groups are sessions, bounded by time.
+    on order, so a group of by is one task's; but items of one time and the same
+    events always fare alike, so a row for each such pair is all that goes there.
     corr is a vocabulary's matrix, of fixed size."""
-    schema = items.select(*by, item).schema.simpleString()[7:-1] + ",sub:int,subs:int"
+    tags = F.sort_array(F.coalesce(events, F.array().cast("array<string>")))
+    rows = items.select(*by, ts, item, tags.alias("_tags"))
+    distinct = rows.groupBy(*by, ts, "_tags").agg(F.min(item).alias("_item"))
+    schema = distinct.drop("_item").schema.simpleString()[7:-1] + ",sub:int,subs:int"
 
     def run(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values([ts, item], ignore_index=True)
-        t = df[ts].astype("datetime64[ns]").astype("int64").to_numpy() / 1e9
-        tags = [list(x) if x is not None else [] for x in df[events]]
-        edges = set()
-        for i in range(len(df)):
-            for j in range(i + 1, len(df)):
-                near = abs(t[j] - t[i]) < close_seconds
-                if not near and tags[i] and tags[j]:
-                    near = sum(corr.get((a, b), float(a == b)) for a in tags[j] for b in tags[i]) / (len(tags[i]) * len(tags[j])) > threshold
-                if near:
-                    edges.add((i, j))
-        sub, n = greedy(len(df), edges)
-        return df[[*by, item]].assign(sub=sub, subs=n)
+        df = df.sort_values([ts, "_item"], ignore_index=True)
+        t = df[ts].astype("datetime64[us]").astype("int64").to_numpy()
+        seen: dict[tuple[str, ...], int] = {}
+        kind = np.array([seen.setdefault(tuple(x), len(seen)) for x in df["_tags"]])
+        sub, n = grouped(t, kind, alike(list(seen), corr, threshold), round(close_seconds * 1e6))
+        return df[[*by, ts, "_tags"]].assign(sub=sub, subs=n)
 
     ship(items.sparkSession)
-    return items.select(*by, ts, item, events).groupBy(*by).applyInPandas(run, schema)
+    found = distinct.groupBy(*by).applyInPandas(run, schema)
+    keys = [*by, ts, "_tags"]
+    told = found.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "sub", "subs")
+    return rows.join(told, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]).select(*by, item, "sub", "subs")
 
 
 def session_kinds(sessions: DataFrame, by: list[str], ids: str) -> DataFrame:

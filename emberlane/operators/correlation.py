@@ -20,11 +20,21 @@ def daily_counts(items: DataFrame, events: DataFrame) -> DataFrame:
 def correlations(daily: DataFrame) -> DataFrame:
     """country, event_a, event_b, corr (0 where a count is constant), clamped at 0.
     A country's day holds each event of the vocabulary once, so the pairs of a day
-    are a square of fixed size."""
-    a = daily.select("country", "day", F.col("event").alias("event_a"), F.col("n").cast("double").alias("x"))
-    b = daily.select("country", "day", F.col("event").alias("event_b"), F.col("n").cast("double").alias("y"))
-    r = F.covar_pop("x", "y") / F.nullif(F.stddev_pop("x") * F.stddev_pop("y"), F.lit(0.0))
-    return a.join(b, ["country", "day"]).groupBy("country", "event_a", "event_b").agg(F.greatest(F.coalesce(r, F.lit(0.0)), F.lit(0.0)).alias("corr"))
+    are a square of fixed size. Counts are integers, so n**2 times the covariance
+    and the variances are exact: what is zero is zero, whatever the order of sums,
+    and only their quotient is a float."""
+    whole = lambda c, digits=18: c.cast(f"decimal({digits},0)")
+    a = daily.select("country", "day", F.col("event").alias("event_a"), F.col("n").alias("x"))
+    b = daily.select("country", "day", F.col("event").alias("event_b"), F.col("n").alias("y"))
+    total = lambda c: whole(F.sum(whole(c)))
+    sums = a.join(b, ["country", "day"]).groupBy("country", "event_a", "event_b").agg(
+        whole(F.count("*")).alias("n"), total(F.col("x")).alias("x"), total(F.col("y")).alias("y"),
+        *[total(F.col(p) * F.col(q)).alias(p + q) for p, q in ("xx", "yy", "xy")],
+    )
+    spread = lambda p, q: F.col("n") * F.col(p + q) - F.col(p) * F.col(q)
+    exact = sums.select("country", "event_a", "event_b", spread("x", "y").alias("cov"), spread("x", "x").alias("vx"), spread("y", "y").alias("vy"))
+    r = F.col("cov").cast("double") / (F.sqrt(F.col("vx").cast("double")) * F.sqrt(F.col("vy").cast("double")))
+    return exact.select("country", "event_a", "event_b", F.when((F.col("cov") > 0) & (F.col("vx") > 0) & (F.col("vy") > 0), r).otherwise(F.lit(0.0)).alias("corr"))
 
 
 def positive_mean(corr: DataFrame) -> DataFrame:

@@ -9,10 +9,22 @@ from pyspark.sql.window import Window
 
 def time_sessions(items: DataFrame, by: str, ts: str, item: str, gap: str) -> DataFrame:
     """items with session, from 1 in the order of time within by. Gaps are strict:
-    items exactly gap apart are in two sessions. One shuffle on by."""
-    w = Window.partitionBy(by).orderBy(ts, item)
-    new = F.when(F.col(ts) - F.lag(ts).over(w) < F.expr(f"interval {gap}"), 0).otherwise(1)
-    return items.withColumn("_new", new).withColumn("session", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("_new")
+    items exactly gap apart are in two sessions. Rows are ordered hour by hour, so a
+    value of by with a third of all rows is dealt over tasks; what is counted along
+    the whole of by is a row per hour. An item without a time is a session alone."""
+    keys = [by, "_day", "_hour"]
+    split = lambda now, last: F.when(now - last < F.expr(f"interval {gap}"), 0).otherwise(1)
+    w = Window.partitionBy(*keys).orderBy(ts, item)
+    inner = F.when(F.row_number().over(w) == 1, 0).otherwise(split(F.col(ts), F.lag(ts).over(w)))
+    marked = items.withColumns({"_day": F.to_date(ts), "_hour": F.hour(ts)}).withColumn("_new", inner)
+    hours = marked.groupBy(*keys).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.sum("_new").alias("_new"))
+    along = Window.partitionBy(by).orderBy("_day", "_hour")
+    opens = hours.withColumn("_opens", split(F.col("_first"), F.lag("_last").over(along)))
+    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = opens.select(*[F.col(k).alias(f"_at{i}") for i, k in enumerate(keys)], (F.sum(F.col("_opens") + F.col("_new")).over(upto) - F.col("_new")).alias("_before"))
+    same = [F.col(k).eqNullSafe(F.col(f"_at{i}")) for i, k in enumerate(keys)]
+    inside = F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return marked.withColumn("_inside", inside).join(before, same).select(*items.columns, (F.col("_before") + F.col("_inside")).alias("session"))
 
 
 def near_in_time(items: DataFrame, by: list[str], ts: str, item: str, within: str) -> DataFrame:

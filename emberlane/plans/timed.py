@@ -32,8 +32,10 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _DAILY = """e as (select user_id % 5 country, ts::date as day, event_type as event from events), v as (select distinct event from e), d as (select distinct country, day from e),
 n as (select d.country, d.day, v.event, count(e.event)::bigint n from d cross join v left join e on e.country = d.country and e.day = d.day and e.event = v.event group by all)"""
-_CORR = """c as (select a.country, a.event event_a, b.event event_b, greatest(coalesce(covar_pop(a.n, b.n) / nullif(stddev_pop(a.n) * stddev_pop(b.n), 0), 0), 0) corr
-  from n a join n b on a.country = b.country and a.day = b.day group by a.country, a.event, b.event)"""
+_CORR = """cq as (select a.country, a.event event_a, b.event event_b, count(*)::hugeint k, sum(a.n)::hugeint x, sum(b.n)::hugeint y, sum(a.n * a.n)::hugeint xx, sum(b.n * b.n)::hugeint yy, sum(a.n * b.n)::hugeint xy
+  from n a join n b on a.country = b.country and a.day = b.day group by a.country, a.event, b.event),
+cz as (select country, event_a, event_b, k * xy - x * y cov, k * xx - x * x vx, k * yy - y * y vy from cq),
+c as (select country, event_a, event_b, case when cov > 0 and vx > 0 and vy > 0 then cov::double / (sqrt(vx::double) * sqrt(vy::double)) else 0 end::double corr from cz)"""
 _MEAN = "p as (select event_a, event_b, coalesce(avg(corr) filter (corr > 0), 0) corr from c group by event_a, event_b)"
 
 

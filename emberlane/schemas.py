@@ -1,4 +1,8 @@
-"""Schemas of the pipeline's tables, as DDL."""
+"""Schemas of the pipeline's tables, as DDL.
+
+Fixed values: the names and types of outside tables, and the columns of merged
+items in their order.
+"""
 
 TAG = "struct<id:bigint,initial:string,match:string,type:string>"
 REF = "struct<GeoAssetID:bigint,GeoAssetName:string,confidence:double>"

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,18 +163,124 @@ def test_sessions_split_at_the_exact_gap(spark):
     assert [r["session"] for r in sessions.time_sessions(df, "c", "ts", "item", "7 days").orderBy("item").collect()] == [1, 1, 1, 2, 3]
 
 
+def test_zero_covariance_is_zero(spark):
+    """Counts whose covariance is 0 as integers, though sums of floats leave a trace."""
+    rng = random.Random(4)
+    x = [3, 0, 0, 1, 7, 2, 2, 5, 1, 0, 6, 3]
+    rows, found = [], 0
+    for c in range(400):
+        y = [rng.randrange(0, 8) for _ in x]
+        if len(x) * sum(a * b for a, b in zip(x, y)) == sum(x) * sum(y) and len(set(y)) > 1:
+            found += 1
+            rows += [(c, dt.date(2020, 1, d + 1), e, v[d]) for d in range(len(x)) for e, v in (("a", x), ("b", y))]
+    daily = spark.createDataFrame(rows, "country int, day date, event string, n long")
+    assert found > 3 and correlation.correlations(daily.repartition(7)).where("event_a <> event_b and corr <> 0").count() == 0
+
+
+def test_sessions_of_a_country_with_all_rows(spark):
+    """Against a walk over the times: gaps inside an hour, over hours, over days, ties and nulls."""
+    rng = random.Random(7)
+    at = [rng.choice([0, 3600, 86400, 5 * 86400]) * rng.randrange(3) + rng.randrange(0, 9000) for _ in range(400)] + [3600, 3600, None, None]
+    rows = [(c, i, None if t is None else dt.datetime(2020, 1, 1) + dt.timedelta(seconds=t)) for c in (1, None) for i, t in enumerate(at)]
+    got = {(r["c"], r["item"]): r["session"] for r in sessions.time_sessions(spark.createDataFrame(rows, "c long, item long, ts timestamp_ntz"), "c", "ts", "item", "20 minutes").collect()}
+    last, n = None, 0
+    for t, i in sorted((-1 if t is None else t, i) for i, t in enumerate(at)):
+        n += last is None or last < 0 or t - last >= 1200
+        last = t
+        assert got[1, i] == got[None, i] == n
+
+
 def test_similarity(spark):
     corr = spark.createDataFrame([("fire", "blaze", 0.5), ("blaze", "fire", 0.5), ("fire", "cut", 0.1), ("cut", "fire", 0.1), ("blaze", "cut", 0.06), ("cut", "blaze", 0.06)], "event_a string, event_b string, corr double")
     pairs = spark.createDataFrame([(1, ["fire", "blaze"], 2, ["fire"]), (3, ["fire"], 4, ["cut"]), (5, ["fire", "blaze"], 6, ["cut"]), (7, [], 8, ["cut"])], "a long, ea array<string>, b long, eb array<string>")
     assert {r["a"]: round(r["sim"], 4) for r in clusters.similarity(pairs, corr).collect()} == {1: 0.75, 3: 0.1, 5: 0.08, 7: 0.0}
 
 
+def greedy(n, edges):
+    """Brute force: groups as sets, edge by edge."""
+    around = [{i} | {b for a, b in edges if a == i} | {a for a, b in edges if b == i} for i in range(n)]
+    member, groups = [set() for _ in range(n)], 0
+    for i in range(n):
+        if not member[i]:
+            met = set().union(*(member[j] for j in around[i]))
+            g = min(met) if met else groups
+            groups += not met
+            for j in around[i]:
+                member[j].add(g)
+    return [max(m) for m in member], groups
+
+
 @pytest.mark.parametrize(
     ("n", "edges", "want"),
     [(3, {(0, 2)}, [0, 1, 0]), (3, {(0, 2), (1, 2)}, [0, 0, 0]), (4, {(0, 2), (1, 3), (2, 3)}, [0, 1, 0, 1]), (5, {(0, 1), (1, 3), (2, 4), (3, 4)}, [0, 0, 1, 0, 1])],
 )
 def test_greedy_groups(n, edges, want):
-    assert clusters.greedy(n, edges) == (want, max(want) + 1)
+    like = np.zeros((n, n), bool)
+    for a, b in edges:
+        like[a, b] = like[b, a] = True
+    got, groups = clusters.grouped(np.arange(n) * 10, np.arange(n), like, 5)
+    assert (got.tolist(), groups) == (want, max(want) + 1) == greedy(n, edges)
+
+
+def parted(rows, corr, threshold, close):
+    """Brute force of a session's split: all pairs of (seconds, item, events)."""
+    rows = sorted(rows)
+    edges = set()
+    for j, (t, _, ej) in enumerate(rows):
+        for i, (s, _, ei) in enumerate(rows[:j]):
+            sim = sum(corr.get((a, b), float(a == b)) for a in ej for b in ei) / max(len(ei) * len(ej), 1)
+            if t - s < close or sim > threshold:
+                edges.add((i, j))
+    sub, n = greedy(len(rows), edges)
+    return {r[1]: (g, n) for r, g in zip(rows, sub)}
+
+
+def test_subsplit_against_all_pairs(spark):
+    rng = random.Random(3)
+    words = ["fire", "blaze", "cut", "new"]
+    corr = {}
+    for a, b in [("fire", "blaze"), ("fire", "cut"), ("cut", "new")]:
+        corr[a, b] = corr[b, a] = rng.choice([0.3, 0.5, 0.7])
+    rows, want = [], {}
+    for s in range(12):
+        mine = [(rng.randrange(0, 4000), 100 * s + k, sorted(rng.sample(words, rng.choice([0, 1, 1, 2, 3])))) for k in range(rng.choice([1, 5, 40]))]
+        mine += [(t, i + 50, e) for t, i, e in mine[:3]]  # one time, the same events
+        rows += [(s, dt.datetime(2020, 1, 1) + dt.timedelta(seconds=t), i, e or None) for t, i, e in mine]
+        want |= {(s, i): v for i, v in parted(mine, corr, 0.4, 60).items()}
+    df = spark.createDataFrame(rows, "s int, ts timestamp_ntz, item long, events array<string>")
+    got = {(r["s"], r["item"]): (r["sub"], r["subs"]) for r in clusters.subsplit(df, ["s"], "ts", "item", "events", corr, 0.4, 60.0).collect()}
+    assert got == want and len({v for v in want.values()}) > 5
+
+
+def test_clusters_against_a_walk(spark):
+    """Countries, sessions, agreement and splits, one item after another."""
+    rng = random.Random(11)
+    corr, words, gap, close, threshold, least = {("fire", "cut"): 0.9, ("cut", "fire"): 0.9}, ["fire", "cut", "new"], 1000, 60, 0.4, 6
+    rows = [(i, rng.choice(["A", "B"]), rng.randrange(0, 60_000), sorted(rng.sample(range(5), rng.choice([1, 1, 2, 3]))), [rng.choice(words)]) for i in range(300)]
+    want = {}
+    for c in ("A", "B"):
+        sessions_, number = [], 0
+        for r in sorted((r for r in rows if r[1] == c), key=lambda r: (r[2], r[0])):
+            if sessions_ and r[2] - sessions_[-1][-1][2] < gap:
+                sessions_[-1].append(r)
+            else:
+                sessions_.append([r])
+        for s in sessions_:
+            if len(s) == 1 or all(r[3] == s[0][3] for r in s):
+                groups = [(s, None, False)]
+            else:
+                lone = [r[3][0] for r in s if len(r[3]) == 1]
+                order = sorted(set(lone), key=lambda x: (-lone.count(x), x))
+                groups = [([r for r in s if next((x for x in order if x in r[3]), None) == ref], ref, True) for ref in order] if lone else [(s, None, True)]
+                if lone:
+                    want |= {r[0]: (None, None) for r in s if not set(r[3]) & set(order)}
+            for g, ref, mixed in groups:
+                split = parted([(r[2], r[0], r[4]) for r in g], corr, threshold, close) if mixed and (ref is None or len(g) >= least) else {r[0]: (0, 1) for r in g}
+                want |= {r[0]: (f"{c}-{number + split[r[0]][0]}", r[3] if ref is None else [ref]) for r in g}
+                number += max((n for _, n in split.values()), default=0)
+    df = spark.createDataFrame([(i, c, dt.datetime(2020, 1, 1) + dt.timedelta(seconds=t), ids, e) for i, c, t, ids, e in rows], "item long, country string, ts timestamp_ntz, ids array<long>, events array<string>")
+    got = {r["item"]: (r["cluster_id"], r["ref_match_cl"]) for r in clusters.clustered(df, corr, f"{gap} seconds", float(close), threshold, least).collect()}
+    assert got == want
 
 
 def test_mixed_session(spark):
