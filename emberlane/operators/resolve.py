@@ -40,38 +40,57 @@ def staged(flagged: DataFrame) -> DataFrame:
     return flagged.select("item", "id", F.inline(sets))
 
 
-def in_places(places: DataFrame, assets: DataFrame) -> DataFrame:
-    """(item, poly, id): assets whose point lies in an item's place, that is in any
-    of its polygons (or in the one of rings). Each polygon's box and the points meet
-    by grid cell, then the polygon decides. poly ranks an item's places by their
-    polygons' area, the largest first."""
+def normal(places: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(item, place, shape) and (shape, polygons) of places that carry their polygons
+    (or rings, those of one polygon): equal ones, by two 64-bit hashes, are one shape."""
     whole = places if "polygons" in places.columns else places.withColumn("polygons", F.array("rings"))
-    ranked = whole.withColumn("_area", geo.multipolygon_area(F.col("polygons"))).withColumn("poly", F.row_number().over(Window.partitionBy("item").orderBy(F.col("_area").desc(), F.col("place"))))
-    box = geo.bounds(F.col("rings"))
-    dealt = ranked.select("item", "poly", F.explode("polygons").alias("rings")).withColumn("_b", box).select("item", "poly", "rings", F.inline(geo.cells(F.col("_b.west"), F.col("_b.east"), F.col("_b.south"), F.col("_b.north"), CELL)))
+    keyed = whole.withColumn("shape", F.struct(F.xxhash64("polygons").alias("h"), F.xxhash64(F.lit(1), "polygons").alias("g")))
+    return keyed.select("item", "place", "shape"), keyed.groupBy("shape").agg(F.first("polygons").alias("polygons"))
+
+
+def contents(shapes: DataFrame, assets: DataFrame) -> DataFrame:
+    """(shape, id): assets whose point lies in any of a shape's polygons. Each
+    polygon's box and the points meet by grid cell, without vertices; then the
+    polygon decides. Every polygon is looked at once, however many items name it."""
+    parts = shapes.select("shape", F.posexplode("polygons").alias("part", "rings")).withColumn("_b", geo.bounds(F.col("rings")))
+    dealt = parts.select("shape", "part", F.inline(geo.cells(F.col("_b.west"), F.col("_b.east"), F.col("_b.south"), F.col("_b.north"), CELL)))
     points = assets.where("lon is not null and lat is not null").select("id", "lon", "lat", F.floor(F.col("lon") / CELL).cast("int").alias("cx"), F.floor(F.col("lat") / CELL).cast("int").alias("cy")).dropDuplicates(["id", "lon", "lat"])
-    return dealt.join(points, ["cx", "cy"]).where(geo.in_polygon(F.col("rings"), F.col("lon"), F.col("lat"))).select("item", "poly", "id").distinct()
+    near = dealt.join(points, ["cx", "cy"]).select("shape", "part", "id", "lon", "lat")
+    return near.join(parts.select("shape", "part", "rings"), ["shape", "part"]).where(geo.in_polygon(F.col("rings"), F.col("lon"), F.col("lat"))).select("shape", "id").distinct()
+
+
+def ranked(links: DataFrame, shapes: DataFrame) -> DataFrame:
+    """(item, poly, shape): an item's places by their polygons' area, the largest first."""
+    areas = shapes.select("shape", geo.multipolygon_area(F.col("polygons")).alias("_area"))
+    return links.join(areas, "shape").withColumn("poly", F.row_number().over(Window.partitionBy("item").orderBy(F.col("_area").desc(), F.col("place")))).select("item", "poly", "shape")
+
 
+def in_places(places: DataFrame, assets: DataFrame, shapes: DataFrame | None = None) -> DataFrame:
+    """(item, poly, id): assets whose point lies in an item's place."""
+    links, shapes = (places, shapes) if shapes is not None else normal(places)
+    return ranked(links, shapes).join(contents(shapes, assets), "shape").select("item", "poly", "id").distinct()
 
-def placed(flagged: DataFrame, inside: DataFrame) -> DataFrame:
-    """The candidate sets of polygons. Base sets: all assets (of items without
-    refname and owner tags), refname, owner, and both."""
-    known = inside.join(flagged.select("item", "id", "ref", "owner"), ["item", "id"], "left")
-    has = flagged.groupBy("item").agg(F.bool_or(F.col("has_ref") | F.col("has_owner")).alias("has"))
-    known = known.join(has, "item", "left").select("item", "id", "poly", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("ref", "owner", "has")])
-    base = lambda n, on: F.when(on, F.struct(F.lit(4).alias("stage"), F.lit(n).alias("base"), F.col("poly").alias("poly")))
-    sets = F.array_compact(F.array(base(0, ~F.col("has")), base(1, F.col("ref")), base(2, F.col("owner")), base(3, F.col("ref") & F.col("owner"))))
-    return known.select("item", "id", F.inline(sets))
 
+def placed(flagged: DataFrame, order: DataFrame, held: DataFrame) -> DataFrame:
+    """The candidate sets of polygons, from ranked() and contents(). Base sets: all
+    assets (of items without refname and owner tags), refname, owner, and both. Items
+    with such tags look only their own candidates up."""
+    poly = lambda n, on: F.when(on, F.struct(F.lit(4).alias("stage"), F.lit(n).alias("base"), F.col("poly").alias("poly")))
+    own = flagged.where("ref or owner").select("item", "id", "ref", "owner").join(order, "item").join(held, ["shape", "id"])
+    sets = F.array_compact(F.array(poly(1, F.col("ref")), poly(2, F.col("owner")), poly(3, F.col("ref") & F.col("owner"))))
+    free = order.join(flagged.where("has_ref or has_owner").select("item").distinct(), "item", "left_anti").join(held, "shape")
+    return own.select("item", "id", F.inline(sets)).unionByName(free.select("item", "id", F.lit(4).alias("stage"), F.lit(0).alias("base"), "poly"))
 
-def resolve(items: DataFrame, tags: DataFrame, assets: DataFrame, places: DataFrame | None = None, as_of: str | None = None) -> DataFrame:
+
+def resolve(items: DataFrame, tags: DataFrame, assets: DataFrame, places: DataFrame | None = None, as_of: str | None = None, shapes: DataFrame | None = None) -> DataFrame:
     """item, stage, n, ref_match (array, by id). items: item, ts; tags: item, id,
-    type; assets: id, name, begin, end (lon, lat); places: item, place, polygons (or
-    rings, those of one polygon)."""
+    type; assets: id, name, begin, end (lon, lat); places: item, place, shape, with
+    shapes: shape, polygons; without shapes, places carry polygons or rings."""
     flagged = flags(tags)
     sets = staged(flagged)
     if places is not None:
-        sets = sets.unionByName(placed(flagged, in_places(places, assets)))
+        links, shapes = (places, shapes) if shapes is not None else normal(places)
+        sets = sets.unionByName(placed(flagged, ranked(links, shapes), contents(shapes, assets)))
     today = F.lit(as_of).cast("date") if as_of else F.current_date()
     rows = sets.join(items.select("item", "ts"), "item").join(assets.select("id", "name", "begin", "end"), "id").where(valid(F.col("ts"), F.col("begin"), F.col("end"), today))
     # n counts rows of the asset table
@@ -87,9 +106,19 @@ def in_all_types(tags: DataFrame) -> DataFrame:
     return flags(tags.where(F.col("type").isin("refname", "cityname"))).where("comb").select("item", "id")
 
 
+def areas_of(gpes: DataFrame) -> DataFrame:
+    """Gazetteer entries that are areas."""
+    return gpes.where(~F.col("boundaries.type").isin("Point", "LineString", "MultiLineString"))
+
+
 def known_places(names: DataFrame, gpes: DataFrame) -> DataFrame:
-    """(item, place, polygons) of the gazetteer entries that carry a name, areas only,
-    the more important first in place's order. names: item, name."""
-    shapes = geo.polygons(F.col("boundaries.type"), F.col("boundaries.coordinates"), dict(gpes.select("boundaries.coordinates").dtypes)["coordinates"])
-    areas = gpes.where(~F.col("boundaries.type").isin("Point", "LineString", "MultiLineString")).select("place_id", "importance", shapes.alias("polygons"), F.explode("GPEs").alias("name"))
-    return names.join(areas, "name").select("item", F.struct((-F.col("importance")).alias("by"), "place_id").alias("place"), "polygons")
+    """(item, place, shape) of the areas that carry a name, the more important first
+    in place's order. names: item, name. Polygons stay in known_shapes()."""
+    areas = areas_of(gpes).select(F.struct((-F.col("importance")).alias("by"), "place_id").alias("place"), F.col("place_id").alias("shape"), F.explode("GPEs").alias("name"))
+    return names.join(areas, "name").select("item", "place", "shape")
+
+
+def known_shapes(gpes: DataFrame) -> DataFrame:
+    """(shape, polygons) of the gazetteer's areas."""
+    polygons = geo.polygons(F.col("boundaries.type"), F.col("boundaries.coordinates"), dict(gpes.select("boundaries.coordinates").dtypes)["coordinates"])
+    return areas_of(gpes).select(F.col("place_id").alias("shape"), polygons.alias("polygons")).dropDuplicates(["shape"])

@@ -91,15 +91,22 @@ _POLY = """ union all select o_orderkey, a.id, 4, -1 from orders, a where o_orde
   union all select r.item, r.id, 4, 6 from refs r join own using (item, id) join a on a.id = r.id where r.item % 4 = 0 and lon between 0 and 10 and lat between 0 and 30"""
 
 
+def boxes(spark: SparkSession) -> DataFrame:
+    """The two boxes, the second as a MultiPolygon of its halves below and above 15."""
+    square = lambda w, e, s, n: [[[w, s], [e, s], [e, n], [w, n], [w, s]]]
+    (_, a, *box), (_, b, w, e, s, n) = _BOXES
+    rows = [(a, [square(*box)]), (b, [square(w, e, s, 15.0), square(w, e, 15.0, n)])]
+    return spark.createDataFrame(rows, "shape int, polygons array<array<array<array<double>>>>")
+
+
 @query(_RESOLVE.format(extra=_POLY))
 def resolve_places(spark, sf_dir):
     items = _items(spark, sf_dir)
-    places = None
-    for step, n, w, e, s, t in _BOXES:
-        ring = geo.bbox_ring(F.lit(s), F.lit(t), F.lit(w), F.lit(e))
-        part = items.where(F.col("item") % step == 0).select("item", F.lit(n).alias("place"), F.array(ring).alias("rings"))
-        places = part if places is None else places.unionByName(part)
-    return _told(resolve.resolve(items, candidates(spark, sf_dir), assets(spark, sf_dir), places, AS_OF))
+    links = None
+    for step, n, *_ in _BOXES:
+        part = items.where(F.col("item") % step == 0).select("item", F.lit(n).alias("place"), F.lit(n).alias("shape"))
+        links = part if links is None else links.unionByName(part)
+    return _told(resolve.resolve(items, candidates(spark, sf_dir), assets(spark, sf_dir), links, AS_OF, boxes(spark)))
 
 
 _MATCHES = "m as (select l_orderkey item, n_name country from lineitem join supplier on s_suppkey = l_suppkey left join nation on n_nationkey = s_nationkey and n_nationkey % 7 <> 0)"

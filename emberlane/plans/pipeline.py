@@ -47,8 +47,9 @@ def match(tagged: DataFrame, assets: DataFrame, countries: DataFrame, gpes: Data
     """tagged with ref_match and country_match. countries: GeoAssetID, country."""
     tags = tagged.select("item", F.explode(F.concat("geo_tags", "owner_tags")).alias("t")).select("item", "t.id", "t.type", "t.match")
     places = resolve.known_places(tags.where("type = 'GPE'").select("item", F.col("match").alias("name")).distinct(), gpes) if gpes is not None else None
+    shapes = resolve.known_shapes(gpes) if gpes is not None else None
     rows = assets.select(F.col("GeoAssetID").alias("id"), F.col("GeoAssetName").alias("name"), F.col("FromDate").alias("begin"), F.col("ToDate").alias("end"), F.col("Longitude").alias("lon"), F.col("Latitude").alias("lat"))
-    found = resolve.resolve(tagged.select("item", "ts"), tags.select("item", "id", "type"), rows, places, config.as_of).select("item", "ref_match")
+    found = resolve.resolve(tagged.select("item", "ts"), tags.select("item", "id", "type"), rows, places, config.as_of, shapes).select("item", "ref_match")
     out = tagged.drop("ref_match").join(found, "item", "left")
     out = out.withColumn("ref_match", F.coalesce("ref_match", F.array().cast(dict(found.dtypes)["ref_match"])))
     each = found.select("item", F.explode("ref_match.GeoAssetID").alias("GeoAssetID")).join(countries, "GeoAssetID", "left")

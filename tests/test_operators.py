@@ -314,10 +314,10 @@ def test_place_of_several_parts(spark, stored):
     at = {1: (0.5, 0.5), 2: (10.5, 3.0), 3: (11.5, 1.5), 4: (12.5, 2.5), 5: (31.0, 1.0), 6: (8.0, 0.5)}
     assets = spark.createDataFrame([(i, f"a{i}", None, None, *p) for i, p in at.items()], "id long, name string, begin timestamp_ntz, end timestamp_ntz, lon double, lat double")
     # item 1: 1 + 20 + 1 square degrees of Coast come after 25 of Inland
-    assert {tuple(r) for r in resolve.in_places(places, assets).select("item", "poly", "id").collect()} == {(1, 1, 5), (1, 2, 1), (1, 2, 2), (1, 2, 4), (2, 1, 5)}
+    assert {tuple(r) for r in resolve.in_places(places, assets, resolve.known_shapes(gpes)).select("item", "poly", "id").collect()} == {(1, 1, 5), (1, 2, 1), (1, 2, 2), (1, 2, 4), (2, 1, 5)}
     items = spark.createDataFrame([(i, dt.datetime(2020, 1, 1)) for i in (1, 2)], "item long, ts timestamp_ntz")
     tags = spark.createDataFrame([(1, i, "ownername") for i in (2, 3, 6)] + [(2, 5, "ownername")], "item long, id long, type string")
-    got = {r["item"]: [x["GeoAssetID"] for x in r["ref_match"]] for r in resolve.resolve(items, tags, assets, places, "2021-01-01").collect()}
+    got = {r["item"]: [x["GeoAssetID"] for x in r["ref_match"]] for r in resolve.resolve(items, tags, assets, places, "2021-01-01", resolve.known_shapes(gpes)).collect()}
     assert got == {1: [2], 2: [5]}
 
 
