@@ -3,14 +3,19 @@ most of a session agrees on."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from emberlane.operators.sessions import time_sessions
-from emberlane.session import ship
+from emberlane.session import materialize, ship
+
+MARK = "\x1f"  # between the events of a kind
 
 
 def similarity(pairs: DataFrame, corr: DataFrame) -> DataFrame:
@@ -67,27 +72,59 @@ def grouped(t: np.ndarray, kind: np.ndarray, like: np.ndarray, close: int) -> tu
     return np.maximum(last, kind_last[kind]), groups
 
 
+def changes(table: pa.Table, by: list[str]) -> np.ndarray:
+    """Where a row's values of by differ from those of the row before; nulls are equal."""
+    new = np.zeros(table.num_rows, bool)
+    new[:1] = True
+    for name in by:
+        c = table.column(name).combine_chunks()
+        x, y = c.slice(1), c.slice(0, len(c) - 1)
+        same = pc.or_(pc.fill_null(pc.equal(x, y), False), pc.and_(pc.is_null(x), pc.is_null(y)))
+        new[1:] |= ~same.to_numpy(zero_copy_only=False)
+    return new
+
+
+def whole_groups(batches: Iterable[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
+    """Batches sorted by by, recut so that no group is split."""
+    held: pa.Table | None = None
+    for b in batches:
+        held = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+        cut = int(np.flatnonzero(changes(held, by))[-1]) if held.num_rows else 0
+        if cut:
+            yield held.slice(0, cut)
+            held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield held
+
+
 def subsplit(items: DataFrame, by: list[str], ts: str, item: str, events: str, corr: dict[tuple[str, str], float], threshold: float, close_seconds: float) -> DataFrame:
     """(by, item, sub, subs): greedy groups within each group of by. Assignment depends
     on order, so a group of by is one task's; but items of one time and the same
     events always fare alike, so a row for each such pair is all that goes there.
     corr is a vocabulary's matrix, of fixed size."""
-    tags = F.sort_array(F.coalesce(events, F.array().cast("array<string>")))
+    tags = F.array_join(F.sort_array(F.coalesce(events, F.array().cast("array<string>"))), MARK)
     rows = items.select(*by, ts, item, tags.alias("_tags"))
     distinct = rows.groupBy(*by, ts, "_tags").agg(F.min(item).alias("_item"))
-    schema = distinct.drop("_item").schema.simpleString()[7:-1] + ",sub:int,subs:int"
-
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values([ts, "_item"], ignore_index=True)
-        t = df[ts].astype("datetime64[us]").astype("int64").to_numpy()
-        seen: dict[tuple[str, ...], int] = {}
-        kind = np.array([seen.setdefault(tuple(x), len(seen)) for x in df["_tags"]])
-        sub, n = grouped(t, kind, alike(list(seen), corr, threshold), round(close_seconds * 1e6))
-        return df[[*by, ts, "_tags"]].assign(sub=sub, subs=n)
+    keys = [*by, ts, "_tags"]
+    schema = distinct.select(*keys).withColumns({"sub": F.lit(0), "subs": F.lit(0)}).schema
+    close = round(close_seconds * 1e6)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, by):
+            t = table.column(ts).cast(pa.timestamp("us")).cast(pa.int64()).to_numpy()
+            coded = table.column("_tags").combine_chunks().dictionary_encode()
+            kinds, kind = [tuple(x.split(MARK)) if x else () for x in coded.dictionary.to_pylist()], coded.indices.to_numpy()
+            like = alike(kinds, corr, threshold)
+            sub, subs = np.zeros(len(t), np.int32), np.ones(len(t), np.int32)
+            starts = np.append(np.flatnonzero(changes(table, by)), len(t))
+            for a, z in zip(starts, starts[1:]):
+                if z - a > 1:
+                    some, mine = np.unique(kind[a:z], return_inverse=True)
+                    sub[a:z], subs[a:z] = grouped(t[a:z], mine, like[np.ix_(some, some)], close)
+            yield from table.select(keys).append_column("sub", pa.array(sub)).append_column("subs", pa.array(subs)).to_batches()
 
     ship(items.sparkSession)
-    found = distinct.groupBy(*by).applyInPandas(run, schema)
-    keys = [*by, ts, "_tags"]
+    found = distinct.repartition(*by).sortWithinPartitions(*by, ts, "_item").mapInArrow(run, schema)
     told = found.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "sub", "subs")
     return rows.join(told, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]).select(*by, item, "sub", "subs")
 
@@ -112,7 +149,7 @@ def clustered(items: DataFrame, corr: dict[tuple[str, str], float], gap: str, cl
     """item, cluster_id (country-number), ref_match_cl (ids). items: item, country,
     ts, ids (sorted array), events (array). An item of a mixed session that shares
     no id with its unambiguous items has a null cluster."""
-    s = time_sessions(items, "country", "ts", "item", gap)
+    s = materialize(time_sessions(items.select("item", "country", "ts", "ids", "events"), "country", "ts", "item", gap), "sessions")  # read several times
     by = ["country", "session"]
     kinds = session_kinds(s, by, "ids")
     s = s.join(kinds, by)

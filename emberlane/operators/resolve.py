@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from emberlane.functions import geo
 from emberlane.functions.text import confidence
+from emberlane.session import materialize
 
 CELL = 1.0  # degrees of the grid that polygons and points meet on
 
@@ -87,6 +88,8 @@ def resolve(items: DataFrame, tags: DataFrame, assets: DataFrame, places: DataFr
     type; assets: id, name, begin, end (lon, lat); places: item, place, shape, with
     shapes: shape, polygons; without shapes, places carry polygons or rings."""
     flagged = flags(tags)
+    if places is not None:
+        flagged = materialize(flagged, "flagged")  # read several times
     sets = staged(flagged)
     if places is not None:
         links, shapes = (places, shapes) if shapes is not None else normal(places)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +10,7 @@ from pyspark.sql import functions as F
 from emberlane.functions import text as X
 from emberlane.operators import entities, gazetteer, merge, tagging
 from emberlane.plans.catalog import query, table
+from emberlane.session import shared_dir
 from emberlane.sources import files, search
 
 KEYWORDS = ["the", "que", "that", "est", "de la", "für"]
@@ -254,8 +253,7 @@ def hashtag_any(spark, sf_dir):
 
 @query("select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")
 def csv_roundtrip(spark, sf_dir):
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp()
-    path = f"{shared}/csv-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
     files.write_csv(table(spark, sf_dir, "supplier"), path)
     return files.read_csv(spark, path, "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double")
 
@@ -307,8 +305,7 @@ def place_aliases(spark, sf_dir):
 
 @query("select r_name as region, r_regionkey::bigint as n from region")
 def kept_table(spark, sf_dir):
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp()
-    path = os.path.join(shared, f"kept-{uuid.uuid4().hex}")
+    path = f"{shared_dir(spark)}/kept-{uuid.uuid4().hex}"
     build = lambda: table(spark, sf_dir, "region").select(F.col("r_name").alias("region"), F.col("r_regionkey").cast("long").alias("n"))
     files.kept(spark, path, build)
     return files.kept(spark, path, build)

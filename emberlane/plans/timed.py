@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 
 from emberlane.operators import clusters, correlation, sessions
 from emberlane.plans.catalog import query, table
+from emberlane.session import shared_dir
 from emberlane.sources import files
 
 EVENTS = ["cart", "click", "purchase", "search", "view"]
@@ -70,8 +70,7 @@ def corr_positive_mean(spark, sf_dir):
 
 @query(f"with {_DAILY}, {_CORR}, {_MEAN} select event_a, event_b, round(corr, 6) corr from p")
 def corr_unpivot(spark, sf_dir):
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp()
-    path = f"{shared}/matrix-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/matrix-{uuid.uuid4().hex}"
     wide = correlation.pivoted(correlation.positive_mean(corr(spark, sf_dir)), vocabulary(spark, sf_dir))
     files.write_csv(wide.withColumnRenamed("event_a", "label"), path)
     return files.read_matrix(spark, path).withColumn("corr", F.round("corr", 6))
