@@ -28,16 +28,6 @@ def phrase(text: Column, name: Column) -> Column:
     return F.contains(F.collate(text, "UNICODE_CI_AI"), F.collate(name, "UNICODE_CI_AI"))
 
 
-def first_token(name: Column) -> Column:
-    """The run of ASCII word characters a name begins with; '' if it begins otherwise."""
-    return F.lower(F.regexp_extract(name, "^[A-Za-z0-9_]+", 0))
-
-
-def tokens(text: Column) -> Column:
-    """Distinct runs of ASCII word characters, in lower case."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit("[A-Za-z0-9_]+"), 0), F.lower))
-
-
 def without_parentheses(s: Column) -> Column:
     return F.btrim(F.regexp_replace(s, "[(].*?[)]", ""))
 

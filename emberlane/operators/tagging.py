@@ -1,68 +1,183 @@
-"""Tags texts with the names of a gazetteer.
-
-Whole-word names that begin with an ASCII word character are found by their
-first token. Up to BLOCK names, the texts' tokens are intersected with the
-names' before anything is exploded; beyond, (item, token) pairs without texts
-are joined on the token, and only names of more than one token are looked up in
-their candidates' texts. Other names, and substrings and phrases, can only be
-held against every text: such names are broadcast in blocks of a counted size,
-one block after another.
-"""
+"""Tags texts with the names of a gazetteer: all names in one pass over a text.
 
-from __future__ import annotations
+Names, in blocks of BLOCK at most, go to the tasks as an automaton (Aho-Corasick)
+with the rows that carry them; each text is read once per block however many names
+there are, and no text meets a name that it does not hold. Nothing is shuffled.
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+Ways to look for a name:
+- word: as a whole word, past case. Borders are those of ASCII word characters.
+- exact: as a whole word in this spelling.
+- part: anywhere, past case.
+- phrase: anywhere, past case and accents.
 
-from emberlane.functions import text as X
+Defined cases: a null or empty text holds no name; a null or empty name is in no
+text; rows that repeat a name are all found; names are taken literally.
+"""
 
-BLOCK = 2000  # names that one broadcast holds against the texts
+from __future__ import annotations
 
+import hashlib
+import unicodedata
+from collections.abc import Iterator
 
-def _blocks(names: DataFrame) -> list[DataFrame]:
-    """names in parts of about BLOCK rows, by a hash of the name."""
+import ahocorasick
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from emberlane.session import ship
+
+BLOCK = 50_000  # rows of names that a task holds
+WORD = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_")
+# Letters that have no decomposition but differ from others by a stroke alone.
+STROKES = {"ø": "o", "đ": "d", "ħ": "h", "ł": "l", "ŧ": "t", "æ": "ae", "œ": "oe", "ı": "i"}
+
+
+class _Same(dict):
+    """Code points to what they are past case; always one character."""
+
+    def __missing__(self, c: int) -> str:
+        upper = chr(c).upper()
+        one = upper if len(upper) == 1 else chr(c)
+        lower = one.lower()
+        self[c] = lower if len(lower) == 1 else one
+        return self[c]
+
+
+class _Bare(dict):
+    """Code points of decomposed text to what is left without accents."""
+
+    def __missing__(self, c: int) -> str:
+        self[c] = "" if unicodedata.category(chr(c)) == "Mn" else STROKES.get(chr(c), chr(c))
+        return self[c]
+
+
+_same, _bare = _Same(), _Bare()
+
+
+def past_case(s: str) -> str:
+    return s.lower() if s.isascii() else s.translate(_same)
+
+
+def past_accents(s: str) -> str:
+    return s.lower() if s.isascii() else unicodedata.normalize("NFD", s.casefold()).translate(_bare)
+
+
+class Finder:
+    """Automata of a block of names: (spelling, way) of each row."""
+
+    def __init__(self, names: list[tuple[str | None, str]]):
+        held: dict[bool, dict[str, dict[tuple[str, str], list[int]]]] = {False: {}, True: {}}
+        for row, (name, way) in enumerate(names):
+            if name:
+                phrase = way == "phrase"
+                form = past_accents(name) if phrase else past_case(name)
+                if form:
+                    held[phrase].setdefault(form, {}).setdefault((name if way == "exact" else "", way), []).append(row)
+        self.automata = {}
+        for phrase, forms in held.items():
+            if forms:
+                self.automata[phrase] = a = ahocorasick.Automaton()
+                for form, wanted in forms.items():
+                    a.add_word(form, (len(form), [(name, way, rows) for (name, way), rows in wanted.items()]))
+                a.make_automaton()
+
+    def rows(self, text: str, found: set[int]) -> None:
+        """Adds the rows of the names that the text holds."""
+        if (a := self.automata.get(True)) is not None:
+            for _, (_, wanted) in a.iter(past_accents(text)):
+                for _, _, rows in wanted:
+                    found.update(rows)
+        if (a := self.automata.get(False)) is not None:
+            n = len(text)
+            for last, (size, wanted) in a.iter(past_case(text)):
+                whole = None
+                for name, way, rows in wanted:
+                    if rows[0] in found:
+                        continue
+                    if way != "part":
+                        if whole is None:
+                            at, end = last - size + 1, last + 1
+                            before, after = at > 0 and text[at - 1] in WORD, end < n and text[end] in WORD
+                            whole = before != (text[at] in WORD) and after != (text[last] in WORD)
+                        if not whole or (way == "exact" and text[at:end] != name):
+                            continue
+                    found.update(rows)
+
+
+_finders: dict[str, Finder] = {}
+
+
+def finder(names: list[tuple[str | None, str]]) -> Finder:
+    """Made once per worker and block; only the last few blocks stay."""
+    key = hashlib.md5(repr(names).encode()).hexdigest()
+    if key not in _finders:
+        while len(_finders) > 3:
+            _finders.pop(next(iter(_finders)))
+        _finders[key] = Finder(names)
+    return _finders[key]
+
+
+def _blocks(names: DataFrame) -> list[pa.Table]:
+    """The rows of names, in parts of about BLOCK by a hash of the name."""
+    first = names.limit(BLOCK + 1).toArrow()
+    if first.num_rows <= BLOCK:
+        return [first]
     n = -(-names.count() // BLOCK)
-    return [names] if n <= 1 else [names.where(F.pmod(F.xxhash64("match"), F.lit(n)) == i) for i in range(n)]
-
-
-def held_against(items: DataFrame, names: DataFrame, condition: Column) -> DataFrame:
+    return [names.where(F.pmod(F.xxhash64("match"), F.lit(n)) == i).toArrow() for i in range(n)]
+
+
+def _held(items: DataFrame, block: pa.Table, schema: T.StructType) -> DataFrame:
+    spelled = list(zip(block.column("_as").to_pylist(), block.column("_way").to_pylist()))
+    carried = block.drop_columns(["_as", "_way"]).combine_chunks()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = finder(spelled)
+        for b in batches:
+            places, rows = [], []
+            columns = [c.to_pylist() for c in b.columns[1:]]
+            for i in range(b.num_rows):
+                found: set[int] = set()
+                for c in columns:
+                    for text in c[i] if isinstance(c[i], list) else (c[i],):
+                        if text:
+                            look.rows(text, found)
+                places += [i] * len(found)
+                rows += sorted(found)
+            told = carried.take(pa.array(rows, pa.int64()))
+            if rows:
+                yield from pa.Table.from_arrays([pa.chunked_array([b.column(0).take(pa.array(places, pa.int64()))]), *told.columns], ["item", *told.column_names]).combine_chunks().to_batches()
+
+    ship(items.sparkSession)
+    return items.mapInArrow(run, schema)
+
+
+def found(items: DataFrame, names: DataFrame, texts: list[str], ways: Column, spelled: Column | None = None) -> DataFrame:
+    """(item, names' columns) where one of the item's texts (strings, or arrays of
+    them) holds the name, looked for in one of its ways (an array), as its column
+    match or as spelled. One row for each item and row of names."""
+    known = names.withColumn("_as", F.col("match") if spelled is None else spelled).withColumn("_way", F.explode(ways))
+    schema = T.StructType([items.schema["item"], *names.schema.fields])
     out = None
-    for part in _blocks(names):
-        found = items.join(F.broadcast(part), condition)
-        out = found if out is None else out.unionByName(found)
+    for block in _blocks(known):
+        part = _held(items.select("item", *texts), block, schema)
+        out = part if out is None else out.unionByName(part)
     return out
 
 
 def whole_words(items: DataFrame, names: DataFrame, texts: list[str], case_sensitive: bool = False) -> DataFrame:
     """(item, names' columns) where one of the item's texts holds the name as a whole word."""
-    items = items.select("item", F.concat_ws("\n", *texts).alias("_all"))
-    keyed = names.withColumn("_token", X.first_token(F.col("match")))
-    begin, others = keyed.where("_token <> ''"), keyed.where("_token = ''").drop("_token")
-    sure = F.lower("match") == F.col("_token") if not case_sensitive else F.lit(False)
-    holds = X.whole_word(F.col("_all"), F.col("match"), case_sensitive)
-    first = [r[0] for r in begin.select("_token").distinct().limit(BLOCK + 1).collect()]
-    if len(first) <= BLOCK:
-        met = F.array_intersect(X.tokens(F.col("_all")), F.array(*[F.lit(t) for t in first]).cast("array<string>"))
-        found = items.select("item", "_all", F.explode(met).alias("_token")).join(begin, "_token").where(sure | holds).select("item", *names.columns)
-    else:
-        pairs = items.select("item", F.explode(X.tokens(F.col("_all"))).alias("_token")).join(begin, "_token").withColumn("_sure", sure)
-        checked = pairs.where("not _sure").join(items, "item").where(holds)
-        found = pairs.where("_sure").select("item", *names.columns).unionByName(checked.select("item", *names.columns))
-    if others.isEmpty():
-        return found
-    return found.unionByName(held_against(items, others, holds).select("item", *names.columns))
-
-
-def contained(items: DataFrame, names: DataFrame, texts: list[str], test=X.substring) -> DataFrame:
-    condition = F.lit(False)
-    for t in texts:
-        condition = condition | F.coalesce(test(F.col(t), F.col("match")), F.lit(False))
-    return held_against(items.select("item", *texts), names, condition).select("item", *names.columns)
+    return found(items, names, texts, F.array(F.lit("exact" if case_sensitive else "word")))
+
+
+def contained(items: DataFrame, names: DataFrame, texts: list[str], way: str = "part") -> DataFrame:
+    return found(items, names, texts, F.array(F.lit(way)))
 
 
 def refname_tags(items: DataFrame, names: DataFrame, texts: list[str]) -> DataFrame:
     """Whole word, or phrase past case and accents."""
-    return whole_words(items, names, texts).unionByName(contained(items, names, texts, X.phrase)).distinct()
+    return found(items, names, texts, F.array(F.lit("word"), F.lit("phrase"))).distinct()
 
 
 city_tags = refname_tags
@@ -71,23 +186,17 @@ city_tags = refname_tags
 def owner_tags(items: DataFrame, names: DataFrame, texts: list[str]) -> DataFrame:
     """Names under 8 characters as whole words, others as substrings, those over
     10 also past accents; 'Total' only as Total or TOTAL."""
-    total = F.lower("match") == "total"
-    n = F.length("match")
-    spellings = names.where(total).select(*[c for c in names.columns if c != "match"], F.explode(F.array(F.lit("Total"), F.lit("TOTAL"))).alias("_as"), F.col("match"))
-    exact = whole_words(items, spellings.withColumnRenamed("match", "_match").withColumnRenamed("_as", "match"), texts, True).drop("match").withColumnRenamed("_match", "match").select("item", *names.columns)
-    short = whole_words(items, names.where(~total & (n < 8)), texts)
-    long = contained(items, names.where(~total & (n >= 8)), texts)
-    past = contained(items, names.where(~total & (n > 10)), texts, X.phrase)
-    return exact.unionByName(short).unionByName(long).unionByName(past).distinct()
+    total, n = F.lower("match") == "total", F.length("match")
+    way = lambda *ways: F.array(*[F.lit(w) for w in ways])
+    ways = F.when(total, way("exact")).when(n < 8, way("word")).when(n > 10, way("part", "phrase")).otherwise(way("part"))
+    spelled = names.withColumn("_spelled", F.explode(F.when(total, F.array(F.lit("Total"), F.lit("TOTAL"))).otherwise(F.array("match"))))
+    return found(items, spelled, texts, ways, F.col("_spelled")).select("item", *names.columns).distinct()
 
 
 def event_tags(items: DataFrame, keywords: DataFrame, texts: list[str], hashtags: str | None = None) -> DataFrame:
     """Keywords in the texts as whole words, or inside one of the hashtags."""
     out = whole_words(items, keywords, texts)
-    if hashtags:
-        inside = F.exists(hashtags, lambda h: F.contains(F.lower(h), F.lower("match")))
-        out = out.unionByName(held_against(items.select("item", hashtags), keywords, inside).select("item", *keywords.columns))
-    return out.distinct()
+    return (out.unionByName(contained(items, keywords, [hashtags])) if hashtags else out).distinct()
 
 
 def collected(items: DataFrame, tags: DataFrame, field: str, value: Column) -> DataFrame:

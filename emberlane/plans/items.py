@@ -73,7 +73,7 @@ def kw_case_sensitive(spark, sf_dir):
 
 @query("select match, count(*)::bigint n_items from documents, (values ('etre'), ('FÜR D'), ('ecole'), ('nan o')) k(match) where contains(lower(strip_accents(text)), lower(strip_accents(match))) group by match")
 def phrase_accent(spark, sf_dir):
-    return tagging.contained(docs(spark, sf_dir), strings(spark, ["etre", "FÜR D", "ecole", "nan o"], "match"), ["text"], X.phrase).groupBy("match").agg(F.count("*").alias("n_items"))
+    return tagging.contained(docs(spark, sf_dir), strings(spark, ["etre", "FÜR D", "ecole", "nan o"], "match"), ["text"], "phrase").groupBy("match").agg(F.count("*").alias("n_items"))
 
 
 @query(f"select doc_id, count(*)::bigint n_tags, string_agg(match, ',' order by match) tags from documents, {_K} where regexp_matches(text, {_RE}) group by doc_id")

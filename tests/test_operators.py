@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 import random
+import re
+import unicodedata
 
 import numpy as np
 import pytest
@@ -62,6 +64,32 @@ def test_many_names_give_the_same_tags(spark, monkeypatch):
     assert values(tagging.refname_tags(items, names, ["text"]), "item", "match") == want == [(0, "el paso"), (0, "fire"), (1, "smoke")]
 
 
+def test_names_against_patterns(spark, monkeypatch):
+    """All ways to look for names, against a pattern or a containment for each pair."""
+    rng = random.Random(2)
+    letters = ["a", "B", "é", "_", " ", ".", "ß", "Z", "1"]
+    some = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    items = [(i, some(rng.choice([0, 3, 12, 30]))) for i in range(120)] + [(200, None)]
+    names = sorted({(some(rng.choice([1, 2, 3])), w) for _ in range(80) for w in ("word", "exact", "part", "phrase")}) + [("", "part"), (None, "word")]
+    border = "(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
+    bare = lambda s: "".join(c for c in unicodedata.normalize("NFD", s.casefold()) if unicodedata.category(c) != "Mn")
+
+    def holds(t, name, way):
+        if not t or not name:
+            return False
+        if way == "phrase":
+            return bare(name) in bare(t)
+        p = re.escape(name) if way == "part" else border + re.escape(name) + border
+        return bool(re.search(p, t, 0 if way == "exact" else re.IGNORECASE))
+
+    want = sorted((i, n, w) for i, t in items for n, w in names if holds(t, n, w))
+    texts, known = spark.createDataFrame(items, "item long, text string"), spark.createDataFrame(names, "match string, way string")
+    for block in (50_000, 40):
+        monkeypatch.setattr(tagging, "BLOCK", block)
+        assert values(tagging.found(texts, known, ["text"], F.array("way")), "item", "match", "way") == want
+    assert len(want) > 300
+
+
 def test_owner_overlap(spark):
     tag = "array<struct<id:bigint,initial:string,match:string,type:string>>"
     df = spark.createDataFrame([([(7, "Total", "total", "ownername"), (9, "SAT", "saudi aramco total", "ownername")],), ([(7, "Total", "total", "ownername")],)], f"t {tag}")
