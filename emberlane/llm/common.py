@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -11,38 +10,45 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlane.session import ship
+from emberlane.session import materialize, ship
+
+__all__ = ["materialize"]  # for the operators
 
 # Words are maximal runs of anything but these six ASCII characters.
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = r"[\x20\x09-\x0D]+"
 
-_own_dir: list[str] = []
+
+def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """mapInArrow, with this package on the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster shares (spark.checkpoint.dir). Only where that is
-    unset, as in tests on one machine, a temporary folder is made."""
-    set_to = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if set_to:
-        return set_to.rstrip("/")
-    if not _own_dir:
-        _own_dir.append("file://" + tempfile.mkdtemp(prefix="emberlane-"))
-    return _own_dir[0]
+HEAVY = 10_000
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Writes df to a table in the shared folder and reads that: lineage ends
-    there, and a lost executor costs no recomputation of what came before."""
-    path = f"{shared_dir(df.sparkSession)}/emberlane/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def heavy_join(left: DataFrame, right: DataFrame, on: str, size: str, total: int, how: str = "inner") -> DataFrame:
+    """left joined with right, which has one row per value of on and, in size, how many
+    rows of left hold it (size is left out of the result). Values that more than a
+    HEAVYth of left's total rows hold are fewer than HEAVY, however large the input:
+    their rows of right are broadcast, so that no task gathers a heavy value's rows of
+    left. The others meet by a shuffle. The values of the largest size always count
+    as heavy (HEAVY of them at most), so plans are alike whatever the data. A null
+    value meets nothing. right is read several times and should be a written table."""
+    most = right.agg(F.max(size)).first()[0] or 0
+    known = right.where((F.col(size) * HEAVY > total)).select(on).unionByName(right.where(F.col(size) == most).select(on).limit(1)).distinct()
+    heavy = right.join(F.broadcast(known), on, "left_semi").drop(size)
+    first = left.join(F.broadcast(heavy), on)
+    return first.unionByName(left.join(F.broadcast(known), on, "left_anti").join(right.join(F.broadcast(known), on, "left_anti").drop(size), on, how))
 
 
-def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
-    """mapInArrow, with this package on the workers."""
-    ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+def let_go(spark: SparkSession) -> None:
+    """Shuffle files of steps whose results are written are of no more use; Spark's
+    cleaner deletes them once the driver's collector has met their plans, which it
+    otherwise may not for half an hour (spark.cleaner.periodicGC.interval)."""
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

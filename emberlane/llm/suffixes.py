@@ -6,7 +6,8 @@ windows.py). What could be equal in a bucket is sorted as suffixes: mergesort
 whose comparisons find the common extension of two suffixes by binary search
 over prefix polynomial hashes, in log2(200) steps, and then look at one byte.
 Neighbours in that order whose common extension reaches 200 bytes are compared
-byte for byte, so a collision of hashes marks nothing.
+byte for byte, so a collision of hashes marks nothing. Windows of minimizers with
+over HOT occurrences are dealt one by one and compared by a cryptographic digest.
 
 Defined cases: a null text is empty; texts under 200 bytes lose nothing;
 strings never cross documents; rows that repeat a doc_id are documents apart,

@@ -5,7 +5,8 @@ Consecutive windows that share a minimizer (of MINIMIZER words) travel as one
 packed string, words joined by one space, to the minimizer's bucket. There the
 windows are cut out of the strings again, sorted, and runs of equal windows are
 compared by document, byte for byte. See windows.py for how the strings of
-windows that are proven unique stay at home and how common ones are dealt.
+windows that are proven unique stay at home, and how windows of common minimizers
+are dealt one by one, which are compared by a cryptographic digest.
 
 Defined cases: a null text has no words; texts under 13 words lose nothing;
 rows that repeat a doc_id are judged apart, and no row's windows make those of

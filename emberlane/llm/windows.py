@@ -11,37 +11,44 @@ windows with the same minimizer are one super-k-mer.
    and sends a single witness, so a common one costs a row per batch.
 2. Documents with repeated minimizers cut those super-k-mers out and send each
    as one packed string to its minimizer's bucket; equal strings of one batch
-   are settled there too. For minimizers with more than HOT holders, whose
+   are settled there too, and a string that one document holds in many places is
+   one row with those places. For minimizers with more than HOT occurrences, whose
    strings differ by what surrounds a common passage, every window travels by
-   itself as a 128-bit digest under a key of its own: no bucket gathers more
-   than one window's holders, a few per batch.
+   itself under a key of its own, the first half of its 128-bit BLAKE2b digest: no
+   bucket gathers more than one window's holders, a few per batch. Strings are
+   compared by their bytes, and such windows by that digest, which is
+   cryptographic: two that differ and share one are not known for any input.
 3. Buckets compare windows exactly and return marked ranges, which meet their
-   documents again by (doc_id, hash of the text).
+   documents again by doc_id and a 64-bit hash of the text.
 
-Everything that is kept between steps is in the shared folder.
+Everything that is kept between steps is in the shared folder. The texts are dealt
+by document once and kept in buckets of that dealing, where both the asked
+minimizers and the marks find them.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlane.llm.common import map_arrow, materialize, mix64, slices, utf8, whole_groups
+from emberlane.llm.common import heavy_join, let_go, map_arrow, materialize, mix64, slices, utf8, whole_groups
 from emberlane.llm.textarrays import Spans
+from emberlane.session import shared_dir
 
 NO_ID = (1 << 63) - 1  # stands for a null doc_id; after all others
-WITNESS = -(1 << 63)
+WITNESS, MORE = -(1 << 63), -(1 << 63) + 1  # stand for a document: several of them; more places in the one before
 HOT = 1000
 CHUNK = 1 << 21  # bytes of text in arrays at a time
 BUCKETS = 4  # per shuffle partition
-_POSITION = np.uint64(28)
+_POSITION = np.uint64(32)  # bits of a unit's place in a batch; a text has less than 2**31 bytes
 
 
 @dataclass
@@ -59,7 +66,7 @@ class Kind:
     span: int  # units of a minimizer
     ordered: bool  # only windows of smaller doc_ids count
     units: Callable[[np.ndarray, np.ndarray], Units]
-    hot: int = HOT  # holders of a minimizer beyond which windows travel one by one
+    hot: int = HOT  # occurrences of a minimizer beyond which windows travel one by one
 
 
 def superkmers(u: Units, kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Spans]:
@@ -102,11 +109,11 @@ def _lists(ends: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.ListAr
 
 
 def rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.hash("text").alias("th"), "text")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("th"), "text")
 
 
-_PACKED = "bucket int, settled boolean, keys array<long>, docs array<long>, ths array<int>"
-_FLAGGED = "key long, doc long, th int, n long"
+_PACKED = "bucket int, settled boolean, keys array<long>, docs array<long>, ths array<long>"
+_FLAGGED = "key long, doc long, th long, n long"
 
 
 def _minimizers(kind: Kind, buckets: int):
@@ -124,18 +131,19 @@ def _minimizers(kind: Kind, buckets: int):
                 other = new.copy()
                 other[1:] |= doc[1:] != doc[:-1]
                 run_of = np.cumsum(new) - 1
-                n = np.bincount(run_of[other]) if kind.ordered else np.bincount(run_of)
+                occurs = np.bincount(run_of)
+                n = np.bincount(run_of[other]) if kind.ordered else occurs
                 key, doc, run_of = key[other], doc[other], run_of[other]
                 many = n[run_of] > 1
-                bucket = (key >> np.uint64(40)).astype(np.int64) % buckets
                 lone = ~many
                 first = np.ones(len(key), bool)
                 first[1:] = run_of[1:] != run_of[:-1]
                 w = first & many  # a witness for each key that is settled here
-                out_key = np.concatenate([key[lone], key[w]])
-                out_doc = np.concatenate([ids[a + doc[lone]], np.full(w.sum(), WITNESS)])
-                out_th = np.concatenate([ths[a + doc[lone]], np.minimum(n[run_of[w]], 1 << 30).astype(np.int32)])
-                out_bucket = np.concatenate([bucket[lone], bucket[w]])
+                extra = lone & (occurs[run_of] > 1)  # only where one document is one holder
+                out_key = np.concatenate([key[lone], key[w], key[extra]])
+                out_doc = np.concatenate([ids[a + doc[lone]], np.full(w.sum(), WITNESS), np.full(extra.sum(), MORE)])
+                out_th = np.concatenate([ths[a + doc[lone]], occurs[run_of[w]], occurs[run_of[extra]] - 1])
+                out_bucket = (out_key >> np.uint64(40)).astype(np.int64) % buckets
                 order = np.argsort(out_bucket, kind="stable")
                 some, starts = np.unique(out_bucket[order], return_index=True)
                 ends = np.append(starts, len(order))
@@ -147,7 +155,7 @@ def _minimizers(kind: Kind, buckets: int):
                     parts.append((spread, np.ones(len(spread), bool), cuts, key[k], ids[a + doc[k]], ths[a + doc[k]]))
                 for bk, settled, e, kk, dd, tt in parts:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(bk, pa.int32()), pa.array(settled), _lists(e, kk.view(np.int64), pa.int64()), _lists(e, dd, pa.int64()), _lists(e, tt, pa.int32())], ["bucket", "settled", "keys", "docs", "ths"]
+                        [pa.array(bk, pa.int32()), pa.array(settled), _lists(e, kk.view(np.int64), pa.int64()), _lists(e, dd, pa.int64()), _lists(e, tt, pa.int64())], ["bucket", "settled", "keys", "docs", "ths"]
                     )
 
     return run
@@ -169,20 +177,20 @@ def _repeated(kind: Kind):
                 order = np.argsort(key, kind="stable")
                 key, doc, th = key[order], doc[order], th[order]
                 head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-                witness = doc == WITNESS
-                n = np.add.reduceat(np.where(witness, th, 1).astype(np.int64), head)
+                witness, more = doc == WITNESS, doc == MORE
+                holders = np.add.reduceat(np.where(witness, 2, np.where(more, 0, 1)), head)
+                n = np.add.reduceat(np.where(witness | more, th, 1), head)
                 size = np.diff(np.append(head, len(key)))
-                tell = np.repeat(n > 1, size) & ~witness
-                hot = n > kind.hot
+                tell = np.repeat(holders > 1, size) & ~witness & ~more
+                hot = (holders > 1) & (n > kind.hot)
                 yield pa.RecordBatch.from_arrays([pa.array(key[tell]), pa.array(doc[tell]), pa.array(th[tell]), pa.nulls(int(tell.sum()), pa.int64())], ["key", "doc", "th", "n"])
-                yield pa.RecordBatch.from_arrays([pa.array(key[head][hot]), pa.nulls(int(hot.sum()), pa.int64()), pa.nulls(int(hot.sum()), pa.int32()), pa.array(n[hot])], ["key", "doc", "th", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(key[head][hot]), pa.nulls(int(hot.sum()), pa.int64()), pa.nulls(int(hot.sum()), pa.int64()), pa.array(n[hot])], ["key", "doc", "th", "n"])
 
     return run
 
 
-_CUT = "key long, doc long, th int, start long, n int, many boolean, content binary"
-_CUT_NAMES = [x.split()[0] for x in _CUT.split(", ")]
-_CUT_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
+_CUT = "key long, doc long, th long, starts array<long>, n int, many boolean, content binary"
+_CUT_NAMES = ["key", "doc", "th", "starts", "n", "many", "content"]
 
 
 def _cut(kind: Kind):
@@ -212,47 +220,61 @@ def _cut(kind: Kind):
                 cold = np.flatnonzero(hit & ~hot)
                 if len(cold):
                     content = [u.cut(int(s), int(s + c - 1 + kind.width)) for s, c in zip(window[cold], n[cold])]
-                    yield settle(key[cold].view(np.int64), ids[a + doc[cold]], ths[a + doc[cold]], window[cold] - u.first[doc[cold]], n[cold], content, kind)
+                    yield settle(key[cold].view(np.int64), a + doc[cold], window[cold] - u.first[doc[cold]], n[cold], content, ids, ths, kind)
                 h = np.flatnonzero(hot)
                 if len(h):
                     each = np.repeat(window[h], n[h]) + np.arange(n[h].sum()) - np.repeat(np.cumsum(n[h]) - n[h], n[h])
-                    raw = spans.raw(each, each + kind.width)
-                    second = Spans.over(mix64(u.value.astype(np.uint64) + np.full(1, 0xA24BAED4963EE407, np.uint64))).raw(each, each + kind.width)
+                    digests = np.frombuffer(b"".join(hashlib.blake2b(u.cut(w, w + kind.width), digest_size=16).digest() for w in each.tolist()), np.uint64).reshape(-1, 2)
                     d = np.repeat(doc[h], n[h])
-                    yield settle_digests(mix64(raw), mix64(second), ids[a + d], ths[a + d], each - u.first[d], kind)
+                    yield settle_digests(digests[:, 0].copy(), digests[:, 1].copy(), a + d, each - u.first[d], ids, ths, kind)
 
     return run
 
 
-def settle(key, doc, th, start, n, content, kind: Kind) -> pa.RecordBatch:
+def _rows(key, row, starts, ends, n, many, content, ids, ths) -> pa.RecordBatch:
+    """Rows for the buckets; starts of all rows lie end to end."""
+    doc = np.where(many, WITNESS, ids[row])
+    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(doc, pa.int64()), pa.array(ths[row], pa.int64()), _lists(ends, starts, pa.int64()), pa.array(n, pa.int32()), pa.array(many), content], _CUT_NAMES)
+
+
+def settle(key, row, start, n, content, ids, ths, kind: Kind) -> pa.RecordBatch:
     """Leaves one string of equals in the batch. Ordered: those of the smallest
-    document stay, later ones are marked. Else all are marked and a witness stays."""
+    document stay, a row for each text with all its places, and later documents are
+    marked. Else all are marked and a witness stays. row: the text's place in the batch."""
     groups: dict[tuple[int, bytes], list[int]] = {}
     for i, c in enumerate(zip(key.tolist(), content)):
         groups.setdefault(c, []).append(i)
-    stay, marked, many = [], [], []
+    stay: list[list[int]] = []  # the places of each row that travels with its string
+    marked: list[list[int]] = []
+    many: list[bool] = []
     for at in groups.values():
         if len(at) == 1:
-            stay.append(at[0])
+            stay.append(at)
             many.append(False)
-        elif kind.ordered:
-            least = min(doc[i] for i in at)
-            for i in at:
-                if doc[i] == least:
-                    stay.append(i)
+            continue
+        texts: dict[int, list[int]] = {}
+        for i in at:
+            texts.setdefault(int(row[i]), []).append(i)
+        if kind.ordered:
+            least = min(ids[r] for r in texts)
+            for r, mine in texts.items():
+                if ids[r] == least:
+                    stay.append(mine)
                     many.append(False)
                 else:
-                    marked.append(i)
+                    marked.append(mine)
         else:
-            marked += at
-            stay.append(at[0])
+            marked += texts.values()
+            stay.append(at[:1])
             many.append(True)
-    i = np.array(stay + marked, np.int64)
-    m = np.array(many + [False] * len(marked), bool)
-    spread = mix64(doc[i].astype(np.uint64) + start[i].astype(np.uint64) * np.full(1, 0x9E3779B97F4A7C15, np.uint64)).view(np.int64)
-    settled = np.arange(len(i)) >= len(stay)
-    columns = [np.where(settled, spread, key[i]), np.where(m, WITNESS, doc[i]), th[i], start[i], n[i], m, [None if s else content[k] for k, s in zip(i, settled)]]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _CUT_TYPES)], _CUT_NAMES)
+    out = stay + marked
+    i = np.array([x[0] for x in out], np.int64)
+    flat = np.array([j for x in out for j in x], np.int64)
+    ends = np.cumsum([0, *map(len, out)])
+    settled = np.arange(len(out)) >= len(stay)
+    spread = mix64(row[i].astype(np.uint64) + start[i].astype(np.uint64) * np.full(1, 0x9E3779B97F4A7C15, np.uint64)).view(np.int64)
+    told = pa.array([None if s else content[k] for k, s in zip(i.tolist(), settled)], pa.binary())
+    return _rows(np.where(settled, spread, key[i]), row[i], start[flat], ends, n[i], np.array(many + [False] * len(marked), bool), told, ids, ths)
 
 
 def in_runs(row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -266,10 +288,10 @@ def in_runs(row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row[head], place[head], place[last] - place[head] + 1
 
 
-def repeats(hi: np.ndarray, lo: np.ndarray, doc: np.ndarray, many: np.ndarray, kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeats(hi: np.ndarray, lo: np.ndarray, doc: np.ndarray, many: np.ndarray, kind: Kind, row: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of windows by their digests: the order that brings equals together, where
     their runs begin in it, and (in that order) which windows are repeats."""
-    order = np.lexsort((doc, lo, hi))
+    order = np.lexsort((doc, lo, hi) if row is None else (row, doc, lo, hi))
     h, l = hi[order], lo[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (l[1:] != l[:-1])
@@ -281,28 +303,30 @@ def repeats(hi: np.ndarray, lo: np.ndarray, doc: np.ndarray, many: np.ndarray, k
     return order, head, (count[run] > 1) & (doc[order] != WITNESS)
 
 
-def settle_digests(hi, lo, doc, th, start, kind: Kind) -> pa.RecordBatch:
+def settle_digests(hi, lo, row, start, ids, ths, kind: Kind) -> pa.RecordBatch:
     """As settle(), for windows that travel one by one."""
-    order, head, gone = repeats(hi, lo, doc, np.zeros(len(hi), bool), kind)
-    gone_at = order[gone]
-    stay = order[~gone]
-    many = np.zeros(len(stay), bool)
+    doc = ids[row]
+    order, head, gone = repeats(hi, lo, doc, np.zeros(len(hi), bool), kind, row)
+    gone_at, stay = order[gone], order[~gone]
+    # a text's places of one window are one row
+    new = np.ones(len(stay), bool)
+    new[1:] = (hi[stay[1:]] != hi[stay[:-1]]) | (lo[stay[1:]] != lo[stay[:-1]]) | (row[stay[1:]] != row[stay[:-1]])
+    heads = np.flatnonzero(new)
+    sizes = np.diff(np.append(heads, len(stay)))
+    rep, flat, many = stay[heads], stay, np.zeros(len(heads), bool)
     if not kind.ordered and len(gone_at):
         witness = order[head[gone[head]]]
-        stay, many = np.concatenate([stay, witness]), np.concatenate([many, np.ones(len(witness), bool)])
-    # a text is told by its doc_id and hash; rows that repeat both have the same windows
-    text = mix64(doc.astype(np.uint64) + th.astype(np.int64).astype(np.uint64) * np.full(1, 0x9E3779B97F4A7C15, np.uint64)).view(np.int64)
-    row, first, count = in_runs(text[gone_at], start[gone_at])
-    by = np.argsort(text[gone_at], kind="stable")
-    at = gone_at[by[np.searchsorted(text[gone_at][by], row)]] if len(row) else gone_at[:0]
-    spread = mix64(row.view(np.uint64) + first.astype(np.uint64)).view(np.int64)
-    digest = lo[stay].tobytes()  # the key is the other half
-    content = pa.concat_arrays([pa.array([digest[i : i + 8] for i in range(0, len(digest), 8)], pa.binary()), pa.nulls(len(row), pa.binary())])
-    columns = [
-        np.concatenate([mix64(hi[stay] + np.uint64(1)).view(np.int64), spread]), np.concatenate([np.where(many, WITNESS, doc[stay]), doc[at]]), np.concatenate([th[stay], th[at]]),
-        np.concatenate([start[stay], first]), np.concatenate([np.ones(len(stay), np.int64), count]), np.concatenate([many, np.zeros(len(row), bool)]),
-    ]
-    return pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(columns, _CUT_TYPES)], content], _CUT_NAMES)
+        rep, flat = np.concatenate([rep, witness]), np.concatenate([flat, witness])
+        sizes, many = np.concatenate([sizes, np.ones(len(witness), np.int64)]), np.concatenate([many, np.ones(len(witness), bool)])
+    text, first, count = in_runs(row[gone_at], start[gone_at])
+    spread = mix64(text.astype(np.uint64) + first.astype(np.uint64) * np.full(1, 0x9E3779B97F4A7C15, np.uint64)).view(np.int64)
+    half = lo[rep].tobytes()  # the key is the other half
+    content = pa.concat_arrays([pa.array([half[i : i + 8] for i in range(0, len(half), 8)], pa.binary()), pa.nulls(len(text), pa.binary())])
+    ends = np.concatenate([[0], np.cumsum(np.concatenate([sizes, np.ones(len(text), np.int64)]))])
+    return _rows(
+        np.concatenate([hi[rep].view(np.int64), spread]), np.concatenate([row[rep], text]), np.concatenate([start[flat], first]), ends,
+        np.concatenate([np.ones(len(rep), np.int64), count]), np.concatenate([many, np.zeros(len(text), bool)]), content, ids, ths,
+    )
 
 
 def _marks(kind: Kind, compare: Callable):
@@ -311,7 +335,8 @@ def _marks(kind: Kind, compare: Callable):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, "key"):
-            key, doc, th, start, n, many = (t.column(c).to_numpy() for c in ("key", "doc", "th", "start", "n", "many"))
+            key, doc, th, n, many = (t.column(c).to_numpy() for c in ("key", "doc", "th", "n", "many"))
+            starts = t.column("starts").combine_chunks()
             column = t.column("content").combine_chunks()
             size = pc.fill_null(pc.binary_length(column), -1).to_numpy(zero_copy_only=False)
             settled = np.flatnonzero(size < 0)
@@ -350,12 +375,26 @@ def _marks(kind: Kind, compare: Callable):
                 out.append(in_runs(*(np.array(x, np.int64) for x in zip(*found))))
             i, first, count = (np.concatenate(x) for x in zip(*out))
             if len(i):
-                a = start[i] + first
+                # every place of the row's windows
+                offsets, flat = starts.offsets.to_numpy().astype(np.int64), starts.values.to_numpy()
+                size = offsets[i + 1] - offsets[i]
+                at = np.repeat(offsets[i] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                i, first, count = (np.repeat(x, size) for x in (i, first, count))
+                a = flat[at] + first
                 yield pa.RecordBatch.from_arrays([pa.array(doc[i]), pa.array(th[i]), pa.array(a), pa.array(a + count - 1 + kind.width)], ["doc", "th", "a", "z"])
 
     return run
 
 
+def dealt(df: DataFrame, tag: str, n: int, *by: str) -> DataFrame:
+    """Writes df to a table in n buckets of by in the shared folder and reads that:
+    joins on by do not move it again."""
+    spark: SparkSession = df.sparkSession
+    name = f"emberlane_{tag}_{uuid.uuid4().hex}"
+    df.write.format("parquet").option("path", f"{shared_dir(spark)}/{name}").option("compression", "zstd").bucketBy(n, *by).saveAsTable(name)
+    return spark.table(name)
+
+
 def marked(docs: DataFrame, kind: Kind, compare: Callable) -> DataFrame:
     """doc, th, text and marks (array of a, z: unit ranges to remove) of every row."""
     spark = docs.sparkSession
@@ -363,12 +402,18 @@ def marked(docs: DataFrame, kind: Kind, compare: Callable) -> DataFrame:
     texts = rows(docs)
     packed = map_arrow(texts, _minimizers(kind, n_parts * BUCKETS), _PACKED)
     flagged = materialize(map_arrow(packed.repartition(n_parts, "bucket").sortWithinPartitions("bucket"), _repeated(kind), _FLAGGED), "window-keys")
-    hot = materialize(flagged.where("n is not null").select("key", F.lit(True).alias("hot")), "window-hot")
-    asked = flagged.where("n is null").select("key", "doc", "th").join(hot, "key", "left").groupBy("doc", "th").agg(F.collect_set(F.struct("key", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("asked"))
-    strings = map_arrow(texts.join(asked, ["doc", "th"]).select("doc", "th", "text", "asked"), _cut(kind), _CUT)
-    found = map_arrow(strings.repartition(n_parts, "key").sortWithinPartitions("key"), _marks(kind, compare), "doc long, th int, a long, z long")
-    marks = materialize(found, "window-marks").groupBy("doc", "th").agg(F.collect_list(F.struct("a", "z")).alias("marks"))
-    return texts.join(marks, ["doc", "th"], "left")
+    let_go(spark)
+    hot = materialize(flagged.where("n is not null").select("key", F.lit(True).alias("hot"), "n"), "window-hot")
+    wanted = flagged.where("n is null").select("key", "doc", "th")
+    asked = heavy_join(wanted, hot, "key", "n", wanted.count(), "left").groupBy("doc", "th").agg(F.collect_set(F.struct("key", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("asked"))
+    table = dealt(texts.join(asked, ["doc", "th"], "left").select("doc", "th", "text", "asked"), "texts", n_parts, "doc", "th")
+    let_go(spark)
+    strings = map_arrow(table.where("asked is not null"), _cut(kind), _CUT)
+    found = map_arrow(strings.repartition(n_parts, "key").sortWithinPartitions("key"), _marks(kind, compare), "doc long, th long, a long, z long")
+    found = materialize(found, "window-marks")
+    let_go(spark)
+    marks = found.groupBy("doc", "th").agg(F.collect_set(F.struct("a", "z")).alias("marks"))
+    return table.select("doc", "th", "text").join(marks, ["doc", "th"], "left")
 
 
 def removed(n: int, ranges: list | None) -> np.ndarray:
