@@ -2,6 +2,12 @@
 
 Each stage works on all that its predecessor kept. Stages read and return the
 columns of documents; the last returns token ids.
+
+Defined cases are those of the operators: null and blank texts fail the base rules
+and go in the first stage; what is left may have null ids, languages and sources;
+rows equal in doc_id and text become one in the second; a document is as often in
+the mix as it is taken, none with no words; an empty table gives an empty result;
+further columns of documents are kept up to the last stage, whatever their names.
 """
 
 from __future__ import annotations

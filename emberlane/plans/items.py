@@ -263,10 +263,10 @@ def dedup_keep_first(spark, sf_dir):
     return gazetteer.keep_first(table(spark, sf_dir, "documents"), ["lang", "source", "text"], [F.col("doc_id")]).select("doc_id", "lang", "source")
 
 
-@query("""with a as (select 'd' || doc_id id, text, lang as snippet, 0 f from documents where n_chars > 300 union all select 'c' || conv_id || '-' || turn, text, null, 1 from conversations),
+@query("""with a as (select 'd' || doc_id id, text, lang as snippet, 0 f from documents union all select 'c' || conv_id || '-' || turn, text, null, 1 from conversations),
 r as (select *, row_number() over (partition by text, snippet order by f, id) n from a) select id, snippet, f = 0 as is_document from r where n = 1""")
 def merge_items(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("n_chars > 300").select(F.concat(F.lit("d"), "doc_id").alias("id"), "text", F.col("lang").alias("snippet"), F.lit(True).alias("is_document"))
+    d = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), "text", F.col("lang").alias("snippet"), F.lit(True).alias("is_document"))
     c = table(spark, sf_dir, "conversations").select(F.concat_ws("", F.lit("c"), "conv_id", F.lit("-"), "turn").alias("id"), "text", F.lit(False).alias("is_document"))
     return merge.merged(d, c, ("id", "text", "snippet", "is_document"), ("text", "snippet")).select("id", "snippet", "is_document")
 
