@@ -36,11 +36,11 @@ def heavy_join(left: DataFrame, right: DataFrame, on: str, size: str, total: int
     left. The others meet by a shuffle. The values of the largest size always count
     as heavy (HEAVY of them at most), so plans are alike whatever the data. A null
     value meets nothing. right is read several times and should be a written table."""
-    most = right.agg(F.max(size)).first()[0] or 0
-    known = right.where((F.col(size) * HEAVY > total)).select(on).unionByName(right.where(F.col(size) == most).select(on).limit(1)).distinct()
-    heavy = right.join(F.broadcast(known), on, "left_semi").drop(size)
+    top = right.agg(F.max(F.struct(size, on)).alias("top")).first()["top"]
+    common = (F.col(size) * HEAVY > total) | (F.col(on) == F.lit(top[1]) if top is not None else F.lit(False))
+    heavy, light = right.where(common).drop(size), right.where(~common).drop(size)
     first = left.join(F.broadcast(heavy), on)
-    return first.unionByName(left.join(F.broadcast(known), on, "left_anti").join(right.join(F.broadcast(known), on, "left_anti").drop(size), on, how))
+    return first.unionByName(left.join(F.broadcast(heavy.select(on)), on, "left_anti").join(light, on, how))
 
 
 def let_go(spark: SparkSession) -> None:

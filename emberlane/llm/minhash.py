@@ -15,28 +15,34 @@ with chance (1 - 0.8**6)**32, below 1e-4. Equal texts are one class first. The
 classes of a bucket are held against its pivot, exactly; then, where a bucket
 still holds several components, every pair across them whose signatures do not
 rule out 0.8 by seven standard deviations is compared too, in the first bucket
-it shares, by blocks; only links are written. Big buckets and pivots are dealt
-over tasks. Verified links give connected components.
+it shares, by blocks; only links are written. Big pivots and pairs of blocks are
+dealt over tasks, and what a bucket, a class or a component is told meets its
+rows by heavy_join(), so a third of all rows in one of them gathers nowhere.
+Verified links give connected components.
+
+A class is told by two 64-bit hashes of its text. The first is its node; a row
+whose second differs from its node's is another text, by chance: it links with
+nothing and is kept, so that no text goes for one that it does not equal.
 
 Defined cases: a text of one to four words is one shingle; a null text, or one
 without words, links with nothing; rows that repeat a doc_id count by their
-texts; a null doc_id follows its text's class but names none, and of a component
-without any id one text stays; ties are equal texts; an empty table gives an empty result; other columns are left out.
+texts, and each is kept or goes by its own; a null doc_id follows its text's
+class but names none, and of a component without any id one text stays; ties are
+equal texts; an empty table gives an empty result; other columns are left out, or
+(deduplicated) returned as they are, whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from emberlane.llm.common import map_arrow, materialize, mix64, slices, utf8, whole_groups
+from emberlane.llm.common import heavy_join, map_arrow, materialize, mix64, slices, utf8, whole_groups
 from emberlane.llm.graph import components
 from emberlane.llm.textarrays import words_of
 
@@ -152,11 +158,6 @@ def signatures(h: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs: int)
     return sig.reshape(n_docs, COORDINATES)
 
 
-def node_of(text: bytes) -> int:
-    """The class of a text: 64 bits of a cryptographic hash."""
-    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
-
-
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         data, offsets = utf8(b.column("text"))
@@ -169,15 +170,13 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in range(ROWS):
                 bands = mix64(bands + cells[:, :, r] * _LANE[r % 4] + np.uint64(r + 1))
             bands += np.arange(BANDS, dtype=np.uint64) * _LANE[1]  # a bucket's key tells its band
-            raw = part.tobytes()
-            nodes = [node_of(raw[off[i] : off[i + 1]]) for i in range(z - a)]
             some = np.bincount(doc, minlength=z - a) > 0
             sketch = sig.astype(np.uint16)
             yield pa.RecordBatch.from_arrays([
-                b.column("doc_id").slice(a, z - a), pa.array(nodes, pa.int64()), pa.array(some),
+                *[b.column(c).slice(a, z - a) for c in ("doc_id", "node", "half")], pa.array(some),
                 pa.ListArray.from_arrays(pa.array(np.arange(z - a + 1, dtype=np.int32) * BANDS), pa.array(bands.view(np.int64).ravel())),
                 pa.array([s.tobytes() for s in sketch], pa.binary()),
-            ], ["doc_id", "node", "some", "bands", "sketch"])
+            ], ["doc_id", "node", "half", "some", "bands", "sketch"])
 
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,9 +190,7 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             e, d = mix64(np.repeat(h, count) + nth.astype(np.uint64) * _LANE[2]).view(np.int64), np.repeat(doc, count)
             order = np.lexsort((e, d))
             e, ends = e[order], np.concatenate([[0], np.cumsum(np.bincount(d, minlength=z - a))]).astype(np.int32)
-            raw = part.tobytes()
-            nodes = [node_of(raw[off[i] : off[i + 1]]) for i in range(z - a)]
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), b.column("wanted").slice(a, z - a), pa.ListArray.from_arrays(pa.array(ends), pa.array(e))], ["node", "wanted", "elements"])
+            yield pa.RecordBatch.from_arrays([b.column("node").slice(a, z - a), pa.ListArray.from_arrays(pa.array(ends), pa.array(e))], ["node", "elements"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,8 +223,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def verified(pairs: DataFrame, elements: DataFrame) -> DataFrame:
     """The pairs (a: pivot, b) whose similarity reaches THRESHOLD. A pivot's
     members are dealt over groups of about MEMBERS."""
-    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
-    dealt = pairs.join(parts, "a").select(F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("node"))
+    parts = materialize(pairs.groupBy("a").agg(F.count("*").alias("size")).withColumn("parts", F.ceil(F.col("size") / MEMBERS).cast("int")), "minhash-parts")
+    dealt = heavy_join(pairs, parts, "a", "size", pairs.count()).select(F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("node"))
     members = dealt.join(elements, "node").select("pivot", "part", F.lit(1).alias("side"), "node", "elements")
     pivots = parts.select(F.col("a").alias("node"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(elements, "node").select(F.col("node").alias("pivot"), "part", F.lit(0).alias("side"), "node", "elements")
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -298,79 +295,71 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*links)], ["a", "b"])
 
 
+def told(text: Column) -> list[Column]:
+    """node and half: two 64-bit hashes of a text, apart by their seeds."""
+    return [F.xxhash64(text).alias("node"), F.xxhash64(F.lit(1), text).alias("half")]
+
+
 def _judged(docs: DataFrame) -> DataFrame:
-    """near_duplicates() with the node of each row's text."""
-    spark = docs.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = materialize(map_arrow(texts, _sign, "doc_id long, node long, some boolean, bands array<long>, sketch binary"), "minhash")
-    per = signed.groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"), F.bool_or("some").alias("some"))
+    """near_duplicates() with node and half of each row's text."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *told(F.col("text")))
+    signed = materialize(map_arrow(texts, _sign, "doc_id long, node long, half long, some boolean, bands array<long>, sketch binary"), "minhash")
     # equal texts have equal signatures: one row of each class speaks for it
-    speaker = signed.where("some").join(per.where("some").select("node", "first"), "node").where("doc_id <=> first").select("node", "bands", "sketch").dropDuplicates(["node"])
-    speaker = materialize(speaker, "minhash-classes")
+    speaker = materialize(signed.where("some").dropDuplicates(["node"]), "minhash-classes")
     entries = speaker.select("node", F.explode("bands").alias("bucket"))
-    sizes = entries.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    inside = materialize(entries.join(sizes, "bucket").select("bucket", "node", "size"), "minhash-buckets")
+    sizes = materialize(entries.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").withColumn("members", F.col("size")), "minhash-sizes")
+    inside = materialize(heavy_join(entries, sizes, "bucket", "size", BANDS * speaker.count()).select("bucket", "node", "members"), "minhash-buckets")
+    n_inside = inside.count()
     # a bucket's pivot is the class that meets most others over all buckets: in a
     # group of copies that is the one they were made from, or close to it
-    meets = inside.groupBy("node").agg(F.sum(F.col("size") - 1).alias("meets"))
-    pivots = inside.join(meets, "node").groupBy("bucket").agg(F.max(F.struct("meets", "node"))["node"].alias("pivot"))
-    stars = materialize(inside.join(pivots, "bucket").where("pivot <> node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "minhash-stars")
-    wanted = stars.select(F.col("a").alias("wanted")).union(stars.select("b")).distinct()
-    asked = wanted.join(per.select(F.col("node").alias("wanted"), "first"), "wanted")
-    found = texts.join(asked, F.col("doc_id") == F.col("first")).select("wanted", "text")
-    read = "node long, wanted long, elements array<long>"
-    by_id = map_arrow(found, _elements, read).where("node = wanted").select("node", "elements")
-    # a class without an id is met by its node
-    nameless = texts.where("doc_id is null").select(F.lit(None).cast("long").alias("wanted"), "text")
-    by_node = map_arrow(nameless, _elements, read).select("node", "elements").dropDuplicates(["node"]).join(asked.where("first is null").select(F.col("wanted").alias("node")), "node", "left_semi")
-    elements = materialize(by_id.unionByName(by_node).dropDuplicates(["node"]), "minhash-elements")
+    meets = inside.groupBy("node").agg(F.sum(F.col("members") - 1).alias("meets"))
+    pivots = materialize(inside.join(meets, "node").groupBy("bucket").agg(F.max(F.struct("meets", "node"))["node"].alias("pivot"), F.first("members").alias("size")), "minhash-pivots")
+    stars = materialize(heavy_join(inside, pivots, "bucket", "size", n_inside).where("pivot <> node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "minhash-stars")
+    wanted = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
+    # the text of each class that meets another, from the row that speaks for it; of
+    # rows without an id any one of an equal text will do
+    asked = wanted.join(speaker.select("node", "half", "doc_id"), "node")
+    by_id = texts.where("doc_id is not null").join(asked.where("doc_id is not null"), ["doc_id", "node", "half"], "left_semi")
+    nameless = texts.where("doc_id is null").dropDuplicates(["node", "half"]).join(asked.where("doc_id is null"), ["node", "half"], "left_semi")
+    both = by_id.unionByName(nameless).select("node", "text")
+    elements = materialize(map_arrow(both, _elements, "node long, elements array<long>").dropDuplicates(["node"]), "minhash-elements")
     first_links = materialize(verified(stars, elements), "minhash-links")
-    parts = materialize(components(first_links), "minhash-parts")
+    parts = materialize(components(first_links), "minhash-stars-parts")
     # buckets that still hold several components
-    here = inside.select("bucket", "node").join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    open_ = here.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    here = materialize(inside.select("bucket", "node").join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component")), "minhash-here")
+    open_ = here.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
+    open_ = materialize(open_.select("bucket", "size", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "minhash-open")
     signs = speaker.select("node", "sketch", "bands")
-    looked = block_pairs(here.join(open_, "bucket").join(signs, "node"), "blocks")
+    looked = block_pairs(heavy_join(here, open_, "bucket", "size", n_inside).join(signs, "node"), "blocks")
     needed = materialize(map_arrow(looked, _needed, "bucket long, node long").distinct(), "minhash-needed")
-    full = needed.join(elements, "node")
-    blocks = full.groupBy("bucket").agg(F.ceil(F.sum(F.size("elements")) / ELEMENTS).cast("int").alias("blocks"))
-    held = full.join(blocks, "bucket").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")).join(signs, "node")
+    lengths = elements.select("node", F.size("elements").alias("n"))
+    blocks = materialize(needed.join(lengths, "node").groupBy("bucket").agg(F.ceil(F.sum("n") / ELEMENTS).cast("int").alias("blocks"), F.count("*").alias("size")), "minhash-blocks")
+    held = heavy_join(needed, blocks, "bucket", "size", needed.count()).join(elements, "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")).join(signs, "node")
     across = map_arrow(block_pairs(held.select("bucket", "node", "component", "sketch", "bands", "elements", "blocks"), "blocks"), _across, "a long, b long")
-    links = first_links.unionByName(across)
-    final = components(links)
-    named = per.join(final, "node", "left").select("node", F.col("first").alias("class_id"), "some", F.coalesce("component", "node").alias("component"))
-    least = named.groupBy("component").agg(F.min("class_id").alias("component_id"), F.min("node").alias("least"))
-    told = named.join(least, "component").select("node", "class_id", "component_id", "some", "least")
-    own = lambda c: F.when(F.col("some"), F.col(c)).otherwise(F.col("doc_id")).alias(c)
-    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("component_id").isNotNull() | (F.col("node") == F.col("least")) | ~F.col("some"))
-    rows = signed.select("doc_id", "node").join(told, "node").select("doc_id", "node", own("class_id"), own("component_id"), "least", "some")
-    return rows.select("doc_id", "class_id", "component_id", stays.alias("kept"), "node")
+    final = materialize(components(first_links.unionByName(across)), "minhash-final")
+    per = signed.groupBy("node").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n"))
+    named = materialize(per.join(final, "node", "left").withColumn("component", F.coalesce("component", "node")), "minhash-named")
+    least = materialize(named.groupBy("component").agg(F.min("class_id").alias("component_id"), F.min("node").alias("least"), F.count("*").alias("size")), "minhash-least")
+    whole = heavy_join(named, least, "component", "size", named.count())
+    whole = whole.join(speaker.select("node", F.col("half").alias("spoken")), "node", "left").select("node", "n", "class_id", "component_id", "least", "spoken")
+    rows = heavy_join(signed.select("doc_id", "node", "half"), materialize(whole, "minhash-told"), "node", "n", signed.count())
+    linked = F.coalesce(F.col("half") == F.col("spoken"), F.lit(False))
+    own = lambda c: F.when(linked, F.col(c)).otherwise(F.col("doc_id")).alias(c)
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("component_id").isNotNull() | (F.col("node") == F.col("least")))
+    return rows.select("doc_id", own("class_id"), own("component_id"), (~linked | first).alias("kept"), "node", "half")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (smallest doc_id of equal texts), component_id (smallest
     doc_id reachable by links), kept, per row."""
-    return _judged(docs).drop("node")
-
-
-def _nodes(at: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            nodes = [node_of((t or "").encode()) for t in b.column(at).to_pylist()]
-            yield b.append_column("_node", pa.array(nodes, pa.int64()))
-
-    return run
+    return _judged(docs).drop("node", "half")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """One document of each component, that of the smallest doc_id, with all
-    columns. Of rows that repeat a doc_id, those of different texts stay apart;
-    rows of a null one are told by their texts."""
-    id_ = F.col("doc_id").cast("long")
-    keep = _judged(docs).where("kept").select(F.col("doc_id").alias("_keep"), F.when(F.col("doc_id").isNull(), F.col("node")).alias("_kept")).distinct()
-    hashed = docs.withColumn("_hash", F.xxhash64("text"))
-    named = hashed.where(id_.isNotNull()).withColumn("_node", F.lit(None).cast("long"))
-    nameless = map_arrow(hashed.where(id_.isNull()), _nodes(docs.columns.index("text")), T.StructType([*hashed.schema.fields, T.StructField("_node", T.LongType())]))
-    same = id_.eqNullSafe(F.col("_keep")) & F.col("_node").eqNullSafe(F.col("_kept"))
-    return named.unionByName(nameless).join(keep, same, "left_semi").dropDuplicates(["doc_id", "_hash"]).drop("_hash", "_node")
+    """One document of each component, that of the smallest doc_id, with all columns.
+    A row stays by its doc_id and text; of rows that repeat both, one stays."""
+    keep = _judged(docs).where("kept").select(F.col("doc_id").alias("k"), F.col("node").alias("n"), F.col("half").alias("h")).distinct()
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), *told(F.col("text")))
+    same = F.col("id").eqNullSafe(F.col("k")) & (F.col("node") == F.col("n")) & (F.col("half") == F.col("h"))
+    stay = packed.join(keep, same, "left_semi").dropDuplicates(["id", "node", "half"])
+    return stay.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -3,24 +3,29 @@ costly to guess.
 
 The guess cost of a value is the least sum of log10 guesses over all ways to cut
 it into common words, dates, repeats, sequences, keyboard walks and brute-force
-spans (dynamic programming over cut points). Every value in credential context is
-scored, and one whose cost reaches MIN_COST is a span of kind "guess" from its
-first character to its last, whatever spans of the patterns overlap it; those
-always stay. scan() reports all spans. find() and redact() leave out a guess
-span that lies within one pattern's span, which masks it already.
+spans (dynamic programming over cut points, which ends as soon as no way is left
+below the threshold, so a value's length costs no more than reading it). Words are
+the fixed ones and then those of a public vocabulary (a parameter) by their rank.
+Every value in credential context is scored, and one whose cost reaches MIN_COST is
+a span of kind "guess" from its first character to its last, whatever spans of the
+patterns overlap it; those always stay. scan() reports all spans. find() and
+redact() leave out a guess span that lies within one pattern's span, which masks
+it already.
 
 Python's re runs inside Arrow batches: spans need places, and the cost needs a
 dynamic program, which SQL functions do not give. Rows are independent, so a
 lost executor costs its tasks alone, and nothing is shuffled.
 
 Defined cases: a null or empty text has no spans; places count code points of
-the whole text, however long; equal rows give equal results; an empty table
-gives an empty result; other columns are passed by or left out.
+the whole text, however long; equal rows give equal results; rows that repeat a
+doc_id, or have none, are scanned one by one; an empty table gives an empty
+result; other columns are passed by or left out, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 import re
 from collections.abc import Iterator
@@ -31,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlane.llm.common import map_arrow
+from emberlane.llm.pieces import SPACE, vocabulary
 
 # The patterns and the lengths their matches need.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -53,7 +59,6 @@ hello secret token user test root guest access default public private server sum
 shadow sunshine princess football baseball superman batman trust freedom whatever flower cookie pepper orange banana
 michael jordan jennifer thomas charlie daniel robert matthew george andrew computer internet system network change this
 here your none null true false example sample value string name email phone number key data base code word pass""".split()
-RANK = {w: i + 1 for i, w in enumerate(WORDS)}
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "qazwsxedcrfvtgbyhnujm")
 NEXT = {a + b for row in ROWS for x in (row, row[::-1]) for a, b in zip(x, x[1:])}
 DATE = re.compile(r"(?:19|20)\d\d(?:([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]))?|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d")
@@ -62,64 +67,128 @@ PLAIN = str.maketrans("@4301!$57", "aaeoiisst")
 
 def brute(piece: str) -> float:
     """log10 guesses of one character, by the classes in the whole value."""
-    n = 10 * any(c.isdigit() for c in piece) + 26 * any(c.islower() for c in piece) + 26 * any(c.isupper() for c in piece)
-    n += 33 * any(c.isascii() and not c.isalnum() for c in piece) + 100 * any(not c.isascii() for c in piece)
+    some = set(piece)
+    n = 10 * any(c.isdigit() for c in some) + 26 * any(c.islower() for c in some) + 26 * any(c.isupper() for c in some)
+    n += 33 * any(c.isascii() and not c.isalnum() for c in some) + 100 * any(not c.isascii() for c in some)
     return math.log10(max(n, 10))
 
 
-@lru_cache(4)
-def forms(value: str) -> tuple[str, str, list[list[int]], list[int], list[int]]:
-    """What spans_from() reads at every place, made once in time that grows with
-    the length: the value in lower case and without leet, how far it agrees with
-    itself shifted by each unit, and where keyboard walks and sequences end."""
-    n, low = len(value), "".join(c if len(c.lower()) != 1 else c.lower() for c in value)
-    same = []
-    for unit in range(1, min(LONGEST, n // 2) + 1):
-        run = [0] * (n + 1)
-        for i in range(n - unit - 1, -1, -1):
-            run[i] = run[i + 1] + 1 if value[i] == value[i + unit] else 0
-        same.append(run)
-    walk, climb = list(range(1, n + 1)), list(range(1, n + 1))
-    for i in range(n - 2, -1, -1):
-        if low[i] + low[i + 1] in NEXT:
-            walk[i] = walk[i + 1]
-        if (step := ord(value[i + 1]) - ord(value[i])) in (1, -1):
-            climb[i] = climb[i + 1] if i + 2 < n and ord(value[i + 2]) - ord(value[i + 1]) == step else i + 2
-    return low, low.translate(PLAIN), same, walk, climb
-
-
-def spans_from(value: str, i: int) -> Iterator[tuple[int, float]]:
-    """End and cost of each cheap span that begins at i."""
-    n = len(value)
-    low, plain, same, walk, climb = forms(value)
-    for j in range(i + 3, min(n, i + LONGEST) + 1):
-        for form, extra in ((low, 0.0), (plain, 0.5)):
-            if r := RANK.get(form[i:j]):
-                case = 0.0 if value[i:j].islower() or not any(c.isalpha() for c in value[i:j]) else 0.5
-                yield j, math.log10(r + 1) + extra + case
-                break
-    if m := DATE.match(value, i):
-        yield m.end(), 4.5 if m.end() - i > 4 else 2.1
-    for unit in range(1, min(LONGEST, (n - i) // 2) + 1):  # repeats
-        if more := same[unit - 1][i] // unit:
-            yield i + unit * (more + 1), unit * 1.5 + math.log10(more + 1)
-    if climb[i] - i >= 3:  # sequences
-        yield climb[i], 1.2 + math.log10(climb[i] - i)
-    if walk[i] - i >= 3:  # keyboard walks
-        yield walk[i], 1.8 + math.log10(walk[i] - i)
-
-
-@lru_cache(100_000)
+def agreement(value: str, i: int, j: int) -> int:
+    """How many characters from i on equal those from j on, by slices that double and halve."""
+    n, step = 0, 16
+    while value[i + n : i + n + step] == value[j + n : j + n + step] and j + n + step <= len(value):
+        n, step = n + step, step * 2
+    while step:
+        if j + n + step <= len(value) and value[i + n : i + n + step] == value[j + n : j + n + step]:
+            n += step
+        step //= 2
+    return n
+
+
+class Value:
+    """A value, and where its runs that were looked at end."""
+
+    def __init__(self, text: str):
+        self.text, self._walk, self._climb = text, (0, 0), (0, 0)
+
+    def walk(self, i: int) -> int:
+        """Where the keyboard walk that holds i ends."""
+        if not self._walk[0] <= i < self._walk[1]:
+            z, t = i + 1, self.text
+            while z < len(t) and t[z - 1].lower() + t[z].lower() in NEXT:
+                z += 1
+            self._walk = i, z
+        return self._walk[1]
+
+    def climb(self, i: int) -> int:
+        """Where the run of code points that rise, or fall, by one from i on ends."""
+        if not self._climb[0] <= i < self._climb[1] - 1:
+            z, t = i + 1, self.text
+            if z < len(t) and (step := ord(t[z]) - ord(t[i])) in (1, -1):
+                while z < len(t) and ord(t[z]) - ord(t[z - 1]) == step:
+                    z += 1
+            self._climb = i, z
+        return self._climb[1]
+
+
+class Guesser:
+    """Guess costs by a list of words, the soonest tried first."""
+
+    def __init__(self, words: list[str]):
+        self.rank: dict[str, int] = {}
+        for w in words:
+            self.rank.setdefault(w, len(self.rank) + 1)
+        self.cached = lru_cache(100_000)(self.cost)
+
+    def spans(self, v: Value, i: int) -> Iterator[tuple[int, float]]:
+        """End and cost of each cheap span that begins at i."""
+        value, n = v.text, len(v.text)
+        piece = value[i : i + LONGEST]
+        low = "".join(c if len(c.lower()) != 1 else c.lower() for c in piece)
+        plain = low.translate(PLAIN)
+        for k in range(3, len(piece) + 1):
+            for form, extra in ((low, 0.0), (plain, 0.5)):
+                if r := self.rank.get(form[:k]):
+                    own = piece[:k]
+                    case = 0.0 if own.islower() or not any(c.isalpha() for c in own) else 0.5
+                    yield i + k, math.log10(r + 1) + extra + case
+                    break
+        if m := DATE.match(value, i):
+            yield m.end(), 4.5 if m.end() - i > 4 else 2.1
+        for unit in range(1, min(LONGEST, (n - i) // 2) + 1):  # repeats
+            if value[i : i + unit] == value[i + unit : i + 2 * unit]:
+                more = agreement(value, i, i + unit) // unit
+                yield i + unit * (more + 1), unit * 1.5 + math.log10(more + 1)
+        if (z := v.climb(i)) - i >= 3:  # sequences
+            yield z, 1.2 + math.log10(z - i)
+        if (z := v.walk(i)) - i >= 3:  # keyboard walks
+            yield z, 1.8 + math.log10(z - i)
+
+    def cost(self, value: str, enough: float = math.inf) -> float:
+        """Least log10 guesses over all segmentations, or enough where that is not
+        less. A span between two cuts costs a factor of two more, as its guesser must
+        also find the cut. Cut points are met from left to right; one that costs enough
+        already is not followed."""
+        v, n, each, cut = Value(value), len(value), brute(value), math.log10(2)
+        best, open_ = {0: 0.0}, [0]
+        while open_:
+            i = heapq.heappop(open_)
+            at = best.pop(i)
+            if i == n:
+                return min(at, enough)
+            ways = [(i + 1, at + each)]
+            if at + cut < enough:
+                ways += [(j, at + c + cut) for j, c in self.spans(v, i)]
+            for j, c in ways:
+                if c < enough and c < best.get(j, math.inf):
+                    if j not in best:
+                        heapq.heappush(open_, j)
+                    best[j] = c
+        return enough
+
+    def secret(self, value: str) -> bool:
+        return len(value) >= MIN_VALUE and (self.cached if len(value) <= 200 else self.cost)(value, MIN_COST) >= MIN_COST
+
+
+def dictionary(model_path: str | None = None) -> list[str]:
+    """The fixed words, then the words of three letters or more of a public vocabulary, by their rank there."""
+    ranked = (p[1:].lower() for p in vocabulary(model_path)[0] if p.startswith(SPACE))
+    return [*WORDS, *(w for w in ranked if len(w) > 2 and w.isalpha())]
+
+
+_guessers: dict[str, Guesser] = {}
+
+
+def guesser(words: list[str] | None = None) -> Guesser:
+    """Made once per worker and list of words (None: the default dictionary)."""
+    key = "" if words is None else hashlib.md5("\n".join(words).encode()).hexdigest()
+    if key not in _guessers:
+        _guessers[key] = Guesser(dictionary() if words is None else words)
+    return _guessers[key]
+
+
 def guess_cost(value: str) -> float:
-    """Least log10 guesses over all segmentations. A span between two cuts costs
-    a factor of two more, as its guesser must also find the cut."""
-    each, cut = brute(value), math.log10(2)
-    best = [0.0] + [math.inf] * len(value)
-    for i in range(len(value)):
-        best[i + 1] = min(best[i + 1], best[i] + each)
-        for j, cost in spans_from(value, i):
-            best[j] = min(best[j], best[i] + cost + cut)
-    return best[-1]
+    return guesser().cost(value)
 
 
 def contexts(text: str) -> Iterator[re.Match]:
@@ -131,7 +200,7 @@ def contexts(text: str) -> Iterator[re.Match]:
         at = m.start(1) + last.start() if last else m.end()
 
 
-def found(text: str | None) -> list[tuple[int, int, int]]:
+def found(text: str | None, guess: Guesser | None = None) -> list[tuple[int, int, int]]:
     """(start, kind's place in KINDS, end) of every span, in order."""
     if not text:
         return []
@@ -139,19 +208,27 @@ def found(text: str | None) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
     if HINT.search(text):
+        guess = guess or guesser()
         out += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_ASSIGN]
         for m in contexts(text):
             value = m[1].rstrip(".,;:!?)]}")
-            if len(value) >= MIN_VALUE and guess_cost(value) >= MIN_COST:
+            if guess.secret(value):
                 out.append((m.start(1), 3, m.start(1) + len(value)))
     return sorted(out)
 
 
-def find(text: str | None) -> list[tuple[int, int, int]]:
-    """The spans that decide what is masked: all but guesses within one pattern's span."""
-    spans = found(text)
-    base = [s for s in spans if s[1] < 3]
-    return [s for s in spans if s[1] < 3 or not any(x <= s[0] and s[2] <= y for x, _, y in base)]
+def find(text: str | None, guess: Guesser | None = None) -> list[tuple[int, int, int]]:
+    """The spans that decide what is masked: all but guesses within one pattern's
+    span. Of the patterns' spans that began, the one that ends last tells."""
+    out, reach = [], -1
+    for span in found(text, guess):
+        a, kind, b = span
+        if kind < 3:
+            reach = max(reach, b)
+        elif b <= reach:
+            continue
+        out.append(span)
+    return out
 
 
 def redacted(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
@@ -170,28 +247,31 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
-def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        spans = [found(t) for t in b.column("text").to_pylist()]
-        base = [[s for s in x if s[1] < 3] for x in spans]
-        yield pa.RecordBatch.from_arrays([
-            b.column("doc_id"), *[pa.array([sum(s[1] == k for s in x) for x in base], pa.int64()) for k in range(3)],
-            pa.array([hashlib.sha256(joined(x).encode()).hexdigest() for x in base]), pa.array([joined(x) for x in spans], pa.string()),
-        ], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+def scan(docs: DataFrame, model_path: str | None = None) -> DataFrame:
+    """Per document the counts by pattern, a digest of the patterns' spans, and all spans."""
+    words = dictionary(model_path)
 
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        guess = guesser(words)
+        for b in batches:
+            spans = [found(t, guess) for t in b.column("text").to_pylist()]
+            base = [[s for s in x if s[1] < 3] for x in spans]
+            yield pa.RecordBatch.from_arrays([
+                b.column("doc_id"), *[pa.array([sum(s[1] == k for s in x) for x in base], pa.int64()) for k in range(3)],
+                pa.array([hashlib.sha256(joined(x).encode()).hexdigest() for x in base], pa.string()), pa.array([joined(x) for x in spans], pa.string()),
+            ], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
-def scan(docs: DataFrame) -> DataFrame:
-    """Per document the counts by pattern, a digest of the patterns' spans, and all spans."""
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _report, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), report, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
-def redact(docs: DataFrame) -> DataFrame:
+def redact(docs: DataFrame, model_path: str | None = None) -> DataFrame:
     """The documents, all columns, with every span of their texts masked."""
-    at = docs.columns.index("text")
+    at, words = docs.columns.index("text"), dictionary(model_path)
 
     def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        guess = guesser(words)
         for b in batches:
-            texts = pa.array([redacted(t, find(t)) for t in b.column(at).to_pylist()], pa.string())
+            texts = pa.array([redacted(t, find(t, guess)) for t in b.column(at).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(b.columns)], b.schema.names)
 
     return map_arrow(docs, masked, docs.schema)

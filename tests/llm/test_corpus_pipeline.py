@@ -4,6 +4,7 @@ import os
 import re
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -44,7 +45,7 @@ def test_query_against_sql(spark, name):
     c = duckdb.connect()
     for t in ("documents", "conversations", "pages", "embeddings"):
         c.execute(f"create view {t} as from '{DIR}/{t}.parquet'")
-    cell = lambda v: "" if v is None or v != v else str(round(float(v), 5)) if hasattr(v, "item") or isinstance(v, float) else str(v)
+    cell = lambda v: "" if pd.isna(v) else str(round(float(v), 5)) if hasattr(v, "item") or isinstance(v, float) else str(v)
     plain = lambda df: sorted(tuple(map(cell, r)) for r in df[sorted(df.columns)].itertuples(index=False, name=None))
     assert plain(queries.QUERIES[name](spark, DIR).toPandas()) == plain(c.execute(queries.ORACLE[name]).df())
 
