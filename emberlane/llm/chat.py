@@ -5,7 +5,8 @@ example of its own: its context is all of the text before that turn's reply,
 and only the reply is trainable. All examples of a conversation are prefixes of
 the same text, so an example is stored as offsets into it (context_end, loss
 span) and not as a copy: the output grows with the input, not with the square
-of a conversation's length. materialized() cuts the copies for who wants them.
+of a conversation's length. materialized() cuts the copies for who wants them;
+read_back() reads every example's context and reply, one after another.
 
 Template, per turn: "### role: text</turn>" and a line end. Inside roles and
 texts a backslash is doubled, "</turn>" is written "\\/turn>" and "###" is
@@ -13,9 +14,9 @@ written "\\#h", and in roles ": " is written "\\c"; no marker can occur in a
 text, and unescaping gives back every text.
 
 Defined cases: a null text or role is empty; turns are ordered by turn, role
-and text (null turns first, repeated rows kept); rows of a null conv_id form
-one conversation; a conversation without assistant turns has no example, and
-loss_chars 0; an empty table gives an empty result.
+and text (null turns first, repeated rows kept); a row of a null conv_id belongs
+to no known conversation and is one of its own; a conversation without assistant
+turns has no example, and loss_chars 0; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberlane.llm.common import fixed
+from emberlane.llm.common import fixed, let
 
 START, MIDDLE, END = "### ", ": ", "</turn>\n"
 TRICKY = "\\### Assistant: </turn> ok"  # a text made of the template's own markers
@@ -51,13 +52,14 @@ def unescaped(text: Column) -> Column:
 
 
 def conversations(turns: DataFrame) -> DataFrame:
-    """One row per conversation: its turns in order."""
+    """One row per conversation: its turns in order. part is null, but of a row without conv_id its number."""
     row = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return turns.select("conv_id", row.alias("row")).groupBy("conv_id").agg(F.sort_array(F.collect_list("row")).alias("turns"))
+    part = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).alias("part")
+    return turns.select("conv_id", part, row.alias("row")).groupBy("conv_id", "part").agg(F.sort_array(F.collect_list("row")).alias("turns"))
 
 
 def formatted(turns: DataFrame) -> DataFrame:
-    """conv_id, formatted, and examples: array of turn, context_end, loss_start
+    """conv_id, part, formatted, and examples: array of turn, context_end, loss_start
     and loss_end, in characters (code points), end exclusive."""
     parts = F.transform(
         "turns",
@@ -73,7 +75,7 @@ def formatted(turns: DataFrame) -> DataFrame:
         return F.struct((begin + s["body"] + len(END)).alias("at"), (a["n"] + 1).alias("n"), F.when(s["train"], F.concat(a["out"], example)).otherwise(a["out"]).alias("out"))
 
     text = F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"], F.lit(END))), "")
-    return df.select("conv_id", text.alias("formatted"), F.aggregate(sizes, first, step, lambda a: a["out"]).alias("examples"))
+    return df.select("conv_id", "part", text.alias("formatted"), F.aggregate(sizes, first, step, lambda a: a["out"]).alias("examples"))
 
 
 def examples(output: DataFrame) -> DataFrame:
@@ -90,17 +92,30 @@ def materialized(output: DataFrame) -> DataFrame:
 
 
 def read_back(output: DataFrame) -> DataFrame:
-    """Digests of what the formatted texts and the loss spans say."""
-    turn = lambda s: F.concat(unescaped(F.substring_index(s, MIDDLE, 1)), F.lit("\n"), unescaped(F.substr(s, F.length(F.substring_index(s, MIDDLE, 1)) + len(MIDDLE) + 1)), F.lit("\n"))
-    pieces = F.split("formatted", END)
-    df = fixed(output, "_pieces", F.transform(F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda s: F.substr(s, F.lit(len(START) + 1))))
-    cut = lambda e: unescaped(F.substr(F.col("formatted"), (e["loss_start"] + 1).cast("int"), (e["loss_end"] - e["loss_start"]).cast("int")))
-    df = fixed(df, "_loss", F.array_join(F.transform("examples", cut), ""))
-    df = fixed(df, "_turns", F.array_join(F.transform("_pieces", turn), ""))
-    return df.select(
-        "conv_id", F.size("_pieces").cast("long").alias("n_turns"), F.sha2("_turns", 256).alias("turns_sha256"),
-        F.length("_loss").cast("long").alias("loss_chars"), F.sha2("_loss", 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"), F.size("examples").cast("long").alias("n_examples"),
+    """Digests of what the formatted texts say, and of the contexts and replies of
+    their examples: each is exploded, its context is read back turn by turn, and the
+    groups of a conversation lie where its text does, so nothing is shuffled again."""
+    head = lambda s: F.substring_index(s, MIDDLE, 1)
+    turn = lambda s: F.concat(unescaped(F.substr(head(s), F.lit(len(START) + 1))), F.lit("\n"), unescaped(F.substr(s, F.length(head(s)) + len(MIDDLE) + 1)), F.lit("\n"))
+    complete = lambda text: let(F.split(text, END), lambda a: F.slice(a, 1, F.size(a) - 1))
+    said = lambda pieces: F.array_join(F.transform(pieces, turn), "")
+    df = fixed(output, "_pieces", complete(F.col("formatted")))
+    df = df.select(
+        "conv_id", "part", F.size("_pieces").cast("long").alias("n_turns"), F.sha2(said("_pieces"), 256).alias("turns_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"), "formatted", "examples",
+    )
+    whole = ("n_turns", "turns_sha256", "formatted_chars")
+    each = df.select("conv_id", "part", *whole, "formatted", F.explode_outer("examples").alias("e"))
+    cut = lambda a, b: F.substr(F.col("formatted"), (a + 1).cast("int"), (b - a).cast("int"))
+    each = fixed(each, "_context", complete(cut(F.lit(0), F.col("e.context_end"))))
+    one = F.struct(F.col("e.turn").alias("turn"), unescaped(cut(F.col("e.loss_start"), F.col("e.loss_end"))).alias("target"), F.sha2(said("_context"), 256).alias("context"), F.size("_context").cast("long").alias("before"))
+    each = each.select("conv_id", "part", *whole, F.when(F.col("e").isNotNull(), one).alias("one"))
+    got = each.groupBy("conv_id", "part").agg(*[F.first(c).alias(c) for c in whole], F.sort_array(F.collect_list("one")).alias("_each"))
+    got = fixed(got, "_loss", F.array_join(F.col("_each.target"), ""))
+    return got.select(
+        "conv_id", "n_turns", "turns_sha256", F.length("_loss").cast("long").alias("loss_chars"), F.sha2("_loss", 256).alias("loss_sha256"), "formatted_chars",
+        F.size("_each").cast("long").alias("n_examples"), F.aggregate("_each.before", F.lit(0).cast("long"), lambda a, x: a + x).alias("context_turns"),
+        F.sha2(F.array_join("_each.context", ""), 256).alias("contexts_sha256"),
     )
 
 
@@ -112,10 +127,14 @@ def with_tricky(turns: DataFrame) -> DataFrame:
 
 _esc = "replace(replace(replace({}, chr(92), chr(92) || chr(92)), '</turn>', chr(92) || '/turn>'), '###', chr(92) || '#h')"
 SQL = f"""
-with c as (select conv_id, turn, coalesce(role, '') role, coalesce(text, '') t from conversations
-  union all select -7, 0, 'user', chr(92) || '### Assistant: </turn> ok' union all select -7, 1, 'assistant', chr(92) || '### Assistant: </turn> ok')
-select conv_id, count(*)::bigint n_turns, sha256(string_agg(role || chr(10) || t || chr(10), '' order by turn nulls first, role, t)) turns_sha256,
-  coalesce(sum(length(t)) filter (role = 'assistant'), 0)::bigint loss_chars, sha256(coalesce(string_agg(t, '' order by turn nulls first, role, t) filter (role = 'assistant'), '')) loss_sha256,
+with t as (select conv_id, turn, coalesce(role, '') role, coalesce(text, '') t from conversations
+  union all select -7, 0, 'user', chr(92) || '### Assistant: </turn> ok' union all select -7, 1, 'assistant', chr(92) || '### Assistant: </turn> ok'),
+k as (select *, case when conv_id is null then row_number() over () end part from t),
+c as (select *, row_number() over w - 1 before, sha256(coalesce(string_agg(role || chr(10) || t || chr(10), '') over (w rows between unbounded preceding and 1 preceding), '')) context
+  from k window w as (partition by conv_id, part order by turn nulls first, role, t))
+select conv_id, count(*)::bigint n_turns, sha256(string_agg(role || chr(10) || t || chr(10), '' order by before)) turns_sha256,
+  coalesce(sum(length(t)) filter (role = 'assistant'), 0)::bigint loss_chars, sha256(coalesce(string_agg(t, '' order by before) filter (role = 'assistant'), '')) loss_sha256,
   sum({len(START) + len(MIDDLE) + len(END)} + length(replace({_esc.format('role')}, ': ', chr(92) || 'c')) + length({_esc.format('t')}))::bigint formatted_chars,
-  count(*) filter (role = 'assistant')::bigint n_examples
-from c group by conv_id"""
+  count(*) filter (role = 'assistant')::bigint n_examples, coalesce(sum(before) filter (role = 'assistant'), 0)::bigint context_turns,
+  sha256(coalesce(string_agg(context, '' order by before) filter (role = 'assistant'), '')) contexts_sha256
+from c group by conv_id, part"""

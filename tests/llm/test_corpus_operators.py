@@ -158,15 +158,20 @@ def test_mix_of_many_sources(spark):
 def test_chat_round_trip(spark):
     odd = ["\\", "\\\\", "</turn>", "\\/turn>", "###", "####", "\\#h", "a: b", "### assistant: x</turn>\n", "", None, "\n", "\\c", "<\\/turn>", "</turn></turn>\\"]
     rows = [(c, t, role, text) for c, (role0, texts) in enumerate([("assistant", odd), ("user", odd[::-1]), ("a: b\\", odd)]) for t, text in enumerate(texts) for role in [role0 if t % 2 else "user"]]
-    turns = spark.createDataFrame([*rows, (None, None, None, None)], "conv_id long, turn long, role string, text string")
+    turns = spark.createDataFrame([*rows, (None, None, None, None), (None, 1, "assistant", "lone"), (None, 1, "assistant", "lone")], "conv_id long, turn long, role string, text string")
     out = chat.formatted(chat.with_tricky(turns))
-    got = {r["conv_id"]: r for r in chat.read_back(out).collect()}
+    read = chat.read_back(out).collect()
+    got = {r["conv_id"]: r for r in read if r["conv_id"] is not None}
+    assert sorted((r["n_turns"], r["loss_chars"]) for r in read if r["conv_id"] is None) == [(1, 0), (1, 4), (1, 4)]
     for c in range(3):
         mine = [(r[2], r[3] or "") for r in rows if r[0] == c]
         loss = "".join(t for role, t in mine if role == "assistant")
         assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in mine).encode()).hexdigest()
+        contexts = [mine[:i] for i, (role, _) in enumerate(mine) if role == "assistant"]
+        digest = "".join(hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in x).encode()).hexdigest() for x in contexts)
+        assert got[c]["contexts_sha256"] == hashlib.sha256(digest.encode()).hexdigest() and got[c]["context_turns"] == sum(map(len, contexts))
         assert (got[c]["n_turns"], got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(mine), len(loss), hashlib.sha256(loss.encode()).hexdigest())
-    assert got[-7]["n_turns"] == 2 and got[-7]["loss_chars"] == len(chat.TRICKY) and got[None]["n_turns"] == 1
+    assert got[-7]["n_turns"] == 2 and got[-7]["loss_chars"] == len(chat.TRICKY)
     each = chat.materialized(out).where("conv_id = 0").orderBy("turn").collect()
     assert len(each) == len(odd) // 2 and all(b["context"].startswith(a["context"] + a["target"]) for a, b in zip(each, each[1:]))
     assert chat.read_back(chat.formatted(turns.limit(0))).count() == 0
