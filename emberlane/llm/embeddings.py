@@ -2,9 +2,13 @@
 cosine verification, and distributed connected components.
 
 Vectors of one label and dimension are compared. Exact copies are one class with
-a count. A class meets those that share its sign hash in one of TABLES tables of
-BITS hyperplanes each; at cosine 0.93 two signs agree with chance 0.88, so a
-pair is missed by all tables with chance (1 - 0.88**BITS)**TABLES, below 1e-4.
+a count. A class meets those that share its sign hash in one of several tables of
+some hyperplanes each; at cosine 0.93 two signs agree with chance 0.88, so a
+pair is missed by all tables with chance (1 - 0.88**bits)**tables. Bits grow with
+the logarithm of the most classes that one label and dimension hold, so that a
+bucket of vectors spread evenly stays near BLOCK of them, and tables grow with the
+bits, so that the chance stays at MISSED: 10 bits and 32 tables up to a million
+classes, 20 bits and 129 tables for a billion.
 Within a bucket cosines are taken in double precision by blocks of BLOCK
 vectors, pair of blocks by pair of blocks; a bucket of any size is dealt over
 tasks that way. A pair counts in the first table that brings it together, which
@@ -20,6 +24,7 @@ result; other columns are left out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,22 +36,34 @@ from emberlane.llm.common import map_arrow, materialize, whole_groups
 from emberlane.llm.graph import components
 
 THRESHOLD = 0.93
-BITS, TABLES = 10, 32  # (1 - 0.8802**10)**32 = 2.9e-5
+AGREE = 1 - math.acos(THRESHOLD) / math.pi  # chance that a pair at the threshold shares a sign
+MISSED = 3e-5  # chance that no table brings such a pair together
+LEAST_BITS, MOST_BITS = 10, 31  # a hash is an int; beyond 2**41 classes buckets grow, and none is left out
 BLOCK = 1024
 SEED = 20240607
 
 
-def planes(dim: int) -> np.ndarray:
-    return np.random.default_rng([SEED, dim]).standard_normal((dim, TABLES * BITS)).astype(np.float32)
+def bits_for(n: int) -> int:
+    """Bits with which n vectors, spread evenly, make buckets of about BLOCK."""
+    return min(max(LEAST_BITS, math.ceil(math.log2(max(n, 1) / BLOCK))), MOST_BITS)
 
 
-def signatures(x: np.ndarray) -> np.ndarray:
-    """rows x TABLES hashes of BITS signs."""
-    signs = (x.astype(np.float32) @ planes(x.shape[1])) >= 0
-    return (signs.reshape(len(x), TABLES, BITS) @ (1 << np.arange(BITS))).astype(np.int32)
+def tables_for(bits: int) -> int:
+    return math.ceil(math.log(MISSED) / math.log1p(-(AGREE**bits)))
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def planes(dim: int, n: int) -> np.ndarray:
+    return np.random.default_rng([SEED, dim]).standard_normal((dim, n)).astype(np.float32)
+
+
+def signatures(x: np.ndarray, bits: int) -> np.ndarray:
+    """rows x tables hashes of that many signs."""
+    tables = tables_for(bits)
+    signs = (x.astype(np.float32) @ planes(x.shape[1], tables * bits)) >= 0
+    return (signs.reshape(len(x), tables, bits) @ (1 << np.arange(bits))).astype(np.int32)
+
+
+def _sign(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if not b.num_rows:
             continue
@@ -54,8 +71,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for dim in np.unique(dims):
             rows = b.filter(pa.array(dims == dim))
             x = rows.column("v").flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, dim)
-            sig = signatures(x)
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.FixedSizeListArray.from_arrays(pa.array(sig.ravel()), TABLES).cast(pa.list_(pa.int32()))], [*rows.schema.names, "sig"])
+            sig = signatures(x, bits)
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.FixedSizeListArray.from_arrays(pa.array(sig.ravel()), sig.shape[1]).cast(pa.list_(pa.int32()))], [*rows.schema.names, "sig"])
 
 
 def forest(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
@@ -76,7 +93,7 @@ def forest(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple
     return edges
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verify(batches: Iterator[pa.RecordBatch], tables: int) -> Iterator[pa.RecordBatch]:
     """Rows of one block pair lie together, side 0 before side 1 (a block with itself has side 0 alone)."""
     for t in whole_groups(batches, "bucket", "pair"):
         bucket, pair, side, table, ids, n = (t.column(c).to_numpy() for c in ("bucket", "pair", "side", "tab", "rep", "n"))
@@ -90,7 +107,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = lists.slice(a, z - a)
             x = part.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(z - a, -1)
             x /= np.sqrt((x * x).sum(1))[:, None]
-            s = sigs.slice(a, z - a).flatten().to_numpy().reshape(z - a, TABLES)
+            s = sigs.slice(a, z - a).flatten().to_numpy().reshape(z - a, tables)
             cut = int((side[a:z] == 0).sum())
             own = cut == z - a
             if cut == 0:
@@ -128,8 +145,9 @@ def usable() -> Column:
     return F.coalesce(sound, F.lit(False))
 
 
-def near_duplicates(vectors: DataFrame) -> DataFrame:
-    """vec_id, n_links, component_id, kept for every row."""
+def near_duplicates(vectors: DataFrame, bits: int | None = None) -> DataFrame:
+    """vec_id, n_links, component_id, kept for every row. bits: of a table's hash;
+    by the number of classes if not given."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("v"))
     # -0.0 and 0.0 are one component; sha2 over the text of the numbers stands for the vector
     digest = F.sha2(F.concat_ws(",", F.col("label"), F.array_join(F.transform("v", lambda x: (x + 0.0).cast("string")), ",")), 256)
@@ -139,7 +157,10 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
         good.groupBy("key").agg(F.min("vec_id").alias("first"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("v").alias("v")).withColumn("rep", F.xxhash64("key")).withColumn("dim", F.size("v")),
         "vector-classes",
     )
-    signed = map_arrow(per.select("rep", "n", "dim", "label", "v"), _sign, "rep long, n long, dim int, label string, v array<double>, sig array<int>")
+    if bits is None:
+        bits = bits_for(per.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0)
+    tables = tables_for(bits)
+    signed = map_arrow(per.select("rep", "n", "dim", "label", "v"), lambda batches: _sign(batches, bits), "rep long, n long, dim int, label string, v array<double>, sig array<int>")
     signed = materialize(signed, "vector-signs")
     spread = signed.select("rep", "n", "dim", "label", F.posexplode("sig").alias("tab", "h"))
     key = F.xxhash64("label", "dim", "tab", "h")
@@ -151,7 +172,7 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     dealt = placed.select("bucket", "tab", "rep", "n", "v", "sig", F.inline(pairs))
     n_parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_ = dealt.repartition(n_parts, "bucket", "pair").sortWithinPartitions("bucket", "pair", "side", "rep")
-    found = materialize(map_arrow(sorted_, _verify, "a long, b long, links long"), "vector-links")
+    found = materialize(map_arrow(sorted_, lambda batches: _verify(batches, tables), "a long, b long, links long"), "vector-links")
     links = found.groupBy("a").agg(F.sum("links").alias("links"))
     parts = components(found.where("b is not null").select("a", "b"))
     # a component is named by the smallest vec_id in it

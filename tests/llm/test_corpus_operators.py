@@ -205,6 +205,21 @@ def test_embeddings_against_all_pairs(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def test_more_vectors_get_more_bits_and_tables(spark):
+    assert embeddings.bits_for(0) == embeddings.bits_for(1 << 20) == 10 and embeddings.tables_for(10) == 32
+    assert embeddings.bits_for(1 << 30) == 20 and embeddings.bits_for(1 << 50) == 31
+    for bits in range(10, 32):
+        assert (1 - embeddings.AGREE**bits) ** embeddings.tables_for(bits) <= embeddings.MISSED
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((300, 24))
+    v = np.concatenate([base, base[rng.integers(0, 100, 700)] + rng.standard_normal((700, 24)) * rng.choice([0.1, 0.25, 0.35], (700, 1))])
+    rows = spark.createDataFrame([(i, [float(y) for y in x], 1) for i, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    x = v / np.linalg.norm(v, axis=1)[:, None]
+    true = (x @ x.T >= 0.93).sum(1) - 1
+    got = embeddings.near_duplicates(rows, bits=20).toPandas().set_index("vec_id").n_links.sort_index().to_numpy()
+    assert true.sum() > 1000 and (got <= true).all() and got.sum() >= 0.999 * true.sum()
+
+
 def test_big_buckets_are_dealt_in_blocks(spark):
     rng = np.random.default_rng(9)
     v = (np.ones(8) + rng.standard_normal((2600, 8)) * 0.02).astype(np.float32)
