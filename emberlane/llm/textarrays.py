@@ -64,11 +64,12 @@ class Words:
     first: np.ndarray  # of each text, and the number of words last
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """data: bytes of all texts; offsets: where each begins, and the end."""
+def words_of(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = IS_WHITE) -> Words:
+    """data: bytes of all texts; offsets: where each begins, and the end; outside:
+    which of the 256 bytes belong to no word."""
     n = len(data)
     inside = np.zeros(n + 1, bool)
-    inside[:n] = ~IS_WHITE[data]
+    inside[:n] = ~outside[data]
     begins = inside[:n].copy()
     begins[1:] &= ~inside[: n - 1]
     cut = offsets[:-1][offsets[:-1] < n]
@@ -85,3 +86,46 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     spans = Spans.over(data)
     hashes = mix64(spans.raw(start, end) + (end - start).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
     return Words(hashes, start, end, np.searchsorted(start, offsets))
+
+
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def signs(data: np.ndarray, w: Words) -> np.ndarray:
+    """Length, first eight and last eight bytes of every word, in three columns: with
+    the hash, all that a word of up to 16 bytes is."""
+    padded = np.zeros(len(data) + 16, np.uint8)
+    padded[8 : 8 + len(data)] = data
+    eight = np.ndarray(len(data) + 9, "<u8", padded, strides=(1,))
+    size = w.end - w.start
+    cut = ((8 - np.minimum(size, 8)) * 8).astype(np.uint64)
+    return np.stack([size.astype(np.uint64), eight[w.start + 8] << cut, eight[w.end] >> cut], 1)
+
+
+def suffix_order(ids: np.ndarray, end: np.ndarray, depth: int) -> np.ndarray:
+    """Places sorted by the ids from there on, depth of them at least or to the end of
+    the place's run (end, exclusive), by prefix doubling: each round sorts what the
+    rounds before left equal by the ranks of what follows, twice as deep."""
+    n = len(ids)
+    order = np.argsort(ids, kind="stable")
+    if not n:
+        return order
+    new = np.append(True, ids[order[1:]] != ids[order[:-1]])
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    places = np.flatnonzero(~(new & np.append(new[1:], True)))
+    h = 1
+    while h < depth and len(places):
+        u = order[places]
+        there = u + h
+        follows = np.where(there < end[u], rank[np.minimum(there, n - 1)] + 1, 0)
+        key = rank[u] * (n + 1) + follows
+        o = np.argsort(key, kind="stable")
+        u, key, follows = u[o], key[o], follows[o]
+        order[places] = u
+        new = np.append(True, key[1:] != key[:-1])
+        rank[u] = np.maximum.accumulate(np.where(new, places, 0))
+        places = places[~(new & np.append(new[1:], True)) & (follows > 0)]
+        h *= 2
+    return order
