@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlane.llm import chat, decontaminate, embeddings, minhash, mixing, pieces, quality, secrets, suffixes, superkmers, warc
+from emberlane.llm import chat, collocations, decontaminate, embeddings, minhash, mixing, negatives, pieces, quality, secrets, suffixes, superkmers, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,10 +53,18 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_suffixes, op2_chat, op3_mix, op4_quality, op5_embeddings, op6_pieces, op7_warc, op8_secrets, op9_superkmers, op10_minhash, op12_decontaminate)}
-ORACLE = {"op12_decontaminate": decontaminate.SQL, "op2_chat": chat.SQL, "op3_mix": mixing.SQL, "op4_quality": quality.SQL, "op5_embeddings": embeddings.SQL, "op7_warc": warc.SQL, "op9_superkmers": superkmers.SQL}
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_suffixes, op2_chat, op3_mix, op4_quality, op5_embeddings, op6_pieces, op7_warc, op8_secrets, op9_superkmers, op10_minhash, op11_negatives, op12_decontaminate, op13_phrases)}
+ORACLE = {"op11_negatives": negatives.SQL, "op13_phrases": collocations.SQL, "op12_decontaminate": decontaminate.SQL, "op2_chat": chat.SQL, "op3_mix": mixing.SQL, "op4_quality": quality.SQL, "op5_embeddings": embeddings.SQL, "op7_warc": warc.SQL, "op9_superkmers": superkmers.SQL}
