@@ -4,14 +4,16 @@ A shard is some SHARD bytes of whole texts. Its words are numbered, by language,
 all places of its pieces are sorted by the words from there on, by prefix doubling.
 Neighbours in that order share their first LCP words; the places between two falls of
 the LCP below n are the occurrences of one n-gram, so a shard gives each of its n-grams
-once, with its count. Spark adds the counts up by language and phrase.
+once, with its count, and Spark adds the counts up by key.
 
-Counts are taken level by level, as a phrase is no more frequent than its parts: words,
-then pairs of frequent words, then phrases of three and four all of whose pairs are
-frequent. What is frequent is told to the shards by a Bloom filter, of 16 bits a
-phrase and at most MOST_BITS, however many phrases there are; past that it lets more
-through, and what it lets through is counted and dropped by the exact count, so results
-do not depend on it. Phrases meet as strings, and counts are exact.
+A phrase is no more frequent than its words and pairs of words, so the texts are read
+three times. First shards give their words and pairs, then the phrases of three and
+more words all of whose pairs may be frequent: by hash, packed in arrays, a bucket and
+32 bits each. Which of these reach LEAST in all is told to the tasks by Bloom filters of
+BITS_EACH bits a hash and at most MOST_BITS, however many there are. At last shards give
+the phrases that pass the filters as strings; these meet by language and string, and
+their counts are exact. Hashes that collide, and a filter that is full, let more phrases
+be counted; the exact count drops them, so results do not depend on either.
 
 A phrase's parts are joined by value, and parts that very many phrases share do not
 gather (heavy_join). The rank is taken in SALTS groups of phrases first, so no task
@@ -32,12 +34,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from emberlane.llm.common import heavy_join, let_go, map_arrow, materialize, mix64, slices, utf8
+from emberlane.llm.common import heavy_join, let_go, map_arrow, materialize, mix64, slices, utf8, whole_groups
 from emberlane.llm.textarrays import LOWER, Words, signs, suffix_order, words_of
 
 LEAST, TOP, LONGEST = 30, 2000, 4
 INSIDE_PERCENT = 80
-SHARD = 16 << 20
+SHARD, CHUNK = 8 << 20, 1 << 20
+BUCKETS = 4  # per shuffle partition
 MOST_BITS = 28  # of a Bloom filter: 32 MB
 BITS_EACH, PROBES = 16, 4
 SALTS = 256
@@ -59,9 +62,8 @@ def folded(word: np.ndarray, n: int) -> np.ndarray:
 class Filter:
     """A Bloom filter over 64-bit hashes."""
 
-    def __init__(self, bits: int, table: np.ndarray | None = None):
-        self.shift = np.uint64(64 - bits)
-        self.table = np.zeros(1 << max(bits - 6, 0), np.uint64) if table is None else table
+    def __init__(self, bits: int, table: np.ndarray):
+        self.shift, self.table = np.uint64(64 - bits), table
 
     def places(self, h: np.ndarray, probe: int) -> np.ndarray:
         step = mix64(h ^ _FOLD) | np.uint64(1)
@@ -133,80 +135,147 @@ def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+def _words(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """words_of(), some texts at a time, as hashing takes many times a text's size."""
+    parts, base = [], 0
+    for a, z in slices(np.diff(offsets), CHUNK):
+        w = words_of(data[offsets[a] : offsets[z]], offsets[a : z + 1] - offsets[a], OUTSIDE)
+        parts.append((w.hash, w.start + offsets[a], w.end + offsets[a], w.first[:-1] + base))
+        base += len(w.hash)
+    hash_, start, end, first = (np.concatenate(x) for x in zip(*parts))
+    return Words(hash_, start, end, np.append(first, base))
+
+
+class Shard:
+    """Words of some texts by language: linked where they follow each other in a piece."""
+
+    def __init__(self, lang: pa.Array, salt: np.ndarray, data: np.ndarray, offsets: np.ndarray):
+        self.lang, self.data, self.w = lang, data, _words(data, offsets)
+        self.doc = np.repeat(np.arange(len(salt)), np.diff(self.w.first))
+        self.word = mix64(self.w.hash + salt[self.doc] * _FOLD)
+        piece = np.cumsum(BREAK[data], dtype=np.int32)[self.w.start]
+        self.linked = (self.doc[1:] == self.doc[:-1]) & (piece[1:] == piece[:-1])
+
+
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
     for t in _tables(batches):
         lang, salt = t.column("lang").combine_chunks(), t.column("lh").to_numpy().view(np.uint64)
         data, offsets = utf8(t.column("text"))
         for a, z in slices(np.diff(offsets), SHARD):
-            yield lang.slice(a, z - a), salt[a:z], LOWER[data[offsets[a] : offsets[z]]], offsets[a : z + 1] - offsets[a]
+            s = Shard(lang.slice(a, z - a), salt[a:z], LOWER[data[offsets[a] : offsets[z]]], offsets[a : z + 1] - offsets[a])
+            if len(s.word):
+                yield s
+
+
+def short(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """What is sent of a hash: its bucket, and 32 bits."""
+    return ((h >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64), h.astype(np.uint32)
+
+
+def joined(bucket: np.ndarray, key: np.ndarray) -> np.ndarray:
+    return mix64((bucket.astype(np.uint64) << np.uint64(32)) | key.astype(np.uint64))
+
+
+def _grams(s: Shard, levels: tuple[int, ...], buckets: int, known: dict[int, Filter]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """n, a place, the hash and the count of each n-gram of a shard that the filters
+    know; of those of over two words, whose pairs the filter of pairs knows."""
+    holds = lambda n, h: known[n].holds(joined(*short(h, buckets)))
+    linked = s.linked.copy()
+    if 2 in known:
+        linked[linked] = holds(2, folded(s.word, 2)[linked])
+    head = np.flatnonzero(np.append(True, ~linked))
+    size = np.diff(np.append(head, len(s.word)))
+    keep = np.repeat(size >= max(levels[0], 2), size)
+    if levels[0] == 1:  # words by themselves
+        alone = ~keep
+        keep[alone] = holds(1, s.word[alone]) if 1 in known else True
+    at = np.flatnonzero(keep)
+    if not len(at):
+        return
+    size = size[keep[head]]
+    ids = _numbered(s.data, Words(s.w.hash[at], s.w.start[at], s.w.end[at], s.w.first), s.word[at])
+    for n, place, count in ngrams(ids, np.repeat(np.cumsum(size), size), levels):
+        p = at[place]
+        h = folded(s.word, n)[p]
+        if n in known:
+            there = holds(n, h)
+            p, h, count = p[there], h[there], count[there]
+        yield n, p, h, count
+
+
+_HASHED = "bucket int, n int, keys array<int>, counts array<int>"
+
+
+def _hashed(levels: tuple[int, ...], buckets: int, sent):
+    """Hashes of the n-grams of each shard, with their counts, by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = {n: Filter(*x) for n, x in sent.value.items()}
+        for s in _shards(batches):
+            for n, _, h, count in _grams(s, levels, buckets, known):
+                bucket, key = short(h, buckets)
+                order = np.lexsort((key, bucket))
+                some, starts = np.unique(bucket[order], return_index=True)
+                ends = pa.array(np.append(starts, len(order)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (key[order].view(np.int32), count[order].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(np.full(len(some), n, np.int32)), *lists], ["bucket", "n", "keys", "counts"])
+
+    return run
+
+
+def _reaching(least: int):
+    """Hashes of a bucket whose counts reach least in all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, "bucket", "n"):
+            bucket, n = t.column("bucket").to_numpy(), t.column("n").to_numpy()
+            head = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (n[1:] != n[:-1])))
+            for a, z in zip(head.tolist(), np.append(head[1:], len(bucket)).tolist()):
+                keys, counts = (t.column(c).slice(a, z - a).combine_chunks().flatten().to_numpy() for c in ("keys", "counts"))
+                order = np.argsort(keys)
+                keys, counts = keys[order], counts[order].astype(np.int64)
+                first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))[: len(keys)]
+                many = first[np.add.reduceat(counts, first) >= least] if len(keys) else first
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(many), n[a], np.int32)), pa.array(np.full(len(many), bucket[a], np.int32)), pa.array(keys[many])], ["n", "bucket", "key"])
+
+    return run
 
 
 _COUNTED = "lang string, n int, phrase string, c long"
 
 
-def _counts(levels: tuple[int, ...], sent=None):
-    """n-grams of each shard, with their counts; sent: the filter of the level below."""
+def _counts(buckets: int, sent):
+    """Phrases of each shard that may be frequent, with their counts, and (n = 0) its
+    numbers of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Filter(*sent.value) if sent else None
-        for lang, salt, data, offsets in _shards(batches):
-            w = words_of(data, offsets, OUTSIDE)
-            if not len(w.hash):
-                continue
-            doc = np.repeat(np.arange(len(salt)), np.diff(w.first))
-            word = mix64(w.hash + salt[doc] * _FOLD)
-            piece = np.cumsum(BREAK[data])[w.start]
-            linked = (doc[1:] == doc[:-1]) & (piece[1:] == piece[:-1])
-            if levels == (2,):
-                sound = known.holds(word)
-                linked &= sound[1:] & sound[:-1]
-            elif known:
-                linked[linked] = known.holds(folded(word, 2)[linked])
-            head = np.flatnonzero(np.append(True, ~linked))
-            size = np.diff(np.append(head, len(word)))
-            at = np.flatnonzero(np.repeat(size >= min(levels), size))
-            size = size[size >= min(levels)]
-            some = Words(w.hash[at], w.start[at], w.end[at], w.first)
-            ids = _numbered(data, some, word[at])
-            if levels == (1,):
-                told, n = np.unique(doc, return_counts=True)
-                names = lang.take(pa.array(told))
-                yield pa.RecordBatch.from_arrays([names, pa.array(np.zeros(len(told), np.int32)), pa.array([""] * len(told)), pa.array(n.astype(np.int64))], ["lang", "n", "phrase", "c"])
-            for n, place, c in ngrams(ids, np.repeat(np.cumsum(size), size), levels):
-                for lo in range(0, len(place), 100_000):
-                    some_at = at[place[lo : lo + 100_000]]
-                    yield pa.RecordBatch.from_arrays(
-                        [lang.take(pa.array(doc[some_at])), pa.array(np.full(len(some_at), n, np.int32)), phrases(data, w, some_at, n), pa.array(c[lo : lo + 100_000].astype(np.int64))], ["lang", "n", "phrase", "c"]
-                    )
+        known = {n: Filter(*x) for n, x in sent.value.items()}
+        for s in _shards(batches):
+            told, n = np.unique(s.doc, return_counts=True)
+            yield pa.RecordBatch.from_arrays([s.lang.take(pa.array(told)), pa.array(np.zeros(len(told), np.int32)), pa.array([""] * len(told)), pa.array(n)], ["lang", "n", "phrase", "c"])
+            for n, place, _, count in _grams(s, tuple(range(1, LONGEST + 1)), buckets, known):
+                for lo in range(0, len(place), 50_000):
+                    p = place[lo : lo + 50_000]
+                    yield pa.RecordBatch.from_arrays([s.lang.take(pa.array(s.doc[p])), pa.array(np.full(len(p), n, np.int32)), phrases(s.data, s.w, p, n), pa.array(count[lo : lo + 50_000])], ["lang", "n", "phrase", "c"])
 
     return run
 
 
-def _set_bits(n: int, bits: int):
-    """Words of the filter, and their bits, for phrases of n words."""
+def filter_of(hashes: DataFrame) -> tuple[int, np.ndarray]:
+    """A filter of hashes (bucket, key): its size is bounded."""
+    bits = min(max(10, (BITS_EACH * max(hashes.count(), 1) - 1).bit_length()), MOST_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Filter(bits, np.zeros(0, np.uint64))
-        for _, salt, data, offsets in _shards(batches):
-            w = words_of(data, offsets, OUTSIDE)
-            word = mix64(w.hash + np.repeat(salt, n) * _FOLD)
-            h = folded(word, n)[::n]
-            p = np.concatenate([f.places(h, i) for i in range(PROBES)])
-            p = np.unique(p)
+        for b in batches:
+            h = joined(b.column("bucket").to_numpy(), b.column("key").to_numpy().view(np.uint32))
+            p = np.unique(np.concatenate([f.places(h, i) for i in range(PROBES)]))
             at = p >> np.uint64(6)
             head = np.flatnonzero(np.append(True, at[1:] != at[:-1]))[: len(at)]
             if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(at[head].astype(np.int64)), pa.array(np.bitwise_or.reduceat(np.uint64(1) << (p & np.uint64(63)), head).view(np.int64))], ["at", "bits"])
-
-    return run
-
+                yield pa.RecordBatch.from_arrays([pa.array(at[head].view(np.int64)), pa.array(np.bitwise_or.reduceat(np.uint64(1) << (p & np.uint64(63)), head).view(np.int64))], ["at", "bits"])
 
-def filter_of(frequent: DataFrame, n: int) -> tuple[int, np.ndarray]:
-    """A filter of the phrases (lang, phrase) of n words: its size is bounded."""
-    count = frequent.count()
-    bits = min(max(10, (BITS_EACH * max(count, 1) - 1).bit_length()), MOST_BITS)
-    rows = frequent.select("lang", F.xxhash64("lang").alias("lh"), F.col("phrase").alias("text"))
-    told = map_arrow(rows, _set_bits(n, bits), "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    told = map_arrow(hashes.select("bucket", "key"), run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
     table = np.zeros(1 << (bits - 6), np.uint64)
     table[told.column("at").to_numpy()] = told.column("bits").to_numpy().view(np.uint64)
     return bits, table
@@ -216,20 +285,20 @@ def frequencies(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """lang, n, phrase, c: all phrases of one to LONGEST words that occur least times
     at least, and with n = 0 the number of all words of a language."""
     spark = docs.sparkSession
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     texts = docs.where("text is not null").select(name.alias("lang"), F.xxhash64(name).alias("lh"), "text")
-
-    def level(levels: tuple[int, ...], below: DataFrame | None, n: int) -> DataFrame:
-        sent = spark.sparkContext.broadcast(filter_of(below, n)) if below is not None else None
-        counted = map_arrow(texts, _counts(levels, sent), _COUNTED).groupBy("lang", "n", "phrase").agg(F.sum("c").alias("c"))
-        out = materialize(counted.where((F.col("c") >= least) | (F.col("n") == 0)), f"phrases-{levels[0]}")
+    buckets = n_parts * BUCKETS
+    known: dict[int, tuple[int, np.ndarray]] = {}
+    for levels in ((1, 2), tuple(range(3, LONGEST + 1))):
+        packed = map_arrow(texts, _hashed(levels, buckets, spark.sparkContext.broadcast(dict(known))), _HASHED).repartition(n_parts, "bucket").sortWithinPartitions("bucket", "n")
+        reached = materialize(map_arrow(packed, _reaching(least), "n int, bucket int, key int"), "phrase-hashes")
         let_go(spark)
-        return out
-
-    one = level((1,), None, 0)
-    two = level((2,), one.where("n = 1"), 1)
-    rest = level(tuple(range(3, LONGEST + 1)), two, 2)
-    return one.unionByName(two).unionByName(rest)
+        known |= {n: filter_of(reached.where(f"n = {n}")) for n in levels}
+    counted = map_arrow(texts, _counts(buckets, spark.sparkContext.broadcast(known)), _COUNTED).groupBy("lang", "n", "phrase").agg(F.sum("c").alias("c"))
+    out = materialize(counted.where((F.col("c") >= least) | (F.col("n") == 0)), "phrases")
+    let_go(spark)
+    return out
 
 
 def _part(first: Column, n: Column) -> Column:
