@@ -177,8 +177,8 @@ def integers(vectors: DataFrame) -> DataFrame:
     """vec_id, label, dim and q (integers) of the rows that take part."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("v"))
     sound = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    largest = F.floor(F.lit(float(SCALE)) * F.greatest(F.coalesce(F.array_max(F.transform("v", F.abs)), F.lit(0.0)), F.lit(0.0))) + 1
-    small = F.size("v") * largest.cast("double") * largest.cast("double") < float(1 << 62)
+    largest = F.lit(float(SCALE)) * F.coalesce(F.array_max(F.transform("v", F.abs)), F.lit(0.0)) + 1
+    small = F.size("v") * largest * largest < float(1 << 62)
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     q = F.transform("v", lambda x: F.floor(F.lit(float(SCALE)) * x).cast("long"))
     return rows.where(F.coalesce(sound, F.lit(False))).where(small).select("vec_id", moved.alias("label"), F.size("v").alias("dim"), q.alias("q"))
