@@ -92,16 +92,4 @@ def polygons(kind: Column, coordinates: Column, stored: str) -> Column:
     return F.when(text.startswith("[[[["), read(MULTIPOLYGON)).otherwise(polygons(kind, read(POLYGON), POLYGON))
 
 
-def bounds(rings: Column) -> Column:
-    outer = F.get(rings, F.lit(0))
-    xs, ys = F.transform(outer, lambda p: F.get(p, F.lit(0))), F.transform(outer, lambda p: F.get(p, F.lit(1)))
-    return F.struct(F.array_min(xs).alias("west"), F.array_max(xs).alias("east"), F.array_min(ys).alias("south"), F.array_max(ys).alias("north"))
-
-
-def cells(west: Column, east: Column, south: Column, north: Column, degrees: float) -> Column:
-    """Grid cells that a box touches: what a spatial join is bucketed by."""
-    span = lambda a, b: F.sequence(F.floor(a / degrees).cast("int"), F.floor(b / degrees).cast("int"))
-    return F.flatten(F.transform(span(west, east), lambda i: F.transform(span(south, north), lambda j: F.struct(i.alias("cx"), j.alias("cy")))))
-
-
 EARTH = 4 * math.pi * RADIUS * RADIUS

@@ -1,8 +1,9 @@
 """Entity extraction: places and peoples named in texts.
 
 An extractor gives (item, text, label) with label GPE or NORP. The default looks
-names up in a gazetteer; a model can be put in its place as a function over
-pandas frames. What follows extraction is the same for both.
+names up in a gazetteer; a tagger that was trained on what a gazetteer or people
+labelled (operators.tagger), or any function over pandas frames, can be put in its
+place. What follows extraction is the same for all.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlane.functions import text as X
+from emberlane.operators.tagger import Tagger, tagged
 from emberlane.operators.tagging import whole_words
 from emberlane.session import ship
 
@@ -23,6 +25,11 @@ def by_gazetteer(items: DataFrame, names: DataFrame, texts: list[str]) -> DataFr
     return whole_words(items, names, texts).select("item", F.col("match").alias("text"), "label").distinct()
 
 
+def by_tagger(items: DataFrame, model: Tagger) -> DataFrame:
+    """items: item, text."""
+    return tagged(items, model).distinct()
+
+
 def by_model(items: DataFrame, model: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]) -> DataFrame:
     """model takes and gives frames, a batch at a time: item, text in; item, text, label out."""
     ship(items.sparkSession)

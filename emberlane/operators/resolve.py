@@ -13,10 +13,9 @@ from pyspark.sql.window import Window
 
 from emberlane.functions import geo
 from emberlane.functions.text import confidence
+from emberlane.operators.places import covering, within
 from emberlane.session import materialize
 
-CELL = 1.0  # degrees of the grid that polygons and points meet on
-
 
 def valid(ts: Column, begin: Column, end: Column, as_of: Column) -> Column:
     """Inclusive at both ends; no begin: since 1800; no end: until midnight of as_of."""
@@ -50,14 +49,12 @@ def normal(places: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def contents(shapes: DataFrame, assets: DataFrame) -> DataFrame:
-    """(shape, id): assets whose point lies in any of a shape's polygons. Each
-    polygon's box and the points meet by grid cell, without vertices; then the
-    polygon decides. Every polygon is looked at once, however many items name it."""
-    parts = shapes.select("shape", F.posexplode("polygons").alias("part", "rings")).withColumn("_b", geo.bounds(F.col("rings")))
-    dealt = parts.select("shape", "part", F.inline(geo.cells(F.col("_b.west"), F.col("_b.east"), F.col("_b.south"), F.col("_b.north"), CELL)))
-    points = assets.where("lon is not null and lat is not null").select("id", "lon", "lat", F.floor(F.col("lon") / CELL).cast("int").alias("cx"), F.floor(F.col("lat") / CELL).cast("int").alias("cy")).dropDuplicates(["id", "lon", "lat"])
-    near = dealt.join(points, ["cx", "cy"]).select("shape", "part", "id", "lon", "lat")
-    return near.join(parts.select("shape", "part", "rings"), ["shape", "part"]).where(geo.in_polygon(F.col("rings"), F.col("lon"), F.col("lat"))).select("shape", "id").distinct()
+    """(shape, id): assets whose point lies in any of a shape's polygons. Polygons are
+    covered by cells, and points meet cells: every polygon is looked at once, however
+    many items name it, and its points are dealt by cell."""
+    cells = materialize(covering(shapes), "covering")  # found once for all points
+    points = assets.where("lon is not null and lat is not null").select("id", "lon", "lat").distinct()
+    return within(cells, points).select("shape", "id").distinct()
 
 
 def ranked(links: DataFrame, shapes: DataFrame) -> DataFrame:

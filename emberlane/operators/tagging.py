@@ -1,8 +1,13 @@
-"""Tags texts with the names of a gazetteer: all names in one pass over a text.
+"""Tags texts with the names of a gazetteer of any size: one scan of the texts, and no
+name on the driver or in a task.
 
-Names, in blocks of BLOCK at most, go to the tasks as an automaton (Aho-Corasick)
-with the rows that carry them; each text is read once per block however many names
-there are, and no text meets a name that it does not hold. Nothing is shuffled.
+Names are in classes by length: those of 2**c to 2**(c+1) - 1 characters are known by
+the rolling hash of their first 2**c, and each by the hash of all of it. Both are told
+to the tasks by a Bloom filter of bounded size (rolling.filter_of). A task hashes its
+texts once, asks for every place whether a class knows what begins there, and then for
+the lengths of that class; what may be a name is sent, once an item, and meets the
+names by a join on what it says, which Spark may broadcast, or deal and split if a name
+is in very many texts. A full filter only sends more; the join decides.
 
 Ways to look for a name:
 - word: as a whole word, past case. Borders are those of ASCII word characters.
@@ -11,24 +16,25 @@ Ways to look for a name:
 - phrase: anywhere, past case and accents.
 
 Defined cases: a null or empty text holds no name; a null or empty name is in no
-text; rows that repeat a name are all found; names are taken literally.
+text; rows that repeat a name are all found; names are taken literally; rows of one
+item are looked at each by itself.
 """
 
 from __future__ import annotations
 
-import hashlib
 import unicodedata
 from collections.abc import Iterator
 
-import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberlane.session import ship
+from emberlane.operators import rolling
+from emberlane.session import materialize, ship
 
-BLOCK = 50_000  # rows of names that a task holds
+CHUNK = 1 << 20  # code points hashed at a time
 WORD = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_")
 # Letters that have no decomposition but differ from others by a stroke alone.
 STROKES = {"ø": "o", "đ": "d", "ħ": "h", "ł": "l", "ŧ": "t", "æ": "ae", "œ": "oe", "ı": "i"}
@@ -64,106 +70,125 @@ def past_accents(s: str) -> str:
     return s.lower() if s.isascii() else unicodedata.normalize("NFD", s.casefold()).translate(_bare)
 
 
-class Finder:
-    """Automata of a block of names: (spelling, way) of each row."""
-
-    def __init__(self, names: list[tuple[str | None, str]]):
-        held: dict[bool, dict[str, dict[tuple[str, str], list[int]]]] = {False: {}, True: {}}
-        for row, (name, way) in enumerate(names):
-            if name:
-                phrase = way == "phrase"
-                form = past_accents(name) if phrase else past_case(name)
-                if form:
-                    held[phrase].setdefault(form, {}).setdefault((name if way == "exact" else "", way), []).append(row)
-        self.automata = {}
-        for phrase, forms in held.items():
-            if forms:
-                self.automata[phrase] = a = ahocorasick.Automaton()
-                for form, wanted in forms.items():
-                    a.add_word(form, (len(form), [(name, way, rows) for (name, way), rows in wanted.items()]))
-                a.make_automaton()
-
-    def rows(self, text: str, found: set[int]) -> None:
-        """Adds the rows of the names that the text holds."""
-        if (a := self.automata.get(True)) is not None:
-            for _, (_, wanted) in a.iter(past_accents(text)):
-                for _, _, rows in wanted:
-                    found.update(rows)
-        if (a := self.automata.get(False)) is not None:
-            n = len(text)
-            for last, (size, wanted) in a.iter(past_case(text)):
-                whole = None
-                for name, way, rows in wanted:
-                    if rows[0] in found:
-                        continue
-                    if way != "part":
-                        if whole is None:
-                            at, end = last - size + 1, last + 1
-                            before, after = at > 0 and text[at - 1] in WORD, end < n and text[end] in WORD
-                            whole = before != (text[at] in WORD) and after != (text[last] in WORD)
-                        if not whole or (way == "exact" and text[at:end] != name):
-                            continue
-                    found.update(rows)
-
-
-_finders: dict[str, Finder] = {}
-
-
-def finder(names: list[tuple[str | None, str]]) -> Finder:
-    """Made once per worker and block; only the last few blocks stay."""
-    key = hashlib.md5(repr(names).encode()).hexdigest()
-    if key not in _finders:
-        while len(_finders) > 3:
-            _finders.pop(next(iter(_finders)))
-        _finders[key] = Finder(names)
-    return _finders[key]
-
-
-def _blocks(names: DataFrame) -> list[pa.Table]:
-    """The rows of names, in parts of about BLOCK by a hash of the name."""
-    first = names.limit(BLOCK + 1).toArrow()
-    if first.num_rows <= BLOCK:
-        return [first]
-    n = -(-names.count() // BLOCK)
-    return [names.where(F.pmod(F.xxhash64("match"), F.lit(n)) == i).toArrow() for i in range(n)]
-
-
-def _held(items: DataFrame, block: pa.Table, schema: T.StructType) -> DataFrame:
-    spelled = list(zip(block.column("_as").to_pylist(), block.column("_way").to_pylist()))
-    carried = block.drop_columns(["_as", "_way"]).combine_chunks()
+FOLDS = {"word": past_case, "exact": str, "part": past_case, "phrase": past_accents}
+WAYS = list(FOLDS)
+_IS_WORD = np.zeros(128, bool)
+_IS_WORD[[ord(c) for c in WORD]] = True
+
+
+def _spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The form under which each name is looked for; null for none."""
+    for b in batches:
+        i = b.schema.get_field_index("_form")
+        forms = [FOLDS[way](name) or None if name else None for name, way in zip(b.column("_form").to_pylist(), b.column("_way").to_pylist())]
+        yield b.set_column(i, "_form", pa.array(forms, pa.string()))
+
+
+def _known(batch: pa.RecordBatch) -> np.ndarray:
+    """Hashes of a batch of forms (_way, _form): of what they begin with, and of all."""
+    ways, forms = batch.column("_way").to_pylist(), batch.column("_form").to_pylist()
+    sizes = np.array([len(f) for f in forms], np.int64)
+    text = rolling.Rolling(rolling.points("".join(forms)))
+    start = np.cumsum(sizes) - sizes
+    out = [np.zeros(0, np.uint64)]
+    for way in WAYS:
+        mine = np.array([w == way for w in ways], bool)
+        for n in np.unique(sizes[mine]).tolist():
+            at = start[mine & (sizes == n)]
+            out += [text.spans(at, 1 << (n.bit_length() - 1), WAYS.index(way)), text.spans(at, n, WAYS.index(way) + len(WAYS))]
+    return np.concatenate(out)
+
+
+def _places(texts: list[str], lengths: dict[str, list[int]], known: rolling.Filter) -> Iterator[tuple[str, int, np.ndarray, np.ndarray, np.ndarray, list[str]]]:
+    """way, length, texts, places in them, hashes, and the texts as looked at."""
+    folded: dict[object, tuple] = {}
+    for way, sizes in lengths.items():
+        fold = FOLDS[way]
+        if fold not in folded:
+            told = [fold(t) for t in texts]
+            points = rolling.points("".join(told))
+            size = np.array([len(t) for t in told], np.int64)
+            end = np.cumsum(size)
+            folded[fold] = told, points, rolling.Rolling(points), end - size, np.repeat(end, size), np.repeat(np.arange(len(told)), size)
+        told, points, text, first, end, owner = folded[fold]
+        start = stop = None
+        if way in ("word", "exact"):  # borders are those of the text as it is: folding keeps places
+            raw = points if fold is str else rolling.points("".join(texts))
+            is_word = np.zeros(len(raw) + 1, bool)
+            low = raw < 128
+            is_word[:-1][low] = _IS_WORD[raw[low]]
+            before = np.append(False, is_word[:-2]) if len(raw) else is_word[:0]
+            begins = np.zeros(len(raw), bool)
+            begins[first[first < len(raw)]] = True
+            start = np.where(begins, False, before) != is_word[:-1]
+            # the border after a place: with what follows, or the end of the text
+            after = np.where(np.arange(1, len(raw) + 1) < end, is_word[1:], False)
+            stop = after != is_word[:-1]
+        every = np.arange(len(points)) if start is None else np.flatnonzero(start)
+        salt = WAYS.index(way)
+        for width in sorted({1 << (n.bit_length() - 1) for n in sizes}):
+            at = every[every + width <= end[every]]
+            at = at[known.holds(text.spans(at, width, salt))]
+            for n in sizes:
+                if not width <= n < 2 * width or not len(at):
+                    continue
+                here = at[at + n <= end[at]]
+                if stop is not None:
+                    here = here[stop[here + n - 1]]
+                h = text.spans(here, n, salt + len(WAYS))
+                hit = known.holds(h)
+                if len(hit):
+                    here = here[hit]
+                    yield way, n, owner[here], here - first[owner[here]], h[hit], told
+
+
+def _candidates(sent, lengths: dict[str, list[int]]):
+    """(item, way, form) of what may be a name, once a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = finder(spelled)
+        known = rolling.Filter(*sent.value)
         for b in batches:
-            places, rows = [], []
-            columns = [c.to_pylist() for c in b.columns[1:]]
-            for i in range(b.num_rows):
-                found: set[int] = set()
-                for c in columns:
-                    for text in c[i] if isinstance(c[i], list) else (c[i],):
+            texts, rows = [], []
+            for column in b.columns[1:]:
+                for i, cell in enumerate(column.to_pylist()):
+                    for text in cell if isinstance(cell, list) else (cell,):
                         if text:
-                            look.rows(text, found)
-                places += [i] * len(found)
-                rows += sorted(found)
-            told = carried.take(pa.array(rows, pa.int64()))
-            if rows:
-                yield from pa.Table.from_arrays([pa.chunked_array([b.column(0).take(pa.array(places, pa.int64()))]), *told.columns], ["item", *told.column_names]).combine_chunks().to_batches()
-
-    ship(items.sparkSession)
-    return items.mapInArrow(run, schema)
+                            texts.append(text)
+                            rows.append(i)
+            lo = 0
+            seen: set[tuple[int, str, str]] = set()
+            while lo < len(texts):
+                hi, size = lo, 0
+                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= CHUNK):
+                    size += len(texts[hi])
+                    hi += 1
+                row = np.array(rows[lo:hi], np.int64)
+                for way, n, owner, place, h, told in _places(texts[lo:hi], lengths, known):
+                    _, one = np.unique(np.stack([row[owner].astype(np.uint64), h], 1), axis=0, return_index=True)
+                    seen.update((int(row[o]), way, told[o][p : p + n]) for o, p in zip(owner[one].tolist(), place[one].tolist()))
+                lo = hi
+            if seen:
+                at, ways, forms = zip(*sorted(seen))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(ways), pa.array(forms)], ["item", "_way", "_form"])
+
+    return run
 
 
 def found(items: DataFrame, names: DataFrame, texts: list[str], ways: Column, spelled: Column | None = None) -> DataFrame:
     """(item, names' columns) where one of the item's texts (strings, or arrays of
     them) holds the name, looked for in one of its ways (an array), as its column
-    match or as spelled. One row for each item and row of names."""
-    known = names.withColumn("_as", F.col("match") if spelled is None else spelled).withColumn("_way", F.explode(ways))
-    schema = T.StructType([items.schema["item"], *names.schema.fields])
-    out = None
-    for block in _blocks(known):
-        part = _held(items.select("item", *texts), block, schema)
-        out = part if out is None else out.unionByName(part)
-    return out
+    match or as spelled. One row for each item, row of names, and way."""
+    spark = items.sparkSession
+    ship(spark)
+    known = names.withColumn("_form", F.col("match") if spelled is None else spelled).withColumn("_way", F.explode(ways))
+    known = materialize(known.mapInArrow(_spelled, known.schema).where("_form is not null"), "names")
+    forms = known.select("_way", "_form").distinct()
+    sizes = known.groupBy("_way", F.length("_form").alias("n")).count().collect()  # a row for each length that names have
+    lengths = {w: sorted(r["n"] for r in sizes if r["_way"] == w) for w in WAYS if any(r["_way"] == w for r in sizes)}
+    sent = spark.sparkContext.broadcast(rolling.filter_of(forms, 2 * sum(r["count"] for r in sizes), _known))
+    schema = T.StructType([items.schema["item"], T.StructField("_way", T.StringType()), T.StructField("_form", T.StringType())])
+    maybe = items.select("item", *texts).mapInArrow(_candidates(sent, lengths), schema)
+    return maybe.join(known, ["_way", "_form"]).select("item", *names.columns)
 
 
 def whole_words(items: DataFrame, names: DataFrame, texts: list[str], case_sensitive: bool = False) -> DataFrame:

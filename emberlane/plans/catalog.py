@@ -29,4 +29,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from emberlane.plans import assets, items, timed  # noqa: E402, F401
+from emberlane.plans import assets, indexes, items, places, timed  # noqa: E402, F401

@@ -14,15 +14,6 @@ from emberlane.session import shared_dir
 from emberlane.sources import files, search
 
 KEYWORDS = ["the", "que", "that", "est", "de la", "für"]
-HASHTAGS = ["WalnutCreek", "Walnut1", "walnutCreek", "Walnut", "TEXAS", "PortArthurPlant", "runCuts2", "A", ""]
-PAGES = [
-    '{"globalObjects":{"tweets":{"1":{"id":1,"full_text":"one"},"2":{"id":2,"full_text":"two"}}}}',
-    '{"globalObjects":{"tweets":{"3":{"id":3,"full_text":"three"}}}}',
-    '{"globalObjects":{}}',
-    "{broken",
-]
-CITIES = ["Lima", "Stratford-upon Avon", "Baytown, Houston", "Saint-Jean (old) Town Hall"]
-POST_TIMES = ["Wed Aug 27 13:08:45 +0000 2008", "Fri Feb 01 00:00:59 +0200 2019", "2021-03-04T05:06:07.089Z"]
 _VALUES = lambda xs: ", ".join("('" + x.replace("'", "''") + "')" for x in xs)
 _K = f"(values {_VALUES(KEYWORDS)}) k(match)"
 _RE = "'(?i)\\b' || match || '\\b'"
@@ -109,12 +100,14 @@ def array_size_filter(spark, sf_dir):
     return t.agg(F.count_if(n == 0).alias("n_empty"), F.count_if(n == 1).alias("n_one"), F.count_if(n > 0).alias("n_some"))
 
 
-@query("select doc_id, 0 n_geo, 0 n_owner, 0 n_ref, 0 n_country, 0 n_events from documents")
+@query(f"select doc_id, count(match)::bigint n_before, 0 n_geo, 0 n_owner, 0 n_ref, 0 n_country, 0 n_events from documents left join {_K} on regexp_matches(text, {_RE}) group by doc_id")
 def reset_tags(spark, sf_dir):
     from emberlane.plans.pipeline import reset
 
-    r = reset(table(spark, sf_dir, "documents").select("doc_id"))
-    return r.select("doc_id", *[F.size(c).alias(a) for c, a in (("geo_tags", "n_geo"), ("owner_tags", "n_owner"), ("ref_match", "n_ref"), ("country_match", "n_country"), ("events_tags", "n_events"))])
+    items = docs(spark, sf_dir)
+    tagged = tagging.collected(items.select("item"), tagging.event_tags(items, keywords(spark), ["text"]), "events_tags", F.col("match"))
+    r = reset(tagged.withColumn("n_before", F.size("events_tags").cast("long")))
+    return r.select(F.col("item").alias("doc_id"), "n_before", *[F.size(c).alias(a) for c, a in (("geo_tags", "n_geo"), ("owner_tags", "n_owner"), ("ref_match", "n_ref"), ("country_match", "n_country"), ("events_tags", "n_events"))])
 
 
 @query(f"select doc_id, id, match from documents, {_NAMES_SQL} where {_REF}")
@@ -165,15 +158,19 @@ def name_variants(spark, sf_dir):
     return gazetteer.asset_names(a).select("id", "initial", "match")
 
 
-@query("""with c(id, city) as (values (1::bigint, 'Lima'), (2, 'Stratford-upon Avon'), (3, 'Baytown, Houston'), (4, 'Saint-Jean (old) Town Hall')),
+_TOWN = "case {k} % 4 when 0 then {n} when 1 then {r} || ' Town' when 2 then {n} || ', ' || {b} else {n} || ' (old) Hall' end"
+
+
+@query(f"""with c as (select p_partkey id, {_TOWN.format(k='p_partkey', n='p_name', r="replace(p_name, ' ', '-')", b='p_brand')} city from part),
 s as (select id, city, unnest(list_concat(list_concat([city], case when contains(city, '-') then [trim(regexp_replace(replace(city, '-', ' '), ' +', ' ', 'g'))] else [] end),
   case when contains(city, ',') then list_transform(string_split(city, ','), lambda x: trim(x)) else [] end)) s from c),
 w as (select id, city, s, list_transform(string_split(s, ' '), lambda x: translate(trim(x), '|(),', '')) w from s),
 m as (select distinct id, city, unnest(case when len(w) <= 3 then [s, array_to_string(w[1:3], ''), array_to_string(w[1:2], '')] else [s] end) match from w)
 select id, city as initial, match from m where match not in ('', 'nan')""")
 def city_variants(spark, sf_dir):
-    a = spark.createDataFrame([(i + 1, c) for i, c in enumerate(CITIES)], "GeoAssetID long, City string")
-    return gazetteer.city_names(a).select("id", "initial", "match")
+    n, k = F.col("p_name"), F.col("p_partkey") % 4
+    city = F.when(k == 0, n).when(k == 1, F.concat(F.replace(n, F.lit(" "), F.lit("-")), F.lit(" Town"))).when(k == 2, F.concat(n, F.lit(", "), "p_brand")).otherwise(F.concat(n, F.lit(" (old) Hall")))
+    return gazetteer.city_names(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("GeoAssetID"), city.alias("City"))).select("id", "initial", "match")
 
 
 @query(f"""with o as (select distinct s_suppkey id, nullif(s_name, 'Unknown') initial from supplier), w as (select id, initial, {_WORDS.format('initial', chr(1))} w from o where initial is not null),
@@ -183,33 +180,48 @@ def owner_clean(spark, sf_dir):
     return gazetteer.owner_names(o).select("id", "initial", "match")
 
 
-@query("select * from (values ('WalnutCreek', 'WALNUT CREEK'), ('Walnut1', 'WALNUT1'), ('PortArthurPlant', 'PORT ARTHUR PLANT')) t(tag, match)")
+@query("""with w as (select p_partkey, string_split(p_name, ' ') w from part), c as (select p_partkey, list_transform(w, lambda x: upper(x[:1]) || x[2:]) c, w from w),
+t as (select p_partkey, case p_partkey % 5 when 0 then array_to_string(c, '') when 1 then w[1] || array_to_string(c[2:], '') when 2 then upper(array_to_string(c, '')) when 3 then c[1] || '1' else array_to_string(c, '') || (p_partkey % 7)::varchar end tag from c),
+u as (select *, len(list_filter(string_split(tag, ''), lambda x: x <> '' and x = upper(x))) n from t)
+select p_partkey, tag, upper(array_to_string(regexp_extract_all(tag, '[A-Z][^A-Z]*'), ' ')) match from u where tag[:1] = upper(tag[:1]) and n <> 1 and tag <> upper(tag)""")
 def hashtag_camel(spark, sf_dir):
-    return strings(spark, HASHTAGS, "tag").select("tag", X.camel_words(F.col("tag")).alias("match")).where("match is not null")
+    w, k = F.split("p_name", " "), F.col("p_partkey") % 5
+    c = F.transform(w, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.substr(x, F.lit(2))))
+    whole = F.array_join(c, "")
+    tag = F.when(k == 0, whole).when(k == 1, F.concat(F.get(w, F.lit(0)), F.array_join(F.slice(c, 2, 9), ""))).when(k == 2, F.upper(whole)).when(k == 3, F.concat(F.get(c, F.lit(0)), F.lit("1"))).otherwise(F.concat(whole, (F.col("p_partkey") % 7).cast("string")))
+    return table(spark, sf_dir, "part").select("p_partkey", tag.alias("tag")).select("p_partkey", "tag", X.camel_words(F.col("tag")).alias("match")).where("match is not null")
 
 
-@query("""select raw, strftime(case when regexp_matches(raw, ' +') then strptime(substr(raw, 5, 15) || ' ' || right(raw, 4), '%b %d %H:%M:%S %Y') else strptime(raw, '%Y-%m-%dT%H:%M:%S.%gZ') end, '%Y-%m-%d %H:%M:%S') iso
-from (values """ + _VALUES(POST_TIMES) + ") t(raw)")
+@query("""select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') iso from events""")
 def date_normalize(spark, sf_dir):
-    return strings(spark, POST_TIMES, "raw").select("raw", F.date_format(X.post_time(F.col("raw")), "yyyy-MM-dd HH:mm:ss").alias("iso"))
+    raw = F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "EEE MMM dd HH:mm:ss '+0000' yyyy")).when(F.col("event_id") % 3 == 1, F.date_format("ts", "EEE MMM dd HH:mm:ss '+0200' yyyy")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    return table(spark, sf_dir, "events").select("event_id", F.date_format(X.post_time(raw), "yyyy-MM-dd HH:mm:ss").alias("iso"))
 
 
-@query("""with n as (select unnest(range(1, 501))::bigint n), k as (select n, unnest(range(0, 501))::bigint k from n)
-select n, case when n = 8 then 0.12 else round(1 / n, 2) end::double confidence, sum(round_even(k / n * 100, 0) / 100) filter (k <= n) shares from k group by n""")
+@query("""with k as (select c_custkey n, count(o_orderkey)::bigint k from customer left join orders on o_custkey = c_custkey where c_custkey > 0 group by c_custkey)
+select n, k, case when n = 8 then 0.12 else round(1 / n, 2) end::double confidence, round_even(k / n * 100, 0) / 100 share from k""")
 def rounding(spark, sf_dir):
-    n = spark.range(1, 501).select(F.col("id").alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("id"))).alias("k"))
-    return n.groupBy("n").agg(F.round(F.first(X.confidence(F.col("n"))), 2).alias("confidence"), F.round(F.sum(X.share(F.col("k"), F.col("n"))), 6).alias("shares"))
+    n = table(spark, sf_dir, "customer").where("c_custkey > 0").join(table(spark, sf_dir, "orders"), F.col("o_custkey") == F.col("c_custkey"), "left").groupBy(F.col("c_custkey").alias("n")).agg(F.count("o_orderkey").alias("k"))
+    return n.select("n", "k", X.confidence(F.col("n")).alias("confidence"), X.share(F.col("k"), F.col("n")).alias("share"))
+
 
+def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A body for each event: two posts, or one of the ways in which an answer fails."""
+    e, k = table(spark, sf_dir, "events"), F.col("user_id") % 6
+    one = lambda n, t: F.concat(F.lit('"'), n.cast("string"), F.lit('":{"id":'), n.cast("string"), F.lit(',"full_text":"'), t, F.lit('"}'))
+    sound = F.concat(F.lit('{"globalObjects":{"tweets":{'), one(F.col("event_id") * 2, F.col("event_type")), F.lit(","), one(F.col("event_id") * 2 + 1, F.concat("event_type", F.lit(" again"))), F.lit("}}}"))
+    return e.select("event_id", F.when(k == 0, "{broken").when(k == 1, '{"globalObjects":{}}').when(k == 2, F.col("props")).otherwise(sound).alias("body"))
 
-@query("select * from (values ('ok', 1::bigint, 'one'), ('ok', 2, 'two'), ('ok', 3, 'three')) t(status, id, full_text)")
+
+@query("""with e as (select event_id, event_type from events where user_id % 6 > 2)
+select event_id * 2 id, event_type full_text from e union all select event_id * 2 + 1, event_type || ' again' from e""")
 def json_map_explode(spark, sf_dir):
-    done = files.scraped(strings(spark, PAGES, "body"))
-    return done.where("status = 'ok'").select("status", F.explode("posts").alias("p")).select("status", "p.id", "p.full_text")
+    return files.posts_of(files.scraped(answers(spark, sf_dir))).select("id", "full_text")
 
 
-@query("select * from (values ('json_convert_failed', 1::bigint), ('ok', 2), ('retry_clean', 1)) t(status, n_pages)")
+@query("""select case when user_id % 6 = 0 then 'json_convert_failed' when user_id % 6 < 3 then 'retry_clean' else 'ok' end status, count(*)::bigint n_pages from events group by 1""")
 def json_status(spark, sf_dir):
-    return files.scraped(strings(spark, PAGES, "body")).groupBy("status").agg(F.count("*").alias("n_pages"))
+    return files.scraped(answers(spark, sf_dir)).groupBy("status").agg(F.count("*").alias("n_pages"))
 
 
 @query("""select json_extract_string(props, '$.k')::bigint k, count(*)::bigint n from events group by 1""")
@@ -217,10 +229,20 @@ def json_props(spark, sf_dir):
     return table(spark, sf_dir, "events").select(F.from_json("props", "k long")["k"].alias("k")).groupBy("k").agg(F.count("*").alias("n"))
 
 
-@query("""with e as (select unnest(['fire', 'run cuts', 'smoke']) as event), p as (select unnest(['refinery', 'refinery plant']) plant)
+@query("""with e as (select distinct event_type as event from events), p as (select distinct p_name plant from part)
 select event, plant, '(#' || event || ' AND #' || plant || ') -filter:replies' search, 'q=%28%23' || replace(event, ' ', '+') || '+AND+%23' || replace(plant, ' ', '+') || '%29+-filter%3Areplies' query from e, p""")
 def keyword_cross(spark, sf_dir):
-    return search.searches(strings(spark, ["fire", "run cuts", "smoke"], "event"), strings(spark, ["refinery", "refinery plant"], "plant"), True)
+    return search.searches(table(spark, sf_dir, "events").select(F.col("event_type").alias("event")).distinct(), table(spark, sf_dir, "part").select(F.col("p_name").alias("plant")).distinct(), True)
+
+
+@query(f"""select distinct w[1] NORP, w[2] GPE from (select regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') w from documents) where regexp_matches(w[1] || w[2], '^[A-Za-zÀ-ÖØ-öø-ÿ]+$')""")
+def peoples_cp1252(spark, sf_dir):
+    """Pairs of words through a file whose letters are those of windows-1252."""
+    w = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    pairs = table(spark, sf_dir, "documents").select(F.get(w, F.lit(0)).alias("NORP"), F.get(w, F.lit(1)).alias("GPE")).where(F.rlike(F.concat("NORP", "GPE"), F.lit("^[A-Za-zÀ-ÖØ-öø-ÿ]+$"))).distinct()
+    path = f"{shared_dir(spark)}/peoples-{uuid.uuid4().hex}"
+    pairs.write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    return files.read_peoples(spark, path).select("NORP", "GPE")
 
 
 _NORP = [("de", "Germany"), ("fr", "France"), ("es", "Spain")]
@@ -295,12 +317,14 @@ def gpe_semi(spark, sf_dir):
     return resolve.known_places(n.select(F.col("n_name").alias("item"), F.col("n_name").alias("name")), gpes).select(F.col("item").alias("name"), F.col("place.place_id").alias("place_id"))
 
 
-@query("""select 'B, North, Land' display_name, 'Bee' as name, 'B|Bee' aliases union all select 'Paris, France', 'Paris', 'Paris'""")
+@query("""select s_suppkey, array_to_string(list_distinct_in_order, '|') aliases from (select s_suppkey, case when trim(split_part(d, ',', 1)) = n then [n] else [trim(split_part(d, ',', 1)), n] end list_distinct_in_order
+  from (select s_suppkey, s_name || ' , ' || n_name || ', ' || n_name d, case when s_suppkey % 3 = 0 then s_name else n_name end n from supplier join nation on n_nationkey = s_nationkey))""")
 def place_aliases(spark, sf_dir):
     from emberlane.sources.geocoding import aliases
 
-    d = spark.createDataFrame([("B, North, Land", "Bee"), ("Paris, France", "Paris")], "display_name string, name string")
-    return d.select("display_name", "name", F.array_join(aliases(F.col("display_name"), F.col("name")), "|").alias("aliases"))
+    d = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    name = F.when(F.col("s_suppkey") % 3 == 0, F.col("s_name")).otherwise(F.col("n_name"))
+    return d.select("s_suppkey", F.array_join(aliases(F.concat("s_name", F.lit(" , "), "n_name", F.lit(", "), "n_name"), name), "|").alias("aliases"))
 
 
 @query("select r_name as region, r_regionkey::bigint as n from region")

@@ -5,12 +5,15 @@ Nothing is written on the way; the caller writes what it wants to keep.
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlane.config import Config
 from emberlane.functions import text as X
 from emberlane.operators import clusters, correlation, entities, gazetteer, merge, resolve, share, tagging
+from emberlane.progress import RunLog
 from emberlane.schemas import TAG
 
 _tag = F.struct(F.col("id").cast("long").alias("id"), "initial", "match", "type")
@@ -90,17 +93,18 @@ def merged(posts_done: DataFrame, headlines_done: DataFrame) -> DataFrame:
     return merge.merged(merge.posts_as_items(posts_done), merge.headlines_as_items(headlines_done))
 
 
-def run(tables: dict[str, DataFrame], config: Config, folder: str, matrix: dict[tuple[str, str], float] | None = None) -> DataFrame:
+def run(tables: dict[str, DataFrame], config: Config, folder: str, matrix: dict[tuple[str, str], float] | None = None, log: RunLog | None = None) -> DataFrame:
     """Merged items with cluster_id and ref_match_cl. tables: posts, headlines,
     assets, owners, names, peoples, countries and, if known, gpes. The tagged and
     the merged items are written below folder, so later stages read tables and do
     not plan the earlier ones again. Without a matrix of event correlations one is
     learned from the items; it is a vocabulary's square, and its cells are all that
-    comes to the driver."""
+    comes to the driver. With a log, each stage leaves a row in it."""
     spark = tables["posts"].sparkSession
 
     def stage(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        with log.stage(name) if log else contextlib.nullcontext() as counted:
+            (counted.written(df) if counted else df).write.mode("overwrite").parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
     dims = [tables[k] for k in ("assets", "owners", "names", "peoples")]

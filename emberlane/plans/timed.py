@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlane.operators import clusters, correlation, sessions
+from emberlane.operators.running import Running
 from emberlane.plans.catalog import query, table
 from emberlane.session import shared_dir
 from emberlane.sources import files
@@ -63,6 +64,17 @@ def event_corr(spark, sf_dir):
     return corr(spark, sf_dir).withColumn("corr", F.round("corr", 6))
 
 
+@query(f"with {_DAILY}, {_CORR} select country, event_a, event_b, round(corr, 6) corr from c")
+def corr_running(spark, sf_dir):
+    """In three increments, the last two of which share a day; one comes twice."""
+    e = countries(spark, sf_dir)
+    running = Running(spark, f"{shared_dir(spark)}/running-{uuid.uuid4().hex}", tuple(vocabulary(spark, sf_dir)), "bigint")
+    cut = [F.col("ts") < F.lit(t).cast("timestamp_ntz") for t in ("2024-01-06", "2024-01-15 09:30:00")]
+    for number, part in ((0, e.where(cut[0])), (1, e.where(~cut[0] & cut[1])), (1, e.where(~cut[0] & cut[1])), (2, e.where(~cut[1]))):
+        running.add(part, "days", number)
+    return running.correlations().withColumn("corr", F.round("corr", 6))
+
+
 @query(f"with {_DAILY}, {_CORR}, {_MEAN} select event_a, event_b, round(corr, 6) corr from p")
 def corr_positive_mean(spark, sf_dir):
     return correlation.positive_mean(corr(spark, sf_dir)).withColumn("corr", F.round("corr", 6))
@@ -148,13 +160,39 @@ def corr_map(spark: SparkSession, sf_dir: str) -> dict[tuple[str, str], float]:
     return {(r["event_a"], r["event_b"]): r["corr"] for r in correlation.positive_mean(corr(spark, sf_dir)).collect()}  # a vocabulary's matrix
 
 
-@query()
+def _greedy(keys: str, source: str, close_us: int) -> str:
+    """An item in no group takes its neighbours to the first group of any of them, item
+    by item: arrays of the first and the last group of every item of a session."""
+    return f"""l as (select event_a, list(event_b) ok from p where corr > {THRESHOLD} group by event_a),
+a as (select {keys}, list(epoch_us(ts) order by ts, event_id) t, list(event_type order by ts, event_id) k, list(event_id order by ts, event_id) ids, list(coalesce(ok, []) order by ts, event_id) o from {source} left join l on event_a = event_type group by all),
+g as (select {keys}, t, k, o, ids, 1 i, 0 n, list_transform(t, lambda x: null::int) f, list_transform(t, lambda x: null::int) z from a
+  union all select {keys}, t, k, o, ids, i + 1, case when z[i] is null and m is null then n + 1 else n end,
+    case when z[i] is null then list_transform(range(1, len(t) + 1), lambda j: case when b[j] then least(coalesce(f[j], coalesce(m, n)), coalesce(m, n)) else f[j] end) else f end,
+    case when z[i] is null then list_transform(range(1, len(t) + 1), lambda j: case when b[j] then greatest(coalesce(z[j], -1), coalesce(m, n)) else z[j] end) else z end
+  from (select *, list_min(list_filter(list_transform(range(1, len(t) + 1), lambda j: case when b[j] then f[j] end), lambda x: x is not null)) m
+    from (select *, list_transform(range(1, len(t) + 1), lambda j: j = i or abs(t[j] - t[i]) < {close_us} or list_contains(o[i], k[j])) b from g where i <= len(t)))),
+h as (select {keys}, unnest(ids) event_id, unnest(z) sub, n subs from g where i = len(t) + 1)"""
+
+
+@query(f"with recursive {_DAILY}, {_CORR}, {_MEAN}, {_SESSIONS}, {_greedy('user_id, session', 's', 1_800_000_000)} select user_id, session, event_id, sub, subs from h")
 def event_subsplit(spark, sf_dir):
     s = with_refs(spark, sf_dir).withColumn("tags", F.array("event_type"))
     return clusters.subsplit(s, ["user_id", "session"], "ts", "event_id", "tags", corr_map(spark, sf_dir), THRESHOLD, 1800.0)
 
 
-@query()
+_BY = "user_id, session, match_rank"
+
+
+@query(f"""with recursive {_DAILY}, {_CORR}, {_MEAN}, {_CONSENSUS}, sr as (select *, {_REFS} refs from s),
+kd as (select user_id, session, count(*) size, count(distinct refs) = 1 same, count(*) filter (len(refs) = 1) lone from sr group by all),
+sk as (select * from sr join kd using (user_id, session)),
+ag as (select sk.*, b.match_rank, [k.ref] found, count(*) over (partition by {', '.join('b.' + c for c in _BY.split(', '))}) members from sk join b using (user_id, session, event_id) join k on k.user_id = b.user_id and k.session = b.session and k.match_rank = b.match_rank where size > 1 and not same and lone > 0),
+ts as (select event_id, {_BY}, ts, event_type, found from ag where members >= 10 union all select event_id, user_id, session, 0, ts, event_type, refs from sk where size > 1 and not same and lone = 0),
+{_greedy(_BY, 'ts', 1_800_000_000)},
+gr as (select event_id, {_BY}, sub, subs, found from h join ts using (event_id, {_BY}) union all select event_id, {_BY}, 0, 1, found from ag where members < 10
+  union all select event_id, user_id, session, 0, 0, 1, refs from sk where size = 1 or same),
+st as (select {_BY}, max(subs) subs from gr group by all), os as (select {_BY}, coalesce(sum(subs) over (partition by user_id order by session, match_rank rows between unbounded preceding and 1 preceding), 0)::bigint first_number from st)
+select event_id, user_id::varchar || '-' || (first_number + sub)::varchar cluster_id, array_to_string(found, ',') ref_match_cl from events left join (select event_id, sub, first_number, found from gr join os using ({_BY})) x using (event_id)""")
 def incident_clusters(spark, sf_dir):
     """Sessions, consensus, greedy sub-splits and names, over all events."""
     e = with_refs(spark, sf_dir).select(F.col("event_id").alias("item"), F.col("user_id").cast("string").alias("country"), "ts", "ids", F.array("event_type").alias("events"))

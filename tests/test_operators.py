@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from emberlane.functions import geo
 from emberlane.functions import text as X
-from emberlane.operators import clusters, correlation, entities, gazetteer, merge, resolve, sessions, share, tagging
+from emberlane.operators import clusters, correlation, entities, gazetteer, merge, resolve, rolling, sessions, share, tagging
 
 
 def values(df, *cols):
@@ -60,7 +60,7 @@ def test_many_names_give_the_same_tags(spark, monkeypatch):
     items = spark.createDataFrame([(i, t) for i, t in enumerate(["the fire at el paso", "smoke", "el  paso", None, ""])], "item long, text string")
     names = spark.createDataFrame([("fire",), ("el paso",), ("smoke",), ("über",)], "match string")
     want = values(tagging.refname_tags(items, names, ["text"]), "item", "match")
-    monkeypatch.setattr(tagging, "BLOCK", 1)
+    monkeypatch.setattr(tagging, "CHUNK", 1)
     assert values(tagging.refname_tags(items, names, ["text"]), "item", "match") == want == [(0, "el paso"), (0, "fire"), (1, "smoke")]
 
 
@@ -84,8 +84,9 @@ def test_names_against_patterns(spark, monkeypatch):
 
     want = sorted((i, n, w) for i, t in items for n, w in names if holds(t, n, w))
     texts, known = spark.createDataFrame(items, "item long, text string"), spark.createDataFrame(names, "match string, way string")
-    for block in (50_000, 40):
-        monkeypatch.setattr(tagging, "BLOCK", block)
+    for chunk, bits in ((1 << 20, 28), (40, 10)):  # also few texts at a time, and a filter that lets all through
+        monkeypatch.setattr(tagging, "CHUNK", chunk)
+        monkeypatch.setattr(rolling, "MOST_BITS", bits)
         assert values(tagging.found(texts, known, ["text"], F.array("way")), "item", "match", "way") == want
     assert len(want) > 300
 
@@ -370,21 +371,124 @@ def test_names_are_credited_once(spark):
     assert values(gazetteer.asset_names(a), "id", "match") == [(1, "carson")]
 
 
+def _body(*ids):
+    return json.dumps({"globalObjects": {"tweets": {str(i): {"id": i, "full_text": f"t{i}"} for i in ids}}})
+
+
 def test_pages_and_stream(spark, tmp_path):
     from emberlane.sources import search
+    from emberlane.streaming import sink
     from emberlane.streaming.ingest import ingest
 
-    body = lambda *ids: json.dumps({"globalObjects": {"tweets": {str(i): {"id": i, "full_text": f"t{i}"} for i in ids}}})
     saved = tmp_path / "saved.jsonl"
-    saved.write_text("\n".join(json.dumps({"search": "s", "page": p, "body": b}) for p, b in enumerate([body(1, 2), body(2, 3), "{broken"])))
+    saved.write_text("\n".join(json.dumps({"search": "s", "page": p, "body": b}) for p, b in enumerate([_body(1, 2), _body(2, 3), _body(3)])))
     spark.dataSource.register(search.PostSource)
     pages = spark.read.format("saved_posts").options(path=str(saved), searches=json.dumps(["s", "none"])).load()
     assert pages.count() == 3
     landing, target = tmp_path / "landing", f"file://{tmp_path}/posts"
     for _ in range(2):  # what is written once stays as it is
         pages.write.mode("append").json(str(landing))
+        (landing / "broken.json").write_text(json.dumps({"search": "s", "page": 9, "body": "{broken"}))
         ingest(spark, str(landing), target, str(tmp_path / "state")).awaitTermination()
-        assert values(spark.read.parquet(target), "id") == [(1,), (2,), (3,)]
+        assert values(sink.table(spark, target), "id") == [(1,), (2,), (3,)]
+
+
+FAULTS = [
+    ("a", 0, [None, "{broken", "{}", _body(1, 2)]), ("a", 1, [_body(3)]), ("a", 2, ["{}", "{}", _body(4)]),
+    ("b", 0, ["[1]", "nonsense", None, _body(5)]), ("b", 1, [_body(1, 6)]),
+]
+
+
+def test_faults_are_played_through(tmp_path):
+    """Every branch of the pager: scroll again, reload, reload clean, give up."""
+    from emberlane.sources import search
+
+    path = tmp_path / "faults.jsonl"
+    path.write_text("\n".join(json.dumps({"search": s, "page": p, "bodies": b}) for s, p, b in FAULTS))
+    calls = []
+
+    class Watched(search.SavedPages):
+        def reload(self, search, clean):
+            calls.append((search, clean))
+            super().reload(search, clean)
+
+    run = lambda s, **more: [(p, n) for p, n, _ in search.paged(Watched(str(path)), s, **more)]
+    assert run("a") == [(0, 4), (1, 1), (2, 3)] and calls == [("a", False), ("a", True), ("a", True), ("a", True)]
+    assert run("b", start=1) == [(1, 1)] and run("b", max_pages=1) == [(0, 4)] and run("none") == []
+    with pytest.raises(search.PageFailed):
+        run("a", max_retry_page=1)
+    assert run("b", max_retry_scroll=1) == []  # the one empty view ends it
+
+    class Deaf(search.SavedPages):  # a reload of the wrong kind does not help
+        def reload(self, search, clean):
+            super().reload(search, not clean)
+
+    with pytest.raises(search.PageFailed):
+        list(search.paged(Deaf(str(path)), "a"))
+
+
+def test_searches_as_a_stream(spark, tmp_path):
+    """Pages that come later are read from where the last run ended, each once."""
+    from emberlane.progress import RunLog
+    from emberlane.sources import search
+    from emberlane.streaming import sink
+    from emberlane.streaming.ingest import ingest_searches
+
+    log = RunLog(spark, f"file://{tmp_path}/log")
+    spark.streams.addListener(log)
+    spark.dataSource.register(search.PostSource)
+    path, target, seen = tmp_path / "faults.jsonl", f"file://{tmp_path}/posts", []
+    options = {"path": str(path), "searches": json.dumps(["a", "b", "none"])}
+    for upto in (3, 3, 5):
+        path.write_text("\n".join(json.dumps({"search": s, "page": p, "bodies": b}) for s, p, b in FAULTS[:upto]))
+        rows = spark.readStream.format("saved_posts").options(**options).load()
+        rows.writeStream.foreachBatch(lambda df, n: seen.extend((r["search"], r["page"], r["tries"]) for r in df.collect())).option("checkpointLocation", str(tmp_path / "seen")).trigger(availableNow=True).start().awaitTermination()
+        ingest_searches(spark, options, target, str(tmp_path / "state")).awaitTermination()
+    assert seen == [("a", 0, 4), ("a", 1, 1), ("a", 2, 3), ("b", 0, 4), ("b", 1, 1)]
+    assert values(sink.table(spark, target), "id") == [(i,) for i in range(1, 7)]
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
+    spark.streams.removeListener(log)
+    log.flush()
+    rows = log.table().where("kind = 'batch'").collect()
+    assert sum(r["rows_in"] for r in rows) == 2 * len(FAULTS) and all(r["seconds"] > 0 for r in rows)
+
+
+def test_every_key_once(spark, tmp_path, monkeypatch):
+    """A batch that fails midway and is replayed, one that is repeated, and two writers."""
+    from emberlane.sources import versions
+    from emberlane.streaming import sink
+
+    path = f"file://{tmp_path}/t"
+    frame = lambda rows: spark.createDataFrame(rows, "id long, v string")
+    held = lambda: values(sink.table(spark, path, "id long, v string"), "id", "v")
+    assert held() == [] and sink.table(spark, path) is None
+    assert sink.write(frame([(1, "b"), (1, "a"), (2, "c"), (None, "n")]), path, "id", "w", 0)
+    assert held() == [(1, "a"), (2, "c")]
+    assert not sink.write(frame([(9, "x")]), path, "id", "w", 0)  # that batch is in
+    publish = versions.publish
+
+    def fails(*a):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(versions, "publish", fails)
+    with pytest.raises(RuntimeError):
+        sink.write(frame([(3, "d"), (1, "z")]), path, "id", "w", 1)
+    assert held() == [(1, "a"), (2, "c")]
+
+    def second(s, p, version, state):  # the other writer publishes first, the same key among others
+        monkeypatch.setattr(versions, "publish", publish)
+        assert sink.write(frame([(3, "other"), (4, "other")]), path, "id", "v", 7)
+        publish(s, p, version, state)
+
+    monkeypatch.setattr(versions, "publish", second)
+    assert sink.write(frame([(3, "d"), (1, "z"), (5, "e")]), path, "id", "w", 1)
+    assert held() == [(1, "a"), (2, "c"), (3, "other"), (4, "other"), (5, "e")]
+    assert sink.write(frame([]), path, "id", "w", 2) and sink.write(frame([(5, "y"), (6, "f")]), path, "id", "w", 3)
+    before = held()
+    sink.compacted(spark, path, "id")
+    assert held() == before == [(1, "a"), (2, "c"), (3, "other"), (4, "other"), (5, "e"), (6, "f")]
+    assert len(versions.latest(spark, path)[1]["parts"]) == 1 and sink.write(frame([(6, "q"), (7, "g")]), path, "id", "w", 4)
+    assert held() == [*before, (7, "g")] and not sink.write(frame([(8, "h")]), path, "id", "v", 7)
 
 
 def test_peoples_file(spark, tmp_path):
@@ -400,13 +504,13 @@ def test_geocoder(spark):
     from emberlane.sources import geocoding
 
     class Down:
-        def search(self, name):
+        def search(self, name, one=False):
             raise OSError
 
     class Flaky:
         n = 0
 
-        def search(self, name):
+        def search(self, name, one=False):
             self.n += 1
             if self.n < 3:
                 raise OSError
@@ -417,9 +521,100 @@ def test_geocoder(spark):
         geocoding.asked(Down(), "X", 2, 0, 0)
 
 
+class Script:
+    """A provider that goes by a script: what comes of each request, in turn."""
+
+    def __init__(self, *script):
+        self.script, self.seen = list(script), []
+
+    def search(self, name, one=False):
+        self.seen.append((name, one))
+        told = self.script.pop(0)
+        if isinstance(told, Exception):
+            raise told
+        return told
+
+
+def test_every_branch_of_asking():
+    from emberlane.sources.geocoding import Bucket, ServiceError, asked
+
+    waits = []
+    ask = lambda *script, n=3: (s := Script(*script), asked(s, "X", n, 5.0, 0.5, Bucket(0.5, lambda: 0.0, waits.append)))
+    place = [{"place_id": 1}]
+    s, got = ask(OSError(), place)
+    assert got == place and s.seen == [("X", False)] * 2 and 5.0 in waits
+    s, got = ask(ServiceError(), place)  # refused all matches: the best alone
+    assert got == place and s.seen == [("X", False), ("X", True)]
+    s, got = ask(ServiceError(), ServiceError(), ServiceError(), OSError(), place)
+    assert got == place and s.seen == [("X", False), ("X", True)] * 2 + [("X", False)]
+    s, got = ask(OSError(), OSError(), OSError(), place)  # the probe is found, the name is not
+    assert got == [] and s.seen[-1] == ("Paris", True)
+    assert ask(*[OSError()] * 3, ServiceError())[1] == []
+    with pytest.raises(ConnectionError):
+        ask(*[OSError()] * 3, [])
+    with pytest.raises(OSError):
+        ask(*[OSError()] * 4)
+
+
+def test_requests_stay_under_the_rate():
+    from emberlane.sources.geocoding import Bucket
+
+    clock, times = [0.0], []
+    sleep = lambda s: clock.__setitem__(0, clock[0] + s)
+    b = Bucket(0.25, lambda: clock[0], sleep)
+    for i in range(200):
+        b.take()
+        times.append(clock[0])
+        sleep(random.Random(i).choice([0.0, 0.1, 2.0]))  # an idle time is not made up for
+    assert all(times[i + 4] - times[i] >= 1 - 1e-9 for i in range(len(times) - 4))
+
+
+def test_answers_are_kept_as_they_come(spark, tmp_path):
+    from emberlane.sources import geocoding
+    from emberlane.streaming import sink
+
+    log = tmp_path / "asked.txt"
+
+    class Coder:
+        def search(self, name, one=False):
+            with log.open("a") as f:
+                f.write(name + "\n")
+            if name == "down" and not (tmp_path / "up").exists() or (name == "Paris" and not (tmp_path / "up").exists()):
+                raise OSError
+            return [{"place_id": len(name), "display_name": name, "importance": 0.5, "geojson": "{}"}] if name != "none" else []
+
+    names = spark.createDataFrame([(n,) for n in ("a", "bb", "none", "down", "bb", None)], "name string")
+    path, more = f"file://{tmp_path}/answers", {"make": Coder, "batch": 2, "rate": 1000.0, "lanes": 2, "max_attempts": 1, "wait_error": 0.0}
+    with pytest.raises(Exception, match="down|OSError|answer"):
+        geocoding.appended_places(names, path, **more)
+    assert values(sink.table(spark, path), "GPE") == [("a",), ("bb",)]
+    (tmp_path / "up").touch()
+    log.unlink()
+    geocoding.appended_places(names, path, **more)
+    got = {r["GPE"]: [x["place_id"] for x in r["answers"]] for r in sink.table(spark, path).collect()}
+    assert got == {"a": [1], "bb": [2], "none": [], "down": [4]} and sorted(log.read_text().split()) == ["down", "none"]
+
+
+def test_running_correlation(spark, tmp_path):
+    from emberlane.operators.running import Running
+
+    rng = random.Random(3)
+    items = [(rng.choice("AB"), dt.datetime(2020, 1, 1) + dt.timedelta(hours=rng.randrange(240)), rng.choice(["x", "y", "z", None])) for _ in range(300)]
+    frame = lambda rows: spark.createDataFrame(rows, "country string, ts timestamp_ntz, event string")
+    words = spark.createDataFrame([(e,) for e in "wxyz"], "event string")
+    r = Running(spark, f"file://{tmp_path}/running", tuple("wxyz"))
+    assert r.correlations().count() == 0
+    for n, part in enumerate((items[:100], items[100:250], [], items[250:])):
+        assert r.add(frame(part), "w", n) and not r.add(frame(items), "w", n)
+    daily = correlation.daily_counts(frame(items), words)
+    assert values(r.correlations(), "country", "event_a", "event_b", "corr") == values(correlation.correlations(daily), "country", "event_a", "event_b", "corr")
+    assert values(r.counts(), "country", "day", "event", "n") == values(daily, "country", "day", "event", "n")
+
+
 def test_whole_pipeline(spark, tmp_path):
     from emberlane.config import Config
     from emberlane.plans import pipeline
+    from emberlane.progress import RunLog
 
     t = "Wed Jan 0{} 10:00:00 +0000 2020"
     raw = spark.createDataFrame(
@@ -433,12 +628,29 @@ def test_whole_pipeline(spark, tmp_path):
     countries = spark.createDataFrame([(10, "US"), (11, "US")], "GeoAssetID long, country string")
     heads = spark.createDataFrame([("h", "2020-01-02T09:00:00.000000Z", "Blaze near Carson", None, "src", None)], "storyId string, firstCreated string, text string, snippet string, sourceName string, cluster_id string")
     tables = {"posts": raw, "headlines": heads, "assets": assets, "owners": owners, "names": names, "peoples": peoples, "countries": countries}
-    out = pipeline.run(tables, Config(as_of="2021-01-01", event_words=("fire", "smoke", "blaze"), event_hashtags=("fire",)), f"file://{tmp_path}")
+    log = RunLog(spark, f"file://{tmp_path}/log")
+    out = pipeline.run(tables, Config(as_of="2021-01-01", event_words=("fire", "smoke", "blaze"), event_hashtags=("fire",)), f"file://{tmp_path}", log=log)
     got = {r["id"]: (r["cluster_id"], [x["GeoAssetID"] for x in r["ref_match"]], r["events_tags"]) for r in out.collect()}
     assert got == {"1": ("US-0", [10], ["fire"]), "2": ("US-0", [10], ["smoke"]), "h": ("US-0", [10], ["blaze"])}
-
-
-def test_entry_without_corpus_operators():
-    import __spark_entry__ as entry
-
-    assert "event_tags" in entry.queries() and set(entry.oracle_sql()) <= set(entry.queries())
+    assert {r["stage"]: r["rows_out"] for r in log.table().collect()} == {"tagged-posts": 3, "matched-posts": 3, "tagged-headlines": 1, "matched-headlines": 1, "merged": 3}
+    with pytest.raises(ValueError), log.stage("bad"):
+        raise ValueError
+    assert [r["status"] for r in log.table().where("stage = 'bad'").collect()] == ["failed"]
+
+
+def test_entry_without_corpus_operators(tmp_path):
+    """In a copy without the corpus operators and their pipeline, the rest imports and is whole."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
+    assert not (copy / "emberlane/llm").exists() and (copy / "emberlane/operators").exists()
+    told = "import __spark_entry__ as e; q = e.queries(); o = e.oracle_sql(); assert 'event_tags' in q and set(o) <= set(q); print(len(q), sum(k.startswith('op') for k in q), e.__file__)"
+    out = subprocess.run([sys.executable, "-c", told], cwd=copy, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(copy)}, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    n, corpus, file = out.stdout.split()
+    assert int(n) > 60 and corpus == "0" and file == str(copy / "__spark_entry__.py")
