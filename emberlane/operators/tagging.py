@@ -3,8 +3,9 @@ name on the driver or in a task.
 
 Names are in classes by length: those of 2**c to 2**(c+1) - 1 characters are known by
 the rolling hash of their first 2**c, and each by the hash of all of it. Both are told
-to the tasks by a Bloom filter of bounded size (rolling.filter_of). A task hashes its
-texts once, asks for every place whether a class knows what begins there, and then for
+to the tasks by a Bloom filter of bounded size (rolling.filter_of), and which pairs of
+characters names begin with by a bit each of STARTS. A task hashes its texts once, asks
+for the places where a name may begin whether a class knows what follows, and then for
 the lengths of that class; what may be a name is sent, once an item, and meets the
 names by a join on what it says, which Spark may broadcast, or deal and split if a name
 is in very many texts. A full filter only sends more; the join decides.
@@ -72,8 +73,49 @@ def past_accents(s: str) -> str:
 
 FOLDS = {"word": past_case, "exact": str, "part": past_case, "phrase": past_accents}
 WAYS = list(FOLDS)
+STARTS = 1 << 16  # what a name may begin with, by its first two characters
+COMMON = 0x3000  # code points that are folded by table
 _IS_WORD = np.zeros(128, bool)
 _IS_WORD[[ord(c) for c in WORD]] = True
+_NOT_ONE = 0xFFFFFFFF  # folds to no or to several characters
+_tables: dict[str, np.ndarray] = {}
+
+
+def _fold_table(way: str) -> np.ndarray:
+    key = "case" if FOLDS[way] is past_case else way
+    if key not in _tables:
+        told = [FOLDS[way](chr(c)) for c in range(COMMON)]
+        _tables[key] = np.array([ord(x) if len(x) == 1 else _NOT_ONE for x in told], np.uint32)
+    return _tables[key]
+
+
+class Folded:
+    """Texts end to end as code points, folded: where each begins and ends."""
+
+    def __init__(self, texts: list[str], raw: np.ndarray, size: np.ndarray, way: str):
+        points = raw if way == "exact" else _fold_table(way)[np.minimum(raw, COMMON - 1)]
+        if way != "exact":
+            owner = np.repeat(np.arange(len(texts)), size)
+            odd = np.unique(owner[(raw >= COMMON) | (points == _NOT_ONE)]).tolist()
+            if odd:
+                end = np.cumsum(size)
+                parts, size, last = [], size.copy(), 0
+                for i in odd:  # these texts by themselves
+                    mine = rolling.points(FOLDS[way](texts[i]))
+                    parts += [points[last : end[i] - size[i]], mine]
+                    last = int(end[i])
+                    size[i] = len(mine)
+                # ends above are those before any text changed its size
+                points = np.concatenate([*parts, points[last:]])
+        self.points, self.size, self.end = points, size, np.cumsum(size)
+        self.first, self.last = self.end - size, np.repeat(self.end, size)
+        self.owner = np.repeat(np.arange(len(texts)), size)
+        self.hashes = rolling.Rolling(points)
+        # the first two characters of what begins at each place, in the same text or not
+        self.start = (points * np.uint32(31) + np.append(points[1:], np.uint32(0))).astype(np.uint32) & np.uint32(STARTS - 1) if len(points) else points
+
+    def cut(self, at: int, n: int) -> str:
+        return self.points[at : at + n].tobytes().decode("utf-32-le", "surrogatepass")
 
 
 def _spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,6 +126,14 @@ def _spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.set_column(i, "_form", pa.array(forms, pa.string()))
 
 
+def _beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_way and, of each batch's forms, what they begin with; -1 - c of the single character c."""
+    for b in batches:
+        told = {(w, (ord(f[0]) * 31 + ord(f[1])) & (STARTS - 1) if len(f) > 1 else -1 - (ord(f) & (STARTS - 1))) for w, f in zip(b.column("_way").to_pylist(), b.column("_form").to_pylist())}
+        ways, starts = zip(*sorted(told)) if told else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(ways, pa.string()), pa.array(starts, pa.int32())], ["_way", "start"])
+
+
 def _known(batch: pa.RecordBatch) -> np.ndarray:
     """Hashes of a batch of forms (_way, _form): of what they begin with, and of all."""
     ways, forms = batch.column("_way").to_pylist(), batch.column("_form").to_pylist()
@@ -99,54 +149,50 @@ def _known(batch: pa.RecordBatch) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _places(texts: list[str], lengths: dict[str, list[int]], known: rolling.Filter) -> Iterator[tuple[str, int, np.ndarray, np.ndarray, np.ndarray, list[str]]]:
-    """way, length, texts, places in them, hashes, and the texts as looked at."""
-    folded: dict[object, tuple] = {}
+def _places(texts: list[str], lengths: dict[str, list[int]], starts: dict[str, np.ndarray], known: rolling.Filter) -> Iterator[tuple[str, int, np.ndarray, np.ndarray, Folded]]:
+    """way, length, places and hashes of what may be a name, and the texts as looked at."""
+    raw = rolling.points("".join(texts))
+    size = np.array([len(t) for t in texts], np.int64)
+    folded: dict[object, Folded] = {}
+    begins = ends = None
     for way, sizes in lengths.items():
-        fold = FOLDS[way]
-        if fold not in folded:
-            told = [fold(t) for t in texts]
-            points = rolling.points("".join(told))
-            size = np.array([len(t) for t in told], np.int64)
-            end = np.cumsum(size)
-            folded[fold] = told, points, rolling.Rolling(points), end - size, np.repeat(end, size), np.repeat(np.arange(len(told)), size)
-        told, points, text, first, end, owner = folded[fold]
-        start = stop = None
-        if way in ("word", "exact"):  # borders are those of the text as it is: folding keeps places
-            raw = points if fold is str else rolling.points("".join(texts))
-            is_word = np.zeros(len(raw) + 1, bool)
-            low = raw < 128
-            is_word[:-1][low] = _IS_WORD[raw[low]]
-            before = np.append(False, is_word[:-2]) if len(raw) else is_word[:0]
-            begins = np.zeros(len(raw), bool)
-            begins[first[first < len(raw)]] = True
-            start = np.where(begins, False, before) != is_word[:-1]
-            # the border after a place: with what follows, or the end of the text
-            after = np.where(np.arange(1, len(raw) + 1) < end, is_word[1:], False)
-            stop = after != is_word[:-1]
-        every = np.arange(len(points)) if start is None else np.flatnonzero(start)
+        f = folded.setdefault(FOLDS[way], None) or Folded(texts, raw, size, way)
+        folded[FOLDS[way]] = f
+        two, one = starts[way][:STARTS], starts[way][STARTS:]
+        start = two[f.start]
+        if one.any():
+            start |= one[f.points & np.uint32(STARTS - 1)]
+        whole = way in ("word", "exact")  # borders are those of the text as it is: folding keeps places
+        if whole and begins is None:
+            is_word = _IS_WORD[np.minimum(raw, 127)] & (raw < 128)
+            before = np.append(False, is_word[:-1])[: len(raw)]
+            before[f.first[f.first < len(raw)]] = False
+            after = np.append(is_word[1:], False)[: len(raw)]
+            after[f.end[size > 0] - 1] = False
+            begins, ends = before != is_word, after != is_word
+        every = np.flatnonzero(start & begins if whole else start)
         salt = WAYS.index(way)
         for width in sorted({1 << (n.bit_length() - 1) for n in sizes}):
-            at = every[every + width <= end[every]]
-            at = at[known.holds(text.spans(at, width, salt))]
+            at = every[every + width <= f.last[every]]
+            at = at[known.holds(f.hashes.spans(at, width, salt))]
             for n in sizes:
                 if not width <= n < 2 * width or not len(at):
                     continue
-                here = at[at + n <= end[at]]
-                if stop is not None:
-                    here = here[stop[here + n - 1]]
-                h = text.spans(here, n, salt + len(WAYS))
+                here = at[at + n <= f.last[at]]
+                if whole:
+                    here = here[ends[here + n - 1]]
+                h = f.hashes.spans(here, n, salt + len(WAYS))
                 hit = known.holds(h)
                 if len(hit):
-                    here = here[hit]
-                    yield way, n, owner[here], here - first[owner[here]], h[hit], told
+                    yield way, n, here[hit], h[hit], f
 
 
 def _candidates(sent, lengths: dict[str, list[int]]):
     """(item, way, form) of what may be a name, once a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = rolling.Filter(*sent.value)
+        bits, table, starts = sent.value
+        known = rolling.Filter(bits, table)
         for b in batches:
             texts, rows = [], []
             for column in b.columns[1:]:
@@ -163,13 +209,20 @@ def _candidates(sent, lengths: dict[str, list[int]]):
                     size += len(texts[hi])
                     hi += 1
                 row = np.array(rows[lo:hi], np.int64)
-                for way, n, owner, place, h, told in _places(texts[lo:hi], lengths, known):
-                    _, one = np.unique(np.stack([row[owner].astype(np.uint64), h], 1), axis=0, return_index=True)
-                    seen.update((int(row[o]), way, told[o][p : p + n]) for o, p in zip(owner[one].tolist(), place[one].tolist()))
+                for way, n, place, h, f in _places(texts[lo:hi], lengths, starts, known):
+                    mine = row[f.owner[place]]
+                    order = np.lexsort((h, mine))
+                    new = np.append(True, (h[order[1:]] != h[order[:-1]]) | (mine[order[1:]] != mine[order[:-1]]))
+                    one = order[new]
+                    forms: dict[int, str] = {}  # a 64-bit hash stands for one form in a chunk
+                    for i, p, k in zip(mine[one].tolist(), place[one].tolist(), h[one].tolist()):
+                        if k not in forms:
+                            forms[k] = f.cut(p, n)
+                        seen.add((i, way, forms[k]))
                 lo = hi
             if seen:
-                at, ways, forms = zip(*sorted(seen))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(ways), pa.array(forms)], ["item", "_way", "_form"])
+                at, ways, forms_ = zip(*sorted(seen))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(ways), pa.array(forms_)], ["item", "_way", "_form"])
 
     return run
 
@@ -185,7 +238,10 @@ def found(items: DataFrame, names: DataFrame, texts: list[str], ways: Column, sp
     forms = known.select("_way", "_form").distinct()
     sizes = known.groupBy("_way", F.length("_form").alias("n")).count().collect()  # a row for each length that names have
     lengths = {w: sorted(r["n"] for r in sizes if r["_way"] == w) for w in WAYS if any(r["_way"] == w for r in sizes)}
-    sent = spark.sparkContext.broadcast(rolling.filter_of(forms, 2 * sum(r["count"] for r in sizes), _known))
+    starts = {w: np.zeros(2 * STARTS, bool) for w in WAYS}
+    for r in forms.mapInArrow(_beginnings, "_way string, start int").distinct().collect():  # 2 * STARTS a way at most
+        starts[r["_way"]][r["start"] if r["start"] >= 0 else STARTS - 1 - r["start"]] = True
+    sent = spark.sparkContext.broadcast((*rolling.filter_of(forms, 2 * sum(r["count"] for r in sizes), _known), starts))
     schema = T.StructType([items.schema["item"], T.StructField("_way", T.StringType()), T.StructField("_form", T.StringType())])
     maybe = items.select("item", *texts).mapInArrow(_candidates(sent, lengths), schema)
     return maybe.join(known, ["_way", "_form"]).select("item", *names.columns)
