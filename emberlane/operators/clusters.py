@@ -28,23 +28,38 @@ def similarity(pairs: DataFrame, corr: DataFrame) -> DataFrame:
     return each.join(corr, ["event_a", "event_b"], "left").groupBy("a", "b").agg(F.coalesce(F.sum(value) / F.nullif(F.first("n"), F.lit(0)), F.lit(0.0)).alias("sim"))
 
 
-def alike(kinds: list[tuple[str, ...]], corr: dict[tuple[str, str], float], threshold: float) -> np.ndarray:
-    """Which kinds (tuples of events) have a mean correlation above the threshold.
-    A pair of events that corr, a symmetric matrix, does not name is 0, of equal ones 1."""
-    words = sorted({e for k in kinds for e in k})
-    matrix = np.array([[corr.get((a, b), float(a == b)) for b in words] for a in words]).reshape(len(words), len(words))
-    place = {e: i for i, e in enumerate(words)}
-    share = np.zeros((len(kinds), len(words)))
-    for row, k in enumerate(kinds):
-        for e in k:
-            share[row, place[e]] += 1
-    size = share.sum(1)
-    some = np.outer(size, size)
-    return np.divide(share @ matrix @ share.T, some, out=np.zeros_like(some), where=some > 0) > threshold
-
-
-def grouped(t: np.ndarray, kind: np.ndarray, like: np.ndarray, close: int) -> tuple[np.ndarray, int]:
-    """The group of each item in order of time t, and how many groups there were. An
+BLOCK = 1024  # kinds compared with all others at a time
+
+
+class Kinds:
+    """Kinds (tuples of events) of some sessions, and which are alike."""
+
+    def __init__(self, kinds: list[tuple[str, ...]], corr: dict[tuple[str, str], float]):
+        words = sorted({e for k in kinds for e in k})
+        matrix = np.array([[corr.get((a, b), float(a == b)) for b in words] for a in words]).reshape(len(words), len(words))
+        place = {e: i for i, e in enumerate(words)}
+        self.share = np.zeros((len(kinds), len(words)))
+        for row, k in enumerate(kinds):
+            for e in k:
+                self.share[row, place[e]] += 1
+        self.size, self.weighed = self.share.sum(1), self.share @ matrix
+
+    def alike(self, some: np.ndarray, threshold: float) -> list[np.ndarray]:
+        """For each of some kinds, which of them have a mean correlation with it above
+        the threshold. A pair of events that corr, a symmetric matrix, does not name is
+        0, of equal ones 1. Kinds are compared by blocks: only the alike are kept."""
+        out: list[np.ndarray] = []
+        other, size = self.share[some].T, self.size[some]
+        for lo in range(0, len(some), BLOCK):
+            each = np.outer(size[lo : lo + BLOCK], size)
+            mean = np.divide(self.weighed[some[lo : lo + BLOCK]] @ other, each, out=np.zeros_like(each), where=each > 0)
+            out += [np.flatnonzero(row) for row in mean > threshold]
+        return out
+
+
+def grouped(t: np.ndarray, kind: np.ndarray, like: np.ndarray | list[np.ndarray], close: int) -> tuple[np.ndarray, int]:
+    """like: for each kind, which kinds are like it, by number or as a row of flags.
+    The group of each item in order of time t, and how many groups there were. An
     item's neighbours are itself, the items less than close away, and those of a kind
     like its own. An item in no group brings its neighbours to the first group that
     holds one of them, or to a new one; an item of several groups is in the last.
@@ -56,7 +71,7 @@ def grouped(t: np.ndarray, kind: np.ndarray, like: np.ndarray, close: int) -> tu
     first, last = np.full(len(t), none), np.full(len(t), -1)  # of an item, by ranges
     kind_first, kind_last = np.full(len(like), none), np.full(len(like), -1)  # of whole kinds
     met = np.full(len(like), none)  # the first group that any item of the kind is in
-    near = [np.flatnonzero(row) for row in like]
+    near = [np.flatnonzero(row) if row.dtype == bool else row for row in map(np.asarray, like)]
     groups = 0
     for i in range(len(t)):
         if last[i] >= 0 or kind_last[kind[i]] >= 0:
@@ -114,13 +129,13 @@ def subsplit(items: DataFrame, by: list[str], ts: str, item: str, events: str, c
             t = table.column(ts).cast(pa.timestamp("us")).cast(pa.int64()).to_numpy()
             coded = table.column("_tags").combine_chunks().dictionary_encode()
             kinds, kind = [tuple(x.split(MARK)) if x else () for x in coded.dictionary.to_pylist()], coded.indices.to_numpy()
-            like = alike(kinds, corr, threshold)
+            known = Kinds(kinds, corr)
             sub, subs = np.zeros(len(t), np.int32), np.ones(len(t), np.int32)
             starts = np.append(np.flatnonzero(changes(table, by)), len(t))
             for a, z in zip(starts, starts[1:]):
                 if z - a > 1:
                     some, mine = np.unique(kind[a:z], return_inverse=True)
-                    sub[a:z], subs[a:z] = grouped(t[a:z], mine, like[np.ix_(some, some)], close)
+                    sub[a:z], subs[a:z] = grouped(t[a:z], mine, known.alike(some, threshold), close)
             yield from table.select(keys).append_column("sub", pa.array(sub)).append_column("subs", pa.array(subs)).to_batches()
 
     ship(items.sparkSession)
