@@ -51,7 +51,6 @@ LAST = re.compile(rf"{WORD}[:=]?$", re.IGNORECASE | re.ASCII)
 HINT = re.compile(r"pass|pwd|secret|token|api_?key|credential|auth", re.IGNORECASE | re.ASCII)
 
 MIN_VALUE, MIN_COST = 6, 8.0  # characters; log10 of guesses
-LONGEST = 24  # of a word, repeat unit or sequence that the program tries
 
 # Words by how soon a guesser tries them, and rows of keys.
 WORDS = """password the of and to in is that it for as with you love admin welcome login letmein qwerty dragon monkey master
@@ -118,12 +117,15 @@ class Guesser:
         self.rank: dict[str, int] = {}
         for w in words:
             self.rank.setdefault(w, len(self.rank) + 1)
+        self.longest = max(map(len, self.rank), default=0)
         self.cached = lru_cache(100_000)(self.cost)
 
-    def spans(self, v: Value, i: int) -> Iterator[tuple[int, float]]:
-        """End and cost of each cheap span that begins at i."""
+    def spans(self, v: Value, i: int, room: float = math.inf) -> Iterator[tuple[int, float]]:
+        """End and cost of each cheap span that begins at i and may cost less than room.
+        A repeat costs 1.5 for each character of its unit at least, so room bounds the
+        units to try."""
         value, n = v.text, len(v.text)
-        piece = value[i : i + LONGEST]
+        piece = value[i : i + self.longest]
         low = "".join(c if len(c.lower()) != 1 else c.lower() for c in piece)
         plain = low.translate(PLAIN)
         for k in range(3, len(piece) + 1):
@@ -135,8 +137,9 @@ class Guesser:
                     break
         if m := DATE.match(value, i):
             yield m.end(), 4.5 if m.end() - i > 4 else 2.1
-        for unit in range(1, min(LONGEST, (n - i) // 2) + 1):  # repeats
-            if value[i : i + unit] == value[i + unit : i + 2 * unit]:
+        most = (n - i) // 2 if math.isinf(room) else min((n - i) // 2, int(room / 1.5) + 1)
+        for unit in range(1, most + 1):  # repeats
+            if value[i] == value[i + unit] and value[i : i + unit] == value[i + unit : i + 2 * unit]:
                 more = agreement(value, i, i + unit) // unit
                 yield i + unit * (more + 1), unit * 1.5 + math.log10(more + 1)
         if (z := v.climb(i)) - i >= 3:  # sequences
@@ -158,7 +161,7 @@ class Guesser:
                 return min(at, enough)
             ways = [(i + 1, at + each)]
             if at + cut < enough:
-                ways += [(j, at + c + cut) for j, c in self.spans(v, i)]
+                ways += [(j, at + c + cut) for j, c in self.spans(v, i, enough - at - cut)]
             for j, c in ways:
                 if c < enough and c < best.get(j, math.inf):
                     if j not in best:

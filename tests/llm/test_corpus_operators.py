@@ -422,12 +422,12 @@ def cheap_spans(v, i, rank):
     for j in range(i + 1, len(v) + 1):
         p = v[i:j]
         low = p.lower()
-        if 3 <= len(p) <= 24:
+        if len(p) >= 3:
             for form, extra in ((low, 0.0), ("".join(leet.get(c, c) for c in low), 0.5)):
                 if form in rank:
                     yield j, math.log10(rank[form] + 1) + extra + (0.5 if any(c.isalpha() for c in p) and not p.islower() else 0.0)
                     break
-        for unit in range(1, 25):
+        for unit in range(1, len(p) // 2 + 1):
             k = len(p) // unit
             if k > 1 and p == p[:unit] * k and v[j : j + unit] != p[:unit]:
                 yield j, unit * 1.5 + math.log10(k)
@@ -449,7 +449,9 @@ def test_guess_cost_is_the_least():
     rng = random.Random(4)
     parts = ["password", "P@ss", "qwe", "1234", "2024", "1999-12-31", "aaa", "abab", "xyz", "Q", "k$", "drag0n", "lkj", "987", "é"]
     assert len(rank) > 5000
-    for v in ["password1", "19991231x", "aaaabbbb", "qwe123!Z", "xK9$z!qW", "abcdxyz", "P@ssw0rd2024", *("".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(80))]:
+    unit = "kV8$wq!Zt3@Lm9#Rb5%Xc7^Nd1&Hf0*Gj4(Ps6)Y"  # forty characters
+    assert len(unit) == 40 and secrets.guess_cost(unit * 2) < 65 < secrets.guess_cost(unit)
+    for v in [unit * 2, "a" + unit * 3, max(rank, key=len) + "1", "password1", "19991231x", "aaaabbbb", "qwe123!Z", "xK9$z!qW", "abcdxyz", "P@ssw0rd2024", *("".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(80))]:
         best = [0.0] + [math.inf] * len(v)
         for i in range(len(v)):
             for j, c in [(i + 1, secrets.brute(v)), *((j, c + math.log10(2)) for j, c in cheap_spans(v, i, rank))]:
