@@ -12,12 +12,16 @@ from collections.abc import Callable, Iterator
 FORMAT = "%(asctime)s %(levelname)s %(message)s"
 
 
-def logger(file: str | None = None, level: int = logging.INFO, most_bytes: int = 10_000_000, old_files: int = 5) -> logging.Logger:
-    """The package's logger. With a file, records go there too; a full file is put aside."""
+def logger(file: str | None = None, level: int = logging.INFO, most_bytes: int = 10_000_000, old_files: int = 5, daily: bool = False) -> logging.Logger:
+    """The package's logger. With a file, records go there too; a full file is put
+    aside, or (daily) each day's at midnight."""
     log = logging.getLogger("emberlane")
     log.setLevel(level)
     if file and not any(getattr(h, "baseFilename", None) for h in log.handlers):
-        handler = logging.handlers.RotatingFileHandler(file, maxBytes=most_bytes, backupCount=old_files, delay=True)
+        if daily:
+            handler: logging.Handler = logging.handlers.TimedRotatingFileHandler(file, when="midnight", backupCount=old_files, delay=True)
+        else:
+            handler = logging.handlers.RotatingFileHandler(file, maxBytes=most_bytes, backupCount=old_files, delay=True)
         handler.setFormatter(logging.Formatter(FORMAT))
         log.addHandler(handler)
     return log

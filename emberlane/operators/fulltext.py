@@ -49,6 +49,7 @@ PARTS = {
 class Index:
     spark: SparkSession
     path: str
+    buckets: int = BUCKETS  # of the segments that it writes
 
     def segments(self) -> list[dict]:
         return versions.latest(self.spark, self.path)[1].get("segments", [])
@@ -98,18 +99,19 @@ def _newest(docs: DataFrame) -> DataFrame:
     return docs.join(last, "doc").where(F.col("seg") == F.col("_last")).drop("_last")
 
 
-def _borders(terms: DataFrame) -> list[str]:
-    """Of a bounded sample of the distinct terms, those that cut it into BUCKETS."""
-    some = sorted(r["term"] for r in terms.select("term").distinct().orderBy(F.xxhash64("term"), "term").limit(BUCKETS * SAMPLE).collect())
-    return [some[len(some) * i // BUCKETS] for i in range(1, BUCKETS)] if len(some) >= BUCKETS else some[1:]
+def _borders(terms: DataFrame, buckets: int) -> list[str]:
+    """Of a bounded sample of the distinct terms, those that cut it into buckets."""
+    some = sorted(r["term"] for r in terms.select("term").distinct().orderBy(F.xxhash64("term"), "term").limit(buckets * SAMPLE).collect())
+    return [some[len(some) * i // buckets] for i in range(1, buckets)] if len(some) >= buckets else some[1:]
 
 
-def _write(spark: SparkSession, path: str, postings: DataFrame, docs: DataFrame) -> dict:
+def _write(index: Index, postings: DataFrame, docs: DataFrame) -> dict:
     """Writes a segment: postings (term, lang, doc, positions) should be a written table."""
+    spark, path = index.spark, index.path
     name = f"segment-{uuid.uuid4().hex}"
     counts = postings.groupBy("term", "lang").agg(F.count("*").alias("df"), F.sum(F.size("positions")).alias("cf"))
     with_stems(counts).select("term", "lang", "stem", "stop", "df", "cf").write.parquet(f"{path}/{name}/terms")
-    borders = _borders(spark.read.parquet(f"{path}/{name}/terms"))
+    borders = _borders(spark.read.schema(PARTS["terms"]).parquet(f"{path}/{name}/terms"), index.buckets)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = postings.withColumn("b", bucket_of(F.col("term"), borders)).repartitionByRange(parts, "term", "lang", "doc").sortWithinPartitions("b", "term", "lang", "doc")
     dealt.write.partitionBy("b").parquet(f"{path}/{name}/postings")
@@ -118,7 +120,7 @@ def _write(spark: SparkSession, path: str, postings: DataFrame, docs: DataFrame)
 
 
 def _add(index: Index, postings: DataFrame, docs: DataFrame) -> Index:
-    segment = _write(index.spark, index.path, postings, docs)
+    segment = _write(index, postings, docs)
     versions.commit(index.spark, index.path, lambda s: {"segments": [*s.get("segments", []), segment]})
     return index
 
@@ -151,7 +153,7 @@ def compacted(index: Index) -> Index:
         return index
     docs = materialize(_newest(index._all("docs")).where(~F.col("removed")), "index-docs")
     live = index._all("postings").join(docs.select("doc", "seg"), ["doc", "seg"]).select("term", "lang", "doc", "positions")
-    segment = _write(index.spark, index.path, materialize(live, "postings"), docs.drop("seg"))
+    segment = _write(index, materialize(live, "postings"), docs.drop("seg"))
     names = [s["name"] for s in old]
 
     def change(state: dict) -> dict | None:
@@ -211,3 +213,10 @@ def search(index: Index, queries: DataFrame, every: bool = True) -> DataFrame:
     hits = index.postings(wanted).groupBy("query", "size", "doc", "seg", "stem").agg(F.sum(F.size("positions")).alias("tf"))
     per = _visible(index, hits.groupBy("query", "size", "doc", "seg").agg(F.count("*").alias("n_terms"), F.sum("tf").cast("long").alias("tf")))
     return per.where("n_terms = size" if every else "true").select("query", "doc", "n_terms", "tf")
+
+
+def name_tags(index: Index, names: DataFrame) -> DataFrame:
+    """(item, names' columns) of the documents that hold a name (match) as a phrase:
+    tags from the index, where tagging.refname_tags() reads the texts."""
+    asked = names.select(F.struct(*names.columns).alias("query"), F.col("match").alias("phrase"), F.lit(None).cast("string").alias("lang")).distinct()
+    return phrases(index, asked).select(F.col("doc").alias("item"), "query.*")

@@ -17,7 +17,7 @@ from emberlane.session import shared_dir
 def indexed(spark: SparkSession, sf_dir: str) -> fulltext.Index:
     """All documents, in increments: the English ones, then the others, and the French
     ones again in the place of themselves."""
-    index = fulltext.Index(spark, f"{shared_dir(spark)}/text-{uuid.uuid4().hex}")
+    index = fulltext.Index(spark, f"{shared_dir(spark)}/text-{uuid.uuid4().hex}", 16)
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     fulltext.add(index, d.where("lang <=> 'en'"), ["text"])
     fulltext.add(index, d.where("not lang <=> 'en'"), ["text"])

@@ -74,7 +74,7 @@ def found(index, phrases, **more):
 def test_phrases_through_increments(spark, tmp_path):
     rows = corpus()
     frame = lambda rs: spark.createDataFrame(rs, "doc_id long, lang string, text string")
-    index = fulltext.Index(spark, f"file://{tmp_path}/index")
+    index = fulltext.Index(spark, f"file://{tmp_path}/index", 4)
     phrases = ["fire", "ECOLE", "the fire", "fire of the plant", "plants uber", "a a", "42 x_1", "nowhere at all", "", "...", "the"]
     assert found(index, phrases) == {}
     fulltext.add(index, frame(rows[:50]), ["text"])
@@ -95,13 +95,25 @@ def test_phrases_through_increments(spark, tmp_path):
 
 
 def test_columns_do_not_run_into_each_other(spark, tmp_path):
-    index = fulltext.Index(spark, f"file://{tmp_path}/index")
+    index = fulltext.Index(spark, f"file://{tmp_path}/index", 4)
     fulltext.add(index, spark.createDataFrame([(1, "en", "a fire", "at noon"), (2, "en", None, "fire at noon")], "doc_id long, lang string, text string, snippet string"), ["text", "snippet"])
     assert found(index, ["fire at", "at noon"]) == {"fire at": {2: [1]}, "at noon": {1: [3], 2: [2]}}
 
 
+def test_tags_from_the_index(spark, tmp_path):
+    """Names of whole tokens have the tags that reading the texts gives them."""
+    rows = [(i, "en", t) for i, t in enumerate(["The École at El Paso", "el paso, again", "elpaso", "ecole ecole", None])]
+    frame = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    names = spark.createDataFrame([(1, "el paso"), (2, "école"), (2, "Paso"), (3, "none")], "id long, match string")
+    index = fulltext.add(fulltext.Index(spark, f"file://{tmp_path}/index", 4), frame, ["text"])
+    told = sorted((int(r["item"]), r["id"], r["match"]) for r in fulltext.name_tags(index, names).collect())
+    read = tagging.refname_tags(frame.select(F.col("doc_id").alias("item"), "text"), names, ["text"]).collect()
+    whole = sorted((r["item"], r["id"], r["match"]) for r in read if r["item"] != 2)  # a phrase in a longer token is none for the index
+    assert told == whole == [(0, 1, "el paso"), (0, 2, "Paso"), (0, 2, "école"), (1, 1, "el paso"), (1, 2, "Paso"), (3, 2, "école")]
+
+
 def test_search_by_stem(spark, tmp_path):
-    index = fulltext.Index(spark, f"file://{tmp_path}/index")
+    index = fulltext.Index(spark, f"file://{tmp_path}/index", 4)
     texts = [(1, "en", "Fires at the plants"), (2, "en", "a plant fired on, a plant"), (3, "fr", "fires plants"), (4, "en", "the of the"), (5, "en", "plant")]
     fulltext.add(index, spark.createDataFrame(texts, "doc_id long, lang string, text string"), ["text"])
     q = spark.createDataFrame([(1, "the fire of a plant", "en"), (2, "the of", "en"), (3, "plants missing", "en")], "query int, phrase string, lang string")
