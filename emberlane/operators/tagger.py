@@ -17,6 +17,7 @@ the tagger finds nothing.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -28,11 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberlane.session import ship
+from emberlane.operators import rolling
+from emberlane.session import materialize, ship
 
 SLOTS = 1 << 17
 ROUNDS = 5
 SAMPLE = 20_000  # sentences that a tagger is fitted on at most
+AT_ONCE = 64  # rows whose words a task holds at a time
 LONGEST = 200  # words that are decoded at once; longer sentences are cut there
 WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*|[.!?\n]")
 ENDS = frozenset(".!?\n")
@@ -109,25 +112,104 @@ def empty(labels: tuple[str, ...]) -> np.ndarray:
     return np.zeros((SLOTS + k + 1, k), np.float32)
 
 
-def labelled(items: DataFrame, names: DataFrame, labels: tuple[str, ...]) -> DataFrame:
-    """Sentences (item, words, tags) of items (item, text) in which each word that is a
-    name (match, lower case, one word; label) is tagged with its label. Words and names
-    meet by a join; a sentence is put together from its words."""
-    split = T.StructType.fromDDL("item string, sentence int, place int, word string")
+def _spoken(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, list[str]]]:
+    """Some rows of a batch at a time: the rows, and of all their words the row, the
+    sentence, the place in it, and the word."""
+    for whole in batches:
+        for lo in range(0, whole.num_rows, AT_ONCE):
+            b = whole.slice(lo, AT_ONCE)
+            rows = [(i, s, p, t[a:z]) for i, t in enumerate(b.column("text").to_pylist()) for s, at in enumerate(sentences(t)) for p, (a, z) in enumerate(at)]
+            if rows:
+                row, sentence, place, words = zip(*rows)
+                yield b, np.array(row, np.int64), np.array(sentence, np.int64), np.array(place, np.int64), list(words)
+
+
+def _borders(row: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each sentence begins and ends among the words."""
+    head = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (sentence[1:] != sentence[:-1])))
+    return head, np.append(head[1:], len(row))
+
+
+def _said(spoken: str) -> int:
+    """Tells sentences of rows that repeat an item apart."""
+    return int.from_bytes(hashlib.blake2b(spoken.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def _hashes(words: list[str]) -> np.ndarray:
+    sizes = np.array([len(w) for w in words], np.int64)
+    text = rolling.Rolling(rolling.points("".join(words)))
+    start, out = np.cumsum(sizes) - sizes, np.zeros(len(words), np.uint64)
+    for n in np.unique(sizes).tolist():
+        out[sizes == n] = text.spans(start[sizes == n], n, 0)
+    return out
+
+
+def _maybe(known: rolling.Filter, words: list[str]) -> np.ndarray:
+    """Which words may be names. Other letters than ASCII's always may: what they are in
+    lower case is for the join to say."""
+    low = [w.lower() for w in words]
+    out = np.array([not w.isascii() for w in words], bool)
+    out[known.holds(_hashes(low))] = True
+    return out
+
 
+def _known(names: DataFrame, labels: tuple[str, ...]) -> tuple[DataFrame, tuple[int, np.ndarray]]:
+    """match and tag of the names, and the filter that tells tasks of them."""
+    code = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("label"))
+    tags = names.groupBy("match").agg(F.min("label").alias("label")).withColumn("tag", (code * 2 - 1).cast("int")).where("tag > 0").select("match", "tag")
+    known = materialize(tags, "names")
+    return known, rolling.filter_of(known.where("match is not null"), known.count(), lambda b: _hashes(b.column("match").to_pylist()))
+
+
+def _met(items: DataFrame, known: DataFrame, sent) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [(i, s, p, t[a:z]) for i, t in zip(b.column("item").to_pylist(), b.column("text").to_pylist()) for s, at in enumerate(sentences(t)) for p, (a, z) in enumerate(at)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f) for c, f in zip(zip(*rows), (pa.string(), pa.int32(), pa.int32(), pa.string()))], split.names)
+        filter_ = rolling.Filter(*sent.value)
+        for b, row, sentence, place, words in _spoken(batches):
+            at = np.flatnonzero(_maybe(filter_, words))
+            if len(at):
+                head, tail = _borders(row, sentence)
+                of = np.searchsorted(head, at, "right") - 1
+                said = {i: _said(" ".join(words[head[i] : tail[i]])) for i in np.unique(of).tolist()}
+                columns = [b.column("item").take(pa.array(row[at])), pa.array(sentence[at], pa.int32()), pa.array([said[i] for i in of.tolist()], pa.int64()), pa.array(place[at], pa.int32()), pa.array([words[i] for i in at.tolist()], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["item", "sentence", "said", "place", "word"])
+
+    each = items.select(F.col("item").cast("string").alias("item"), "text").mapInArrow(run, "item string, sentence int, said long, place int, word string")
+    return each.join(known, F.lower("word") == F.col("match")).select("item", "sentence", "said", "place", "word", "tag")
+
+
+def named(items: DataFrame, names: DataFrame, labels: tuple[str, ...]) -> DataFrame:
+    """(item, sentence, place, word, tag) of the words of items (item, text) that are a
+    name (match, lower case, one word; label). A Bloom filter of bounded size tells
+    tasks which words may be, and only those are sent to meet the names by a join."""
+    ship(items.sparkSession)
+    known, told = _known(names, labels)
+    return _met(items, known, items.sparkSession.sparkContext.broadcast(told)).drop("said")
+
 
+def labelled(items: DataFrame, names: DataFrame, labels: tuple[str, ...], all_: bool = True) -> DataFrame:
+    """Sentences (item, sentence, words, tags) of items (item, text) in which each word
+    that is a name is tagged with its label; if not all_, only those with a name. A
+    sentence goes as one string to meet the tags of its names (named())."""
     ship(items.sparkSession)
-    each = items.select(F.col("item").cast("string").alias("item"), "text").mapInArrow(run, split)
-    code = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("label"))
-    known = names.groupBy("match").agg(F.min("label").alias("label")).withColumn("tag", (code * 2 - 1).cast("int")).where("tag > 0")
-    told = each.join(known.select("match", "tag"), F.lower("word") == F.col("match"), "left")
-    by_place = F.sort_array(F.collect_list(F.struct("place", "word", F.coalesce("tag", F.lit(0)).alias("tag"))))
-    return told.groupBy("item", "sentence").agg(by_place.alias("_w")).select("item", "sentence", F.col("_w.word").alias("words"), F.col("_w.tag").alias("tags"))
+    known, told = _known(names, labels)
+    sent = items.sparkSession.sparkContext.broadcast(told)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filter_ = rolling.Filter(*sent.value)
+        for b, row, sentence, _, words in _spoken(batches):
+            head, tail = _borders(row, sentence)
+            if not all_:
+                some = np.add.reduceat(_maybe(filter_, words), head, dtype=np.int64) > 0
+                head, tail = head[some], tail[some]
+            if len(head):
+                texts = [" ".join(words[a:z]) for a, z in zip(head.tolist(), tail.tolist())]  # no word has a space
+                yield pa.RecordBatch.from_arrays([b.column("item").take(pa.array(row[head])), pa.array(sentence[head], pa.int32()), pa.array([_said(t) for t in texts], pa.int64()), pa.array(texts, pa.string())], ["item", "sentence", "said", "spoken"])
+
+    each = items.select(F.col("item").cast("string").alias("item"), "text").mapInArrow(run, "item string, sentence int, said long, spoken string")
+    tags = _met(items, known, sent).groupBy("item", "sentence", "said").agg(F.map_from_entries(F.collect_set(F.struct("place", "tag"))).alias("_t"))
+    words = each.join(tags, ["item", "sentence", "said"], "left" if all_ else "inner").withColumn("words", F.split("spoken", " "))
+    tag = lambda _, i: F.coalesce(F.element_at("_t", i), F.lit(0))
+    return words.select("item", "sentence", "words", F.transform("words", tag).alias("tags"))
 
 
 def sample(sentences_: DataFrame, most: int = SAMPLE) -> DataFrame:
@@ -181,7 +263,8 @@ def fit(sentences_: DataFrame, labels: tuple[str, ...], rounds: int = ROUNDS, sh
     comes to the driver after each round is one set of weights."""
     spark = sentences_.sparkSession
     ship(spark)
-    dealt = sentences_.select("words", "tags").repartition(shares, F.xxhash64("words"))
+    # read in every round, so found once, and in the same order on every run
+    dealt = materialize(sentences_.select("words", "tags"), "sentences").repartition(shares, F.xxhash64("words")).sortWithinPartitions("words", "tags")
     weights = empty(labels)
     n = weights.shape[1]
     for round_ in range(rounds):

@@ -11,7 +11,7 @@ from emberlane.functions.stems import STEMMERS, stem_sql, stop_sql, tokens
 from emberlane.operators import entities, fulltext, tagger, tagging
 from emberlane.plans.catalog import query, table
 from emberlane.plans.items import docs
-from emberlane.session import shared_dir
+from emberlane.session import materialize, shared_dir
 
 
 def indexed(spark: SparkSession, sf_dir: str) -> fulltext.Index:
@@ -89,12 +89,12 @@ def ner_tagger(spark, sf_dir):
     documents: how many of all such words it finds, and of what it finds are such."""
     labels, ends = ("GPE", "NORP"), ("tion", "ment")
     items = docs(spark, sf_dir)
-    told = tagger.labelled(items, _ending(items, labels, ends).where(F.xxhash64("match") % 2 == 0), labels)
-    sure = told.where(F.exists("tags", lambda t: t > 0)).where(~F.exists(F.arrays_zip("words", "tags"), lambda x: (x["tags"] == 0) & F.rlike(F.lower(x["words"]), F.lit(f"({'|'.join(ends)})$"))))
+    names = materialize(_ending(items, labels, ends), "ending")
+    told = tagger.labelled(items, names.where(F.xxhash64("match") % 2 == 0), labels, False)
+    sure = told.where(~F.exists(F.arrays_zip("words", "tags"), lambda x: (x["tags"] == 0) & F.rlike(F.lower(x["words"]), F.lit(f"({'|'.join(ends)})$"))))
     found = entities.by_tagger(items, tagger.fit(tagger.sample(sure), labels))
-    every = tagger.labelled(items, _ending(items, labels, ends), labels)
-    gold = every.select(F.col("item").cast("long").alias("item"), F.inline(F.arrays_zip(F.col("words").alias("text"), "tags"))).where("tags > 0")
-    gold = gold.select("item", "text", F.when(F.col("tags") == 1, labels[0]).otherwise(labels[1]).alias("label")).distinct()
+    every = tagger.named(items, names, labels)
+    gold = every.select(F.col("item").cast("long").alias("item"), F.col("word").alias("text"), F.when(F.col("tag") == 1, labels[0]).otherwise(labels[1]).alias("label")).distinct()
     return tagger.agreement(found, gold).select("label", "n_found", "n_known", "n_both", F.round("precision", 4).alias("precision"), F.round("recall", 4).alias("recall"))
 
 

@@ -193,3 +193,18 @@ def test_a_tagger_learns_from_names_and_finds_others(spark):
     assert set(scores) == set(labels) and all(p > 0.9 and r > 0.9 for p, r in scores.values())
     assert every.count() > known.count() and tagger.fit(told.limit(0), labels).weights.any() == False  # noqa: E712
     assert entities.by_tagger(items, tagger.Tagger(labels, tagger.empty(labels))).count() == 0
+
+
+def test_names_alone_meet_by_a_join(spark):
+    """Words that cannot be names are not sent; rows that repeat an item stay apart."""
+    from emberlane.operators import tagger
+
+    items = spark.createDataFrame([(1, "Élan in Rome. None here! rome, Élan"), (1, "Oslo in Rome. None here!"), (2, None), (3, "")], "item long, text string")
+    names = spark.createDataFrame([("rome", "GPE"), ("élan", "NORP"), ("oslo", "GPE"), (None, "GPE"), ("paris", "X")], "match string, label string")
+    labels = ("GPE", "NORP")
+    told = sorted((r["item"], r["sentence"], r["place"], r["word"], r["tag"]) for r in tagger.named(items, names, labels).collect())
+    assert told == [("1", 0, 0, "Oslo", 1), ("1", 0, 0, "Élan", 3), ("1", 0, 2, "Rome", 1), ("1", 0, 2, "Rome", 1), ("1", 2, 0, "rome", 1), ("1", 2, 1, "Élan", 3)]
+    whole = [(["Oslo", "in", "Rome"], [1, 0, 1]), (["Élan", "in", "Rome"], [3, 0, 1]), (["rome", "Élan"], [1, 3])]
+    of = lambda d: sorted((r["words"], r["tags"]) for r in d.collect())
+    assert of(tagger.labelled(items, names, labels, False)) == sorted(whole)
+    assert of(tagger.labelled(items, names, labels)) == sorted([*whole, (["None", "here"], [0, 0]), (["None", "here"], [0, 0])])
