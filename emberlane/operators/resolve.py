@@ -2,7 +2,8 @@
 
 Every stage narrows the candidates in its own way; the answer is the smallest
 set that is not empty, of equals that of the earliest stage. So all stages are
-rows of one relation, counted and ranked per item.
+rows of one relation, counted and ranked per item. Sets that many items share (all
+assets of a town, of an owner, or in a polygon) are counted once for all of them.
 """
 
 from __future__ import annotations
@@ -22,20 +23,53 @@ def valid(ts: Column, begin: Column, end: Column, as_of: Column) -> Column:
     return (F.coalesce(begin, F.lit("1800-01-01").cast("timestamp_ntz")) <= ts) & (F.coalesce(end, as_of.cast("date").cast("timestamp_ntz")) >= ts)
 
 
-def flags(tags: DataFrame) -> DataFrame:
-    """Per (item, id): of which types it is tagged, and which types the item has at all."""
+def grouped(groups: DataFrame, members: DataFrame) -> DataFrame:
+    """(item, cities, owners): the groups that an item is tagged with, as sorted arrays;
+    groups without a member are none."""
+    known = groups.join(members.where("id is not null").select("group").distinct(), "group", "left_semi")
+    of = lambda t: F.sort_array(F.collect_set(F.when(F.col("type") == t, F.col("group"))))
+    return known.groupBy("item").agg(of("cityname").alias("cities"), of("ownername").alias("owners"))
+
+
+def _spread(tags: DataFrame, groups: DataFrame, members: DataFrame) -> DataFrame:
+    """tags with the members of those groups that stages need one by one: of cities, of
+    items without refname, and of owners, of items that are tagged with other owners."""
+    has = lambda t: tags.where(F.col("type") == t).select("item").distinct()
+    of = lambda t: groups.where(F.col("type") == t)
+    needed = of("cityname").join(has("refname"), "item", "left_anti").unionByName(of("ownername").join(has("ownername"), "item", "left_semi"))
+    return tags.unionByName(needed.join(members.where("id is not null"), "group").select("item", "id", "type"))
+
+
+def flags(tags: DataFrame, groups: DataFrame | None = None, members: DataFrame | None = None) -> DataFrame:
+    """Per (item, id): of which types it is tagged, and which types the item has at all.
+    groups (item, group, type: cityname or ownername) stand for tags with each of their
+    members (group, id), but are not written out: an item's tags look up whether they
+    are among them. whole: all the item's owners are groups; what is only in these has
+    no row."""
     by = Window.partitionBy("item")
     is_ = lambda t: F.max(F.col("type") == t)
-    per = tags.where("id is not null").groupBy("item", "id").agg(is_("refname").alias("ref"), is_("cityname").alias("city"), is_("ownername").alias("owner"))
-    has = per.withColumns({f"has_{t}": F.max(t).over(by) for t in ("ref", "city", "owner")})
+    tags = tags.where("id is not null").select("item", "id", "type")
+    spread = tags if groups is None else _spread(tags, groups, members)
+    per = spread.groupBy("item", "id").agg(is_("refname").alias("ref"), is_("cityname").alias("city"), is_("ownername").alias("owner"))
+    more = {"ref": F.lit(False), "city": F.lit(False), "owner": F.lit(False)}
+    per = per.withColumn("whole", F.lit(False))
+    if groups is not None:
+        mine = members.where("id is not null").groupBy("id").agg(F.collect_set("group").alias("_in"))
+        per = per.join(mine, "id", "left").join(grouped(groups, members), "item", "left")
+        among = lambda t: F.coalesce(F.arrays_overlap("_in", t), F.lit(False))
+        per = per.withColumn("whole", (F.coalesce(F.size("owners"), F.lit(0)) > 0) & ~F.max("owner").over(by))
+        per = per.withColumns({"city": F.col("city") | among("cities"), "owner": F.col("owner") | among("owners")})
+        more |= {"city": F.coalesce(F.size("cities") > 0, F.lit(False)), "owner": F.coalesce(F.size("owners") > 0, F.lit(False))}
+    has = per.withColumns({f"has_{t}": F.max(F.col(t)).over(by) | m for t, m in more.items()})
     comb = (F.col("ref") | F.col("city")) & (F.col("ref") | ~F.col("has_ref")) & (F.col("city") | ~F.col("has_city"))
-    return has.withColumn("comb", comb).withColumn("has_comb", F.max("comb").over(by))
+    out = has.withColumn("comb", comb).withColumn("has_comb", F.max("comb").over(by))
+    return out.select("item", "id", "ref", "city", "owner", "whole", "has_ref", "has_city", "has_owner", "comb", "has_comb")
 
 
 def staged(flagged: DataFrame) -> DataFrame:
-    """(item, id, stage, base, poly): the candidate sets that need no geometry."""
+    """(item, id, stage, base, poly): the candidate sets that need no geometry, without those of asked()."""
     stage = lambda n, on: F.when(on, F.struct(F.lit(n).alias("stage"), F.lit(0).alias("base"), F.lit(0).alias("poly")))
-    owner = F.when(F.col("has_comb"), F.col("comb") & F.col("owner")).otherwise(F.col("owner"))
+    owner = F.when(F.col("has_comb"), F.col("comb") & F.col("owner")).otherwise(F.col("owner") & ~F.col("whole"))
     sets = F.array_compact(F.array(stage(1, F.col("ref")), stage(2, F.col("comb")), stage(3, F.col("has_owner") & owner)))
     return flagged.select("item", "id", F.inline(sets))
 
@@ -70,40 +104,109 @@ def in_places(places: DataFrame, assets: DataFrame, shapes: DataFrame | None = N
 
 
 def placed(flagged: DataFrame, order: DataFrame, held: DataFrame) -> DataFrame:
-    """The candidate sets of polygons, from ranked() and contents(). Base sets: all
-    assets (of items without refname and owner tags), refname, owner, and both. Items
-    with such tags look only their own candidates up."""
+    """The candidate sets of polygons, from ranked() and contents(), of items with
+    refname or owner tags: refname, owner, and both; they look only their own
+    candidates up. Without those of asked()."""
     poly = lambda n, on: F.when(on, F.struct(F.lit(4).alias("stage"), F.lit(n).alias("base"), F.col("poly").alias("poly")))
-    own = flagged.where("ref or owner").select("item", "id", "ref", "owner").join(order, "item").join(held, ["shape", "id"])
-    sets = F.array_compact(F.array(poly(1, F.col("ref")), poly(2, F.col("owner")), poly(3, F.col("ref") & F.col("owner"))))
-    free = order.join(flagged.where("has_ref or has_owner").select("item").distinct(), "item", "left_anti").join(held, "shape")
-    return own.select("item", "id", F.inline(sets)).unionByName(free.select("item", "id", F.lit(4).alias("stage"), F.lit(0).alias("base"), "poly"))
-
-
-def resolve(items: DataFrame, tags: DataFrame, assets: DataFrame, places: DataFrame | None = None, as_of: str | None = None, shapes: DataFrame | None = None) -> DataFrame:
+    own = flagged.where("ref or owner").select("item", "id", "ref", "owner", "whole").join(order, "item").join(held, ["shape", "id"])
+    sets = F.array_compact(F.array(poly(1, F.col("ref")), poly(2, F.col("owner") & ~F.col("whole")), poly(3, F.col("ref") & F.col("owner"))))
+    return own.select("item", "id", F.inline(sets))
+
+
+def asked(flagged: DataFrame, owners: DataFrame | None, order: DataFrame | None, items: DataFrame) -> DataFrame:
+    """(item, stage, base, poly, owners, shape, ts): the candidate sets that items share:
+    all of some groups of owners, of what lies in a polygon, or of both."""
+    at = lambda d, stage, base: d.withColumns({"stage": F.lit(stage), "base": F.lit(base)}).select("item", "stage", "base", "poly", "owners", "shape")
+    out = []
+    shape = F.lit(None).cast("int" if order is None else order.schema["shape"].dataType)
+    if owners is not None:
+        alone = owners.join(flagged.where("comb").select("item").distinct(), "item", "left_anti")
+        out.append(at(alone.withColumns({"poly": F.lit(0), "shape": shape}), 3, 0))
+    if order is not None:
+        tagged = flagged.where("has_ref or has_owner").select("item")
+        if owners is not None:
+            out.append(at(owners.join(order, "item"), 4, 2))
+            tagged = tagged.unionByName(owners.select("item"))
+        free = order.join(tagged.distinct(), "item", "left_anti")
+        out.append(at(free.withColumn("owners", F.lit(None).cast("array<string>")), 4, 0))
+    whole = out[0]
+    for more in out[1:]:
+        whole = whole.unionByName(more)
+    return whole.join(items.select("item", "ts"), "item")
+
+
+def shared(asks: DataFrame, members: DataFrame | None, held: DataFrame | None, assets: DataFrame) -> DataFrame:
+    """(key, begin, end, n, found): the assets of each set of owners and shape that
+    asked() tells (key), those of one validity together."""
+    kinds = asks.select("key", "owners", "shape").distinct()
+    rows = assets.select("id", "name", "begin", "end")
+    ids = None
+    if members is not None:
+        one = kinds.where("owners is not null").select("key", "shape", F.explode("owners").alias("group"))
+        own = one.join(members, "group").select("key", "shape", "id").distinct()
+        ids = own.where("shape is null").select("key", "id")
+        if held is not None:
+            ids = ids.unionByName(own.join(held, ["shape", "id"]).select("key", "id"))
+    if held is not None:
+        free = kinds.where("owners is null").select("key", "shape").join(held, "shape").select("key", "id")
+        ids = free if ids is None else ids.unionByName(free)
+    return ids.join(rows, "id").groupBy("key", "begin", "end").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("id", "name"))).alias("found"))
+
+
+def resolve(items: DataFrame, tags: DataFrame, assets: DataFrame, places: DataFrame | None = None, as_of: str | None = None, shapes: DataFrame | None = None, groups: DataFrame | None = None, members: DataFrame | None = None) -> DataFrame:
     """item, stage, n, ref_match (array, by id). items: item, ts; tags: item, id,
     type; assets: id, name, begin, end (lon, lat); places: item, place, shape, with
-    shapes: shape, polygons; without shapes, places carry polygons or rings."""
-    flagged = flags(tags)
-    if places is not None:
-        flagged = materialize(flagged, "flagged")  # read several times
-    sets = staged(flagged)
+    shapes: shape, polygons; without shapes, places carry polygons or rings. groups
+    and members as of flags(). A set that items share is counted once for each time
+    that they ask for, by periods of validity, and written out where it is the answer."""
+    today = F.lit(as_of).cast("date") if as_of else F.current_date()
+    now = valid(F.col("ts"), F.col("begin"), F.col("end"), today)
+    flagged = flags(tags, groups, members)
+    if places is None and groups is None:
+        per = _counted(staged(flagged), items, assets, now)
+        return _told(_first(per, ["stage", "n", "found"]))
+    flagged = materialize(flagged, "flagged")  # read several times
+    sets, order, held, owners = staged(flagged), None, None, None
     if places is not None:
         links, shapes = (places, shapes) if shapes is not None else normal(places)
-        sets = sets.unionByName(placed(flagged, ranked(links, shapes), contents(shapes, assets)))
-    today = F.lit(as_of).cast("date") if as_of else F.current_date()
-    rows = sets.join(items.select("item", "ts"), "item").join(assets.select("id", "name", "begin", "end"), "id").where(valid(F.col("ts"), F.col("begin"), F.col("end"), today))
-    # n counts rows of the asset table
-    per = rows.groupBy("item", "stage", "base", "poly").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("id", "name"))).alias("found"))
+        order, held = ranked(links, shapes), materialize(contents(shapes, assets), "contents")
+        sets = sets.unionByName(placed(flagged, order, held))
+    if groups is not None:
+        direct = tags.where("id is not null and type = 'ownername'").select("item").distinct()
+        owners = grouped(groups, members).where(F.size("owners") > 0).select("item", "owners").join(direct, "item", "left_anti")
+    asks = materialize(asked(flagged, owners, order, items).withColumn("key", F.to_json(F.struct("owners", "shape"))), "asked")
+    pieces = materialize(shared(asks, members, held, assets), "shared")
+    counts = asks.select("key", "ts").distinct().join(pieces.select("key", "begin", "end", "n"), "key").where(now).groupBy("key", "ts").agg(F.sum("n").alias("n"))
+    empty = F.lit(None).cast(pieces.schema["found"].dataType)
+    by_row = _counted(sets, items, assets, now).withColumns({"key": F.lit(None).cast("string"), "ts": F.lit(None).cast(items.schema["ts"].dataType)})
+    by_key = asks.join(counts, ["key", "ts"]).withColumn("found", empty).select(*by_row.columns)
+    first = materialize(_first(by_row.unionByName(by_key), ["stage", "n", "found", "key", "ts"]), "first")
+    late = first.where("key is not null").drop("found")
+    lists = late.select("key", "ts").distinct().join(pieces.drop("n"), "key").where(now).groupBy("key", "ts").agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("found"))
+    return _told(first.where("key is null").select("item", "stage", "n", "found").unionByName(late.join(lists, ["key", "ts"]).select("item", "stage", "n", "found")))
+
+
+def _counted(sets: DataFrame, items: DataFrame, assets: DataFrame, now: Column) -> DataFrame:
+    """n (it counts rows of the asset table) and found of each item's sets."""
+    rows = sets.join(items.select("item", "ts"), "item").join(assets.select("id", "name", "begin", "end"), "id").where(now)
+    return rows.groupBy("item", "stage", "base", "poly").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("id", "name"))).alias("found"))
+
+
+def _first(per: DataFrame, columns: list[str]) -> DataFrame:
     best = Window.partitionBy("item").orderBy("n", "stage", "base", "poly")
-    first = per.withColumn("_r", F.row_number().over(best)).where("_r = 1")
+    return per.withColumn("_r", F.row_number().over(best)).where("_r = 1").select("item", *columns)
+
+
+def _told(first: DataFrame) -> DataFrame:
     ref = F.transform("found", lambda x: F.struct(x["id"].alias("GeoAssetID"), x["name"].alias("GeoAssetName"), confidence(F.col("n")).alias("confidence")))
     return first.select("item", "stage", "n", ref.alias("ref_match"))
 
 
-def in_all_types(tags: DataFrame) -> DataFrame:
+def in_all_types(tags: DataFrame, groups: DataFrame | None = None, members: DataFrame | None = None) -> DataFrame:
     """(item, id) that every present type of refname and cityname has."""
-    return flags(tags.where(F.col("type").isin("refname", "cityname"))).where("comb").select("item", "id")
+    if groups is not None:
+        groups = groups.where("type = 'cityname'")
+    return flags(tags.where(F.col("type").isin("refname", "cityname")), groups, members).where("comb").select("item", "id")
 
 
 def areas_of(gpes: DataFrame) -> DataFrame:

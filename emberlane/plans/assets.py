@@ -24,14 +24,20 @@ _ASSETS = """a as (select s_suppkey id, s_name as name, timestamp '1990-01-01' +
   s_suppkey * 7 % 40 + 0.5 lon, s_suppkey * 11 % 30 + 0.5 lat from supplier)"""
 
 
-def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def candidates(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """tags, groups and members: suppliers of an order's lines, all of the first line's
+    nation, and all whose key leaves the customer's remainder."""
     o, l, s = (table(spark, sf_dir, t) for t in ("orders", "lineitem", "supplier"))
-    ref = l.select(F.col("l_orderkey").alias("item"), F.col("l_suppkey").alias("id")).distinct()
-    first = l.groupBy("l_orderkey").agg(F.min(F.struct("l_linenumber", "l_suppkey"))["l_suppkey"].alias("s_suppkey")).where("l_orderkey % 3 <> 0").join(s, "s_suppkey").select(F.col("l_orderkey").alias("item"), "s_nationkey")
-    city = first.join(s.select(F.col("s_suppkey").alias("id"), "s_nationkey"), "s_nationkey").select("item", "id")
-    own = o.where("o_orderkey % 4 = 0").select(F.col("o_orderkey").alias("item"), (F.col("o_custkey") % 5).alias("k")).join(s.select(F.col("s_suppkey").alias("id"), (F.col("s_suppkey") % 5).alias("k")), "k").select("item", "id")
     typed = lambda d, t: d.withColumn("type", F.lit(t))
-    return typed(ref, "refname").unionByName(typed(city, "cityname")).unionByName(typed(own, "ownername"))
+    nation = F.concat(F.lit("nation "), F.col("s_nationkey").cast("string"))
+    rest = lambda c: F.concat(F.lit("rest "), (F.col(c) % 5).cast("string"))
+    ref = l.select(F.col("l_orderkey").alias("item"), F.col("l_suppkey").alias("id")).distinct()
+    first = l.groupBy("l_orderkey").agg(F.min(F.struct("l_linenumber", "l_suppkey"))["l_suppkey"].alias("s_suppkey")).where("l_orderkey % 3 <> 0").join(s, "s_suppkey")
+    city = first.select(F.col("l_orderkey").alias("item"), nation.alias("group"))
+    own = o.where("o_orderkey % 4 = 0").select(F.col("o_orderkey").alias("item"), rest("o_custkey").alias("group"))
+    groups = typed(city, "cityname").unionByName(typed(own, "ownername")).where("group is not null")
+    members = s.select(nation.alias("group"), F.col("s_suppkey").alias("id")).unionByName(s.select(rest("s_suppkey").alias("group"), F.col("s_suppkey").alias("id")))
+    return {"tags": typed(ref, "refname"), "groups": groups, "members": members.where("group is not null and id is not null").distinct()}
 
 
 @query(f"with {_ASSETS} select l_orderkey item, count(*)::bigint n from (select distinct l_orderkey, l_suppkey from lineitem) l join orders on o_orderkey = l_orderkey join a on a.id = l_suppkey and b <= o_orderdate and e >= o_orderdate group by l_orderkey")
@@ -50,7 +56,7 @@ select r.item, r.id from refs r where r.item % 3 = 0 or exists (select 1 from ci
 
 @query(_COMB)
 def tag_intersection(spark, sf_dir):
-    return resolve.in_all_types(candidates(spark, sf_dir))
+    return resolve.in_all_types(**candidates(spark, sf_dir))
 
 
 _RESOLVE = f"""with {_ASSETS}, refs as (select distinct l_orderkey item, l_suppkey id from lineitem),
@@ -76,7 +82,7 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_RESOLVE.format(extra=""))
 def resolve_cascade(spark, sf_dir):
-    return _told(resolve.resolve(_items(spark, sf_dir), candidates(spark, sf_dir), assets(spark, sf_dir), None, AS_OF))
+    return _told(resolve.resolve(_items(spark, sf_dir), assets=assets(spark, sf_dir), as_of=AS_OF, **candidates(spark, sf_dir)))
 
 
 # orders of even keys name a box of 20 by 15 degrees, and those of keys divisible by 4 a box of 10 by 30 inside or beside it
@@ -106,7 +112,7 @@ def resolve_places(spark, sf_dir):
     for step, n, *_ in _BOXES:
         part = items.where(F.col("item") % step == 0).select("item", F.lit(n).alias("place"), F.lit(n).alias("shape"))
         links = part if links is None else links.unionByName(part)
-    return _told(resolve.resolve(items, candidates(spark, sf_dir), assets(spark, sf_dir), links, AS_OF, boxes(spark)))
+    return _told(resolve.resolve(items, assets=assets(spark, sf_dir), places=links, as_of=AS_OF, shapes=boxes(spark), **candidates(spark, sf_dir)))
 
 
 _MATCHES = "m as (select l_orderkey item, n_name country from lineitem join supplier on s_suppkey = l_suppkey left join nation on n_nationkey = s_nationkey and n_nationkey % 7 <> 0)"

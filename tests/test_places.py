@@ -137,3 +137,38 @@ def test_box_distance(spark):
         lon, lat = np.meshgrid(np.linspace(w, e, 60), np.linspace(s, n, 60))
         true = 2 * np.arcsin(np.minimum(1, np.linalg.norm(unit(lon, lat) - unit(x, y), axis=-1) / 2)).min()
         assert d <= true + 1e-9 and true - d < math.radians(0.3)
+
+
+def test_groups_stand_for_their_members(spark):
+    """Tags by group resolve as tags with each member do, and no item meets all members."""
+    import datetime
+
+    from emberlane.operators import resolve
+
+    rng = random.Random(5)
+    day = lambda n: datetime.datetime(2020, 1, 1) + datetime.timedelta(n)
+    assets = spark.createDataFrame([(i, f"a{i}", day(rng.choice([0, 0, 3])), rng.choice([None, day(2), day(9)]), float(i % 8), float(i % 5)) for i in range(40)] + [(3, "twice", day(0), None, 3.0, 3.0)], "id long, name string, begin timestamp_ntz, end timestamp_ntz, lon double, lat double")
+    members = [(f"c{i % 4}", i) for i in range(40)] + [(f"o{i % 3}", i) for i in range(40)] + [("o9", i) for i in range(6)] + [("c9", None)]
+    items, tags, groups, places = [], [], [], []
+    for i in range(160):
+        items.append((i, day(rng.choice([0, 1, 4, 20]))))
+        for kind, some in (("refname", 0), ("cityname", 4), ("ownername", 3)):
+            if rng.random() < 0.4:
+                tags += [(i, rng.randrange(40), kind) for _ in range(rng.randrange(1, 4))]
+            if some and rng.random() < 0.5:
+                groups += [(i, f"{kind[0]}{rng.choice([*range(some), 9, 77])}", kind) for _ in range(rng.randrange(1, 3))]
+        if rng.random() < 0.6:
+            places += [(i, p, p) for p in rng.sample([1, 2], rng.randrange(1, 3))]
+    square = lambda w, e, s, n: [[[[w, s], [e, s], [e, n], [w, n], [w, s]]]]
+    shapes = spark.createDataFrame([(1, square(0.5, 4.5, 0.5, 3.5)), (2, square(-0.5, 2.5, -0.5, 4.5))], "shape int, polygons array<array<array<array<double>>>>")
+    frame = lambda rows, ddl: spark.createDataFrame(rows, ddl)
+    items = frame(items, "item long, ts timestamp_ntz")
+    places = frame(places, "item long, place int, shape int")
+    g, m = frame(groups, "item long, group string, type string"), frame(members, "group string, id long")
+    plain, full = frame(tags, "item long, id long, type string"), frame(tags + [(i, d, t) for i, x, t in groups for y, d in members if x == y], "item long, id long, type string")
+    told = lambda d: sorted((r["item"], r["stage"], r["n"], [(x["GeoAssetID"], x["GeoAssetName"]) for x in r["ref_match"]]) for r in d.collect())
+    for where in ({}, {"places": places, "shapes": shapes}):
+        each = told(resolve.resolve(items, full, assets, as_of="2021-01-01", **where))
+        assert told(resolve.resolve(items, plain, assets, as_of="2021-01-01", groups=g, members=m, **where)) == each and len({x[1] for x in each}) > 2
+    both = lambda d: sorted(map(tuple, d.distinct().collect()))
+    assert both(resolve.in_all_types(plain, g, m)) == both(resolve.in_all_types(full))
