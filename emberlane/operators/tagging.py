@@ -35,7 +35,8 @@ from pyspark.sql import types as T
 from emberlane.operators import rolling
 from emberlane.session import materialize, ship
 
-CHUNK = 1 << 20  # code points hashed at a time
+CHUNK = 1 << 18  # code points hashed at a time
+AT_ONCE = 64  # rows whose texts a task holds at a time
 WORD = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_")
 # Letters that have no decomposition but differ from others by a stroke alone.
 STROKES = {"ø": "o", "đ": "d", "ħ": "h", "ł": "l", "ŧ": "t", "æ": "ae", "œ": "oe", "ı": "i"}
@@ -187,42 +188,43 @@ def _places(texts: list[str], lengths: dict[str, list[int]], starts: dict[str, n
                     yield way, n, here[hit], h[hit], f
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str], list[int]]]:
+    """Items, texts, and of each text the row of its item: whole rows, of CHUNK code
+    points or one row, so that what a task holds does not grow with its batches."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, AT_ONCE):
+            b = whole.slice(start, AT_ONCE)
+            texts, rows, size = [], [], 0
+            for i, cells in enumerate(zip(*(c.to_pylist() for c in b.columns[1:]))):
+                if size >= CHUNK:
+                    yield b.column(0), texts, rows
+                    texts, rows, size = [], [], 0
+                for cell in cells:
+                    for text in cell if isinstance(cell, list) else (cell,):
+                        if text:
+                            texts.append(text)
+                            rows.append(i)
+                            size += len(text)
+            if texts:
+                yield b.column(0), texts, rows
+
+
 def _candidates(sent, lengths: dict[str, list[int]]):
     """(item, way, form) of what may be a name, once a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, table, starts = sent.value
         known = rolling.Filter(bits, table)
-        for b in batches:
-            texts, rows = [], []
-            for column in b.columns[1:]:
-                for i, cell in enumerate(column.to_pylist()):
-                    for text in cell if isinstance(cell, list) else (cell,):
-                        if text:
-                            texts.append(text)
-                            rows.append(i)
-            lo = 0
-            seen: set[tuple[int, str, str]] = set()
-            while lo < len(texts):
-                hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= CHUNK):
-                    size += len(texts[hi])
-                    hi += 1
-                row = np.array(rows[lo:hi], np.int64)
-                for way, n, place, h, f in _places(texts[lo:hi], lengths, starts, known):
-                    mine = row[f.owner[place]]
-                    order = np.lexsort((h, mine))
-                    new = np.append(True, (h[order[1:]] != h[order[:-1]]) | (mine[order[1:]] != mine[order[:-1]]))
-                    one = order[new]
-                    forms: dict[int, str] = {}  # a 64-bit hash stands for one form in a chunk
-                    for i, p, k in zip(mine[one].tolist(), place[one].tolist(), h[one].tolist()):
-                        if k not in forms:
-                            forms[k] = f.cut(p, n)
-                        seen.add((i, way, forms[k]))
-                lo = hi
-            if seen:
-                at, ways, forms_ = zip(*sorted(seen))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(ways), pa.array(forms_)], ["item", "_way", "_form"])
+        for items, texts, rows in _chunks(batches):
+            row = np.array(rows, np.int64)
+            for way, n, place, h, f in _places(texts, lengths, starts, known):
+                mine = row[f.owner[place]]
+                order = np.lexsort((h, mine))
+                one = order[np.append(True, (h[order[1:]] != h[order[:-1]]) | (mine[order[1:]] != mine[order[:-1]]))]
+                # a 64-bit hash stands for one form in a chunk; rows are whole here, so none is told twice
+                _, first, which = np.unique(h[one], return_index=True, return_inverse=True)
+                forms = pa.array([f.cut(p, n) for p in place[one[first]].tolist()], pa.string()).take(pa.array(which.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([items.take(pa.array(mine[one])), pa.array([way], pa.string()).take(pa.array(np.zeros(len(one), np.int64))), forms], ["item", "_way", "_form"])
 
     return run
 

@@ -654,3 +654,28 @@ def test_entry_without_corpus_operators(tmp_path):
     assert out.returncode == 0, out.stderr
     n, corpus, file = out.stdout.split()
     assert int(n) > 60 and corpus == "0" and file == str(copy / "__spark_entry__.py")
+
+
+def test_what_a_task_holds_does_not_grow_with_its_batch():
+    """A task gives what it found as it goes, whole rows each time, and nothing twice."""
+    import pyarrow as pa
+
+    from emberlane.operators import rolling, tagging
+
+    class Sent:
+        value = (10, np.full(16, ~np.uint64(0)), {"part": np.ones(2 * tagging.STARTS, bool)})  # all may be names
+
+    texts = [["ab" * 40_000, f"x{i % 10}ab"] for i in range(300)]
+    read = []
+
+    def batches():
+        read.append(1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(texts)], ["item", "text"])
+
+    told, most = {}, 0
+    for out in tagging._candidates(Sent, {"part": [2]})(batches()):
+        most = max(most, out.num_rows)
+        for i, form in zip(out.column("item").to_pylist(), out.column("_form").to_pylist()):
+            told.setdefault(i, []).append(form)
+    assert all(sorted(told[i]) == sorted({"ab", "ba", f"x{i % 10}", f"{i % 10}a"}) for i in range(300)) and most <= 4 * tagging.AT_ONCE
+    assert max(len(t) for _, t, _ in tagging._chunks(batches())) <= 2 * (tagging.CHUNK // 80_000 + 2) and isinstance(rolling.MOST_BITS, int)
