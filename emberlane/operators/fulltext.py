@@ -27,16 +27,20 @@ has no stop words; texts of several columns do not run into each other.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlane.functions.stems import tokens, with_stems
-from emberlane.session import materialize
+from emberlane.session import materialize, ship
 from emberlane.sources import versions
 
 BUCKETS = 64  # term ranges of a segment
+AT_ONCE = 64  # rows whose tokens a task holds at a time
 SAMPLE = 200  # terms a bucket from which the borders are taken
 PARTS = {
     "terms": "term string, lang string, stem string, stop boolean, df long, cf long",
@@ -89,9 +93,12 @@ class Index:
 
 def bucket_of(term: Column, borders: list[str]) -> Column:
     """Which range of terms: how many borders are not after it."""
-    if not borders:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(b) for b in borders]), lambda x: x <= term))
+
+    def among(lo: int, hi: int) -> Column:  # by halves: it is asked for every posting
+        mid = (lo + hi) // 2
+        return F.lit(lo) if lo == hi else F.when(term < F.lit(borders[mid]), among(lo, mid)).otherwise(among(mid + 1, hi))
+
+    return among(0, len(borders))
 
 
 def _newest(docs: DataFrame) -> DataFrame:
@@ -113,7 +120,9 @@ def _write(index: Index, postings: DataFrame, docs: DataFrame) -> dict:
     with_stems(counts).select("term", "lang", "stem", "stop", "df", "cf").write.parquet(f"{path}/{name}/terms")
     borders = _borders(spark.read.schema(PARTS["terms"]).parquet(f"{path}/{name}/terms"), index.buckets)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = postings.withColumn("b", bucket_of(F.col("term"), borders)).repartitionByRange(parts, "term", "lang", "doc").sortWithinPartitions("b", "term", "lang", "doc")
+    # each bucket over several tasks, by document, so that no term is one task's
+    share = F.pmod(F.xxhash64("doc"), F.lit(max(1, -(-4 * parts // (len(borders) + 1)))))
+    dealt = postings.withColumn("b", bucket_of(F.col("term"), borders)).repartition(parts, "b", share).sortWithinPartitions("b", "term", "lang", "doc")
     dealt.write.partitionBy("b").parquet(f"{path}/{name}/postings")
     docs.write.parquet(f"{path}/{name}/docs")
     return {"name": name, "borders": borders}
@@ -125,15 +134,47 @@ def _add(index: Index, postings: DataFrame, docs: DataFrame) -> Index:
     return index
 
 
+def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """term, lang, doc, positions of each row (doc, lang, _tokens) by itself; some rows at a time."""
+    for whole in batches:
+        for lo in range(0, whole.num_rows, AT_ONCE):
+            b = whole.slice(lo, AT_ONCE)
+            lists = b.column("_tokens")
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            told = lists.flatten().dictionary_encode()
+            code = told.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(b.num_rows), sizes)
+            place = np.arange(len(code)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            named = np.array([t != "" for t in told.dictionary.to_pylist()], bool)[code] if len(code) else np.zeros(0, bool)
+            row, place, code = row[named], place[named], code[named]
+            if len(code):
+                order = np.lexsort((place, code, row))
+                row, place, code = row[order], place[order], code[order]
+                head = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (code[1:] != code[:-1])))
+                positions = pa.ListArray.from_arrays(pa.array(np.append(head, len(code)), pa.int32()), pa.array(place, pa.int32()))
+                of = pa.array(row[head])
+                yield pa.RecordBatch.from_arrays([told.dictionary.take(pa.array(code[head])), b.column("lang").take(of), b.column("doc").take(of), positions], ["term", "lang", "doc", "positions"])
+
+
 def add(index: Index, rows: DataFrame, texts: list[str], key: str = "doc_id", lang: str = "lang") -> Index:
-    """Adds documents, or puts new ones in the place of those with the same key."""
+    """Adds documents, or puts new ones in the place of those with the same key. A row's
+    postings are found in the row; only those of rows that repeat a key are merged."""
     parts = [tokens(F.col(texts[0]))]
     for c in texts[1:]:
         parts += [F.array(F.lit("")), tokens(F.col(c))]  # no phrase runs past a column's end
-    each = rows.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("doc"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), F.concat(*parts).alias("_tokens"))
-    placed = each.select("doc", "lang", F.posexplode("_tokens").alias("position", "term")).where("term <> ''")
-    postings = materialize(placed.groupBy("term", "lang", "doc").agg(F.sort_array(F.collect_list("position")).alias("positions")), "postings")
-    docs = each.groupBy("doc").agg(F.first("lang").alias("lang"), F.sum(F.size(F.filter("_tokens", lambda x: x != ""))).cast("long").alias("n_tokens")).withColumn("removed", F.lit(False))
+    rows = rows.where(F.col(key).isNotNull()).withColumns({"doc": F.col(key).cast("string"), "_lang": F.coalesce(F.col(lang).cast("string"), F.lit(""))})
+    ship(index.spark)
+    posted = lambda d: d.select("doc", F.col("_lang").alias("lang"), F.concat(*parts).alias("_tokens")).mapInArrow(_posted, "term string, lang string, doc string, positions array<int>")
+    twice = materialize(rows.groupBy("doc").count().where("count > 1").select("doc"), "twice")
+    if twice.isEmpty():
+        postings = posted(rows)
+    else:
+        merged = posted(rows.join(twice, "doc", "left_semi")).groupBy("term", "lang", "doc").agg(F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"))
+        postings = posted(rows.join(twice, "doc", "left_anti")).unionByName(merged)
+    postings = materialize(postings, "postings")
+    # tokens are counted where they were found; a document without any has none
+    sizes = postings.groupBy("doc").agg(F.sum(F.size("positions")).cast("long").alias("n_tokens"))
+    docs = rows.groupBy("doc").agg(F.first("_lang").alias("lang")).join(sizes, "doc", "left").select("doc", "lang", F.coalesce("n_tokens", F.lit(0).cast("long")).alias("n_tokens"), F.lit(False).alias("removed"))
     return _add(index, postings, docs)
 
 
@@ -152,7 +193,8 @@ def compacted(index: Index) -> Index:
     if len(old) < 2:
         return index
     docs = materialize(_newest(index._all("docs")).where(~F.col("removed")), "index-docs")
-    live = index._all("postings").join(docs.select("doc", "seg"), ["doc", "seg"]).select("term", "lang", "doc", "positions")
+    hidden = index._all("docs").select("doc", "seg").join(docs.select("doc", "seg"), ["doc", "seg"], "left_anti")
+    live = index._all("postings").join(materialize(hidden, "hidden"), ["doc", "seg"], "left_anti").select("term", "lang", "doc", "positions")
     segment = _write(index, materialize(live, "postings"), docs.drop("seg"))
     names = [s["name"] for s in old]
 

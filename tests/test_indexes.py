@@ -208,3 +208,21 @@ def test_names_alone_meet_by_a_join(spark):
     of = lambda d: sorted((r["words"], r["tags"]) for r in d.collect())
     assert of(tagger.labelled(items, names, labels, False)) == sorted(whole)
     assert of(tagger.labelled(items, names, labels)) == sorted([*whole, (["None", "here"], [0, 0]), (["None", "here"], [0, 0])])
+
+
+def test_an_index_is_written_without_shuffling_tokens(spark, tmp_path):
+    """A row's postings are found in the row; only rows that repeat a key are merged."""
+    import pyarrow as pa
+
+    from emberlane.operators import fulltext
+
+    rows = pa.RecordBatch.from_arrays([pa.array(["1", "2", "3"]), pa.array(["en", "", "de"]), pa.array([["a", "b", "", "a"], [], ["b"]])], ["doc", "lang", "_tokens"])
+    told = [r for b in fulltext._posted(iter([rows, rows.slice(1, 1)])) for r in b.to_pylist()]
+    assert sorted((r["term"], r["lang"], r["doc"], r["positions"]) for r in told) == [("a", "en", "1", [0, 3]), ("b", "de", "3", [0]), ("b", "en", "1", [1])]
+    borders = ["b", "d", "f"]
+    terms = spark.createDataFrame([(t,) for t in "abcdefg"], "term string")
+    assert [r[0] for r in terms.orderBy("term").select(fulltext.bucket_of(F.col("term"), borders)).collect()] == [0, 1, 1, 2, 2, 3, 3]
+    index = fulltext.add(fulltext.Index(spark, f"file://{tmp_path}/index", 4), spark.createDataFrame([(1, "en", "fire at noon"), (1, "en", "a fire"), (2, "en", None), (3, "en", "noon")], "doc_id long, lang string, text string"), ["text"])
+    assert sorted(tuple(r) for r in index.docs().select("doc", "n_tokens").collect()) == [("1", 5), ("2", 0), ("3", 1)]
+    read = spark.read.parquet(f"{index.path}/{index.segments()[0]['name']}/postings")
+    assert sorted((r["term"], r["doc"], r["positions"]) for r in read.where("term = 'fire' or term = 'noon'").collect()) == [("fire", "1", [0, 1]), ("noon", "1", [2]), ("noon", "3", [0])]
