@@ -17,6 +17,7 @@ the tagger finds nothing.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 import zlib
@@ -25,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,24 +37,71 @@ from emberlane.session import materialize, ship
 SLOTS = 1 << 17
 ROUNDS = 5
 SAMPLE = 20_000  # sentences that a tagger is fitted on at most
-AT_ONCE = 64  # rows whose words a task holds at a time
+AT_ONCE = 1 << 18  # code points whose words a task holds at a time, or one longer text
+KEPT = 1 << 18  # words whose weights a task keeps
 LONGEST = 200  # words that are decoded at once; longer sentences are cut there
-WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*|[.!?\n]")
-ENDS = frozenset(".!?\n")
+JOINS, ENDS = "'’-", ".!?\n"  # within a word, and of a sentence
 
 
-def sentences(text: str | None) -> Iterator[list[tuple[int, int]]]:
-    """Spans of the words of each sentence of a text, whole text and all."""
-    held: list[tuple[int, int]] = []
-    for m in WORD.finditer(text or ""):
-        if m[0] in ENDS or len(held) == LONGEST:
-            if held:
-                yield held
-            held = []
-        if m[0] not in ENDS:
-            held.append(m.span())
-    if held:
-        yield held
+@functools.cache
+def _kinds() -> np.ndarray:
+    """What each code point is: 1 a letter or digit, 2 one of JOINS, 3 one of ENDS."""
+    out = np.zeros(0x110000, np.uint8)
+    out[[m.start() for m in re.finditer(r"[^\W_]", "".join(map(chr, range(0x110000))))]] = 1
+    out[[ord(c) for c in JOINS]], out[[ord(c) for c in ENDS]] = 2, 3
+    return out
+
+
+@dataclass(frozen=True)
+class Words:
+    """The words of some texts in order: letters and digits, with one of JOINS between
+    two of them at most. Of each: its row, its place in its sentence, and where it is
+    in the joined texts; head: the first words of the sentences."""
+
+    joined: str
+    points: np.ndarray
+    row: np.ndarray
+    place: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    head: np.ndarray
+
+    @property
+    def tail(self) -> np.ndarray:
+        """Where each sentence ends among the words."""
+        return np.append(self.head[1:], len(self.row))
+
+    @property
+    def sentence(self) -> np.ndarray:
+        """Of each sentence its number in its row."""
+        row = self.row[self.head]
+        return np.arange(len(row)) - np.searchsorted(row, row)
+
+    def said(self) -> list[str]:
+        return [self.joined[a:z] for a, z in zip(self.begin.tolist(), self.end.tolist())]
+
+
+def words_of(texts: list[str | None]) -> Words:
+    """All words of all texts; a sentence has LONGEST at most."""
+    joined = "\n".join([t or "" for t in texts])  # which ends a sentence
+    points = rolling.points(joined)
+    kind = _kinds()[points]
+    letter = np.zeros(len(kind) + 2, bool)
+    letter[1:-1] = kind == 1
+    inside = letter.copy()
+    inside[1:-1] |= (kind == 2) & letter[:-2] & letter[2:]
+    begin, end = np.flatnonzero(inside[1:-1] & ~inside[:-2]), np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
+    ends = np.cumsum(kind == 3)[begin]
+    nth = np.arange(len(begin)) - np.searchsorted(ends, ends)
+    rows = np.cumsum([0, *(len(t or "") + 1 for t in texts)])[:-1]
+    return Words(joined, points, np.searchsorted(rows, begin, "right") - 1, nth % LONGEST, begin, end, np.flatnonzero(nth % LONGEST == 0))
+
+
+SHAPES = ("A", "Aa", "1", "a")
+
+
+def _shape(w: str) -> str:
+    return "A" if w.isupper() else "Aa" if w[0].isupper() else "1" if w.isdigit() else "a"
 
 
 def features(words: list[str]) -> np.ndarray:
@@ -60,7 +109,7 @@ def features(words: list[str]) -> np.ndarray:
     low = ["", *(w.lower() for w in words), ""]
     out = []
     for i, w in enumerate(words, 1):
-        shape = "A" if w.isupper() else "Aa" if w[0].isupper() else "1" if w.isdigit() else "a"
+        shape = _shape(w)
         told = (low[i], low[i][:3], low[i][-3:], low[i][-5:], shape, low[i - 1], low[i + 1], f"{shape}{i == 1}", low[i - 1] + " " + low[i])
         out.append([zlib.crc32(f"{k}={x}".encode()) % SLOTS for k, x in enumerate(told)])
     return np.array(out, np.int64).reshape(len(words), -1)
@@ -83,28 +132,119 @@ def viterbi(emit: np.ndarray, move: np.ndarray) -> np.ndarray:
     return path
 
 
+def decoded(emit: np.ndarray, head: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """viterbi() of many sentences side by side, which begin at head."""
+    n, k = emit.shape
+    size = np.diff(head, append=n)
+    order = np.argsort(-size, kind="stable")
+    head, size = head[order], size[order]
+    longer = lambda i: np.searchsorted(-size, -i)  # noqa: E731  # so many have a word at i
+    back, path = np.zeros((n, k), np.int16), np.zeros(n, np.int64)
+    score = emit[head] + move[k]
+    for i in range(1, int(size.max(initial=0))):
+        m = longer(i)
+        best, of = score[:m, :1] + move[0], np.zeros((m, k), np.int16)
+        for j in range(1, k):
+            each = score[:m, j : j + 1] + move[j]
+            more = each > best
+            best, of[more] = np.where(more, each, best), j
+        back[head[:m] + i] = of
+        score[:m] = best + emit[head[:m] + i]
+    path[head + size - 1] = score.argmax(1)
+    for i in range(int(size.max(initial=0)) - 1, 0, -1):
+        at = head[: longer(i)] + i
+        path[at - 1] = back[at, path[at]]
+    return path
+
+
+_STARTS = [zlib.crc32(f"{k}=".encode()) for k in range(9)]  # checksums go on from those of the features' numbers
+
+
+class _Weights:
+    """What words weigh, by their number: a word's own features are added up once, and
+    so are those that it lends to its neighbours. Words are forgotten when they are KEPT."""
+
+    def __init__(self, weights: np.ndarray):
+        self.w = weights[:SLOTS]
+        self.shapes = self.w[[[zlib.crc32(f"7={s}{first}".encode()) % SLOTS for first in (False, True)] for s in SHAPES]]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.low: list[bytes] = []  # in lower case
+        self.before: list[int] = []  # the checksum of a pair so far, as its first word
+        k = self.w.shape[1]
+        self.own, self.last, self.next, self.shape = np.zeros((0, k), self.w.dtype), np.zeros((0, k), self.w.dtype), np.zeros((0, k), self.w.dtype), np.zeros(0, np.int64)
+        self._learn([""])
+
+    def _learn(self, words: list[str]) -> None:
+        slots, shapes, sum_ = [], [], zlib.crc32
+        for w in words:
+            low = w.lower()
+            b, shape = low.encode(), SHAPES.index(_shape(w)) if w else 0
+            parts = (low[:3].encode(), low[-3:].encode(), low[-5:].encode()) if len(b) > len(low) else (b[:3], b[-3:], b[-5:])
+            slots.append([sum_(x, start) for x, start in zip((b, *parts, SHAPES[shape].encode(), b, b), _STARTS)])
+            shapes.append(shape)
+            self.number[w] = len(self.low)
+            self.low.append(b)
+            self.before.append(sum_(b" ", sum_(b, _STARTS[8])))
+        each = self.w[np.array(slots, np.int64) % SLOTS]
+        self.own, self.last, self.next = np.concatenate([self.own, _added(each[:, :5])]), np.concatenate([self.last, each[:, 5]]), np.concatenate([self.next, each[:, 6]])
+        self.shape = np.append(self.shape, shapes)
+
+    def of(self, words: list[str], first: np.ndarray) -> np.ndarray:
+        """The weights of all words' features() by tag, added up in their order; first
+        tells which words begin a sentence."""
+        if len(self.low) > KEPT:
+            self._forget()
+        new = [w for w in dict.fromkeys(words) if w not in self.number]
+        if new:
+            self._learn(new)
+        at = np.array([self.number[w] for w in words], np.int64)
+        before, after = np.append(0, at[:-1]), np.append(at[1:], 0)
+        before[first], after[np.append(first[1:], True)] = 0, 0
+        pairs = np.array([zlib.crc32(self.low[i], self.before[j]) for i, j in zip(at.tolist(), before.tolist())], np.int64) % SLOTS
+        return _added(np.stack([self.own[at], self.last[before], self.next[after], self.shapes[self.shape[at], first.astype(np.int64)], self.w[pairs]], 1))
+
+
+def _added(each: np.ndarray) -> np.ndarray:
+    """Sums over the second axis, from the first on: 32-bit floats in another order are others."""
+    out = each[:, 0].copy()
+    for i in range(1, each.shape[1]):
+        out += each[:, i]
+    return out
+
+
 @dataclass(frozen=True)
 class Tagger:
     labels: tuple[str, ...]
     weights: np.ndarray  # SLOTS by tags, then the moves
 
-    def tags(self, words: list[str]) -> np.ndarray:
+    @functools.cached_property
+    def _weights(self) -> _Weights:
+        return _Weights(self.weights)
+
+    def tags(self, words: list[str], head: np.ndarray) -> np.ndarray:
+        """Of the words of sentences that begin at head."""
+        first = np.zeros(len(words), bool)
+        first[head] = True
         k = 1 + 2 * len(self.labels)
-        return viterbi(self.weights[:SLOTS][features(words)].sum(1), self.weights[SLOTS:][: k + 1])
+        return decoded(self._weights.of(words, first), head, self.weights[SLOTS:][: k + 1])
+
+    def found(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First word, last word and number of the label of each entity."""
+        t = self.tags(words.said(), words.head) if len(words.row) else np.zeros(0, np.int64)
+        before = np.append(0, t[:-1]) if len(t) else t
+        goes_on = (t > 0) & (t % 2 == 0) & (before > 0) & ((before - 1) // 2 == (t - 1) // 2) & (words.place > 0)
+        last = np.append(~goes_on[1:], True) if len(t) else goes_on
+        at = np.flatnonzero((t > 0) & ~goes_on)
+        return at, np.flatnonzero((t > 0) & last), (t[at] - 1) // 2
 
     def spans(self, text: str | None) -> Iterator[tuple[int, int, str]]:
         """Begin, end and label of the entities of a text."""
-        for at in sentences(text):
-            open_: tuple[int, int, int] | None = None
-            for (a, z), t in zip(at, self.tags([text[a:z] for a, z in at]).tolist()):
-                if open_ and t == open_[2] * 2 + 2:
-                    open_ = open_[0], z, open_[2]
-                    continue
-                if open_:
-                    yield open_[0], open_[1], self.labels[open_[2]]
-                open_ = (a, z, (t - 1) // 2) if t else None
-            if open_:
-                yield open_[0], open_[1], self.labels[open_[2]]
+        words = words_of([text])
+        first, last, label = self.found(words)
+        yield from zip(words.begin[first].tolist(), words.end[last].tolist(), [self.labels[i] for i in label.tolist()])
 
 
 def empty(labels: tuple[str, ...]) -> np.ndarray:
@@ -112,22 +252,18 @@ def empty(labels: tuple[str, ...]) -> np.ndarray:
     return np.zeros((SLOTS + k + 1, k), np.float32)
 
 
-def _spoken(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, list[str]]]:
-    """Some rows of a batch at a time: the rows, and of all their words the row, the
-    sentence, the place in it, and the word."""
+def _spoken(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words]]:
+    """Some rows of a batch at a time, and their words."""
     for whole in batches:
-        for lo in range(0, whole.num_rows, AT_ONCE):
-            b = whole.slice(lo, AT_ONCE)
-            rows = [(i, s, p, t[a:z]) for i, t in enumerate(b.column("text").to_pylist()) for s, at in enumerate(sentences(t)) for p, (a, z) in enumerate(at)]
-            if rows:
-                row, sentence, place, words = zip(*rows)
-                yield b, np.array(row, np.int64), np.array(sentence, np.int64), np.array(place, np.int64), list(words)
-
-
-def _borders(row: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each sentence begins and ends among the words."""
-    head = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (sentence[1:] != sentence[:-1])))
-    return head, np.append(head[1:], len(row))
+        size = np.cumsum(pc.fill_null(pc.utf8_length(whole.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo = 0
+        while lo < whole.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + AT_ONCE, "right")))
+            b = whole.slice(lo, hi - lo)
+            words = words_of(b.column("text").to_pylist())
+            if len(words.row):
+                yield b, words
+            lo = hi
 
 
 def _said(spoken: str) -> int:
@@ -135,21 +271,27 @@ def _said(spoken: str) -> int:
     return int.from_bytes(hashlib.blake2b(spoken.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def _hashed(points: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    text, out = rolling.Rolling(points), np.zeros(len(sizes), np.uint64)
+    order = np.argsort(sizes, kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(sizes[order])) + 1):
+        if len(at):
+            out[at] = text.spans(start[at], int(sizes[at[0]]), 0)
+    return out
+
+
 def _hashes(words: list[str]) -> np.ndarray:
     sizes = np.array([len(w) for w in words], np.int64)
-    text = rolling.Rolling(rolling.points("".join(words)))
-    start, out = np.cumsum(sizes) - sizes, np.zeros(len(words), np.uint64)
-    for n in np.unique(sizes).tolist():
-        out[sizes == n] = text.spans(start[sizes == n], n, 0)
-    return out
+    return _hashed(rolling.points("".join(words)), np.cumsum(sizes) - sizes, sizes)
 
 
-def _maybe(known: rolling.Filter, words: list[str]) -> np.ndarray:
+def _maybe(known: rolling.Filter, words: Words) -> np.ndarray:
     """Which words may be names. Other letters than ASCII's always may: what they are in
     lower case is for the join to say."""
-    low = [w.lower() for w in words]
-    out = np.array([not w.isascii() for w in words], bool)
-    out[known.holds(_hashes(low))] = True
+    low = np.where((words.points >= ord("A")) & (words.points <= ord("Z")), words.points + 32, words.points)
+    other = np.append(0, np.cumsum(words.points > 127))
+    out = other[words.end] > other[words.begin]
+    out[known.holds(_hashed(low, words.begin, words.end - words.begin))] = True
     return out
 
 
@@ -161,16 +303,23 @@ def _known(names: DataFrame, labels: tuple[str, ...]) -> tuple[DataFrame, tuple[
     return known, rolling.filter_of(known.where("match is not null"), known.count(), lambda b: _hashes(b.column("match").to_pylist()))
 
 
+def _texts(words: Words, sentences: np.ndarray) -> list[str]:
+    """The words of these sentences, a space between two; no word has one."""
+    begin, end = words.begin.tolist(), words.end.tolist()
+    return [" ".join([words.joined[begin[i] : end[i]] for i in range(a, z)]) for a, z in zip(words.head[sentences].tolist(), words.tail[sentences].tolist())]
+
+
 def _met(items: DataFrame, known: DataFrame, sent) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filter_ = rolling.Filter(*sent.value)
-        for b, row, sentence, place, words in _spoken(batches):
+        for b, words in _spoken(batches):
             at = np.flatnonzero(_maybe(filter_, words))
             if len(at):
-                head, tail = _borders(row, sentence)
-                of = np.searchsorted(head, at, "right") - 1
-                said = {i: _said(" ".join(words[head[i] : tail[i]])) for i in np.unique(of).tolist()}
-                columns = [b.column("item").take(pa.array(row[at])), pa.array(sentence[at], pa.int32()), pa.array([said[i] for i in of.tolist()], pa.int64()), pa.array(place[at], pa.int32()), pa.array([words[i] for i in at.tolist()], pa.string())]
+                of = np.searchsorted(words.head, at, "right") - 1
+                each, of_each = np.unique(of, return_inverse=True)
+                said = np.array([_said(t) for t in _texts(words, each)], np.int64)
+                names = [words.joined[a:z] for a, z in zip(words.begin[at].tolist(), words.end[at].tolist())]
+                columns = [b.column("item").take(pa.array(words.row[at])), pa.array(words.sentence[of], pa.int32()), pa.array(said[of_each]), pa.array(words.place[at], pa.int32()), pa.array(names, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["item", "sentence", "said", "place", "word"])
 
     each = items.select(F.col("item").cast("string").alias("item"), "text").mapInArrow(run, "item string, sentence int, said long, place int, word string")
@@ -196,14 +345,13 @@ def labelled(items: DataFrame, names: DataFrame, labels: tuple[str, ...], all_:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filter_ = rolling.Filter(*sent.value)
-        for b, row, sentence, _, words in _spoken(batches):
-            head, tail = _borders(row, sentence)
+        for b, words in _spoken(batches):
+            at = np.arange(len(words.head))
             if not all_:
-                some = np.add.reduceat(_maybe(filter_, words), head, dtype=np.int64) > 0
-                head, tail = head[some], tail[some]
-            if len(head):
-                texts = [" ".join(words[a:z]) for a, z in zip(head.tolist(), tail.tolist())]  # no word has a space
-                yield pa.RecordBatch.from_arrays([b.column("item").take(pa.array(row[head])), pa.array(sentence[head], pa.int32()), pa.array([_said(t) for t in texts], pa.int64()), pa.array(texts, pa.string())], ["item", "sentence", "said", "spoken"])
+                at = np.flatnonzero(np.add.reduceat(_maybe(filter_, words), words.head, dtype=np.int64))
+            if len(at):
+                texts = _texts(words, at)
+                yield pa.RecordBatch.from_arrays([b.column("item").take(pa.array(words.row[words.head[at]])), pa.array(words.sentence[at], pa.int32()), pa.array([_said(t) for t in texts], pa.int64()), pa.array(texts, pa.string())], ["item", "sentence", "said", "spoken"])
 
     each = items.select(F.col("item").cast("string").alias("item"), "text").mapInArrow(run, "item string, sentence int, said long, spoken string")
     tags = _met(items, known, sent).groupBy("item", "sentence", "said").agg(F.map_from_entries(F.collect_set(F.struct("place", "tag"))).alias("_t"))
@@ -289,15 +437,11 @@ def tagged(items: DataFrame, tagger: Tagger) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Tagger(*sent.value)
-        for b in batches:
-            at, rows = [], []
-            for i, text in enumerate(b.column("text").to_pylist()):
-                for a, z, label in model.spans(text):
-                    at.append(i)
-                    rows.append((text[a:z], label))
-            if at:
-                told, labels = zip(*rows)
-                yield pa.RecordBatch.from_arrays([b.column("item").take(pa.array(at)), pa.array(told), pa.array(labels)], ["item", "text", "label"])
+        for b, words in _spoken(batches):
+            first, last, label = model.found(words)
+            if len(first):
+                told = [words.joined[a:z] for a, z in zip(words.begin[first].tolist(), words.end[last].tolist())]
+                yield pa.RecordBatch.from_arrays([b.column("item").take(pa.array(words.row[first])), pa.array(told, pa.string()), pa.array([model.labels[i] for i in label.tolist()], pa.string())], ["item", "text", "label"])
 
     return items.select("item", "text").mapInArrow(run, schema)
 

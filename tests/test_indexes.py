@@ -195,6 +195,44 @@ def test_a_tagger_learns_from_names_and_finds_others(spark):
     assert entities.by_tagger(items, tagger.Tagger(labels, tagger.empty(labels))).count() == 0
 
 
+def test_a_tagger_looks_at_each_word_once(monkeypatch):
+    """Many sentences side by side, against the best path of each by itself; a word that comes again is not looked at anew."""
+    from types import SimpleNamespace
+
+    import numpy as np
+
+    from emberlane.operators import tagger
+
+    rng, labels = np.random.default_rng(4), ("GPE", "NORP")
+    model = tagger.Tagger(labels, rng.normal(size=tagger.empty(labels).shape).astype(np.float32))
+    signs = random.Random(4)
+    texts = ["".join(signs.choice(["ab", "Cé", "İ", "NY", "7", "_", "'", "’", "-", ".", "!", "\n", " ", " ", "\U0001d7d8"]) for _ in range(n)) for n in (1, 9, 80, 900)] + ["Ab " * 450 + ". ab", "", None]
+    word, told = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*|[.!?\n]"), 0
+    for text in texts:
+        whole = [[]]
+        for m in word.finditer(text or ""):
+            if m[0] in ".!?\n" or len(whole[-1]) == tagger.LONGEST:
+                whole.append([])
+            if m[0] not in ".!?\n":
+                whole[-1].append(m)
+        expected = []
+        for at in filter(None, whole):
+            held = None
+            for m, t in zip(at, tagger.viterbi(model.weights[: tagger.SLOTS][tagger.features([m[0] for m in at])].sum(1), model.weights[tagger.SLOTS :]).tolist()):
+                if held and t == 2 * held[2] + 2:
+                    expected[-1] = (held[0], m.end(), labels[held[2]])
+                    continue
+                held = (m.start(), m.end(), (t - 1) // 2) if t else None
+                if held:
+                    expected.append((*held[:2], labels[held[2]]))
+        assert list(model.spans(text)) == expected
+        told += len(expected)
+    assert told > 100
+    sums, crc32 = [], tagger.zlib.crc32
+    monkeypatch.setattr(tagger, "zlib", SimpleNamespace(crc32=lambda *a: sums.append(1) or crc32(*a)))
+    assert len(list(model.spans("one Word more. " * 500))) > 0 and len(sums) < 2 * 1500
+
+
 def test_names_alone_meet_by_a_join(spark):
     """Words that cannot be names are not sent; rows that repeat an item stay apart."""
     from emberlane.operators import tagger
