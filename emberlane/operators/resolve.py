@@ -8,6 +8,8 @@ assets of a town, of an owner, or in a polygon) are counted once for all of them
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,9 +20,20 @@ from emberlane.operators.places import covering, within
 from emberlane.session import materialize
 
 
+TOGETHER = 500  # items that a task gives a shared answer to
+
+
+def _since(begin: Column) -> Column:
+    return F.coalesce(begin, F.lit("1800-01-01").cast("timestamp_ntz"))
+
+
+def _until(end: Column, as_of: Column) -> Column:
+    return F.coalesce(end, as_of.cast("date").cast("timestamp_ntz"))
+
+
 def valid(ts: Column, begin: Column, end: Column, as_of: Column) -> Column:
     """Inclusive at both ends; no begin: since 1800; no end: until midnight of as_of."""
-    return (F.coalesce(begin, F.lit("1800-01-01").cast("timestamp_ntz")) <= ts) & (F.coalesce(end, as_of.cast("date").cast("timestamp_ntz")) >= ts)
+    return (_since(begin) <= ts) & (_until(end, as_of) >= ts)
 
 
 def grouped(groups: DataFrame, members: DataFrame) -> DataFrame:
@@ -57,21 +70,31 @@ def flags(tags: DataFrame, groups: DataFrame | None = None, members: DataFrame |
         mine = members.where("id is not null").groupBy("id").agg(F.collect_set("group").alias("_in"))
         per = per.join(mine, "id", "left").join(grouped(groups, members), "item", "left")
         among = lambda t: F.coalesce(F.arrays_overlap("_in", t), F.lit(False))
-        per = per.withColumn("whole", (F.coalesce(F.size("owners"), F.lit(0)) > 0) & ~F.max("owner").over(by))
-        per = per.withColumns({"city": F.col("city") | among("cities"), "owner": F.col("owner") | among("owners")})
+        per = per.withColumn("_direct", F.col("owner")).withColumns({"city": F.col("city") | among("cities"), "owner": F.col("owner") | among("owners")})
         more |= {"city": F.coalesce(F.size("cities") > 0, F.lit(False)), "owner": F.coalesce(F.size("owners") > 0, F.lit(False))}
-    has = per.withColumns({f"has_{t}": F.max(F.col(t)).over(by) | m for t, m in more.items()})
+    any_ = lambda c: F.max(c).over(by)  # noqa: E731  # all over one window
+    has = per.withColumns({"_ref": any_(F.col("ref")), "_city": any_(F.col("city")), "_owner": any_(F.col("owner")), "_both": any_(F.col("ref") & F.col("city"))} | ({} if groups is None else {"_own": any_(F.col("_direct"))}))
+    if groups is not None:
+        has = has.withColumn("whole", more["owner"] & ~F.col("_own"))
+    has = has.withColumns({f"has_{t}": F.col(f"_{t}") | m for t, m in more.items()})
     comb = (F.col("ref") | F.col("city")) & (F.col("ref") | ~F.col("has_ref")) & (F.col("city") | ~F.col("has_city"))
-    out = has.withColumn("comb", comb).withColumn("has_comb", F.max("comb").over(by))
-    return out.select("item", "id", "ref", "city", "owner", "whole", "has_ref", "has_city", "has_owner", "comb", "has_comb")
+    # whether any row has comb
+    has_comb = F.when(F.col("has_ref") & F.col("has_city"), F.col("_both")).when(F.col("has_ref"), F.col("_ref")).otherwise(F.col("_city"))
+    return has.select("item", "id", "ref", "city", "owner", "whole", "has_ref", "has_city", "has_owner", comb.alias("comb"), has_comb.alias("has_comb"))
 
 
-def staged(flagged: DataFrame) -> DataFrame:
-    """(item, id, stage, base, poly): the candidate sets that need no geometry, without those of asked()."""
-    stage = lambda n, on: F.when(on, F.struct(F.lit(n).alias("stage"), F.lit(0).alias("base"), F.lit(0).alias("poly")))
+def smallest(rows: DataFrame) -> DataFrame:
+    """item, stage, base, poly, n (it counts rows of the asset table), found: the smallest
+    of an item's sets that need no geometry, without those of asked(). rows: of flags(),
+    with the name, of assets that are valid."""
     owner = F.when(F.col("has_comb"), F.col("comb") & F.col("owner")).otherwise(F.col("owner") & ~F.col("whole"))
-    sets = F.array_compact(F.array(stage(1, F.col("ref")), stage(2, F.col("comb")), stage(3, F.col("has_owner") & owner)))
-    return flagged.select("item", "id", F.inline(sets))
+    sets = [F.col("ref"), F.col("comb"), F.col("has_owner") & owner]
+    kept = rows.select("item", "id", "name", F.array(*sets).alias("_in")).where(F.exists("_in", lambda x: x))
+    per = kept.groupBy("item").agg(F.collect_list(F.struct("id", "name", "_in")).alias("_all"), *[F.count_if(F.get("_in", F.lit(i))).alias(f"_n{i}") for i in range(3)])
+    sizes = F.array(*[F.struct(F.col(f"_n{i}").alias("n"), F.lit(i + 1).alias("stage")) for i in range(3)])
+    best = per.select("item", "_all", F.array_min(F.filter(sizes, lambda x: x["n"] > 0)).alias("_best")).select("item", "_all", "_best.*")
+    found = F.sort_array(F.transform(F.filter("_all", lambda x: F.element_at(x["_in"], F.col("stage"))), lambda x: F.struct(x["id"].alias("id"), x["name"].alias("name"))))
+    return best.select("item", "stage", F.lit(0).alias("base"), F.lit(0).alias("poly"), "n", found.alias("found"))
 
 
 def normal(places: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -153,43 +176,62 @@ def shared(asks: DataFrame, members: DataFrame | None, held: DataFrame | None, a
     return ids.join(rows, "id").groupBy("key", "begin", "end").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("id", "name"))).alias("found"))
 
 
-def resolve(items: DataFrame, tags: DataFrame, assets: DataFrame, places: DataFrame | None = None, as_of: str | None = None, shapes: DataFrame | None = None, groups: DataFrame | None = None, members: DataFrame | None = None) -> DataFrame:
-    """item, stage, n, ref_match (array, by id). items: item, ts; tags: item, id,
+def resolve(items: DataFrame, tags: DataFrame, assets: DataFrame, places: DataFrame | None = None, as_of: str | None = None, shapes: DataFrame | None = None, groups: DataFrame | None = None, members: DataFrame | None = None, tell: Callable[[Column], dict[str, Column]] = lambda ref: {"ref_match": ref}) -> DataFrame:
+    """item, stage, n, ref_match (array, by id), or what tell makes of it. items: item, ts; tags: item, id,
     type; assets: id, name, begin, end (lon, lat); places: item, place, shape, with
     shapes: shape, polygons; without shapes, places carry polygons or rings. groups
     and members as of flags(). A set that items share is counted once for each time
-    that they ask for, by periods of validity, and written out where it is the answer."""
+    that they ask for, by periods of validity. Where it is the answer it is put together
+    and told once for all times at which the same assets are valid (as many have begun,
+    and as many have ended), and only what is told of it goes to the items."""
     today = F.lit(as_of).cast("date") if as_of else F.current_date()
     now = valid(F.col("ts"), F.col("begin"), F.col("end"), today)
     flagged = flags(tags, groups, members)
     if places is None and groups is None:
-        per = _counted(staged(flagged), items, assets, now)
-        return _told(_first(per, ["stage", "n", "found"]))
+        return _told(smallest(_rows(flagged, items, assets, now)), tell)
     flagged = materialize(flagged, "flagged")  # read several times
-    sets, order, held, owners = staged(flagged), None, None, None
+    by_row, order, held, owners = smallest(_rows(flagged, items, assets, now)), None, None, None
     if places is not None:
         links, shapes = (places, shapes) if shapes is not None else normal(places)
         order, held = ranked(links, shapes), materialize(contents(shapes, assets), "contents")
-        sets = sets.unionByName(placed(flagged, order, held))
+        by_row = by_row.unionByName(_counted(placed(flagged, order, held), items, assets, now))
     if groups is not None:
         direct = tags.where("id is not null and type = 'ownername'").select("item").distinct()
         owners = grouped(groups, members).where(F.size("owners") > 0).select("item", "owners").join(direct, "item", "left_anti")
     asks = materialize(asked(flagged, owners, order, items).withColumn("key", F.to_json(F.struct("owners", "shape"))), "asked")
     pieces = materialize(shared(asks, members, held, assets), "shared")
-    counts = asks.select("key", "ts").distinct().join(pieces.select("key", "begin", "end", "n"), "key").where(now).groupBy("key", "ts").agg(F.sum("n").alias("n"))
+    begun, ended = _since(F.col("begin")) <= F.col("ts"), _until(F.col("end"), today) < F.col("ts")
+    sums = [F.sum(F.when(now, F.col("n"))).alias("n"), F.count_if(begun).alias("begun"), F.count_if(ended).alias("ended")]
+    counts = asks.select("key", "ts").distinct().join(pieces.select("key", "begin", "end", "n"), "key").groupBy("key", "ts").agg(*sums).where("n > 0")
     empty = F.lit(None).cast(pieces.schema["found"].dataType)
-    by_row = _counted(sets, items, assets, now).withColumns({"key": F.lit(None).cast("string"), "ts": F.lit(None).cast(items.schema["ts"].dataType)})
+    by_row = by_row.withColumns({"key": F.lit(None).cast("string"), "ts": F.lit(None).cast(items.schema["ts"].dataType), "begun": F.lit(0).cast("long"), "ended": F.lit(0).cast("long")})
     by_key = asks.join(counts, ["key", "ts"]).withColumn("found", empty).select(*by_row.columns)
-    first = materialize(_first(by_row.unionByName(by_key), ["stage", "n", "found", "key", "ts"]), "first")
-    late = first.where("key is not null").drop("found")
-    lists = late.select("key", "ts").distinct().join(pieces.drop("n"), "key").where(now).groupBy("key", "ts").agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("found"))
-    return _told(first.where("key is null").select("item", "stage", "n", "found").unionByName(late.join(lists, ["key", "ts"]).select("item", "stage", "n", "found")))
+    first = materialize(_first(by_row.unionByName(by_key), ["stage", "n", "found", "key", "ts", "begun", "ended"]), "first")
+    direct = _told(first.where("key is null").select("item", "stage", "n", "found"), tell)
+    return direct.unionByName(_dealt(first.where("key is not null").drop("found"), pieces.drop("n"), now, tell))
+
+
+def _dealt(late: DataFrame, pieces: DataFrame, now: Column, tell: Callable[[Column], dict[str, Column]]) -> DataFrame:
+    """item, stage, n and what is told of the set of assets that is an item's answer.
+    A set that many items share goes to as many tasks, since they write it out as often."""
+    same = ["key", "begun", "ended"]
+    sets = late.groupBy(*same).agg(F.min("ts").alias("ts"), F.max("n").alias("n"), F.ceil(F.count("*") / TOGETHER).alias("_parts"))
+    found = sets.join(pieces, "key").where(now).groupBy(*same, "n", "_parts").agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("found"))
+    told = found.select(*same, "n", "_parts", *[c.alias(k) for k, c in tell(_ref()).items()])
+    lists = told.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).drop("n", "_parts")
+    parts = late.join(sets.select(*same, "_parts"), same).withColumn("_part", F.pmod(F.xxhash64("item"), F.col("_parts"))).select("item", "stage", "n", *same, "_part")
+    # so many partitions whatever they hold: rows are short here and long afterwards
+    count = int(late.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return parts.repartition(count, *same, "_part").join(lists, [*same, "_part"]).drop(*same, "_part")
+
+
+def _rows(sets: DataFrame, items: DataFrame, assets: DataFrame, now: Column) -> DataFrame:
+    return sets.join(items.select("item", "ts"), "item").join(assets.select("id", "name", "begin", "end"), "id").where(now)
 
 
 def _counted(sets: DataFrame, items: DataFrame, assets: DataFrame, now: Column) -> DataFrame:
     """n (it counts rows of the asset table) and found of each item's sets."""
-    rows = sets.join(items.select("item", "ts"), "item").join(assets.select("id", "name", "begin", "end"), "id").where(now)
-    return rows.groupBy("item", "stage", "base", "poly").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("id", "name"))).alias("found"))
+    return _rows(sets, items, assets, now).groupBy("item", "stage", "base", "poly").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("id", "name"))).alias("found"))
 
 
 def _first(per: DataFrame, columns: list[str]) -> DataFrame:
@@ -197,9 +239,12 @@ def _first(per: DataFrame, columns: list[str]) -> DataFrame:
     return per.withColumn("_r", F.row_number().over(best)).where("_r = 1").select("item", *columns)
 
 
-def _told(first: DataFrame) -> DataFrame:
-    ref = F.transform("found", lambda x: F.struct(x["id"].alias("GeoAssetID"), x["name"].alias("GeoAssetName"), confidence(F.col("n")).alias("confidence")))
-    return first.select("item", "stage", "n", ref.alias("ref_match"))
+def _ref() -> Column:
+    return F.transform("found", lambda x: F.struct(x["id"].alias("GeoAssetID"), x["name"].alias("GeoAssetName"), confidence(F.col("n")).alias("confidence")))
+
+
+def _told(first: DataFrame, tell: Callable[[Column], dict[str, Column]]) -> DataFrame:
+    return first.select("item", "stage", "n", *[c.alias(k) for k, c in tell(_ref()).items()])
 
 
 def in_all_types(tags: DataFrame, groups: DataFrame | None = None, members: DataFrame | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlane.functions import geo
@@ -71,9 +71,8 @@ g as (select item, stage, poly, count(*)::bigint n, string_agg(id::varchar, ','
 select item, stage, n, ids, case when n = 8 then 0.12 else round(1 / n, 2) end::double confidence from g qualify row_number() over (partition by item order by n, stage, poly) = 1"""
 
 
-def _told(found: DataFrame) -> DataFrame:
-    ids = F.array_join(F.transform("ref_match", lambda r: r["GeoAssetID"].cast("string")), ",")
-    return found.select("item", "stage", "n", ids.alias("ids"), F.get("ref_match", F.lit(0))["confidence"].alias("confidence"))
+def _told(ref: Column) -> dict[str, Column]:
+    return {"ids": F.array_join(F.transform(ref, lambda r: r["GeoAssetID"].cast("string")), ","), "confidence": F.get(ref, F.lit(0))["confidence"]}
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +81,7 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_RESOLVE.format(extra=""))
 def resolve_cascade(spark, sf_dir):
-    return _told(resolve.resolve(_items(spark, sf_dir), assets=assets(spark, sf_dir), as_of=AS_OF, **candidates(spark, sf_dir)))
+    return resolve.resolve(_items(spark, sf_dir), assets=assets(spark, sf_dir), as_of=AS_OF, tell=_told, **candidates(spark, sf_dir))
 
 
 # orders of even keys name a box of 20 by 15 degrees, and those of keys divisible by 4 a box of 10 by 30 inside or beside it
@@ -112,7 +111,7 @@ def resolve_places(spark, sf_dir):
     for step, n, *_ in _BOXES:
         part = items.where(F.col("item") % step == 0).select("item", F.lit(n).alias("place"), F.lit(n).alias("shape"))
         links = part if links is None else links.unionByName(part)
-    return _told(resolve.resolve(items, assets=assets(spark, sf_dir), places=links, as_of=AS_OF, shapes=boxes(spark), **candidates(spark, sf_dir)))
+    return resolve.resolve(items, assets=assets(spark, sf_dir), places=links, as_of=AS_OF, shapes=boxes(spark), tell=_told, **candidates(spark, sf_dir))
 
 
 _MATCHES = "m as (select l_orderkey item, n_name country from lineitem join supplier on s_suppkey = l_suppkey left join nation on n_nationkey = s_nationkey and n_nationkey % 7 <> 0)"

@@ -172,3 +172,27 @@ def test_groups_stand_for_their_members(spark):
         assert told(resolve.resolve(items, plain, assets, as_of="2021-01-01", groups=g, members=m, **where)) == each and len({x[1] for x in each}) > 2
     both = lambda d: sorted(map(tuple, d.distinct().collect()))
     assert both(resolve.in_all_types(plain, g, m)) == both(resolve.in_all_types(full))
+
+
+def test_a_shared_answer_is_told_once(spark):
+    """Items of many times get the same assets: these are put together once for each set, not for each time or item."""
+    import datetime
+
+    day = lambda n: datetime.datetime(2020, 1, 1) + datetime.timedelta(n)
+    rows = [(i, f"a{i}", None if i % 4 == 3 else day(i % 2 * 100), day(150) if i % 3 else None) for i in range(30)]
+    assets = spark.createDataFrame(rows, "id long, name string, begin timestamp_ntz, end timestamp_ntz")
+    members = spark.createDataFrame([(f"o{i % 2}", i) for i in range(30)], "group string, id long")
+    items = [(i, day(i * 401 % 1200)) for i in range(600)] + [(i, day(20)) for i in range(600, 1800)]
+    groups = spark.createDataFrame([(i, f"o{i % 2}", "ownername") for i, _ in items], "item long, group string, type string")
+    made, tags = spark.sparkContext.accumulator(0), spark.createDataFrame([(0, None, "refname")], "item long, id long, type string")
+
+    @F.udf("string")
+    def ids(ref):
+        made.add(1)
+        return ",".join(str(r["GeoAssetID"]) for r in ref)
+
+    got = resolve.resolve(spark.createDataFrame(items, "item long, ts timestamp_ntz"), tags, assets, as_of="2021-01-01", groups=groups, members=members, tell=lambda ref: {"ids": ids(ref)}).collect()
+    now = lambda ts, b, e: (b or day(-999)) <= ts <= (e or day(366))
+    expected = {i: [d for d, _, b, e in rows if d % 2 == i % 2 and now(ts, b, e)] for i, ts in items}
+    assert {r["item"]: (r["stage"], r["n"], r["ids"]) for r in got} == {i: (3, len(v), ",".join(map(str, v))) for i, v in expected.items() if v} and len(got) > 1300
+    assert 0 < made.value <= len({tuple(v) for v in expected.values()})
